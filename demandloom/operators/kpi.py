@@ -141,7 +141,7 @@ def rolling_dii_compare(facts: DataFrame, rows: int = ROLLING_ROWS) -> DataFrame
 
 
 def _share(part: str, whole: str) -> Column:
-    return F.when(F.col(whole) > 0, F.col(part) / F.col(whole) * 100.0)
+    return F.when(F.col(whole) > 0, ratio(F.col(part), F.col(whole)) * 100.0)
 
 
 def daily_overstock(facts: DataFrame) -> DataFrame:
