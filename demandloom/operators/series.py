@@ -12,8 +12,9 @@ that the window partitions by (series, chunk) instead:
 * the rows that the first rows of a chunk look back to, at least `lookback` of them, are added to
   the chunk as halo rows.  They take part in the window and are dropped by `without_halo`.
 
-What is broadcast are the long series and the long dates; there are at most rows / `max_rows` of
-either.
+Whether there are long series at all is looked up first, with one count per series; without any,
+the plan is the plain window.  What is broadcast are the long series and the long dates; there are
+at most rows / `max_rows` of either.
 """
 
 from __future__ import annotations
@@ -65,11 +66,10 @@ def in_chunks(
         .select(*keys)
     )
     spread = F.pmod(F.xxhash64(*order), F.lit(_SPREAD))
-    short = (
-        df.join(long_series, keys, "left_anti")
-        .withColumn(CHUNK, F.when(known, F.lit(0).cast("long")).otherwise(spread))
-        .withColumn(HALO, F.lit(False))
-    )
+    whole = {CHUNK: F.when(known, F.lit(0).cast("long")).otherwise(spread), HALO: F.lit(False)}
+    if long_series.isEmpty():
+        return df.withColumns(whole)
+    short = df.join(long_series, keys, "left_anti").withColumns(whole)
     rows = _sliced(df.join(long_series, keys, "left_semi"), keys, block, max_rows, slice_by)
     cut = (
         rows.join(_cells(rows, keys, lookback, max_rows), [*keys, _BLOCK, _SLICE])

@@ -3,128 +3,132 @@
 The last part of the rows in (store, product, date, tie-break) order is the test set.  Sorting all
 rows to number them would be the largest shuffle of the pipeline, and only one position matters:
 the first test row.  It is found from counts, level by level: the store that holds it, the product
-within that store, the date within that series, a slice of that date, and only there by numbering
-rows.  Every level counts before it shuffles.  The found row is broadcast, and each row is compared
-with it in place.
+of that store, the date of that series, and only there by ordering rows.  Each level counts before
+it shuffles, hands one row to the driver, and narrows the next level by a filter that reaches the
+scan.  Marking the rows is then a comparison with that row: no join, no shuffle.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import SERIES
+from .series import MAX_ROWS
 
-_SLICES = 4096
+TEST_SIZE = 0.2
+_SLICES = 1024
 
 
-def _placed(columns: Sequence[str], prefix: str = "") -> Column:
-    """A comparable value for the position of a row; missing values come last."""
-    return F.struct(
-        *(
-            part
-            for i, c in enumerate(columns)
-            for part in (F.col(prefix + c).isNull().alias(f"m{i}"), F.col(prefix + c).alias(f"v{i}"))
-        )
-    )
+def _is(column: str, value: Any) -> Column:
+    return F.col(column).isNull() if value is None else F.col(column) == F.lit(value)
 
 
-def _holding(counts: DataFrame, by: Sequence[str], rows: str = "_n") -> DataFrame:
-    """The group that holds position `_skip`, with the position counted from its start.
+def _holding(counts: DataFrame, by: str, skip: int | Column) -> Row | None:
+    """The group with position `skip`: its row, with the position counted from its start.
 
-    `counts` has one row per group, `_skip` the same in each of them.  The groups are stores, the
-    products of one store, the dates of one series or the slices of one date: few enough to be
-    ordered in one task whatever the number of rows behind them.
+    One row per group: stores, products of a store, dates of a series, slices of a date.  These
+    are few enough to be put in order in one task whatever the number of rows behind them.
     """
-    w = Window.orderBy(*(F.col(c).asc_nulls_last() for c in by))
-    before = F.coalesce(
-        F.sum(rows).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
+    w = Window.orderBy(F.col(by).asc_nulls_last())
+    before = F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    if not isinstance(skip, Column):
+        skip = F.lit(skip)
     return (
         counts.withColumn("_before", before)
-        .where((F.col("_before") <= F.col("_skip")) & (F.col("_skip") < F.col("_before") + F.col(rows)))
-        .withColumn("_skip", F.col("_skip") - F.col("_before"))
-        .drop("_before", rows)
+        .withColumn("_skip", skip - F.col("_before"))
+        .where((F.col("_skip") >= 0) & (F.col("_skip") < F.col("_n")))
+        .first()
     )
 
 
-def _inside(df: DataFrame, found: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The rows of `df` in the one group that `found` holds; adds `_skip`."""
-    group = found.select("_skip", *(F.col(c).alias(f"_at_{c}") for c in columns))
-    match = F.lit(True)
-    for c in columns:
-        match = match & F.col(c).eqNullSafe(F.col(f"_at_{c}"))
-    return df.join(F.broadcast(group), match).select(*df.columns, "_skip")
-
-
 def first_test_row(
     df: DataFrame,
     *,
-    test_size: float = 0.2,
-    order: Sequence[str] = (*SERIES, "date"),
-    slice_by: str | None = None,
-) -> DataFrame:
-    """The order columns of the first test row, as `_first_*`, in a frame of one row.
-
-    `order` is two group columns, a date-like column and tie-break columns.  `slice_by` names the
-    first tie-break column if it is a number; a date is then cut along it before rows are numbered.
+    test_size: float = TEST_SIZE,
+    keys: Sequence[str] = (*SERIES, "date"),
+    ties: Sequence[str] = (),
+    max_rows: int = MAX_ROWS,
+) -> dict[str, Any] | None:
+    """The order columns of the first test row; None if there is no row.
+
+    A date with more than `max_rows` rows is first cut along the leading tie-break column, if
+    that is a number.
     """
-    outer, inner, day = order[:3]
-    rows = df.select(*order)
-    per_series = rows.groupBy(outer, inner).agg(F.count(F.lit(1)).alias("_n"))
-    whole = per_series.agg(F.sum("_n").alias("_all")).select(
-        (F.col("_all") - F.ceil(F.lit(test_size) * F.col("_all"))).alias("_skip")
-    )
-    per_outer = per_series.groupBy(outer).agg(F.sum("_n").alias("_n"))
-    at_outer = _holding(per_outer.crossJoin(F.broadcast(whole)), [outer])
-    at_series = _holding(_inside(per_series, at_outer, [outer]), [outer, inner])
-    in_series = _inside(rows, at_series, [outer, inner])
-    per_day = in_series.groupBy(outer, inner, day, "_skip").agg(F.count(F.lit(1)).alias("_n"))
-    at_day = _holding(per_day, [day])
-    found = _inside(rows, at_day, [outer, inner, day])
-
-    if slice_by is not None:
-        edges = found.groupBy("_skip").agg(
-            F.min(slice_by).cast("double").alias("_low"),
-            F.max(slice_by).cast("double").alias("_high"),
+    rows = df.select(*dict.fromkeys([*keys, *ties]))
+    total = F.sum("_n").over(Window.partitionBy())
+    skip: int | Column = total - F.ceil(F.lit(test_size) * total)
+    found: Row | None = None
+    for key in keys:
+        counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        found = _holding(counts, key, skip)
+        if found is None:
+            return None
+        skip = found["_skip"]
+        rows = rows.where(_is(key, found[key]))
+
+    while ties and found["_n"] > max_rows and isinstance(df.schema[ties[0]].dataType, T.NumericType):
+        edges = rows.agg(F.min(ties[0]).alias("low"), F.max(ties[0]).alias("high")).first()
+        if edges.low is None or edges.low == edges.high:
+            break
+        low, width = float(edges.low), float(edges.high) - float(edges.low)
+        place = F.floor((F.col(ties[0]) - F.lit(low)) / F.lit(width) * F.lit(_SLICES))
+        rows = rows.withColumn("_slice", place)
+        found = _holding(
+            rows.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n")), "_slice", skip
         )
-        place = F.try_divide(F.col(slice_by) - F.col("_low"), F.col("_high") - F.col("_low"))
-        found = (
-            found.join(F.broadcast(edges.drop("_skip")), F.lit(True))
-            .withColumn("_slice", F.coalesce(F.floor(place * _SLICES), F.lit(0)))
-            .drop("_low", "_high")
-        )
-        per_slice = found.groupBy("_slice", "_skip").agg(F.count(F.lit(1)).alias("_n"))
-        found = _inside(found.drop("_skip"), _holding(per_slice, ["_slice"]), ["_slice"])
+        skip = found["_skip"]
+        rows = rows.where(_is("_slice", found["_slice"])).drop("_slice")
 
-    numbered = Window.partitionBy("_skip").orderBy(*(F.col(c).asc_nulls_last() for c in order))
-    return (
-        found.withColumn("_at", F.row_number().over(numbered) - 1)
-        .where(F.col("_at") == F.col("_skip"))
-        .select(*(F.col(c).alias(f"_first_{c}") for c in order))
+    order = [F.col(c).asc_nulls_last() for c in ties]
+    numbered = rows.withColumn("_at", F.row_number().over(Window.orderBy(*(order or [F.lit(1)]))))
+    return numbered.where(F.col("_at") == skip + 1).drop("_at").first().asDict()
+
+
+def _literal(value: Any, kind: T.DataType) -> Column:
+    if isinstance(value, (dt.date, dt.datetime)):
+        return F.lit(str(value)).cast(kind)
+    return F.lit(value).cast(kind)
+
+
+def mark_test(df: DataFrame, first: Mapping[str, Any] | None) -> DataFrame:
+    """Add `is_test`: True from the first test row on, in the order of its columns.
+
+    Rows that are equal on all of them go to the same side.
+    """
+    if first is None:
+        return df.withColumn("is_test", F.lit(False))
+    # Missing values come last, so each column is compared as (is missing, value).
+    here, there = [], []
+    for c, value in first.items():
+        here += [F.col(c).isNull(), F.col(c)]
+        there += [F.lit(value is None), _literal(value, df.schema[c].dataType)]
+    at_or_after = F.struct(*(c.alias(f"c{i}") for i, c in enumerate(here))) >= F.struct(
+        *(c.alias(f"c{i}") for i, c in enumerate(there))
     )
+    return df.withColumn("is_test", at_or_after)
 
 
 def positional_split(
     df: DataFrame,
     *,
-    test_size: float = 0.2,
-    order: Sequence[str] = (*SERIES, "date"),
-    slice_by: str | None = None,
+    test_size: float = TEST_SIZE,
+    keys: Sequence[str] = (*SERIES, "date"),
+    ties: Sequence[str] = (),
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
-    """Add `is_test`: True for the last ceil(test_size * n) rows in `order`.
-
-    `order` must tell rows apart; rows equal on all of it go to the same side.
-    """
-    first = first_test_row(df, test_size=test_size, order=order, slice_by=slice_by)
-    marked = df.crossJoin(F.broadcast(first))
-    is_test = _placed(order) >= _placed(order, "_first_")
-    return marked.withColumn("is_test", is_test).drop(*(f"_first_{c}" for c in order))
+    """Add `is_test`: True for the last ceil(test_size * n) rows ordered by keys, then ties."""
+    return mark_test(
+        df, first_test_row(df, test_size=test_size, keys=keys, ties=ties, max_rows=max_rows)
+    )
 
 
-def test_rows(n: int, test_size: float = 0.2) -> int:
+def held_out(n: int, test_size: float = TEST_SIZE) -> int:
     """How many of n rows are held out."""
     return math.ceil(test_size * n)

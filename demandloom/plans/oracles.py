@@ -208,7 +208,6 @@ def build() -> dict[str, str]:
         ),
     )
     q["detail_sink_roundtrip"] = _with(RESULTS, f"{DETAIL_OF} FROM results")
-    q["detail_table_roundtrip"] = q["detail_sink_roundtrip"]
     q["season_sink_roundtrip"] = _with(RESULTS, SEASON)
     q["report_season"] = q["season_sink_roundtrip"]
     q["report_detail"] = _with(

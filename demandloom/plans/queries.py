@@ -90,7 +90,7 @@ def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     rows = sales(spark, sf_dir, "date", *SERIES, "units_sold", *columns)
-    return T.positional_split(rows, order=ORDER, slice_by=TIE_BREAK[0])
+    return T.positional_split(rows, ties=TIE_BREAK)
 
 
 # Scans, sources, sinks
@@ -100,7 +100,7 @@ def split(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 def csv_scan(spark, sf_dir):
     path = new_folder(spark, "raw-csv")
     files.write_raw_csv(sales_raw(spark, sf_dir), path)
-    rows = files.read_raw_csv(spark, path, extra=LINE_KEY)
+    rows = files.read_raw_csv(spark, path)
     fractions = ("price", "discount", "competitor_pricing")
     return rows.select(
         *(F.col(c).cast("bigint").alias(c) for c in LINE_KEY),
@@ -134,13 +134,6 @@ def detail_sink_roundtrip(spark, sf_dir):
     return six(files.read_detail_report(spark, path))
 
 
-@query
-def detail_table_roundtrip(spark, sf_dir):
-    path = new_folder(spark, "detail")
-    files.write_detail_table(results(spark, sf_dir), path)
-    return six(files.read_detail_table(spark, path))
-
-
 @query
 def season_sink_roundtrip(spark, sf_dir):
     path = new_folder(spark, "season-csv")
@@ -477,7 +470,7 @@ def onehot_counts(spark, sf_dir):
 def standardize_numeric(spark, sf_dir):
     rows = split(spark, sf_dir, *IMPUTED)
     stats = M.numeric_stats(rows.where(~F.col("is_test")), IMPUTED).collect()
-    scaled = M.standardize(sales(spark, sf_dir, *IMPUTED), stats)
+    scaled = M.standardize(rows, stats)
     return six(scaled.select(*LINE_KEY, *(c for c in scaled.columns if c.endswith("_scaled"))))
 
 
@@ -513,9 +506,8 @@ class _Trained:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         folder = new_folder(spark, "training")
         rows = sales(spark, sf_dir, *(c for c in SALES_COLUMNS if c != "model_forecast"))
-        parts = T.positional_split(
-            X.demand_features(rows, ties=TIE_BREAK), order=ORDER, slice_by=TIE_BREAK[0]
-        )
+        first = T.first_test_row(rows, ties=TIE_BREAK)
+        parts = T.mark_test(X.demand_features(rows, ties=TIE_BREAK), first)
         parts.write.parquet(f"{folder}/features")
         self.rows = spark.read.parquet(f"{folder}/features")
         self.fitted = M.train_demand_model(self.rows, params=TRAINING, ignore=LINE_KEY)
