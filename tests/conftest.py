@@ -6,7 +6,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+HERE = Path(__file__).resolve().parent
+sys.path[:0] = [str(HERE.parent), str(HERE)]
 
 
 def make_session() -> SparkSession:

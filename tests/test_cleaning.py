@@ -1,0 +1,90 @@
+import math
+import random
+import statistics
+
+import pytest
+from pyspark.sql import functions as F
+
+from demandloom.operators import cleaning
+from demandloom.operators.medians import column_medians
+from demandloom.operators.profile import null_counts, preview_rows, profile_columns
+from demandloom.schema import RAW_TO_ENGINE
+
+COLUMNS = list(RAW_TO_ENGINE.values())
+
+
+def raw_row(**cells):
+    row = dict.fromkeys(COLUMNS, "1")
+    row.update(date="2022-01-01", store_id="S1", product_id="P1")
+    row.update(cells)
+    return tuple(row[c] for c in COLUMNS)
+
+
+def raw(spark, *rows):
+    return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in COLUMNS))
+
+
+def test_median_of_even_count(spark):
+    df = spark.createDataFrame([(v,) for v in (1.0, 2.0, 3.0, 10.0, None)], "x double")
+    assert column_medians(df, ["x"]) == {"x": 2.5}
+
+
+def test_medians_of_missing_and_empty(spark):
+    df = spark.createDataFrame([(None, 1.0)], "x double, y double")
+    assert column_medians(df, ["x", "y"]) == {"x": None, "y": 1.0}
+    assert column_medians(df.limit(0), ["x"]) == {"x": None}
+
+
+@pytest.mark.parametrize("count", [101, 200])
+def test_narrowing_finds_the_same_medians(spark, count):
+    rng = random.Random(count)
+    values = [
+        (
+            rng.choice([1.0, 2.0, 2.0, 2.0, 3.0]),
+            rng.lognormvariate(0, 20),
+            -rng.random() if i else -math.inf,
+            math.inf if i % 3 == 0 else float(i),
+            rng.randrange(10**6),
+        )
+        for i in range(count)
+    ]
+    df = spark.createDataFrame(values, "a double, b double, c double, d double, e bigint")
+    found = column_medians(df, df.columns, exact_rows=5, bins=4)
+    for i, c in enumerate(df.columns):
+        assert found[c] == statistics.median(v[i] for v in values), c
+
+
+def test_medians_come_between_target_and_date_filters(spark):
+    df = raw(
+        spark,
+        raw_row(units_sold="n/a", price="1000"),
+        raw_row(date="bad", price="30"),
+        raw_row(price="10"),
+        raw_row(price="x"),
+    )
+    cleaned = cleaning.clean_sales(df)
+    assert sorted(r.price for r in cleaned.collect()) == [10.0, 20.0]
+
+
+def test_clean_types_and_rows(spark):
+    df = raw(spark, raw_row(), raw_row(units_sold=None), raw_row(date="2022-02-30"))
+    cleaned = cleaning.clean_sales(df)
+    assert cleaned.count() == 1
+    types = dict(cleaned.dtypes)
+    assert types["date"] == "date" and types["units_sold"] == "double"
+    assert types["holiday_promotion"] == "int"
+
+
+def test_nan_becomes_null(spark):
+    df = spark.createDataFrame([(math.nan,), (2.0,)], "price double")
+    assert [r.price for r in cleaning.coerce_numeric(df, ["price"]).collect()] == [None, 2.0]
+
+
+def test_profile(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b")], "n int, s string")
+    assert [tuple(r) for r in profile_columns(df).orderBy("column").collect()] == [
+        ("n", "int", 1),
+        ("s", "string", 2),
+    ]
+    assert [tuple(r) for r in null_counts(df, ["n", "s"]).collect()] == [("n", 1), ("s", 0)]
+    assert [r.s for r in preview_rows(df.orderBy(F.rand()), ["s"], 1).collect()] == ["a"]
