@@ -16,11 +16,11 @@ TOP_PER_STORE = 20
 def latest_day(df: DataFrame) -> DataFrame:
     """The rows of the greatest date.
 
-    The date is one broadcast row in an equi-join, so a detail table written in one folder per
-    date is pruned to the folder of that day.
+    The date is a scalar subquery, which runs before the scan: a detail table written in one
+    folder per date is pruned to the folder of that day, other files to the row groups that
+    reach it.
     """
-    last = df.agg(F.max("date").alias("date"))
-    return df.join(F.broadcast(last), "date")
+    return df.where(F.col("date") == df.agg(F.max("date")).scalar())
 
 
 def _overstock(day: DataFrame) -> DataFrame:

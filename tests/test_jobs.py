@@ -1,0 +1,113 @@
+import datetime as dt
+import json
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from demandloom.operators import baseline as B
+from demandloom.operators import kpi as K
+from demandloom.operators import latest as L
+from demandloom.operators.model import BoostParams
+from demandloom.operators.versions import read_versions
+from demandloom.plans import score, train
+from demandloom.plans.pipeline import PipelineRun, run_pipeline, tie_break
+from demandloom.schema import RESULT_COLUMNS
+from demandloom.sources import files
+from demandloom.sources.star import LINE_KEY, sales_raw
+
+PARAMS = BoostParams(rounds=3, step=0.5, depth=3, patience=2, bins=32)
+
+
+@pytest.fixture(scope="module")
+def source(spark, tmp_path_factory):
+    """A raw file of two weeks, with unusable cells in it."""
+    path = str(tmp_path_factory.mktemp("raw") / "csv")
+    rows = sales_raw(spark, "/root/testdata/sf0.01")
+    files.write_raw_csv(rows.where("date between '1998-03-01' and '1998-03-14' or date like 'n%'"), path)
+    return path
+
+
+@pytest.fixture(scope="module")
+def run(spark, source, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("run"))
+    return run_pipeline(spark, source, folder, params=PARAMS, row_key=LINE_KEY)
+
+
+def test_detail(spark, run):
+    detail = run.table(spark, "detail")
+    assert tuple(detail.columns) == RESULT_COLUMNS
+    assert detail.count() == run.table(spark, "features").count()
+    assert detail.where("model_forecast is null").count() == 0
+    assert detail.select("date").distinct().count() <= 14
+
+
+def test_latest_day_reads_one_folder(spark, run):
+    day = L.latest_day(run.table(spark, "detail"))
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*date[^\]]*subquery", plan, re.I)
+    assert day.select(F.input_file_name()).distinct().count() < 5
+    assert day.count() == run.table(spark, "latest_day").count() > 0
+
+
+def test_tables_agree_with_the_operators(spark, run):
+    detail = run.table(spark, "detail")
+    direct = {r.season: r for r in K.season_summary(K.result_facts(detail, "season")).collect()}
+    for row in run.table(spark, "season_summary").collect():
+        assert row.asDict() == pytest.approx(direct[row.season].asDict())
+    csv = files.read_season_report(spark, f"{run.folder}/reports/season").collect()
+    assert len(csv) == len(direct)
+    totals = B.daily_product_totals(run.table(spark, "features"))
+    kpis = run.table(spark, "baseline_kpis").first()
+    assert kpis.mape_overall == pytest.approx(B.baseline_kpis(totals).first().mape_overall)
+
+
+def test_every_table_is_there(spark, run):
+    for name in run.tables:
+        assert run.table(spark, name).columns
+    gate = run.table(spark, "quality_gate").first()
+    assert gate.mae == pytest.approx(run.fitted.metrics["mae"])
+    assert gate.rmse == pytest.approx(run.fitted.metrics["rmse"])
+
+
+def test_detail_report(spark, run):
+    rows = files.read_detail_report(spark, f"{run.folder}/reports/detail")
+    page = files.detail_report(rows, 5).collect()
+    assert [r.rows_returned for r in page] == [5] * 5
+    everything = files.detail_report(rows, 10**6).collect()
+    assert len(everything) == rows.count() == everything[0].rows_returned
+    with pytest.raises(ValueError):
+        files.detail_report(rows, -1)
+
+
+def test_columns_in_any_order_and_missing_ones(spark, source, tmp_path):
+    raw = files.read_raw_csv(spark, source)
+    turned = raw.select(*reversed(raw.columns))
+    path = str(tmp_path / "turned")
+    files.write_raw_csv(turned, path)
+    again = files.read_raw_csv(spark, path).select(*raw.columns)
+    assert again.exceptAll(raw).isEmpty() and raw.exceptAll(again).isEmpty()
+    files.write_raw_csv(raw.drop("price"), path + "-less")
+    with pytest.raises(KeyError, match="price"):
+        run_pipeline(spark, path + "-less", str(tmp_path / "out"))
+
+
+def test_tie_break_without_row_key():
+    ties = tie_break(["category", "date", "price", "store_id", "product_id", "units_sold"])
+    assert ties == ["price", "units_sold", "category"]
+
+
+def test_train_then_score(spark, source, tmp_path):
+    models = str(tmp_path / "models")
+    version = train.train_version(spark, source, models, params=PARAMS, row_key=LINE_KEY)
+    versions = read_versions(spark, f"{models}/model_versions").collect()
+    assert [v.version for v in versions] == [version]
+    requests = tmp_path / "requests"
+    requests.mkdir()
+    body = {"records": [{"Store": "S001", "Product": "Brand#11", "Date": "1998-03-02"}] * 2}
+    (requests / "a.json").write_text(json.dumps(body))
+    out = str(tmp_path / "out")
+    score.score_files(spark, str(requests), models, out, version=version, as_of=dt.date(1998, 3, 15))
+    assert spark.read.parquet(out).count() == 2
+    with pytest.raises(LookupError):
+        score.score_files(spark, str(requests), models, out, version="v0")
