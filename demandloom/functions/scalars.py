@@ -32,8 +32,12 @@ MISSING_TOKENS = (
     "null",
 )
 
-# Fixed value: texts that count as numbers (no thousands marks, no type suffixes, no hex).
-NUMBER_PATTERN = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|inf)\s*$"
+# The characters of a plain number (so no thousands marks, type suffixes or hex),
+# and the one word that is a number.
+NUMBER_CHARACTERS = r"^[\s\d.eE+-]+$"
+INFINITY = r"(?i)^\s*[+-]?inf\s*$"
+# Fixed value: year, month and day, nothing around them.
+DAY = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
 
 def without_missing_tokens(c: Column) -> Column:
@@ -48,12 +52,12 @@ def without_nan(c: Column) -> Column:
 
 def parse_number(c: Column) -> Column:
     """Text to double; anything that is not a plain number becomes NULL."""
-    return without_nan(F.when(c.rlike(NUMBER_PATTERN), F.trim(c).try_cast("double")))
+    return F.when(c.rlike(NUMBER_CHARACTERS) | c.rlike(INFINITY), F.trim(c).try_cast("double"))
 
 
 def parse_day(c: Column) -> Column:
     """Text to date; only complete `year-month-day` text that names a real day is kept."""
-    return F.try_to_date(c, "yyyy-M-d")
+    return F.when(c.rlike(DAY), c.try_cast("date"))
 
 
 def ratio(a: Column, b: Column) -> Column:

@@ -245,17 +245,24 @@ def default_columns(spark, sf_dir):
     rows = sales(spark, sf_dir, "date", *SERIES, "units_sold", "region", "price")
     n = F.col("l_linenumber")
 
-    def field(name: Column, column: str) -> Column:
-        return F.struct(name.alias("key"), F.col(column).cast("string").alias("value"))
-
-    entries = F.array(
-        F.when(n != 1, field(F.when(n == 2, "store").otherwise("Store ID"), "store_id")),
-        F.when(n != 3, field(F.when(n == 2, "product").otherwise("Product"), "product_id")),
-        F.when(n != 4, field(F.lit("Units_Sold"), "units_sold")),
-        F.when(n != 5, field(F.lit("Date"), "date")),
-        F.when(n != 6, field(F.lit("Region"), "region")),
+    def cell(given: Column, column: str) -> Column:
+        return F.when(given, F.col(column).cast("string"))
+
+    record = F.map_filter(
+        F.create_map(
+            F.when(n == 2, "store").otherwise("Store ID"),
+            cell(n != 1, "store_id"),
+            F.when(n == 2, "product").otherwise("Product"),
+            cell(n != 3, "product_id"),
+            F.lit("Units_Sold"),
+            cell(n != 4, "units_sold"),
+            F.lit("Date"),
+            cell(n != 5, "date"),
+            F.lit("Region"),
+            cell(n != 6, "region"),
+        ),
+        lambda name, value: value.isNotNull(),
     )
-    record = F.map_from_entries(F.filter(entries, lambda e: e.isNotNull()))
     typed = R.typed_records(rows.select(*LINE_KEY, record.alias("record")), AS_OF)
     return typed.select(*LINE_KEY, "date", *SERIES, "units_sold", "region", "price")
 
