@@ -7,14 +7,14 @@ that the window partitions by (series, chunk) instead:
 * a series with at most `max_rows` rows is one chunk; such rows meet no shuffle besides the one of
   the window;
 * a longer series is cut, in its order, into chunks of about `max_rows` rows.  The cut points come
-  from row counts per date (dates with more than `max_rows` rows are first sliced along the
-  leading tie-break column), so the rows themselves are not sorted to find them;
+  from row counts per date, so the rows themselves are not sorted to find them.  A date with more
+  than `max_rows` rows is sliced along the number columns that order its rows, as often as it takes;
 * the rows that the first rows of a chunk look back to, at least `lookback` of them, are added to
   the chunk as halo rows.  They take part in the window and are dropped by `without_halo`.
 
 Whether there are long series at all is looked up first, with one count per series; without any,
 the plan is the plain window.  What is broadcast are the long series and the long dates; there are
-at most rows / `max_rows` of either.
+at most rows / `max_rows` of either.  Only rows that are equal on all order columns cannot be cut.
 """
 
 from __future__ import annotations
@@ -24,12 +24,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ..sources.scratch import use_checkpoints
+
 MAX_ROWS = 4_000_000
 _SPREAD = 4096
 
 CHUNK = "_chunk"
 HALO = "_halo"
-_SLICE = "_slice"
+_PATH = "_path"
 _BLOCK = "_block"
 
 
@@ -48,17 +50,17 @@ def in_chunks(
     *,
     lookback: int,
     max_rows: int = MAX_ROWS,
-    slice_by: str | None = None,
+    slice_by: Sequence[str] = (),
 ) -> DataFrame:
     """Add the chunk number and the halo flag, and the halo rows.
 
-    `block` is a value that never decreases along `order` (the date, say); `slice_by` is the
-    number column that orders the rows of one block first, if there is one.  Rows that lack a key
-    belong to no series and are spread over many chunks.
+    `block` is a value that never decreases along `order` (the date, say); `slice_by` are the
+    number columns that order the rows of one block, in that order.  Rows that lack a key belong
+    to no series and are spread over many chunks.
     """
     keys = list(keys)
     known = _have_keys(keys)
-    long_series = F.broadcast(
+    long_series = (
         df.where(known)
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -69,10 +71,13 @@ def in_chunks(
     whole = {CHUNK: F.when(known, F.lit(0).cast("long")).otherwise(spread), HALO: F.lit(False)}
     if long_series.isEmpty():
         return df.withColumns(whole)
+    use_checkpoints(df.sparkSession)
+    long_series = F.broadcast(long_series.checkpoint())
     short = df.join(long_series, keys, "left_anti").withColumns(whole)
-    rows = _sliced(df.join(long_series, keys, "left_semi"), keys, block, max_rows, slice_by)
+    rows = df.join(long_series, keys, "left_semi").withColumn(_BLOCK, block)
+    rows = _sliced(rows, [*keys, _BLOCK], max_rows, slice_by)
     cut = (
-        rows.join(_cells(rows, keys, lookback, max_rows), [*keys, _BLOCK, _SLICE])
+        rows.join(_cells(rows, keys, lookback, max_rows), [*keys, _BLOCK, _PATH])
         .select(*df.columns, F.explode("_in").alias("_to"))
         .select(*df.columns, F.col("_to.chunk").alias(CHUNK), F.col("_to.halo").alias(HALO))
     )
@@ -88,39 +93,49 @@ def without_halo(df: DataFrame) -> DataFrame:
 
 
 def _sliced(
-    rows: DataFrame, keys: list[str], block: Column, max_rows: int, slice_by: str | None
+    rows: DataFrame, cell: list[str], max_rows: int, slice_by: Sequence[str]
 ) -> DataFrame:
-    """Add the block, and a slice number that cuts blocks which are too long for one chunk."""
-    rows = rows.withColumn(_BLOCK, block)
-    if slice_by is None:
-        return rows.withColumn(_SLICE, F.lit(0).cast("long"))
-    long_blocks = F.broadcast(
-        rows.groupBy(*keys, _BLOCK)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min(slice_by).cast("double").alias("_low"),
-            F.max(slice_by).cast("double").alias("_high"),
-        )
-        .where(F.col("_n") > max_rows)
-        .withColumn("_parts", F.ceil(F.col("_n") * 2 / max_rows))
-        .drop("_n")
-    )
-    place = F.try_divide(F.col(slice_by) - F.col("_low"), F.col("_high") - F.col("_low"))
-    return (
-        rows.join(long_blocks, [*keys, _BLOCK], "left")
-        .withColumn(_SLICE, F.coalesce(F.floor(place * F.col("_parts")), F.lit(0)))
-        .drop("_low", "_high", "_parts")
-    )
+    """Add a path of slice numbers that cuts cells which are too long for one chunk.
+
+    Each turn cuts the cells that are still too long into equal widths of a column, and moves on
+    to the next column for those where it has one value.  The cells of a turn are written to the
+    checkpoint folder, so the plan grows by one broadcast join per turn.
+    """
+    rows = rows.withColumn(_PATH, F.expr("cast(array() as array<bigint>)"))
+    for column in slice_by:
+        while True:
+            value = F.col(column).cast("double")
+            long_cells = (
+                rows.groupBy(*cell, _PATH)
+                .agg(
+                    F.count(F.lit(1)).alias("_n"),
+                    F.min(value).alias("_low"),
+                    F.max(value).alias("_high"),
+                )
+                .where((F.col("_n") > max_rows) & (F.col("_low") < F.col("_high")))
+                .withColumn("_parts", F.ceil(F.col("_n") * 2 / max_rows))
+                .drop("_n")
+            )
+            if long_cells.isEmpty():
+                break
+            share = F.try_divide(value - F.col("_low"), F.col("_high") - F.col("_low"))
+            number = F.coalesce(F.floor(share * F.col("_parts")), F.lit(0))
+            rows = (
+                rows.join(F.broadcast(long_cells.checkpoint()), [*cell, _PATH], "left")
+                .withColumn(_PATH, F.concat(_PATH, F.array(number)))
+                .drop("_low", "_high", "_parts")
+            )
+    return rows
 
 
 def _cells(rows: DataFrame, keys: list[str], lookback: int, max_rows: int) -> DataFrame:
-    """For every (series, block, slice) the chunk it lies in and the chunks it is a halo of.
+    """For every (series, block, path) the chunk it lies in and the chunks it is a halo of.
 
     Works on counts: a series has as many rows here as it has dates and slices.  A cell is in the
     halo of a later chunk when fewer than `lookback` rows lie between its end and the start of
     that chunk; every cell has a row, so such a chunk opens within the next `lookback` cells.
     """
-    by_place = Window.partitionBy(*keys).orderBy(_BLOCK, _SLICE)
+    by_place = Window.partitionBy(*keys).orderBy(_BLOCK, _PATH)
     start = F.coalesce(
         F.sum("_n").over(by_place.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
@@ -134,7 +149,7 @@ def _cells(rows: DataFrame, keys: list[str], lookback: int, max_rows: int) -> Da
         near, lambda a: F.struct(a["chunk"].alias("chunk"), F.lit(True).alias("halo"))
     )
     return (
-        rows.groupBy(*keys, _BLOCK, _SLICE)
+        rows.groupBy(*keys, _BLOCK, _PATH)
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_start", start)
         .withColumn("_here", F.floor(F.col("_start") / F.lit(max_rows)))
@@ -149,5 +164,5 @@ def _cells(rows: DataFrame, keys: list[str], lookback: int, max_rows: int) -> Da
                 )
             ).over(by_place.rowsBetween(1, lookback)),
         )
-        .select(*keys, _BLOCK, _SLICE, F.concat(own, halos).alias("_in"))
+        .select(*keys, _BLOCK, _PATH, F.concat(own, halos).alias("_in"))
     )

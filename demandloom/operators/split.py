@@ -23,7 +23,7 @@ from ..schema import SERIES
 from .series import MAX_ROWS
 
 TEST_SIZE = 0.2
-_SLICES = 1024
+_SLICES = 1000
 
 
 def _is(column: str, value: Any) -> Column:
@@ -48,6 +48,13 @@ def _holding(counts: DataFrame, by: str, skip: int | Column) -> Row | None:
     )
 
 
+def _step(rows: DataFrame, by: str, skip: int | Column) -> tuple[Row | None, DataFrame]:
+    """One level: the group of `by` that holds the position, and the rows of that group."""
+    counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
+    found = _holding(counts, by, skip)
+    return found, rows if found is None else rows.where(_is(by, found[by]))
+
+
 def first_test_row(
     df: DataFrame,
     *,
@@ -58,34 +65,37 @@ def first_test_row(
 ) -> dict[str, Any] | None:
     """The order columns of the first test row; None if there is no row.
 
-    A date with more than `max_rows` rows is first cut along the leading tie-break column, if
-    that is a number.
+    A date with more than `max_rows` rows is first narrowed along the tie-break columns.
     """
     rows = df.select(*dict.fromkeys([*keys, *ties]))
     total = F.sum("_n").over(Window.partitionBy())
     skip: int | Column = total - F.ceil(F.lit(test_size) * total)
     found: Row | None = None
     for key in keys:
-        counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        found = _holding(counts, key, skip)
+        found, rows = _step(rows, key, skip)
         if found is None:
             return None
         skip = found["_skip"]
-        rows = rows.where(_is(key, found[key]))
 
-    while ties and found["_n"] > max_rows and isinstance(df.schema[ties[0]].dataType, T.NumericType):
-        edges = rows.agg(F.min(ties[0]).alias("low"), F.max(ties[0]).alias("high")).first()
-        if edges.low is None or edges.low == edges.high:
+    # A date with many rows: along the tie-break columns, first in slices, then by value.
+    for tie in ties:
+        if found["_n"] <= max_rows:
             break
-        low, width = float(edges.low), float(edges.high) - float(edges.low)
-        place = F.floor((F.col(ties[0]) - F.lit(low)) / F.lit(width) * F.lit(_SLICES))
-        rows = rows.withColumn("_slice", place)
-        found = _holding(
-            rows.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n")), "_slice", skip
-        )
+        sliced = isinstance(df.schema[tie].dataType, T.NumericType)
+        while sliced and found["_n"] > max_rows:
+            value = F.col(tie).cast("double")
+            edges = rows.agg(F.min(value).alias("low"), F.max(value).alias("high")).first()
+            if edges.low is None or edges.low == edges.high:
+                break
+            share = (value - F.lit(edges.low)) / F.lit(edges.high - edges.low)
+            found, rows = _step(rows.withColumn("_slice", F.floor(share * _SLICES)), "_slice", skip)
+            skip, rows = found["_skip"], rows.drop("_slice")
+        found, rows = _step(rows, tie, skip)
         skip = found["_skip"]
-        rows = rows.where(_is("_slice", found["_slice"])).drop("_slice")
 
+    if found["_n"] > max_rows:
+        # Equal on all order columns: any of them names the position.
+        return rows.first().asDict()
     order = [F.col(c).asc_nulls_last() for c in ties]
     numbered = rows.withColumn("_at", F.row_number().over(Window.orderBy(*(order or [F.lit(1)]))))
     return numbered.where(F.col("_at") == skip + 1).drop("_at").first().asDict()

@@ -427,7 +427,7 @@ def calendar_features(spark, sf_dir):
 def lag_features(spark, sf_dir):
     rows = sales(spark, sf_dir, "date", *SERIES, "units_sold")
     return X.history_features(
-        rows, order=["date", *TIE_BREAK], slice_by=TIE_BREAK[0], trailing=None
+        rows, order=["date", *TIE_BREAK], slice_by=TIE_BREAK, trailing=None
     )
 
 
@@ -435,7 +435,7 @@ def lag_features(spark, sf_dir):
 def trailing_mean_7(spark, sf_dir):
     rows = sales(spark, sf_dir, "date", *SERIES, "units_sold")
     return six(
-        X.history_features(rows, order=["date", *TIE_BREAK], slice_by=TIE_BREAK[0], lags=())
+        X.history_features(rows, order=["date", *TIE_BREAK], slice_by=TIE_BREAK, lags=())
     )
 
 

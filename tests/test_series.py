@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from demandloom.operators.features import calendar_features, demand_features, history_features
+from demandloom.operators.series import CHUNK, HALO, in_chunks
 
 DDL = "store_id string, product_id string, date date, line int, units_sold double"
 
@@ -50,7 +51,7 @@ def as_set(df, columns):
 
 
 @pytest.mark.parametrize("max_rows", [1, 3, 10, 50, 10**6])
-@pytest.mark.parametrize("slice_by", [None, "line"])
+@pytest.mark.parametrize("slice_by", [[], ["line"]])
 def test_chunked_equals_plain_window(spark, max_rows, slice_by):
     df = panel(spark)
     want = plain(df)
@@ -59,8 +60,6 @@ def test_chunked_equals_plain_window(spark, max_rows, slice_by):
 
 
 def test_chunks_are_bounded(spark):
-    from demandloom.operators.series import CHUNK, HALO, in_chunks
-
     rows = in_chunks(
         panel(spark),
         ["store_id", "product_id"],
@@ -68,13 +67,36 @@ def test_chunks_are_bounded(spark):
         ["date", "line"],
         lookback=14,
         max_rows=50,
-        slice_by="line",
+        slice_by=["line"],
     )
     sizes = rows.where(~F.col(HALO)).groupBy("store_id", "product_id", CHUNK).count()
     assert sizes.agg(F.max("count")).first()[0] <= 100
     assert rows.where(~F.col(HALO)).count() == panel(spark).count()
 
 
+def test_date_is_sliced_along_several_columns(spark):
+    """All rows on one date; the first tie column mostly has one value."""
+    rng = random.Random(3)
+    day = dt.date(2022, 1, 1)
+    rows = [
+        ("S", "p", day, 7 if i % 3 else rng.randrange(10**6), i, float(rng.randrange(50)))
+        for i in range(300)
+    ]
+    ddl = "store_id string, product_id string, date date, first int, line int, units_sold double"
+    df = spark.createDataFrame(rows, ddl)
+    ties = ["first", "line"]
+    w = Window.partitionBy("store_id", "product_id").orderBy("date", *ties)
+    want = df.withColumn("units_lag_7", F.coalesce(F.lag("units_sold", 7).over(w), F.lit(0.0)))
+    got = demand_features(df, ties=ties, max_rows=20)
+    assert as_set(got, want.columns) == as_set(want, want.columns)
+    chunks = in_chunks(
+        df, ["store_id", "product_id"], F.col("date"), ["date", *ties],
+        lookback=14, max_rows=20, slice_by=ties,
+    )
+    sizes = chunks.where(~F.col(HALO)).groupBy(CHUNK).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 40
+
+
 def test_lag_of_second_row(spark):
     rows = [("S1", "P1", dt.date(2022, 1, 1), 0, 10.0), ("S1", "P1", dt.date(2022, 1, 2), 0, 12.0)]
     out = demand_features(spark.createDataFrame(rows, DDL)).orderBy("date").collect()
@@ -109,7 +131,7 @@ def test_events_as_second_panel(spark):
     df = df.withColumn("date", F.col("ts"))
     want = plain(df)
     got = history_features(
-        df, order=["date", "line"], block=F.to_date("ts"), slice_by="line", max_rows=20
+        df, order=["date", "line"], block=F.to_date("ts"), slice_by=["line"], max_rows=20
     )
     cols = ["event_id", "units_lag_1", "units_lag_14"]
     assert as_set(got, cols) == as_set(want, cols)

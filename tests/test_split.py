@@ -45,6 +45,18 @@ def test_hot_date_sliced_along_ties(spark):
     assert got.where("is_test").agg(F.min("line"), F.count("line")).first() == (4000, 1000)
 
 
+def test_hot_date_with_one_leading_tie(spark):
+    df = spark.range(2000).select(
+        F.lit("s").alias("store_id"), F.lit("p").alias("product_id"), F.lit(1).alias("date"),
+        F.lit(5).alias("first"), F.concat(F.lit("t"), F.col("id") % 7).alias("text"),
+        F.col("id").alias("line"),
+    )
+    got = positional_split(df, ties=["first", "text", "line"], max_rows=3)
+    assert got.where("is_test").count() == 400
+    copies = positional_split(df, ties=["first"], max_rows=3)
+    assert copies.where("is_test").count() == 2000
+
+
 def test_empty_table(spark):
     df = table(spark, 3, 1).limit(0)
     assert positional_split(df, ties=["line"]).count() == 0
