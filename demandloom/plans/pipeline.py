@@ -135,8 +135,7 @@ def run_pipeline(
 
     files.write_report_csv(season, f"{folder}/reports/season")
     if csv_detail:
-        report = detail.drop("is_test").orderBy(*ROWS_ID)
-        files.write_report_csv(report, f"{folder}/reports/detail")
+        files.write_report_csv(detail.drop("is_test"), f"{folder}/reports/detail")
     return PipelineRun(fitted, folder, tables)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import sys
 import time
 from pathlib import Path
@@ -25,11 +24,8 @@ def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _cell(v):
-    if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        return f"{v + 0.0:.6f}" if v != 0 else "0.000000"
-    return str(v)
+    """Exact text: numbers that differ in the last bit, or in the sign of zero, are different."""
+    return repr(float(v)) if isinstance(v, float) else str(v)
 
 
 def normal(columns, rows):

@@ -80,6 +80,19 @@ def test_detail_report(spark, run):
         files.detail_report(rows, -1)
 
 
+def test_large_date_is_written_by_several_tasks(spark, run, tmp_path):
+    detail = run.table(spark, "detail").withColumn("date", F.lit("2022-01-01").cast("date"))
+    path = str(tmp_path / "one-day")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        files.write_detail_table(detail.repartition(8), path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    written = files.read_detail_table(spark, path)
+    assert written.count() == detail.count()
+    assert written.select(F.input_file_name()).distinct().count() > 1
+
+
 def test_columns_in_any_order_and_missing_ones(spark, source, tmp_path):
     raw = files.read_raw_csv(spark, source)
     turned = raw.select(*reversed(raw.columns))
