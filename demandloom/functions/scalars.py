@@ -32,10 +32,9 @@ MISSING_TOKENS = (
     "null",
 )
 
-# The characters of a plain number (so no thousands marks, type suffixes or hex),
-# and the one word that is a number.
-NUMBER_CHARACTERS = r"^[\s\d.eE+-]+$"
-INFINITY = r"(?i)^\s*[+-]?inf\s*$"
+# Fixed value: what a plain number is made of (so no thousands marks, type suffixes or hex), or the
+# one word that is a number.
+NUMBER_TEXT = r"(?i)^\s*([\d.e+-]+|[+-]?inf)\s*$"
 # Fixed value: year, month and day, nothing around them.
 DAY = r"^\d{4}-\d{1,2}-\d{1,2}$"
 
@@ -52,7 +51,7 @@ def without_nan(c: Column) -> Column:
 
 def parse_number(c: Column) -> Column:
     """Text to double; anything that is not a plain number becomes NULL."""
-    return F.when(c.rlike(NUMBER_CHARACTERS) | c.rlike(INFINITY), F.trim(c).try_cast("double"))
+    return F.when(c.rlike(NUMBER_TEXT), F.trim(c).try_cast("double"))
 
 
 def parse_day(c: Column) -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..operators import baseline as B
 from ..operators import kpi as K
 from ..operators import latest as L
-from ..operators.cleaning import coerce_numeric, drop_missing_target, impute_median, parse_dates
+from ..operators.cleaning import clean_typed, coerce_numeric
 from ..operators.features import demand_features
 from ..operators.model import BoostParams, Fitted, learning_curve, score, train_demand_model
 from ..operators.profile import null_counts, profile_columns
@@ -87,7 +87,7 @@ def run_pipeline(
     parsed = write("parsed", coerce_numeric(raw))
     write("profile", profile_columns(parsed))
     write("missing", null_counts(parsed, NUMERIC))
-    clean = parse_dates(impute_median(drop_missing_target(parsed)))
+    clean = clean_typed(parsed)
 
     ties = list(row_key) or tie_break(clean.columns)
     features = write("features", demand_features(clean, ties=ties))

@@ -75,6 +75,12 @@ def test_clean_types_and_rows(spark):
     assert types["holiday_promotion"] == "int"
 
 
+@pytest.mark.parametrize("text, flag", [("1", 1), ("0.0", 0), ("yes", None), (None, None)])
+def test_flag(spark, text, flag):
+    cleaned = cleaning.clean_sales(raw(spark, raw_row(holiday_promotion=text)))
+    assert cleaned.first().holiday_promotion == flag
+
+
 def test_nan_becomes_null(spark):
     df = spark.createDataFrame([(math.nan,), (2.0,)], "price double")
     assert [r.price for r in cleaning.coerce_numeric(df, ["price"]).collect()] == [None, 2.0]
