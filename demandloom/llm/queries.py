@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .hosts import Rule, judge
 from .packing import pack
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,6 +15,14 @@ QUERIES: dict[str, Query] = {}
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
+URL_RULES = (
+    Rule("org/", "allow"),
+    Rule("example.org/es/", "block"),
+    Rule("example.org/en/1", "block"),
+    Rule("com/fr/", "allow"),
+    Rule("com/de/", "block"),
+)
+
 
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
@@ -24,6 +33,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+
+
+@query
+def op5_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page by rule or by the reputation of its host."""
+    judged = judge(pages(spark, sf_dir), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
