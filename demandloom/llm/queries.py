@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from .hosts import Rule, judge
+from . import hosts, quality
 from .packing import pack
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,11 +16,11 @@ QUERIES: dict[str, Query] = {}
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 URL_RULES = (
-    Rule("org/", "allow"),
-    Rule("example.org/es/", "block"),
-    Rule("example.org/en/1", "block"),
-    Rule("com/fr/", "allow"),
-    Rule("com/de/", "block"),
+    hosts.Rule("org/", "allow"),
+    hosts.Rule("example.org/es/", "block"),
+    hosts.Rule("example.org/en/1", "block"),
+    hosts.Rule("com/fr/", "allow"),
+    hosts.Rule("com/de/", "block"),
 )
 
 
@@ -33,6 +33,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every text and whether the rules keep it."""
+    return quality.judge(documents(spark, sf_dir))
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
@@ -40,7 +46,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page by rule or by the reputation of its host."""
-    judged = judge(pages(spark, sf_dir), URL_RULES)
+    judged = hosts.judge(pages(spark, sf_dir), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
