@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import hosts, quality
+from . import hosts, quality, toxicity
+from .common import fold
 from .packing import pack
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +35,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def toxicity_labels(docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with their label, without the held-out fold."""
+    labels = docs.sparkSession.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    return docs.select("doc_id", "text").join(labels.where(fold("doc_id", 5) != 0), "doc_id")
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every text, learned outside the held-out fold."""
+    docs = documents(spark, sf_dir)
+    grammar = toxicity.fit(toxicity_labels(docs, sf_dir))
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out")
+    return toxicity.rate(docs, grammar).select("doc_id", held_out, "score", "predicted")
+
+
 @query
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every text and whether the rules keep it."""
