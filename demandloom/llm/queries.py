@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hosts, quality, toxicity
+from . import hosts, mixing, quality, toxicity
 from .common import fold
 from .packing import pack
 
@@ -50,6 +50,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate(docs, grammar).select("doc_id", held_out, "score", "predicted")
 
 
+@query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to the target weights of their sources."""
+    return mixing.mix(documents(spark, sf_dir))
+
+
 @query
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every text and whether the rules keep it."""
