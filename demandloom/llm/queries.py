@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hosts, mixing, quality, toxicity
+from . import hosts, mixing, quality, toxicity, winnowing
 from .common import fold
 from .packing import pack
 
@@ -73,6 +73,12 @@ def op5_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and how alike they are."""
+    return winnowing.compare_with_next(documents(spark, sf_dir))
+
+
 @query
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
