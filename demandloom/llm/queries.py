@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import hosts, mixing, quality, toxicity, winnowing
+from . import pages as site_pages
 from .common import fold
 from .packing import pack
 
@@ -79,6 +80,12 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.compare_with_next(documents(spark, sf_dir))
 
 
+@query
+def op9_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return site_pages.extract(pages(spark, sf_dir))
+
+
 @query
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
