@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hosts, mixing, quality, toxicity, winnowing
+from . import hosts, mixing, quality, secrets, toxicity, winnowing
 from . import pages as site_pages
 from .common import fold
 from .packing import pack
@@ -51,6 +51,13 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.rate(docs, grammar).select("doc_id", held_out, "score", "predicted")
 
 
+@query
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text."""
+    docs = documents(spark, sf_dir)
+    return secrets.find(docs, secrets.fit(docs))
+
+
 @query
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the target weights of their sources."""
