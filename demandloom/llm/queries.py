@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hosts, mixing, quality, secrets, toxicity, winnowing
+from . import hosts, jaccard, mixing, quality, secrets, toxicity, winnowing
 from . import pages as site_pages
 from .common import fold
 from .packing import pack
@@ -81,6 +81,12 @@ def op5_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with similar sets of five-word shingles."""
+    return jaccard.join(documents(spark, sf_dir))
+
+
 @query
 def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text, and how alike they are."""
