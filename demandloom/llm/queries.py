@@ -12,6 +12,7 @@ from . import hosts, jaccard, mixing, quality, secrets, toxicity, winnowing
 from . import pages as site_pages
 from .common import fold
 from .packing import pack
+from .suffix_tree import Model
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -87,6 +88,23 @@ def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(documents(spark, sf_dir))
 
 
+@query
+def op7_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every text, learned outside the held-out fold."""
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(fold("doc_id", 7) == 2, F.lit(False))
+    model = Model(docs.where(~held_out))
+    return model.score(docs).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.total).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 @query
 def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text, and how alike they are."""
