@@ -6,15 +6,14 @@ that the window partitions by (series, chunk) instead:
 
 * a series with at most `max_rows` rows is one chunk; such rows meet no shuffle besides the one of
   the window;
-* a longer series is cut, in its order, into chunks of about `max_rows` rows.  The cut points come
-  from row counts per date, so the rows themselves are not sorted to find them.  A date with more
-  than `max_rows` rows is sliced along the number columns that order its rows, as often as it takes;
-* the rows that the first rows of a chunk look back to, at least `lookback` of them, are added to
-  the chunk as halo rows.  They take part in the window and are dropped by `without_halo`.
-
-Whether there are long series at all is looked up first, with one count per series; without any,
-the plan is the plain window.  What is broadcast are the long series and the long dates; there are
-at most rows / `max_rows` of either.  Only rows that are equal on all order columns cannot be cut.
+* the rows of longer series are numbered, and every `max_rows` of them are a chunk.  Numbering is
+  one sort by ranges: the ranges cut series and dates wherever they have to, also where rows are
+  equal on all order columns, and a row's number follows from counts per range;
+* the `lookback` rows before a chunk are added to it as halo rows.  They take part in the window
+  and are dropped by `without_halo`.
+
+The order is the same in every case: ascending, missing values last.  Whether there are long series
+at all is looked up first, with one count per series; without any, the plan is the plain window.
 """
 
 from __future__ import annotations
@@ -24,145 +23,102 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..sources.scratch import use_checkpoints
+from ..sources.scratch import written
 
 MAX_ROWS = 4_000_000
-_SPREAD = 4096
 
 CHUNK = "_chunk"
 HALO = "_halo"
-_PATH = "_path"
-_BLOCK = "_block"
+PLACE = "_place"
 
 
-def _have_keys(keys: Sequence[str]) -> Column:
+def in_order(order: Sequence[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in order]
+
+
+def have_keys(keys: Sequence[str]) -> Column:
     known = F.lit(True)
     for k in keys:
         known = known & F.col(k).isNotNull()
     return known
 
 
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Add the place, from 0, of each row in its series; no task holds a whole series.
+
+    Keys must not be missing.  Rows that are equal on all order columns are told apart by where
+    they were read, so a range can end between them.
+    """
+    keys = list(keys)
+    by = [*(F.col(k) for k in keys), *in_order(order), F.col("_read")]
+    dealt = df.withColumn("_read", F.monotonically_increasing_id())
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = written(
+        dealt.repartitionByRange(ranges, *by)
+        .sortWithinPartitions(*by)
+        .withColumn("_part", F.spark_partition_id())
+        .withColumn("_id", F.monotonically_increasing_id())
+        .drop("_read"),
+        "numbered",
+    )
+    # At most one row per series and range.
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        dealt.groupBy(*keys, "_part")
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+        .withColumn("_shift", F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first"))
+        .select(*keys, "_part", "_shift")
+    )
+    return (
+        dealt.join(starts, [*keys, "_part"])
+        .withColumn(PLACE, F.col("_id") + F.col("_shift"))
+        .select(*df.columns, PLACE)
+    )
+
+
 def in_chunks(
     df: DataFrame,
     keys: Sequence[str],
-    block: Column,
     order: Sequence[str],
     *,
     lookback: int,
     max_rows: int = MAX_ROWS,
-    slice_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Add the chunk number and the halo flag, and the halo rows.
+    """Add the chunk number, the halo flag and the place, and the halo rows.
 
-    `block` is a value that never decreases along `order` (the date, say); `slice_by` are the
-    number columns that order the rows of one block, in that order.  Rows that lack a key belong
-    to no series and are spread over many chunks.
+    Rows that lack a key belong to no series; each is a chunk of its own.
     """
     keys = list(keys)
-    known = _have_keys(keys)
+    known = have_keys(keys)
     long_series = (
         df.where(known)
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > max_rows)
-        .select(*keys)
     )
-    spread = F.pmod(F.xxhash64(*order), F.lit(_SPREAD))
-    whole = {CHUNK: F.when(known, F.lit(0).cast("long")).otherwise(spread), HALO: F.lit(False)}
+    alone = F.xxhash64(*order)
+    zero = F.lit(0).cast("long")
+    whole = {CHUNK: F.when(known, zero).otherwise(alone), HALO: F.lit(False), PLACE: zero}
     if long_series.isEmpty():
         return df.withColumns(whole)
-    use_checkpoints(df.sparkSession)
-    long_series = F.broadcast(long_series.checkpoint())
+    long_series = written(long_series, "long_series")
     short = df.join(long_series, keys, "left_anti").withColumns(whole)
-    rows = df.join(long_series, keys, "left_semi").withColumn(_BLOCK, block)
-    rows = _sliced(rows, [*keys, _BLOCK], max_rows, slice_by)
+    rows = numbered(df.join(long_series, keys, "left_semi"), keys, order).join(long_series, keys)
+    own = F.expr(f"{PLACE} div {max_rows}")
+    # The later chunks that look back to this row, none behind the last one of the series.
+    last = F.least(F.expr(f"({PLACE} + {lookback}) div {max_rows}"), F.expr(f"(_n - 1) div {max_rows}"))
     cut = (
-        rows.join(_cells(rows, keys, lookback, max_rows), [*keys, _BLOCK, _PATH])
-        .select(*df.columns, F.explode("_in").alias("_to"))
-        .select(*df.columns, F.col("_to.chunk").alias(CHUNK), F.col("_to.halo").alias(HALO))
+        rows.select(*df.columns, PLACE, own.alias("_own"), F.explode(F.sequence(own, last)).alias(CHUNK))
+        .withColumn(HALO, F.col(CHUNK) > F.col("_own"))
+        .select(*df.columns, CHUNK, HALO, PLACE)
     )
     return short.unionByName(cut)
 
 
 def chunk_window(keys: Sequence[str], order: Sequence[str]) -> WindowSpec:
-    return Window.partitionBy(*keys, CHUNK).orderBy(*order)
+    """Rows of a cut series that are equal on all order columns stay as they were numbered."""
+    return Window.partitionBy(*keys, CHUNK).orderBy(*in_order(order), PLACE)
 
 
 def without_halo(df: DataFrame) -> DataFrame:
-    return df.where(~F.col(HALO)).drop(CHUNK, HALO)
-
-
-def _sliced(
-    rows: DataFrame, cell: list[str], max_rows: int, slice_by: Sequence[str]
-) -> DataFrame:
-    """Add a path of slice numbers that cuts cells which are too long for one chunk.
-
-    Each turn cuts the cells that are still too long into equal widths of a column, and moves on
-    to the next column for those where it has one value.  The cells of a turn are written to the
-    checkpoint folder, so the plan grows by one broadcast join per turn.
-    """
-    rows = rows.withColumn(_PATH, F.expr("cast(array() as array<bigint>)"))
-    for column in slice_by:
-        while True:
-            value = F.col(column).cast("double")
-            long_cells = (
-                rows.groupBy(*cell, _PATH)
-                .agg(
-                    F.count(F.lit(1)).alias("_n"),
-                    F.min(value).alias("_low"),
-                    F.max(value).alias("_high"),
-                )
-                .where((F.col("_n") > max_rows) & (F.col("_low") < F.col("_high")))
-                .withColumn("_parts", F.ceil(F.col("_n") * 2 / max_rows))
-                .drop("_n")
-            )
-            if long_cells.isEmpty():
-                break
-            share = F.try_divide(value - F.col("_low"), F.col("_high") - F.col("_low"))
-            number = F.coalesce(F.floor(share * F.col("_parts")), F.lit(0))
-            rows = (
-                rows.join(F.broadcast(long_cells.checkpoint()), [*cell, _PATH], "left")
-                .withColumn(_PATH, F.concat(_PATH, F.array(number)))
-                .drop("_low", "_high", "_parts")
-            )
-    return rows
-
-
-def _cells(rows: DataFrame, keys: list[str], lookback: int, max_rows: int) -> DataFrame:
-    """For every (series, block, path) the chunk it lies in and the chunks it is a halo of.
-
-    Works on counts: a series has as many rows here as it has dates and slices.  A cell is in the
-    halo of a later chunk when fewer than `lookback` rows lie between its end and the start of
-    that chunk; every cell has a row, so such a chunk opens within the next `lookback` cells.
-    """
-    by_place = Window.partitionBy(*keys).orderBy(_BLOCK, _PATH)
-    start = F.coalesce(
-        F.sum("_n").over(by_place.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    opens = F.coalesce(F.col("_here") != F.lag("_here").over(by_place), F.lit(False))
-    end = F.col("_start") + F.col("_n")
-    near = F.filter(
-        F.col("_ahead"), lambda a: a["opens"] & (a["start"] - end < F.lit(lookback))
-    )
-    own = F.array(F.struct(F.col("_here").alias("chunk"), F.lit(False).alias("halo")))
-    halos = F.transform(
-        near, lambda a: F.struct(a["chunk"].alias("chunk"), F.lit(True).alias("halo"))
-    )
-    return (
-        rows.groupBy(*keys, _BLOCK, _PATH)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_start", start)
-        .withColumn("_here", F.floor(F.col("_start") / F.lit(max_rows)))
-        .withColumn("_opens", opens)
-        .withColumn(
-            "_ahead",
-            F.collect_list(
-                F.struct(
-                    F.col("_opens").alias("opens"),
-                    F.col("_here").alias("chunk"),
-                    F.col("_start").alias("start"),
-                )
-            ).over(by_place.rowsBetween(1, lookback)),
-        )
-        .select(*keys, _BLOCK, _PATH, F.concat(own, halos).alias("_in"))
-    )
+    return df.where(~F.col(HALO)).drop(CHUNK, HALO, PLACE)

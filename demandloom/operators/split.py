@@ -2,16 +2,15 @@
 
 The last part of the rows in (store, product, date, tie-break) order is the test set.  Sorting all
 rows to number them would be the largest shuffle of the pipeline, and only one position matters:
-the first test row.  It is found from counts, level by level: the store that holds it, the product
-of that store, the date of that series, and only there by ordering rows.  Each level counts before
-it shuffles, hands one row to the driver, and narrows the next level by a filter that reaches the
-scan.  Marking the rows is then a comparison with that row: no join, no shuffle.
+the first test row.  It is found from counts by (store, product, date), taken once: the store that
+holds it, the product of that store, the date of that series, and only there by ordering rows.
+Each step hands one row to the driver.  Marking the rows is then a comparison with that row: no
+join, no shuffle.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import math
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -20,41 +19,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import SERIES
-from .series import MAX_ROWS
+from ..sources.scratch import written
+from .series import MAX_ROWS, PLACE, in_order, numbered
 
 TEST_SIZE = 0.2
-_SLICES = 1000
 
 
 def _is(column: str, value: Any) -> Column:
     return F.col(column).isNull() if value is None else F.col(column) == F.lit(value)
 
 
-def _holding(counts: DataFrame, by: str, skip: int | Column) -> Row | None:
+def _holding(counts: DataFrame, by: str, skip: int) -> Row:
     """The group with position `skip`: its row, with the position counted from its start.
 
-    One row per group: stores, products of a store, dates of a series, slices of a date.  These
-    are few enough to be put in order in one task whatever the number of rows behind them.
+    One row per group: stores, products of a store, dates of a series.  These are few enough to be
+    put in order in one task whatever the number of rows behind them.
     """
     w = Window.orderBy(F.col(by).asc_nulls_last())
     before = F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    if not isinstance(skip, Column):
-        skip = F.lit(skip)
     return (
         counts.withColumn("_before", before)
-        .withColumn("_skip", skip - F.col("_before"))
+        .withColumn("_skip", F.lit(skip) - F.col("_before"))
         .where((F.col("_skip") >= 0) & (F.col("_skip") < F.col("_n")))
         .first()
     )
 
 
-def _step(rows: DataFrame, by: str, skip: int | Column) -> tuple[Row | None, DataFrame]:
-    """One level: the group of `by` that holds the position, and the rows of that group."""
-    counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
-    found = _holding(counts, by, skip)
-    return found, rows if found is None else rows.where(_is(by, found[by]))
-
-
 def first_test_row(
     df: DataFrame,
     *,
@@ -65,40 +55,25 @@ def first_test_row(
 ) -> dict[str, Any] | None:
     """The order columns of the first test row; None if there is no row.
 
-    A date with more than `max_rows` rows is first narrowed along the tie-break columns.
+    A date with more than `max_rows` rows is put in order by ranges, others in one task.
     """
     rows = df.select(*dict.fromkeys([*keys, *ties]))
-    total = F.sum("_n").over(Window.partitionBy())
-    skip: int | Column = total - F.ceil(F.lit(test_size) * total)
+    counts = written(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "row_counts")
+    share = F.sum("_n") - F.ceil(F.lit(test_size) * F.sum("_n"))
+    skip = counts.agg(share.alias("skip")).first()["skip"]
+    if skip is None:
+        return None
     found: Row | None = None
     for key in keys:
-        found, rows = _step(rows, key, skip)
-        if found is None:
-            return None
-        skip = found["_skip"]
-
-    # A date with many rows: along the tie-break columns, first in slices, then by value.
-    for tie in ties:
-        if found["_n"] <= max_rows:
-            break
-        sliced = isinstance(df.schema[tie].dataType, T.NumericType)
-        while sliced and found["_n"] > max_rows:
-            value = F.col(tie).cast("double")
-            edges = rows.agg(F.min(value).alias("low"), F.max(value).alias("high")).first()
-            if edges.low is None or edges.low == edges.high:
-                break
-            share = (value - F.lit(edges.low)) / F.lit(edges.high - edges.low)
-            found, rows = _step(rows.withColumn("_slice", F.floor(share * _SLICES)), "_slice", skip)
-            skip, rows = found["_skip"], rows.drop("_slice")
-        found, rows = _step(rows, tie, skip)
+        found = _holding(counts.groupBy(key).agg(F.sum("_n").alias("_n")), key, skip)
         skip = found["_skip"]
-
+        counts, rows = counts.where(_is(key, found[key])), rows.where(_is(key, found[key]))
     if found["_n"] > max_rows:
-        # Equal on all order columns: any of them names the position.
-        return rows.first().asDict()
-    order = [F.col(c).asc_nulls_last() for c in ties]
-    numbered = rows.withColumn("_at", F.row_number().over(Window.orderBy(*(order or [F.lit(1)]))))
-    return numbered.where(F.col("_at") == skip + 1).drop("_at").first().asDict()
+        placed = numbered(rows, [], ties)
+    else:
+        w = Window.orderBy(*(in_order(ties) or [F.lit(1)]))
+        placed = rows.withColumn(PLACE, F.row_number().over(w) - 1)
+    return placed.where(F.col(PLACE) == skip).drop(PLACE).first().asDict()
 
 
 def _literal(value: Any, kind: T.DataType) -> Column:
@@ -137,8 +112,3 @@ def positional_split(
     return mark_test(
         df, first_test_row(df, test_size=test_size, keys=keys, ties=ties, max_rows=max_rows)
     )
-
-
-def held_out(n: int, test_size: float = TEST_SIZE) -> int:
-    """How many of n rows are held out."""
-    return math.ceil(test_size * n)

@@ -426,17 +426,13 @@ def calendar_features(spark, sf_dir):
 @query
 def lag_features(spark, sf_dir):
     rows = sales(spark, sf_dir, "date", *SERIES, "units_sold")
-    return X.history_features(
-        rows, order=["date", *TIE_BREAK], slice_by=TIE_BREAK, trailing=None
-    )
+    return X.history_features(rows, order=["date", *TIE_BREAK], trailing=None)
 
 
 @query
 def trailing_mean_7(spark, sf_dir):
     rows = sales(spark, sf_dir, "date", *SERIES, "units_sold")
-    return six(
-        X.history_features(rows, order=["date", *TIE_BREAK], slice_by=TIE_BREAK, lags=())
-    )
+    return six(X.history_features(rows, order=["date", *TIE_BREAK], lags=()))
 
 
 @query

@@ -96,15 +96,3 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             if c != "model_forecast"
         ),
     )
-
-
-def event_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event stream as a second panel: event type x user, one value per event."""
-    return _table(spark, sf_dir, "events").select(
-        "event_id",
-        "ts",
-        F.to_date("ts").alias("date"),
-        F.col("event_type").alias("store_id"),
-        F.col("user_id").cast("string").alias("product_id"),
-        F.col("value").alias("units_sold"),
-    )

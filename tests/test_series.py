@@ -51,11 +51,10 @@ def as_set(df, columns):
 
 
 @pytest.mark.parametrize("max_rows", [1, 3, 10, 50, 10**6])
-@pytest.mark.parametrize("slice_by", [[], ["line"]])
-def test_chunked_equals_plain_window(spark, max_rows, slice_by):
+def test_chunked_equals_plain_window(spark, max_rows):
     df = panel(spark)
     want = plain(df)
-    got = history_features(df, order=["date", "line"], slice_by=slice_by, max_rows=max_rows)
+    got = history_features(df, order=["date", "line"], max_rows=max_rows)
     assert as_set(got, want.columns) == as_set(want, want.columns)
 
 
@@ -63,14 +62,12 @@ def test_chunks_are_bounded(spark):
     rows = in_chunks(
         panel(spark),
         ["store_id", "product_id"],
-        F.col("date"),
         ["date", "line"],
         lookback=14,
         max_rows=50,
-        slice_by=["line"],
     )
     sizes = rows.where(~F.col(HALO)).groupBy("store_id", "product_id", CHUNK).count()
-    assert sizes.agg(F.max("count")).first()[0] <= 100
+    assert sizes.agg(F.max("count")).first()[0] <= 50
     assert rows.where(~F.col(HALO)).count() == panel(spark).count()
 
 
@@ -89,12 +86,44 @@ def test_date_is_sliced_along_several_columns(spark):
     want = df.withColumn("units_lag_7", F.coalesce(F.lag("units_sold", 7).over(w), F.lit(0.0)))
     got = demand_features(df, ties=ties, max_rows=20)
     assert as_set(got, want.columns) == as_set(want, want.columns)
-    chunks = in_chunks(
-        df, ["store_id", "product_id"], F.col("date"), ["date", *ties],
-        lookback=14, max_rows=20, slice_by=ties,
+    chunks = in_chunks(df, ["store_id", "product_id"], ["date", *ties], lookback=14, max_rows=20)
+    sizes = chunks.where(~F.col(HALO)).groupBy(CHUNK).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 20
+
+
+@pytest.mark.parametrize("max_rows", [1, 3, 10])
+@pytest.mark.parametrize("kind", ["null", "inf", "text", "one value"])
+def test_any_tie_gives_the_plain_window(spark, kind, max_rows):
+    """Missing, infinite, text and constant leading ties, told apart by the row number."""
+    values = {
+        "null": [None, 5.0], "inf": [float("-inf"), 1.0, float("inf"), None],
+        "text": ["b", None, "a"], "one value": [7.0],
+    }[kind]
+    rng = random.Random(5)
+    rows = [
+        ("S", "p", dt.date(2022, 1, 1 + i % 2), rng.choice(values), i, float(i)) for i in range(40)
+    ]
+    first = "string" if kind == "text" else "double"
+    ddl = f"store_id string, product_id string, date date, first {first}, line int, units_sold double"
+    df = spark.createDataFrame(rows, ddl)
+    w = Window.partitionBy("store_id", "product_id").orderBy(
+        "date", F.col("first").asc_nulls_last(), "line"
     )
+    want = df
+    for k in (1, 7, 14):
+        want = want.withColumn(f"units_lag_{k}", F.coalesce(F.lag("units_sold", k).over(w), F.lit(0.0)))
+    got = demand_features(df, ties=["first", "line"], max_rows=max_rows)
+    assert as_set(got, want.columns) == as_set(want, want.columns)
+
+
+def test_complete_duplicates_are_cut(spark):
+    rows = [("S", "p", dt.date(2022, 1, 1), 1, 4.0)] * 200
+    df = spark.createDataFrame(rows, DDL)
+    chunks = in_chunks(df, ["store_id", "product_id"], ["date", "line"], lookback=14, max_rows=10)
     sizes = chunks.where(~F.col(HALO)).groupBy(CHUNK).count()
-    assert sizes.agg(F.max("count")).first()[0] <= 40
+    assert sizes.agg(F.max("count"), F.count("count")).first() == (10, 20)
+    got = demand_features(df, ties=["line"], max_rows=10)
+    assert got.count() == 200 and got.where("units_lag_14 = 0").count() == 14
 
 
 def test_lag_of_second_row(spark):
@@ -125,13 +154,13 @@ def test_weekday_of_a_monday(spark):
 
 
 def test_events_as_second_panel(spark):
-    from demandloom.sources.star import event_series
-
-    df = event_series(spark, "/root/testdata/sf0.001").withColumn("line", F.col("event_id"))
-    df = df.withColumn("date", F.col("ts"))
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    df = events.select(
+        "event_id", F.col("ts").alias("date"), F.col("event_type").alias("store_id"),
+        F.col("user_id").cast("string").alias("product_id"), F.col("event_id").alias("line"),
+        F.col("value").alias("units_sold"),
+    )
     want = plain(df)
-    got = history_features(
-        df, order=["date", "line"], block=F.to_date("ts"), slice_by=["line"], max_rows=20
-    )
+    got = history_features(df, order=["date", "line"], max_rows=20)
     cols = ["event_id", "units_lag_1", "units_lag_14"]
     assert as_set(got, cols) == as_set(want, cols)

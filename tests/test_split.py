@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from demandloom.operators.split import held_out, positional_split
+from demandloom.operators.split import positional_split
 
 
 def table(spark, n, seed):
@@ -32,7 +32,7 @@ def test_equals_numbering_all_rows(spark, n, max_rows, test_size):
     kept = n - math.ceil(test_size * n)
     want = df.withColumn("is_test", F.row_number().over(w) > kept)
     got = positional_split(df, ties=["line"], test_size=test_size, max_rows=max_rows)
-    assert got.where("is_test").count() == held_out(n, test_size)
+    assert got.where("is_test").count() == math.ceil(test_size * n)
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
@@ -53,8 +53,19 @@ def test_hot_date_with_one_leading_tie(spark):
     )
     got = positional_split(df, ties=["first", "text", "line"], max_rows=3)
     assert got.where("is_test").count() == 400
-    copies = positional_split(df, ties=["first"], max_rows=3)
-    assert copies.where("is_test").count() == 2000
+
+
+@pytest.mark.parametrize("max_rows", [1, 3, 10, 10**6])
+def test_share_is_exact_with_missing_and_infinite_ties(spark, max_rows):
+    values = [None, float("inf"), float("-inf"), 2.0]
+    rows = [("s", "p", 1, values[i % 4], i) for i in range(83)]
+    df = spark.createDataFrame(
+        rows, "store_id string, product_id string, date int, first double, line int"
+    )
+    w = Window.orderBy(F.col("first").asc_nulls_last(), "line")
+    want = df.withColumn("is_test", F.row_number().over(w) > 83 - math.ceil(0.2 * 83))
+    got = positional_split(df, ties=["first", "line"], max_rows=max_rows)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
 def test_empty_table(spark):
