@@ -4,6 +4,7 @@ from .scalars import (  # noqa: F401
     above,
     at_least_zero,
     below,
+    flag_text,
     is_finite,
     parse_day,
     parse_number,

@@ -35,8 +35,8 @@ MISSING_TOKENS = (
 # Fixed value: what a plain number is made of (so no thousands marks, type suffixes or hex), or the
 # one word that is a number.
 NUMBER_TEXT = r"(?i)^\s*([\d.e+-]+|[+-]?inf)\s*$"
-# Fixed value: year, month and day, nothing around them.
-DAY = r"^\d{4}-\d{1,2}-\d{1,2}$"
+# Fixed value: year, month and day, and a time of day that is cut off.
+DAY = r"^\s*(\d{4}-\d{1,2}-\d{1,2})(?:[T ].*)?$"
 
 
 def without_missing_tokens(c: Column) -> Column:
@@ -54,9 +54,22 @@ def parse_number(c: Column) -> Column:
     return F.when(c.rlike(NUMBER_TEXT), F.trim(c).try_cast("double"))
 
 
-def parse_day(c: Column) -> Column:
-    """Text to date; only complete `year-month-day` text that names a real day is kept."""
-    return F.when(c.rlike(DAY), c.try_cast("date"))
+def parse_day(c: Column, date_format: str | None = None) -> Column:
+    """Text to date; text that names no real day becomes NULL.
+
+    Without a format, days and timestamps in the form `year-month-day` are read.
+    """
+    if date_format is not None:
+        return F.try_to_timestamp(c, F.lit(date_format)).cast("date")
+    return F.regexp_extract(c, DAY, 1).try_cast("date")
+
+
+def flag_text(c: Column) -> Column:
+    """A flag as the category it is: whole numbers in one spelling, any other text unchanged."""
+    text = F.trim(c.cast("string"))
+    number = parse_number(text)
+    whole = (number == F.floor(number)) & (F.abs(number) < 1e15)
+    return F.when(whole, number.cast("long").cast("string")).otherwise(text)
 
 
 def ratio(a: Column, b: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -13,14 +14,15 @@ from ..schema import require
 TOP_PER_STORE = 20
 
 
-def latest_day(df: DataFrame) -> DataFrame:
-    """The rows of the greatest date.
+def latest_day(df: DataFrame, newest: dt.date | None = None) -> DataFrame:
+    """The rows of the greatest date, which a caller may know from a smaller table.
 
-    The date is a scalar subquery, which runs before the scan: a detail table written in one
+    If not, the date is a scalar subquery, which runs before the scan: a detail table written in one
     folder per date is pruned to the folder of that day, other files to the row groups that
     reach it.
     """
-    return df.where(F.col("date") == df.agg(F.max("date")).scalar())
+    day = df.agg(F.max("date")).scalar() if newest is None else F.lit(newest)
+    return df.where(F.col("date") == day)
 
 
 def _overstock(day: DataFrame) -> DataFrame:

@@ -1,172 +1,68 @@
 """Exact column medians without holding a column in one task.
 
-`F.median` keeps every distinct value of the column in the task that finishes the aggregate.  That
-is fine for a few million values and not for a whole fact table, so larger columns are narrowed
-first: each pass counts values per equal-width bin (at most `BINS` rows per column leave a task),
-keeps the bin that holds the middle, and starts again between the smallest and largest value found
-in it.  A bin that is small enough, or that holds a single value, ends the search.
+An approximate quantile with a bounded rank error brackets the middle values in one pass; a second
+pass counts what lies below the brackets, a third counts the few values inside.  The middle values
+are then read off these counts.  Nothing but the values between the brackets is shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS = 4096
-EXACT_ROWS = 1_000_000
-
-
-@dataclass
-class _Range:
-    """Where one middle value lies: `rank` is its place among the values in [low, high]."""
-
-    column: str
-    rank: int
-    low: float
-    high: float
-    rows: int
+#: The brackets lie this share of the rows, twice, to either side of the middle.
+ACCURACY = 10_000
 
 
 def column_medians(
-    df: DataFrame,
-    columns: Sequence[str],
-    *,
-    exact_rows: int = EXACT_ROWS,
-    bins: int = BINS,
+    df: DataFrame, columns: Sequence[str], *, accuracy: int = ACCURACY
 ) -> dict[str, float | None]:
     """Median of each column (mean of the two middle values), None for a column without values.
 
     The result is one number per column, so it is handed back as plain values: filling with
     literals keeps the plan of the filled frame free of joins.
     """
-    stats = df.agg(
-        *(
-            measure(F.col(c)).alias(f"{name}_{i}")
-            for i, c in enumerate(columns)
-            for name, measure in (("rows", F.count), ("low", F.min), ("high", F.max))
-        )
+    values = df.select(*(F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)))
+    names = values.columns
+    shares = [max(0.0, 0.5 - 2 / accuracy), min(1.0, 0.5 + 2 / accuracy)]
+    rough = values.agg(
+        *(F.count(c).alias(f"{c}_n") for c in names),
+        *(F.percentile_approx(c, shares, accuracy).alias(f"{c}_around") for c in names),
     ).first()
+    brackets = {c: tuple(rough[f"{c}_around"]) for c in names if rough[f"{c}_n"]}
+    if not brackets:
+        return dict.fromkeys(columns)
+    below = values.agg(*(F.count_if(F.col(c) < low).alias(c) for c, (low, _) in brackets.items())).first()
 
-    small = [i for i, c in enumerate(columns) if stats[f"rows_{i}"] <= exact_rows]
-    medians: dict[str, float | None] = {}
-    if small:
-        row = df.agg(*(F.median(columns[i]).alias(f"m_{i}") for i in small)).first()
-        medians = {columns[i]: row[f"m_{i}"] for i in small}
-
-    middles: dict[str, tuple[int, int]] = {}
-    pending: list[_Range] = []
-    for i, c in enumerate(columns):
-        n = stats[f"rows_{i}"]
-        if i in small:
-            continue
-        middles[c] = ((n - 1) // 2, n // 2)
-        pending += [
-            _Range(c, rank, float(stats[f"low_{i}"]), float(stats[f"high_{i}"]), n)
-            for rank in sorted(set(middles[c]))
-        ]
-
-    found: dict[tuple[str, int], float] = {}
-    wanted = [(r.column, r.rank) for r in pending]
-    while pending:
-        pending = _narrow(df, pending, bins)
-        done = [i for i, r in enumerate(pending) if r.low == r.high]
-        few = [i for i, r in enumerate(pending) if r.low < r.high and r.rows <= exact_rows]
-        values = {i: pending[i].low for i in done}
-        values.update(_pick(df, pending, few))
-        for i, value in values.items():
-            found[wanted[i]] = value
-        rest = [i for i in range(len(pending)) if i not in values]
-        wanted = [wanted[i] for i in rest]
-        pending = [pending[i] for i in rest]
-
-    for c, (lower, upper) in middles.items():
-        medians[c] = (found[c, lower] + found[c, upper]) / 2
-    return {c: medians[c] for c in columns}
-
-
-def _ranged(df: DataFrame, ranges: Sequence[_Range]) -> DataFrame:
-    """(range number, value) of every value that lies in its range; one scan for all ranges."""
     cells = F.array(
         *(
-            F.when(
-                F.col(r.column).between(r.low, r.high),
-                F.struct(F.lit(i).alias("id"), F.col(r.column).cast("double").alias("x")),
-            )
-            for i, r in enumerate(ranges)
+            F.when(F.col(c).between(low, high), F.struct(F.lit(c).alias("name"), F.col(c).alias("x")))
+            for c, (low, high) in brackets.items()
         )
     )
-    return (
-        df.select(F.explode(cells).alias("cell")).where(F.col("cell").isNotNull()).select("cell.*")
-    )
-
-
-def _per_range(ranges: Sequence[_Range], value) -> Column:
-    """A number that depends on the range a row belongs to."""
-    return F.array(*(F.lit(float(value(r))) for r in ranges))[F.col("id")]
-
-
-def _narrow(df: DataFrame, ranges: list[_Range], bins: int) -> list[_Range]:
-    """Replace each range by its bin that holds the wanted rank."""
-    infinity = float("inf")
-    widest = 1.7e308
-    low = _per_range(ranges, lambda r: max(r.low, -widest))
-    high = _per_range(ranges, lambda r: min(r.high, widest))
-    # Halved where the width of the range itself would overflow.
-    scale = _per_range(ranges, lambda r: 1.0 if r.high - r.low <= widest else 0.5)
-    x = F.col("x")
-    inner = F.floor((x * scale - low * scale) / (high * scale - low * scale) * bins)
-    bin_no = (
-        F.when(x == -infinity, F.lit(-1))
-        .when(x == infinity, F.lit(bins + 1))
-        .when(high > low, inner)
-        .otherwise(F.lit(0))
-    )
-    counts = (
-        _ranged(df, ranges)
-        .groupBy("id", bin_no.alias("bin"))
-        .agg(F.count("x").alias("rows"), F.min("x").alias("low"), F.max("x").alias("high"))
-    )
-    before = F.coalesce(
-        F.sum("rows").over(
-            Window.partitionBy("id").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-        ),
-        F.lit(0),
+    inside = (
+        values.select(F.explode(F.array_compact(cells)).alias("cell"))
+        .groupBy("cell.name", "cell.x")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    rank = _per_range(ranges, lambda r: r.rank).cast("long")
-    holding = (
-        counts.withColumn("before", before)
-        .where((F.col("before") <= rank) & (rank < F.col("before") + F.col("rows")))
-        .collect()
-    )
-    chosen = {row.id: row for row in holding}
-    return [
-        _Range(
-            r.column,
-            r.rank - chosen[i].before,
-            chosen[i].low,
-            chosen[i].high,
-            chosen[i].rows,
-        )
-        for i, r in enumerate(ranges)
-    ]
-
-
-def _pick(df: DataFrame, ranges: Sequence[_Range], ids: Sequence[int]) -> dict[int, float]:
-    """The value at the wanted rank of ranges that hold few rows."""
-    if not ids:
-        return {}
-    few = [ranges[i] for i in ids]
-    counts = _ranged(df, few).groupBy("id", "x").agg(F.count("x").alias("rows"))
-    upto = F.sum("rows").over(Window.partitionBy("id").orderBy("x"))
-    rank = _per_range(few, lambda r: r.rank).cast("long")
+    upto = F.sum("n").over(Window.partitionBy("name").orderBy("x"))
+    ranks = {c: ((rough[f"{c}_n"] - 1) // 2 - below[c], rough[f"{c}_n"] // 2 - below[c]) for c in brackets}
+    wanted = F.when(F.lit(False), F.array(F.lit(0), F.lit(0)))
+    for c, (lower, upper) in ranks.items():
+        wanted = wanted.when(F.col("name") == c, F.array(F.lit(lower), F.lit(upper)))
     picked = (
-        counts.withColumn("upto", upto)
-        .where(F.col("upto") > rank)
-        .groupBy("id")
+        inside.withColumn("upto", upto)
+        .select("name", "x", "upto", F.posexplode(wanted).alias("which", "rank"))
+        .where(F.col("upto") > F.col("rank"))
+        .groupBy("name", "which")
         .agg(F.min("x").alias("x"))
         .collect()
     )
-    return {ids[row.id]: row.x for row in picked}
+    found = {(r["name"], r["which"]): r["x"] for r in picked}
+    medians = {
+        c: (found[f"c{i}", 0] + found[f"c{i}", 1]) / 2 if f"c{i}" in brackets else None
+        for i, c in enumerate(columns)
+    }
+    return medians

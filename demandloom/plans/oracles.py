@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..operators.records import UNKNOWN_CATEGORY, UNKNOWN_ID
 from ..schema import CATEGORICAL, IMPUTED, NUMERIC, RAW_TO_ENGINE, RESULT_COLUMNS
 from ..sources.star import SALES_COLUMNS
-from .queries import AS_OF, STORE, TOP_K
+from .queries import AS_OF, STORE, TOP_K, TRAINING
 
 KEY = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
 TIES = f"{KEY}, units_sold"
@@ -59,7 +59,10 @@ def plain(*columns: str) -> str:
 _K = "(l_orderkey + l_partkey + l_linenumber)"
 _TEXT = {
     "date": f"CASE WHEN {_K} % 37 = 0 THEN 'not-a-date' WHEN {_K} % 41 = 0 THEN '2022-02-30' "
-    "ELSE strftime(date, '%Y-%m-%d') END",
+    f"WHEN {_K} % 53 = 0 THEN strftime(date, '%Y-%m-%dT10:20:30') ELSE strftime(date, '%Y-%m-%d') END",
+    "category": f"""CASE WHEN {_K} % 43 = 0 THEN concat('a "', category, '", b') ELSE category END""",
+    "region": f"CASE WHEN {_K} % 47 = 0 THEN concat(' ', region, ' ') ELSE region END",
+    "holiday_promotion": f"CASE WHEN {_K} % 59 = 0 THEN 'Yes' ELSE cast(holiday_promotion AS varchar) END",
     "units_sold": f"CASE WHEN {_K} % 23 = 0 THEN 'n/a' WHEN {_K} % 29 = 0 THEN '' "
     "ELSE cast(units_sold AS varchar) END",
     "inventory_level": f"CASE WHEN {_K} % 19 = 0 THEN 'bad' "
@@ -72,6 +75,7 @@ SALES_RAW = f"""raw AS (
 TYPED = f"""typed AS (
   SELECT {KEY}, {', '.join(f'try_cast({c} AS double) AS {c}' if c in NUMERIC else c for c in RAW)}
   FROM raw)"""
+DAY_OF = r"try_cast(regexp_extract(date, '^(\d{4}-\d{1,2}-\d{1,2})([T ].*)?$', 1) AS date)"
 KEPT = "kept AS (SELECT * FROM typed WHERE units_sold IS NOT NULL)"
 FILLED = f"""medians AS (
   SELECT {', '.join(f'median({c}) AS m_{c}' for c in IMPUTED)} FROM kept),
@@ -173,6 +177,76 @@ def _with(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
+def _model_queries() -> dict[str, str]:
+    """What holds of any right model, next to figures of the rows it was made from."""
+    numbers = (*IMPUTED, "month", "weekday", "day_of_month", "day_of_year")
+    numbers += ("units_lag_1", "units_lag_7", "units_lag_14", "units_ma_7")
+    nominal = TRAINING.indexed
+    hot = [c for c in CATEGORICAL if c not in nominal]
+    rows = f"""{SPLIT}, featured AS (
+  SELECT *, {CALENDAR}, {LAG_COLUMNS}, coalesce({TRAILING}, 0) AS units_ma_7 FROM parts {SERIES_WINDOW}),
+stats AS (SELECT {', '.join(f'avg({c}) AS a_{c}, stddev_pop({c}) AS s_{c}' for c in numbers)}
+  FROM featured WHERE NOT is_test)"""
+    for c in (*hot, *nominal):
+        rows += f""",
+of_{c} AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS place, count(*) OVER () AS n
+  FROM (SELECT DISTINCT cast({c} AS varchar) AS v FROM featured WHERE NOT is_test))"""
+    joins = " ".join(f"LEFT JOIN of_{c} ON of_{c}.v = cast(f.{c} AS varchar)" for c in (*hot, *nominal))
+    width = " + ".join(f"(SELECT count(*) FROM of_{c})" for c in hot)
+    filled = " + ".join(f"(of_{c}.v IS NOT NULL)::int" for c in hot)
+    places = ", ".join(
+        f"coalesce(of_{c}.place, (SELECT count(*) FROM of_{c})) AS {c}_index" for c in nominal
+    )
+    scaled = " + ".join(f"(f.{c} - a_{c}) / s_{c}" for c in numbers)
+    q = {
+        "feature_matrix": _with(
+            rows,
+            f"SELECT {KEY}, {width} + {len(nominal) + len(numbers)} AS width, {filled} AS filled, "
+            f"{places}, {r6(scaled)} AS scaled_sum FROM featured f {joins}, stats",
+        )
+    }
+    mean = f"""{SPLIT}, mean AS (SELECT avg(units_sold) AS m FROM parts WHERE NOT is_test),
+one AS (SELECT count(*) FILTER (NOT is_test) AS rows_train, count(*) FILTER (is_test) AS rows_valid,
+  sqrt(avg((units_sold - m) * (units_sold - m)) FILTER (is_test)) AS mean_rmse FROM parts, mean)"""
+    figures = f"rows_train, rows_valid, {six('mean_rmse')}"
+    q["train_demand_model"] = _with(
+        mean,
+        f"SELECT {figures}, true AS beats_mean, true AS best_round_kept, 1::double AS importance FROM one",
+    )
+    q["learning_curve"] = _with(
+        mean,
+        f"SELECT {figures}, true AS counted, true AS best_is_lowest, true AS ended_by_patience, "
+        "true AS learns, true AS below_mean FROM one",
+    )
+    q["score_all"] = _with(
+        RESULTS,
+        f"SELECT {KEY}, date, season, units_sold, inventory_level, baseline_error, stockout_actual, "
+        "stockout_baseline, true AS consistent FROM results",
+    )
+    q["train_score_roundtrip"] = _with(SPLIT, f"SELECT {KEY}, units_sold, is_test, true AS same FROM parts")
+    q["score_with_version"] = _with(
+        SALES, f"SELECT {KEY}, units_sold, true AS same, true AS served FROM sales"
+    )
+    q["score_records"] = _with(
+        SALES,
+        f"SELECT {KEY}, store_id, product_id, date, count(*) OVER (PARTITION BY date) AS n, "
+        "true AS predicted FROM sales",
+    )
+    good = "day(date) NOT IN (7, 8)"
+    q["score_requests"] = _with(
+        SALES,
+        f"""SELECT strftime(date, '%Y-%m-%d') AS request_id,
+  CASE WHEN {good} THEN count(*) ELSE 0 END AS n,
+  CASE day(date) WHEN 7 THEN 'unreadable' WHEN 8 THEN 'empty' END AS error,
+  CASE WHEN {good} THEN count(*) FILTER (month(date) % 2 = 0 OR max_line = 1 OR l_linenumber <> 1) END AS prices,
+  CASE WHEN {good} THEN sum(units_sold) END AS units,
+  CASE WHEN {good} THEN date '{AS_OF}' END AS first_day,
+  CASE WHEN {good} THEN count(*) END AS forecasts
+FROM (SELECT *, max(l_linenumber) OVER (PARTITION BY date) AS max_line FROM sales) GROUP BY date""",
+    )
+    return q
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
 
@@ -234,17 +308,16 @@ def build() -> dict[str, str]:
     )
     q["impute_median"] = _with(CLEAN, f"SELECT {KEY}, {six(*IMPUTED)} FROM filled")
     q["parse_dates"] = _with(
-        f"{SALES}, {SALES_RAW}, parsed AS (SELECT {KEY}, try_cast(date AS date) AS date FROM raw)",
+        f"{SALES}, {SALES_RAW}, parsed AS (SELECT {KEY}, {DAY_OF} AS date FROM raw)",
         f"SELECT {KEY}, date FROM parsed WHERE date IS NOT NULL",
     )
     cleaned = {c: c for c in RAW}
     cleaned.update({c: f"{r6(c)} AS {c}" for c in NUMERIC})
-    cleaned["date"] = "try_cast(date AS date) AS date"
-    cleaned["holiday_promotion"] = "cast(holiday_promotion AS int) AS holiday_promotion"
+    cleaned["date"] = f"{DAY_OF} AS date"
     q["clean_sales"] = _with(
         CLEAN,
         f"SELECT {KEY}, {', '.join(cleaned[c] for c in RAW)} FROM filled "
-        "WHERE try_cast(filled.date AS date) IS NOT NULL",
+        f"WHERE {DAY_OF.replace('(date', '(filled.date')} IS NOT NULL",
     )
     q["normalize_aliases"] = _with(
         SALES, f"SELECT {KEY}, store_id, product_id, units_sold FROM sales"
@@ -449,12 +522,16 @@ FROM ranked WHERE rank <= {TOP_K}""",
         "greatest(max(actual), max(predicted)) AS axis_max FROM pairs",
     )
     q["quality_gate"] = _with(
-        f"{SALES}, {totals('model_forecast')}, m AS (SELECT {errors} FROM sales), "
+        f"{SPLIT}, held AS (SELECT * FROM parts WHERE is_test), "
+        f"{totals('model_forecast', 'held')}, m AS (SELECT {errors} FROM held), "
         "p AS (SELECT avg(mape) * 100 AS mape FROM days)",
         f"SELECT {six('mae', 'rmse', 'mape')}, mae <= 20 AS mae_ok, rmse <= 30 AS rmse_ok, "
         "mape <= 20 AS mape_ok, mae <= 20 AND rmse <= 30 AND mape <= 20 AS passed FROM m, p",
     )
 
+    # The trained model: what SQL knows of it
+    q |= _model_queries()
+
     # Record batches, versions
     upload = f"PARTITION BY date, store_id, product_id ORDER BY {TIES}"
     in_upload = ", ".join(

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..operators import baseline as B
 from ..operators import kpi as K
 from ..operators import latest as L
-from ..operators.cleaning import clean_typed, coerce_numeric
+from ..operators.cleaning import clean_typed, coerce_numeric, drop_missing_target
 from ..operators.features import demand_features
 from ..operators.model import BoostParams, Fitted, learning_curve, score, train_demand_model
 from ..operators.profile import null_counts, profile_columns
@@ -53,12 +53,6 @@ class PipelineRun:
         return spark.read.parquet(f"{self.folder}/{name}")
 
 
-def tie_break(columns: Sequence[str]) -> list[str]:
-    """All columns that are not part of (store, product, date), numbers first."""
-    rest = [c for c in columns if c not in ROWS_ID]
-    return [c for c in rest if c in NUMERIC] + [c for c in rest if c not in NUMERIC]
-
-
 def run_pipeline(
     spark: SparkSession,
     source: str,
@@ -66,13 +60,14 @@ def run_pipeline(
     *,
     params: BoostParams = BoostParams(),
     row_key: Sequence[str] = (),
+    date_format: str | None = None,
     csv_detail: bool = True,
 ) -> PipelineRun:
     """Run all steps on a raw CSV and write every table below `folder`.
 
-    `row_key` names columns of the file that tell rows of one series and date apart, the leading
-    one a number if there is one; they are no model inputs.  Without it all columns are used, and
-    only complete duplicates stay tied.
+    Rows of one series and date are taken in the order of `row_key`, then in the order of the file;
+    neither is a model input.  `date_format` is the form of the dates, by default year-month-day; if
+    no date of the file has it, that is an error.
     """
     tables: list[str] = []
 
@@ -81,16 +76,18 @@ def run_pipeline(
         tables.append(name)
         return spark.read.parquet(f"{folder}/{name}")
 
-    raw = files.read_raw_csv(spark, source)
+    raw = files.read_raw_csv(spark, source, places=True)
     require(raw.columns, RAW_TO_ENGINE.values())
-    write("preview", raw.limit(5))
+    write("preview", raw.drop(*files.PLACE_COLUMNS).limit(5))
     parsed = write("parsed", coerce_numeric(raw))
-    write("profile", profile_columns(parsed))
+    write("profile", profile_columns(parsed.drop(*files.PLACE_COLUMNS)))
     write("missing", null_counts(parsed, NUMERIC))
-    clean = clean_typed(parsed)
+    clean = files.with_row_numbers(clean_typed(parsed, date_format))
 
-    ties = list(row_key) or tie_break(clean.columns)
+    ties = [*row_key, files.ROW_NUMBER]
     features = write("features", demand_features(clean, ties=ties))
+    if features.isEmpty() and not drop_missing_target(parsed).isEmpty():
+        raise ValueError(f"no date has the form {date_format or 'year-month-day'}")
 
     totals = write("daily_product_totals", B.daily_product_totals(features))
     write("rolling_mape", B.rolling_mape(totals))
@@ -100,17 +97,17 @@ def run_pipeline(
 
     first = first_test_row(features, ties=ties)
     split = mark_test(features, first)
-    fitted = train_demand_model(split, params=params, ignore=row_key)
+    fitted = train_demand_model(split, params=params, ignore=ties)
     write("learning_curve", learning_curve(spark, fitted))
 
-    results = compile_results(score(fitted.model, split), keep=[*row_key, "is_test"])
-    files.write_detail_table(results.drop(*row_key), f"{folder}/detail")
+    results = compile_results(score(fitted.model, split), keep=["is_test"])
+    files.write_detail_table(results, f"{folder}/detail")
     tables.append("detail")
     detail = files.read_detail_table(spark, f"{folder}/detail", extra=["is_test"])
 
     held_out = detail.where("is_test")
     pairs = scatter_pairs(held_out.select(*ROWS_ID, "units_sold", "model_forecast"))
-    write("scatter_model", pairs)
+    pairs = write("scatter_model", pairs)
     write("scatter_limits", scatter_limits(pairs))
     by_day = B.daily_product_totals(held_out, "model_forecast")
     mape = B.baseline_kpis(by_day).select(F.col("mape_overall").alias("mape"))
@@ -126,7 +123,8 @@ def run_pipeline(
     write("daily_precision", K.daily_precision(facts))
     write("overstock_indicators", K.overstock_indicator_table(facts))
 
-    day = write("latest_day", L.latest_day(detail))
+    newest = facts.agg(F.max("date")).first()[0]
+    day = write("latest_day", L.latest_day(detail, newest))
     write("kpi_summary", L.kpi_summary(day))
     write("stockout_risk", L.stockout_risk(day, SERIES))
     write("overstock_list", L.overstock_list(day, SERIES))
@@ -139,6 +137,11 @@ def run_pipeline(
     return PipelineRun(fitted, folder, tables)
 
 
+def source_arguments(parser: argparse.ArgumentParser) -> None:
+    parser.add_argument("--row-key", nargs="*", default=[])
+    parser.add_argument("--date-format", help="form of the dates, such as d/M/yyyy")
+
+
 def boost_arguments(parser: argparse.ArgumentParser) -> None:
     default = BoostParams()
     parser.add_argument("--rounds", type=int, default=default.rounds)
@@ -157,12 +160,17 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Run the demand pipeline on a raw CSV.")
     parser.add_argument("--source", required=True)
     parser.add_argument("--out", required=True)
-    parser.add_argument("--row-key", nargs="*", default=[])
+    source_arguments(parser)
     boost_arguments(parser)
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("demand-pipeline").getOrCreate()
     run = run_pipeline(
-        spark, args.source, args.out, params=boost_params(args), row_key=args.row_key
+        spark,
+        args.source,
+        args.out,
+        params=boost_params(args),
+        row_key=args.row_key,
+        date_format=args.date_format,
     )
     print(f"mae {run.fitted.metrics['mae']:.4f} rmse {run.fitted.metrics['rmse']:.4f}")
 

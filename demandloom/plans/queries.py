@@ -11,10 +11,10 @@ from collections.abc import Callable, Sequence
 from functools import cache
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import parse_number
+from ..functions import is_finite, parse_number
 from ..operators import baseline as B
 from ..operators import cleaning as C
 from ..operators import features as X
@@ -37,7 +37,7 @@ from ..schema import (
     SERIES,
 )
 from ..sources import files
-from ..sources.scratch import new_folder
+from ..sources.scratch import new_folder, written
 from ..sources.star import LINE_KEY, SALES_COLUMNS, TIE_BREAK, sales, sales_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,7 +47,7 @@ ORDER = C.canonical_order(TIE_BREAK)
 TOP_K = 3
 STORE = "S001"
 AS_OF = "2022-01-01"
-TRAINING = M.BoostParams(rounds=8, step=0.3, patience=3, bins=64)
+TRAINING = M.BoostParams(step=0.5, patience=4, indexed=("product_id", "category"))
 
 
 def query(fn: Query) -> Query:
@@ -210,7 +210,7 @@ def drop_missing_target(spark, sf_dir):
 
 @query
 def impute_median(spark, sf_dir):
-    rows = C.drop_missing_target(C.coerce_numeric(sales_raw(spark, sf_dir)))
+    rows = written(C.drop_missing_target(C.coerce_numeric(sales_raw(spark, sf_dir))), "typed")
     return six(C.impute_median(rows).select(*LINE_KEY, *IMPUTED))
 
 
@@ -290,9 +290,15 @@ def stockout_flags(spark, sf_dir):
     return S.stockout_flags(rows.withColumnRenamed("demand_forecast", "baseline_forecast"))
 
 
+def newest_rows(spark: SparkSession, sf_dir: str, keep: Sequence[str] = ()) -> DataFrame:
+    """The result rows of the latest day, which the fact alone tells."""
+    newest = sales(spark, sf_dir, "date").agg(F.max("date")).first()[0]
+    return L.latest_day(results(spark, sf_dir, keep), newest)
+
+
 @query
 def latest_day(spark, sf_dir):
-    return six(L.latest_day(results(spark, sf_dir, LINE_KEY)))
+    return six(newest_rows(spark, sf_dir, LINE_KEY))
 
 
 @query
@@ -380,27 +386,27 @@ def daily_precision(spark, sf_dir):
 
 @query
 def kpi_summary(spark, sf_dir):
-    return six(L.kpi_summary(L.latest_day(results(spark, sf_dir))))
+    return six(L.kpi_summary(newest_rows(spark, sf_dir)))
 
 
 @query
 def category_forecast(spark, sf_dir):
-    return L.category_forecast(L.latest_day(results(spark, sf_dir)))
+    return L.category_forecast(newest_rows(spark, sf_dir))
 
 
 @query
 def stockout_risk(spark, sf_dir):
-    return L.stockout_risk(L.latest_day(results(spark, sf_dir, LINE_KEY)), LINE_KEY)
+    return L.stockout_risk(newest_rows(spark, sf_dir, LINE_KEY), LINE_KEY)
 
 
 @query
 def overstock_list(spark, sf_dir):
-    return six(L.overstock_list(L.latest_day(results(spark, sf_dir, LINE_KEY)), LINE_KEY))
+    return six(L.overstock_list(newest_rows(spark, sf_dir, LINE_KEY), LINE_KEY))
 
 
 @query
 def latest_predictions(spark, sf_dir):
-    day = L.latest_day(results(spark, sf_dir, LINE_KEY))
+    day = newest_rows(spark, sf_dir, LINE_KEY)
     return six(L.latest_predictions(day, TIE_BREAK, TOP_K))
 
 
@@ -465,8 +471,9 @@ def positional_split(spark, sf_dir):
 
 @query
 def onehot_counts(spark, sf_dir):
-    rows = split(spark, sf_dir, *CATEGORICAL)
-    return M.category_counts(rows.where(~F.col("is_test")))
+    train = split(spark, sf_dir, *CATEGORICAL).where(~F.col("is_test"))
+    prep = M.preprocessor(train, {"categorical": list(CATEGORICAL), "numeric": []})
+    return M.category_counts(prep, train, CATEGORICAL)
 
 
 @query
@@ -497,7 +504,8 @@ def scatter_limits(spark, sf_dir):
 
 @query
 def quality_gate(spark, sf_dir):
-    rows = sales(spark, sf_dir, "date", "product_id", *_MEASURES)
+    columns = [c for c in _MEASURES if c != "units_sold"]
+    rows = split(spark, sf_dir, *columns).where(F.col("is_test"))
     by_day = B.daily_product_totals(rows, "model_forecast")
     mape = B.baseline_kpis(by_day).select(F.col("mape_overall").alias("mape"))
     return six(S.quality_gate(S.holdout_metrics(rows).crossJoin(F.broadcast(mape))))
@@ -540,40 +548,96 @@ def trained(spark: SparkSession, sf_dir: str) -> _Trained:
 
 @query
 def feature_matrix(spark, sf_dir):
+    """Width, filled category slots, nominal indices and the sum of the scaled numbers of each row."""
     t = trained(spark, sf_dir)
     prep = M.PipelineModel(stages=t.fitted.model.stages[:-1])
     slots = vector_to_array("features")
-    return M.feature_vectors(prep, t.rows, LINE_KEY).select(
-        *LINE_KEY,
-        F.size(slots).alias("width"),
-        F.aggregate(slots, F.lit(0.0), lambda a, x: a + x).alias("slot_sum"),
+    numbers = len(t.fitted.columns["numeric"])
+
+    def total(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+    nominal = [f"{c}_index" for c in TRAINING.indexed]
+    rows = prep.transform(t.rows).withColumn("v", slots)
+    coded = F.slice("v", F.lit(1), F.size("v") - numbers)
+    indices = sum((F.col(c) for c in nominal), F.lit(0.0))
+    return six(
+        rows.select(
+            *LINE_KEY,
+            F.size("v").alias("width"),
+            (total(coded) - indices).cast("long").alias("filled"),
+            *(F.col(c).cast("long").alias(c) for c in nominal),
+            total(F.slice("v", F.size("v") - numbers + 1, F.lit(numbers))).alias("scaled_sum"),
+        )
+    )
+
+
+def _against_the_mean(t: _Trained) -> DataFrame:
+    """Rows on both sides, and the hold-out error of always predicting the training mean."""
+    units, held = F.col("units_sold"), F.col("is_test")
+    mean = t.rows.where(~held).agg(F.avg("units_sold")).first()[0]
+    miss = F.when(held, units - F.lit(mean))
+    return t.rows.agg(
+        F.count_if(~held).alias("rows_train"),
+        F.count_if(held).alias("rows_valid"),
+        F.sqrt(F.avg(miss * miss)).alias("mean_rmse"),
     )
 
 
 @query
 def train_demand_model(spark, sf_dir):
-    fitted = trained(spark, sf_dir).fitted
-    booster = fitted.model.stages[-1]
-    shares = [(i, float(v)) for i, v in enumerate(booster.featureImportances.toArray())]
-    importance = spark.createDataFrame(shares, "slot int, importance double")
-    return importance.select(
-        "slot",
-        "importance",
-        F.lit(booster.getNumTrees).alias("trees"),
-        F.lit(fitted.metrics["mae"]).alias("mae"),
-        F.lit(fitted.metrics["rmse"]).alias("rmse"),
+    """What training and hold-out hold, and whether the fit is one that was stopped and has learned."""
+    t = trained(spark, sf_dir)
+    booster = t.fitted.model.stages[-1]
+    total = float(sum(booster.featureImportances.toArray()))
+    return six(
+        _against_the_mean(t).withColumns(
+            {
+                "beats_mean": F.lit(t.fitted.metrics["rmse"]) < F.col("mean_rmse"),
+                "best_round_kept": F.lit(booster.getNumTrees == t.fitted.best_round),
+                "importance": F.lit(total),
+            }
+        )
     )
 
 
 @query
 def learning_curve(spark, sf_dir):
-    return M.learning_curve(spark, trained(spark, sf_dir).fitted)
+    """Whether the curve counts its rounds, marks the lowest error as best and ends by patience."""
+    t = trained(spark, sf_dir)
+    curve = M.learning_curve(spark, t.fitted)
+    facts = curve.agg(
+        (F.max("iteration") == F.count("iteration")).alias("counted"),
+        (F.max(F.when(F.col("is_best"), -F.col("valid_rmse"))) == -F.min("valid_rmse")).alias("best_is_lowest"),
+        (F.max("iteration") - F.max(F.when(F.col("is_best"), F.col("iteration"))) == TRAINING.patience).alias("ended_by_patience"),
+        (F.min_by("train_rmse", "iteration") > F.max_by("train_rmse", "iteration")).alias("learns"),
+        F.max_by("valid_rmse", "is_best").alias("best"),
+    )
+    joined = _against_the_mean(t).crossJoin(F.broadcast(facts))
+    return six(joined.withColumn("below_mean", F.col("best") < F.col("mean_rmse")).drop("best"))
 
 
 @query
 def score_all(spark, sf_dir):
     t = trained(spark, sf_dir)
-    return S.compile_results(M.score(t.fitted.model, t.rows), keep=LINE_KEY)
+    rows = S.compile_results(M.score(t.fitted.model, t.rows), keep=LINE_KEY)
+    error = F.col("units_sold") - F.col("model_forecast")
+    consistent = (
+        (F.col("model_error") == error)
+        & (F.col("model_abs_error") == F.abs(error))
+        & (F.col("stockout_model") == (F.col("model_forecast") > F.col("inventory_level")))
+    )
+    return rows.select(
+        *LINE_KEY,
+        "date",
+        "season",
+        "units_sold",
+        "inventory_level",
+        "baseline_error",
+        "stockout_actual",
+        "stockout_baseline",
+        consistent.alias("consistent"),
+    )
 
 
 @query
@@ -583,17 +647,21 @@ def train_score_roundtrip(spark, sf_dir):
     loaded = V.load_version(spark, t.table)
     both = M.score(loaded, M.score(t.fitted.model, t.rows).withColumnRenamed("prediction", "first"))
     return both.select(
-        *LINE_KEY,
-        F.col("prediction"),
-        (F.col("first") == F.col("prediction")).alias("same"),
+        *LINE_KEY, "units_sold", "is_test", (F.col("first") == F.col("prediction")).alias("same")
     )
 
 
 @query
 def score_with_version(spark, sf_dir):
     t = trained(spark, sf_dir)
-    scored = V.score_with_version(t.rows, t.table, t.version)
-    return scored.select(*LINE_KEY, "prediction")
+    first = M.score(t.fitted.model, t.rows).withColumnRenamed("prediction", "first")
+    scored = V.score_with_version(first, t.table, t.version)
+    return scored.select(
+        *LINE_KEY,
+        "units_sold",
+        (F.col("first") == F.col("prediction")).alias("same"),
+        (F.col("version") == t.version).alias("served"),
+    )
 
 
 # Record batches, versions
@@ -610,9 +678,10 @@ def request_features(spark, sf_dir):
 
 @query
 def score_records(spark, sf_dir):
+    """Each record with the number of records of its upload, and whether it got a forecast."""
     rows = sales(spark, sf_dir, *(c for c in RAW_TO_ENGINE.values() if c != "region"))
     t = trained(spark, sf_dir)
-    return R.score_records(
+    scored = R.score_records(
         rows.withColumn("upload", F.col("date")),
         t.fitted.model,
         as_of=AS_OF,
@@ -621,6 +690,51 @@ def score_records(spark, sf_dir):
         ties=TIE_BREAK[1:],
         **t.fitted.columns,
     )
+    return scored.select(
+        *LINE_KEY,
+        *SERIES,
+        "date",
+        F.count("prediction").over(Window.partitionBy("upload")).alias("n"),
+        is_finite(F.col("prediction")).alias("predicted"),
+    )
+
+
+def request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per date.  On the 7th bodies are broken, on the 8th empty; in even months no
+    record has a price, in odd ones those of first lines have none."""
+    rows = sales(spark, sf_dir, "date", *SERIES, "units_sold", "price")
+    priced = (F.month("date") % 2 == 1) & (F.col("l_linenumber") != 1)
+    record = F.struct(
+        *LINE_KEY,
+        F.col("store_id").alias("Store"),
+        F.col("product_id").alias("Product"),
+        F.col("units_sold").alias("Units"),
+        F.when(priced, F.col("price")).alias("Price"),
+    )
+    body = F.to_json(F.struct(F.sort_array(F.collect_list(record)).alias("records")))
+    day = F.dayofmonth("date")
+    return rows.groupBy("date").agg(body.alias("body")).select(
+        F.date_format("date", "yyyy-MM-dd").alias("request_id"),
+        F.when(day == 7, '{"records": [').when(day == 8, '{"records": []}').otherwise(F.col("body")).alias("body"),
+    )
+
+
+@query
+def score_requests(spark, sf_dir):
+    """Each request with its error or its number of records, forecasts, known prices and units."""
+    bodies = written(request_bodies(spark, sf_dir), "bodies")
+    typed = R.request_rows(bodies, as_of=AS_OF).groupBy("request_id").agg(
+        F.count("price").alias("prices"), F.sum("units_sold").alias("units"), F.min("date").alias("first_day")
+    )
+    t = trained(spark, sf_dir)
+    scored = R.score_requests(bodies, t.fitted.model, as_of=AS_OF)
+    forecasts = scored.groupBy("request_id").agg(F.count("prediction").alias("forecasts"))
+    return (
+        R.request_report(bodies)
+        .join(typed, "request_id", "left")
+        .join(forecasts, "request_id", "left")
+        .select("request_id", F.col("n").cast("long").alias("n"), "error", "prices", "units", "first_day", "forecasts")
+    )
 
 
 @query

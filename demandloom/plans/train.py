@@ -9,8 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from ..operators.model import BoostParams
-from ..operators.versions import register_version, version_id
-from .pipeline import boost_arguments, boost_params, run_pipeline
+from ..operators.versions import new_version, register_version
+from .pipeline import boost_arguments, boost_params, run_pipeline, source_arguments
 
 
 def train_version(
@@ -20,16 +20,17 @@ def train_version(
     *,
     params: BoostParams = BoostParams(),
     row_key: Sequence[str] = (),
+    date_format: str | None = None,
 ) -> str:
     """Train on a raw CSV and return the version.
 
     Below `models` each version has a folder with its tables and its model, which nothing
     overwrites; `models/model_versions` gets one row once the model is saved.
     """
-    started = dt.datetime.now(dt.timezone.utc)
-    version = version_id(started)
-    folder = f"{models}/{version}"
-    run = run_pipeline(spark, source, f"{folder}/tables", params=params, row_key=row_key)
+    version, folder = new_version(spark, models, dt.datetime.now(dt.timezone.utc))
+    run = run_pipeline(
+        spark, source, f"{folder}/tables", params=params, row_key=row_key, date_format=date_format
+    )
     path = f"{folder}/model"
     run.fitted.model.write().save(path)
     register_version(
@@ -47,13 +48,18 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Train and register a model version.")
     parser.add_argument("--source", required=True)
     parser.add_argument("--models", required=True)
-    parser.add_argument("--row-key", nargs="*", default=[])
+    source_arguments(parser)
     boost_arguments(parser)
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("demand-train").getOrCreate()
     print(
         train_version(
-            spark, args.source, args.models, params=boost_params(args), row_key=args.row_key
+            spark,
+            args.source,
+            args.models,
+            params=boost_params(args),
+            row_key=args.row_key,
+            date_format=args.date_format,
         )
     )
 

@@ -8,18 +8,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL: list[tempfile.TemporaryDirectory] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in `spark.checkpoint.dir`.
 
-    A local session that names none gets a temporary folder; on a cluster a machine-local folder
-    would be lost with its machine, so there it is an error.
+    A local session that names none gets a temporary folder, which goes when the process ends; on a
+    cluster a machine-local folder would be lost with its machine, so there it is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="demandloom-"))
+    _LOCAL.append(tempfile.TemporaryDirectory(prefix="demandloom-"))
+    spark.sparkContext.setCheckpointDir(_LOCAL[-1].name)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 

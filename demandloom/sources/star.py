@@ -79,7 +79,17 @@ def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     dirty = {
         "date": F.when(k % 37 == 0, "not-a-date")
         .when(k % 41 == 0, "2022-02-30")
+        .when(k % 53 == 0, F.date_format("date", "yyyy-MM-dd'T'10:20:30"))
         .otherwise(F.date_format("date", "yyyy-MM-dd")),
+        "category": F.when(k % 43 == 0, F.concat(F.lit('a "'), "category", F.lit('", b'))).otherwise(
+            F.col("category")
+        ),
+        "region": F.when(k % 47 == 0, F.concat(F.lit(" "), "region", F.lit(" "))).otherwise(
+            F.col("region")
+        ),
+        "holiday_promotion": F.when(k % 59 == 0, "Yes").otherwise(
+            F.col("holiday_promotion").cast("string")
+        ),
         "units_sold": F.when(k % 23 == 0, "n/a")
         .when(k % 29 == 0, "")
         .otherwise(F.col("units_sold").cast("string")),

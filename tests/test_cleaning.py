@@ -9,6 +9,8 @@ from demandloom.operators import cleaning
 from demandloom.operators.medians import column_medians
 from demandloom.operators.profile import null_counts, preview_rows, profile_columns
 from demandloom.schema import RAW_TO_ENGINE
+from demandloom.sources import files
+from demandloom.sources.scratch import written
 
 COLUMNS = list(RAW_TO_ENGINE.values())
 
@@ -36,7 +38,7 @@ def test_medians_of_missing_and_empty(spark):
 
 
 @pytest.mark.parametrize("count", [101, 200])
-def test_narrowing_finds_the_same_medians(spark, count):
+def test_brackets_hold_the_medians(spark, count):
     rng = random.Random(count)
     values = [
         (
@@ -49,7 +51,8 @@ def test_narrowing_finds_the_same_medians(spark, count):
         for i in range(count)
     ]
     df = spark.createDataFrame(values, "a double, b double, c double, d double, e bigint")
-    found = column_medians(df, df.columns, exact_rows=5, bins=4)
+    found = column_medians(df, df.columns, accuracy=20)
+    assert found == column_medians(df, df.columns)
     for i, c in enumerate(df.columns):
         assert found[c] == statistics.median(v[i] for v in values), c
 
@@ -72,15 +75,54 @@ def test_clean_types_and_rows(spark):
     assert cleaned.count() == 1
     types = dict(cleaned.dtypes)
     assert types["date"] == "date" and types["units_sold"] == "double"
-    assert types["holiday_promotion"] == "int"
+    assert types["holiday_promotion"] == "string"
 
 
-@pytest.mark.parametrize("text, flag", [("1", 1), ("0.0", 0), ("yes", None), (None, None)])
+@pytest.mark.parametrize("text, flag", [("1", "1"), ("0.0", "0"), (" Yes ", "Yes"), ("1.5", "1.5"), (None, None)])
 def test_flag(spark, text, flag):
     cleaned = cleaning.clean_sales(raw(spark, raw_row(holiday_promotion=text)))
     assert cleaned.first().holiday_promotion == flag
 
 
+@pytest.mark.parametrize(
+    "text, form, day",
+    [
+        ("2022-1-5", None, "2022-01-05"), ("2022-01-05T23:10:00Z", None, "2022-01-05"),
+        ("2022-01-05 23:10", None, "2022-01-05"), ("2022-01-05x", None, None), ("1/5/2022", None, None),
+        ("1/5/2022", "M/d/yyyy", "2022-01-05"), ("2022-01-05", "M/d/yyyy", None),
+    ],
+)
+def test_date_forms(spark, text, form, day):
+    rows = cleaning.parse_dates(raw(spark, raw_row(date=text)), form).collect()
+    assert [str(r.date) for r in rows] == ([day] if day else [])
+
+
+def test_csv_keeps_quotes_and_padding(spark, tmp_path):
+    cells = ['a "b" c, d', " padded ", '"', "tab\t", "\\"]
+    df = raw(spark, *(raw_row(category=c, product_id=str(i)) for i, c in enumerate(cells)))
+    files.write_raw_csv(df, str(tmp_path / "raw"))
+    back = files.read_raw_csv(spark, str(tmp_path / "raw")).collect()
+    assert {r.product_id: r.category for r in back} == {str(i): c for i, c in enumerate(cells)}
+    given = tmp_path / "given.csv"
+    given.write_text('Category,Region\n"a ""b"" c, d", x \n')
+    row = files.read_raw_csv(spark, str(given)).first()
+    assert (row.category, row.region) == ('a "b" c, d', " x ")
+
+
+def test_row_numbers_follow_the_file(spark, tmp_path):
+    for name, start in (("b.csv", 100), ("a.csv", 0)):
+        lines = "".join(f"{i},x\n" for i in range(start, start + 60))
+        (tmp_path / name).write_text("Category,Region\n" + lines)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    try:
+        rows = files.with_row_numbers(written(files.read_raw_csv(spark, str(tmp_path), places=True), "rows"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    got = [int(r.category) for r in rows.orderBy(files.ROW_NUMBER).collect()]
+    assert got == [*range(60), *range(100, 160)]
+    assert rows.select(files.ROW_NUMBER).distinct().count() == 120
+
+
 def test_nan_becomes_null(spark):
     df = spark.createDataFrame([(math.nan,), (2.0,)], "price double")
     assert [r.price for r in cleaning.coerce_numeric(df, ["price"]).collect()] == [None, 2.0]

@@ -1,8 +1,10 @@
 import datetime as dt
 import json
+import math
 import re
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from demandloom.operators import baseline as B
@@ -11,7 +13,7 @@ from demandloom.operators import latest as L
 from demandloom.operators.model import BoostParams
 from demandloom.operators.versions import read_versions
 from demandloom.plans import score, train
-from demandloom.plans.pipeline import PipelineRun, run_pipeline, tie_break
+from demandloom.plans.pipeline import PipelineRun, run_pipeline
 from demandloom.schema import RESULT_COLUMNS
 from demandloom.sources import files
 from demandloom.sources.star import LINE_KEY, sales_raw
@@ -105,9 +107,28 @@ def test_columns_in_any_order_and_missing_ones(spark, source, tmp_path):
         run_pipeline(spark, path + "-less", str(tmp_path / "out"))
 
 
-def test_tie_break_without_row_key():
-    ties = tie_break(["category", "date", "price", "store_id", "product_id", "units_sold"])
-    assert ties == ["price", "units_sold", "category"]
+def test_without_row_key_the_file_order_counts(spark, source, tmp_path):
+    run = run_pipeline(spark, source, str(tmp_path), params=PARAMS, csv_detail=False)
+    rows = run.table(spark, "features")
+    w = Window.partitionBy("store_id", "product_id").orderBy("date", files.ROW_NUMBER)
+    lag = F.coalesce(F.lag("units_sold").over(w), F.lit(0.0))
+    assert rows.withColumn("want", lag).where("want != units_lag_1").isEmpty()
+    detail = spark.read.parquet(f"{tmp_path}/detail")
+    assert detail.where("is_test").count() == math.ceil(0.2 * detail.count())
+    assert files.ROW_NUMBER not in run.fitted.columns["numeric"] + detail.columns
+
+
+def test_dates_of_another_form(spark, source, tmp_path):
+    raw = files.read_raw_csv(spark, source).where("date like '1998%'").limit(200)
+    turned = raw.withColumn("date", F.date_format(F.substring("date", 1, 10).cast("date"), "d/M/yyyy"))
+    path = str(tmp_path / "turned")
+    files.write_raw_csv(turned, path)
+    with pytest.raises(ValueError, match="no date"):
+        run_pipeline(spark, path, str(tmp_path / "none"), params=PARAMS)
+    run = run_pipeline(spark, path, str(tmp_path / "all"), params=PARAMS, date_format="d/M/yyyy")
+    assert run.table(spark, "features").count() == files.read_raw_csv(spark, path).where(
+        "units_sold rlike '^[0-9.-]+$'"
+    ).count()
 
 
 def test_train_then_score(spark, source, tmp_path):
@@ -121,6 +142,13 @@ def test_train_then_score(spark, source, tmp_path):
     (requests / "a.json").write_text(json.dumps(body))
     out = str(tmp_path / "out")
     score.score_files(spark, str(requests), models, out, version=version, as_of=dt.date(1998, 3, 15))
-    assert spark.read.parquet(out).count() == 2
+    assert spark.read.parquet(f"{out}/predictions").count() == 2
+    report = spark.read.parquet(f"{out}/requests").first()
+    assert (report.n, report.error) == (2, None)
+    table = str(tmp_path / "table.csv")
+    with open(table, "w") as f:
+        f.write("record_pos,Store,Product,Units\n0,S001,Brand#11,3\n1,S001,Brand#11,\n")
+    score.score_table(spark, table, models, f"{out}-table", form="csv", as_of="1998-03-15")
+    assert spark.read.parquet(f"{out}-table").count() == 2
     with pytest.raises(LookupError):
         score.score_files(spark, str(requests), models, out, version="v0")
