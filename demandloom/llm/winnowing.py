@@ -153,7 +153,8 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _stretch(key: Column, bounds: list[int]) -> Column:
-    """How many bounds are at or above the key, looked up in two steps."""
+    """A number that grows with each bound at or above the key, looked up in two steps; a missing
+    key comes last."""
     width = max(1, int(len(bounds) ** 0.5))
     blocks = [bounds[k : k + width] for k in range(0, len(bounds), width)]  # both descending
     if not blocks:
@@ -162,7 +163,7 @@ def _stretch(key: Column, bounds: list[int]) -> Column:
     table = F.array(*[F.array(*[F.lit(v) for v in b]) for b in blocks])
     block = F.size(F.filter(lows, lambda low: low >= key))
     inside = F.size(F.filter(F.coalesce(F.get(table, block), F.array().cast("array<long>")), lambda v: v >= key))
-    return F.when(key.isNull(), len(bounds) + 1).otherwise(block * width + inside)
+    return F.when(key.isNull(), (len(blocks) + 1) * width).otherwise(block * width + inside)
 
 
 def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
