@@ -1,6 +1,6 @@
 """Main text of web pages by site style trees.
 
-The pages of a host are merged into one tree of element nodes; a node is the path of tags with
+The pages of a host, copies counted once, are merged into one tree of element nodes; a node is the path of tags with
 their classes, ids and roles.  For each node two things are counted over the host's pages: which
 sequences of children it has, its presentation styles, and which texts, links and images it holds
 itself.  With m pages that have the node, its importance is
@@ -56,6 +56,10 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 SCOPE = set("ul ol dl table body html article main section div nav header footer aside form".split())
 
 
+#: A tag that the end of the page cuts off.
+UNFINISHED = re.compile(r"<[A-Za-z/!][^<>]*$")
+
+
 @dataclass
 class Node:
     tag: str
@@ -74,7 +78,7 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("")
         self.open = [self.root]
-        self.feed(html)
+        self.feed(UNFINISHED.sub("", html))
         self.close()
 
     def _end(self, tags: set[str], scope: set[str]) -> None:
@@ -191,9 +195,12 @@ def main_text(root: Node, low: frozenset[int] | set[int]) -> str:
         elif isinstance(item, tuple):
             if not marked or item[1]:
                 run.append(item[0])
-        elif not dropped[id(item)] and worth[id(item)]:
+        else:
             if item.tag in BLOCK:
                 cut()
+            if dropped[id(item)] or not worth[id(item)]:
+                continue
+            if item.tag in BLOCK:
                 todo.append(None)
             elif item.tag == "br":
                 run.append(" ")
@@ -205,16 +212,17 @@ def main_text(root: Node, low: frozenset[int] | set[int]) -> str:
 
 def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        host, node, kind, feature = [], [], [], []
-        for h, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        host, node, kind, feature, weight = [], [], [], [], []
+        for h, html, w in zip(*(batch.column(k).to_pylist() for k in range(3))):
             for n, k, f in observations(Page(html or "").root):
                 host.append(h)
                 node.append(n)
                 kind.append(k)
                 feature.append(f)
-        types = (pa.string(), pa.int64(), pa.int32(), pa.int64())
-        arrays = [pa.array(v, t) for v, t in zip((host, node, kind, feature), types)]
-        yield pa.RecordBatch.from_arrays(arrays, names=["host", "node", "kind", "feature"])
+                weight.append(w)
+        types = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.float64())
+        arrays = [pa.array(v, t) for v, t in zip((host, node, kind, feature, weight), types)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["host", "node", "kind", "feature", "weight"])
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,9 +236,9 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """Importance of each node of each host: host, node, m, importance; from host, html."""
-    seen = pages.mapInArrow(_observed, "host string, node long, kind int, feature long")
-    counts = seen.groupBy("host", "node", "kind", "feature").agg(F.count("*").alias("n"))
+    """Importance of each node of each host: host, node, m, importance; from host, html, weight."""
+    seen = pages.mapInArrow(_observed, "host string, node long, kind int, feature long, weight double")
+    counts = seen.groupBy("host", "node", "kind", "feature").agg(F.round(F.sum("weight"), 3).alias("n"))
     nodes = counts.groupBy("host", "node").agg(
         F.max(F.when(F.col("kind") == 0, F.col("n"))).alias("m"),
         F.sum(F.when(F.col("kind") == 1, F.col("n") * F.log("n"))).alias("styles"),
@@ -263,8 +271,14 @@ def extract(
         quoted(html_col).cast("string").alias("html"),
         host_of(quoted(url_col).cast("string")).alias("host"),
     )
+    # Copies of a page on its host count as one page.
+    keyed = pages.select("host", "html", F.xxhash64("html").alias("hash"))
+    copies = written(keyed.groupBy("host", "hash").agg(F.count("*").alias("of")).where("of > 1"), "copies")
+    single = keyed.join(small_side(copies, copies.count()), ["host", "hash"], "left").select(
+        "host", "html", (1 / F.coalesce("of", F.lit(1))).alias("weight")
+    )
     low = written(
-        style_tree(pages.select("host", "html")).where(F.col("importance") < threshold).select("host", "node"), "low"
+        style_tree(single).where(F.col("importance") < threshold).select("host", "node"), "low"
     )
     by_host = low.groupBy("host").agg(F.collect_list("node").alias("low"))
     joined = pages.join(small_side(by_host, low.count(), 500_000), "host", "left").select("id", "url", "html", "low")

@@ -147,30 +147,26 @@ def features(words: list[str], lexicon: Lexicon) -> list[float]:
     coded = list(map(lexicon.__getitem__, words))
     if not any(c[1] for c in coded):
         return [0.0] * len(FEATURES)
-    sums, threats, strongest, clause, matches = [0.0, 0.0, 0.0], 0.0, 0.0, 0.0, 0
-    # A target may follow its insult: the last match waits for the end of its clause.
+    sums, threats, strongest, matches = [0.0, 0.0, 0.0], 0.0, 0.0, 0
+    # A target may follow its insult: matches wait for the end of their clause.
     state, waiting = START, []
-    for tag, weight, ends, opens in coded:
+    last = len(coded) - 1
+    for place, (tag, weight, ends, opens) in enumerate(coded):
         if opens:
             state = MOVES[state]["quote"]
         state = MOVES[state][tag]
         if weight:
             matches += 1
             waiting.append((state, tag, weight))
-        if ends:
-            aimed = STATES[state][2] == "aimed"
+        if ends or place == last:
+            aimed, clause = STATES[state][2] == "aimed", 0.0
             for at, kind, w in waiting:
                 scale = SCALES[at] * (TARGET.scale["aimed"] if aimed and STATES[at][2] == "none" else 1)
                 sums[1 if KIND[at] == 0 and aimed else KIND[at]] += scale * w
                 threats += scale * w if kind == "threat" else 0.0
                 clause += scale * w
-            strongest, clause, waiting = max(strongest, clause), 0.0, []
+            strongest, waiting = max(strongest, clause), []
             state = MOVES[state][BREAK]
-    for at, kind, w in waiting:
-        sums[KIND[at]] += SCALES[at] * w
-        threats += SCALES[at] * w if kind == "threat" else 0.0
-        clause += SCALES[at] * w
-    strongest = max(strongest, clause)
     return [*map(math.log1p, sums), math.log1p(threats), math.log1p(strongest), math.log1p(100 * matches / len(words))]
 
 
