@@ -15,9 +15,9 @@ their links follow from the hubs.
 elements.  Long lists are cut into blocks by size and position, and blocks that cannot reach the
 threshold with each other are skipped whole; in short lists pairs are skipped one by one.
 
-*Order.*  Elements are ordered by how often they stand in such a list, counted over all sets, then
-by hash.  Any order gives the same result; the counts of the most frequent elements, a bounded
-number, are enough to keep passages that many texts share out of the lists.
+*Order.*  Elements are ordered by how many documents hold them, counted over all, then by hash.  Any
+order gives the same result; the counts of the most frequent elements, a bounded number, are enough
+to keep passages that many texts share out of the lists.
 """
 
 from __future__ import annotations
@@ -39,8 +39,8 @@ WORDS = 5
 PERCENT = 75
 #: Min-hashes by which classes find a hub.
 MIN_HASHES = 6
-#: A list longer than this makes its element frequent; the most such elements that are sent to all
-#: workers, the most frequent first (4 bytes of key and of count each).
+#: An element in more documents is frequent; the most such elements that are sent to all workers,
+#: the most frequent first (4 bytes of key and of count each).
 LONG, FREQUENT = 24, 1 << 20
 #: Entries of a block of a long list.
 BLOCK = 256
@@ -95,17 +95,68 @@ def min_hashes(elements: np.ndarray) -> list[int]:
     ]
 
 
-def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = WordHashes()
-    for batch in batches:
-        sizes, classes, mins = [], [], []
-        for text in batch.column(1).to_pylist():
-            elements = shingles(text, hashes)
-            sizes.append(len(elements))
-            classes.append(class_of(elements) if len(elements) else None)
-            mins.append(min_hashes(elements) if len(elements) else [])
-        arrays = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), pa.array(mins, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(arrays, names=["id", "n", "class", "mins"])
+DESCRIBED = {"n": pa.int64(), "class": pa.int64(), "mins": pa.list_(pa.int64())}
+COUNTED = {"bucket": pa.int32(), "once": pa.binary(), "keys": pa.binary(), "counts": pa.binary()}
+
+
+def _deltas(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, by byte planes: the high planes are nearly empty and compress."""
+    return np.diff(keys, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _keys(deltas: bytes) -> np.ndarray:
+    planes = np.frombuffer(deltas, np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
+
+
+def _described(buckets: int):
+    """One row per set, and rows with counts of elements; what occurs once goes without a count."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        held: list[np.ndarray] = []
+        edges = (np.arange(1, buckets, dtype=np.uint64) << np.uint64(32)) // np.uint64(buckets)
+        kind, size = None, 0
+
+        def rows(columns: dict, ids) -> pa.RecordBatch:
+            n = len(next(iter(columns.values())))
+            arrays = [pa.nulls(n, kind) if ids is None else ids]
+            for name, of in (DESCRIBED | COUNTED).items():
+                arrays.append(pa.array(columns[name], of) if name in columns else pa.nulls(n, of))
+            return pa.RecordBatch.from_arrays(arrays, names=["id", *DESCRIBED, *COUNTED])
+
+        def counted() -> pa.RecordBatch:
+            keys, counts = np.unique(np.concatenate(held), return_counts=True)
+            cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
+            out = {name: [] for name in COUNTED}
+            for b in range(buckets):
+                k, c = keys[cuts[b] : cuts[b + 1]], counts[cuts[b] : cuts[b + 1]].astype("<u4")
+                if len(k):
+                    out["bucket"].append(b)
+                    out["once"].append(_deltas(k[c == 1]))
+                    out["keys"].append(_deltas(k[c > 1]))
+                    out["counts"].append(c[c > 1].tobytes())
+            return rows(out, None)
+
+        for batch in batches:
+            kind = batch.schema.field(0).type
+            sizes, classes, mins = [], [], []
+            for text in batch.column(1).to_pylist():
+                elements = shingles(text, hashes)
+                sizes.append(len(elements))
+                classes.append(class_of(elements) if len(elements) else None)
+                mins.append(min_hashes(elements) if len(elements) else [])
+                held.append(elements.astype(np.uint32))
+                size += len(elements)
+                if size >= FLUSH:
+                    yield counted()
+                    held.clear()
+                    size = 0
+            yield rows({"n": sizes, "class": classes, "mins": mins}, batch.column(0))
+        if size:
+            yield counted()
+
+    return run
 
 
 def _of_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,10 +209,15 @@ class Join:
                 T.StructField("n", T.LongType()),
                 T.StructField("class", T.LongType()),
                 T.StructField("mins", T.ArrayType(T.LongType())),
+                T.StructField("bucket", T.IntegerType()),
+                *(T.StructField(c, T.BinaryType()) for c in ("once", "keys", "counts")),
             ]
         )
+        buckets = 2 * shuffle_partitions(self.spark)
+        found = written(self.docs.mapInArrow(_described(buckets), schema), "sets")
         #: Every document with its size, class and min-hashes.
-        self.described = written(self.docs.mapInArrow(_described, schema), "sets")
+        self.described = found.where("bucket IS NULL").select("id", "n", "class", "mins")
+        self.counted = found.where("bucket IS NOT NULL").select("bucket", "once", "keys", "counts")
         #: Every class with its smallest id.
         self.classes = written(
             self.described.where("class IS NOT NULL")
@@ -242,13 +298,9 @@ class Join:
             .select("hub", "text")
         )
 
-    def frequent(self, texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        """Keys and counts of elements that stand at the front of more than LONG sets by hash order."""
-        buckets = 2 * shuffle_partitions(self.spark)
-        blobs = texts.where("hub IS NULL").select("text").mapInArrow(
-            _counted(buckets), "bucket int, once binary, keys binary, counts binary"
-        )
-        found = written(blobs.groupBy("bucket").applyInPandas(_summed, "key long, n long"), "frequent")
+    def frequent(self) -> tuple[np.ndarray, np.ndarray]:
+        """Keys and counts of the elements that more than LONG documents hold."""
+        found = written(self.counted.groupBy("bucket").applyInPandas(_summed, "key long, n long"), "frequent")
         if found.count() > FREQUENT:
             found = found.orderBy(F.desc("n"), "key").limit(FREQUENT)
         rows = found.toPandas()
@@ -258,7 +310,7 @@ class Join:
     def candidates(self, members: DataFrame) -> DataFrame:
         """Pairs of hubs a < b whose groups may hold similar sets."""
         texts = self.listed_texts(members)
-        frequent = self.spark.sparkContext.broadcast(self.frequent(texts))
+        frequent = self.spark.sparkContext.broadcast(self.frequent())
         lists = texts.mapInArrow(_fronts(frequent), "token long, hub long, own boolean, low int, high int, at int")
         columns = ["token", "hub", _packed().alias("size")]
         own = lists.where("own").select(*columns)
@@ -295,13 +347,14 @@ class Join:
             hubs.where(f"NOT ({similar('common', 'm', 'n')})")
             .join(reach.select(F.col("hub").alias("a"), F.col("extra").alias("extra_a"), F.col("low").alias("low_a")), "a", "left")
             .join(reach.select(F.col("hub").alias("b"), F.col("extra").alias("extra_b"), F.col("low").alias("low_b")), "b", "left")
+            .where("extra_a IS NOT NULL OR extra_b IS NOT NULL")
             .withColumns(
                 {
                     "extra_a": F.coalesce("extra_a", F.lit(0)), "extra_b": F.coalesce("extra_b", F.lit(0)),
                     "low_a": F.coalesce("low_a", "m"), "low_b": F.coalesce("low_b", "n"),
                 }
             )
-            .where(f"extra_a + extra_b > 0 AND {_can('common + extra_a + extra_b', 'low_a', 'low_b')}")
+            .where(_can("common + extra_a + extra_b", "low_a", "low_b"))
         )
         near = written(near, "near_groups")
         links = [
@@ -363,54 +416,14 @@ def _packed():
     return F.shiftleft(low, 42) + F.shiftleft(high, 21) + at
 
 
-def _counted(buckets: int):
-    """Count the elements at the front of the sets; what occurs once goes without a count."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        held: list[np.ndarray] = []
-
-        def flush() -> pa.RecordBatch:
-            keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            of = keys % np.uint32(buckets)
-            order = np.argsort(of, kind="stable")
-            keys, counts, of = keys[order], counts[order].astype("<u4"), of[order]
-            edges = np.searchsorted(of, np.arange(buckets + 1))
-            rows = {"bucket": [], "once": [], "keys": [], "counts": []}
-            for b in range(buckets):
-                k, c = keys[edges[b] : edges[b + 1]], counts[edges[b] : edges[b + 1]]
-                if len(k):
-                    rows["bucket"].append(b)
-                    rows["once"].append(k[c == 1].astype("<u4").tobytes())
-                    rows["keys"].append(k[c > 1].astype("<u4").tobytes())
-                    rows["counts"].append(c[c > 1].tobytes())
-            types = {"bucket": pa.int32(), "once": pa.binary(), "keys": pa.binary(), "counts": pa.binary()}
-            return pa.RecordBatch.from_arrays([pa.array(v, types[n]) for n, v in rows.items()], names=list(rows))
-
-        size = 0
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                elements = shingles(text, hashes)
-                if len(elements):
-                    front = elements[: prefix_length(len(elements))].astype(np.uint32)
-                    held.append(front)
-                    size += len(front)
-                    if size >= FLUSH:
-                        yield flush()
-                        size = 0
-        if held:
-            yield flush()
-
-    return run
-
-
 def _summed(rows: pd.DataFrame) -> pd.DataFrame:
-    once = np.frombuffer(b"".join(rows["once"]), "<u4")
-    keys = np.concatenate([once, np.frombuffer(b"".join(rows["keys"]), "<u4")])
-    counts = np.concatenate([np.ones(len(once), "<u4"), np.frombuffer(b"".join(rows["counts"]), "<u4")])
+    """Elements of a bucket that more than LONG sets hold."""
+    once = [_keys(k) for k in rows["once"]]
+    keys = np.concatenate([*once, *(_keys(k) for k in rows["keys"])])
+    counts = np.ones(len(keys), np.int64)
+    counts[sum(map(len, once)) :] = np.frombuffer(b"".join(rows["counts"]), "<u4")
     order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order].astype(np.int64)
+    keys, counts = keys[order], counts[order]
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, int)
     sums = np.add.reduceat(counts, starts) if len(starts) else np.empty(0, np.int64)
     often = sums > LONG
