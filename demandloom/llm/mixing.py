@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from .common import WORD, quoted, shuffle_partitions, small_side, written
 
 MAX_COPIES = 3
+SEED = 11
 WEIGHTS = (1, 2, 3)
 #: Coarse and fine steps of a ranking, as powers of two.
 STEP_BITS = 12
@@ -140,7 +141,7 @@ def mix(
     source_col: str = "source",
     weights: Sequence[float] = WEIGHTS,
     max_copies: int = MAX_COPIES,
-    seed: int = 11,
+    seed: int = SEED,
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """One row per row of `df`: id, size, source_size, target, copies, taken; or `keep` and copies.

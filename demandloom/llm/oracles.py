@@ -1,5 +1,124 @@
-"""SQL of the queries that SQL can express."""
+"""SQL of the queries that SQL can express, over the same tables."""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from .hosts import BLOCK_ABOVE, REGISTRY, RHO, Z
+from .mixing import MAX_COPIES, SEED, WEIGHTS
+from .queries import URL_RULES
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _rule(what: str) -> str:
+    cases = []
+    for r in sorted(URL_RULES, key=lambda r: (-len(r.text), r.text)):
+        fits = f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')"
+        cases.append(f"WHEN {fits} THEN '{getattr(r, what)}'")
+    return f"CASE {' '.join(cases)} END"
+
+
+def _level(name: str, rows: str, prior: str, out: str) -> str:
+    """One level of shrinkage: the weight from the members' spread, then each one's mean."""
+    return f"""
+{name}_w AS (SELECT 1 / least(greatest(CASE WHEN most > 0 THEN over_ / most ELSE {RHO[1]} END, {RHO[0]}), {RHO[1]}) - 1 AS w
+  FROM (SELECT sum((k - n * {prior}) ** 2 - n * {prior} * (1 - {prior})) AS over_,
+    sum(n * (n - 1) * {prior} * (1 - {prior})) AS most FROM {rows})),
+{name} AS (SELECT *, (k + w * {prior}) / (n + w) AS {out} FROM {rows}, {name}_w)"""
+
+
+OP5 = f"""
+WITH parts AS (SELECT page_id,
+    translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+  FROM pages),
+ruled AS (SELECT *, {_rule('text')} AS rule, {_rule('verdict')} AS rule_verdict FROM parts),
+bare AS (SELECT *, regexp_replace(host, '\\.?(:\\d*)?$', '') AS name FROM ruled),
+labels_ AS (SELECT *, string_split(name, '.') AS l,
+    regexp_matches(name, '(^|\\.)({REGISTRY})\\.[a-z][a-z]$') AS third FROM bare),
+levels AS (SELECT *, CASE WHEN third THEN l[-2] || '.' || l[-1] ELSE l[-1] END AS suffix,
+    array_to_string(CASE WHEN third THEN l[-3:] ELSE l[-2:] END, '.') AS domain FROM labels_),
+hosts AS (SELECT host, any_value(domain) AS domain, any_value(suffix) AS suffix,
+    count(rule)::double AS n, (count(*) FILTER (rule_verdict = 'block'))::double AS k
+  FROM levels GROUP BY host),
+overall AS (SELECT (sum(k) + 0.5) / (sum(n) + 1) AS m FROM hosts),
+suffix_rows AS (SELECT suffix, n, k, m FROM (SELECT suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY suffix), overall),
+{_level('suffixes', 'suffix_rows', 'm', 'suffix_mean')},
+domain_rows AS (SELECT d.*, suffix_mean FROM (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY domain, suffix) d
+  JOIN suffixes USING (suffix)),
+{_level('domains', 'domain_rows', 'suffix_mean', 'domain_mean')},
+host_rows AS (SELECT h.*, domain_mean FROM hosts h JOIN domains USING (domain)),
+{_level('posterior', 'host_rows', 'domain_mean', 'mean_')}
+SELECT page_id, host, path, rule, coalesce(rule_verdict,
+  CASE WHEN mean_ - {Z} * sqrt(mean_ * (1 - mean_) / (n + w + 1)) > {BLOCK_ABOVE} THEN 'block' ELSE 'allow' END) AS verdict
+FROM levels JOIN posterior USING (host)"""
+
+OP6 = f"""
+WITH RECURSIVE texts AS (SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM texts)),
+sizes AS (SELECT doc_id, count(s) AS n FROM texts LEFT JOIN shingles USING (doc_id) GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reached AS (SELECT doc_id, doc_id AS r FROM texts UNION SELECT doc_id, b FROM reached JOIN links ON r = a)
+SELECT doc_id, n AS n_shingles, component_id FROM sizes
+JOIN (SELECT doc_id, min(r) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)"""
+
+OP4 = f"""
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+at_ AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM texts),
+windows AS (SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS n FROM at_ WHERE i + 2 <= len(w)),
+repeated AS (SELECT r, count(DISTINCT i + d) AS n FROM windows, (SELECT unnest([0, 1, 2]) AS d) WHERE n > 1 GROUP BY r),
+lines AS (SELECT r, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+  FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM texts) WHERE regexp_matches(line, '{WORD}') GROUP BY r),
+pairs AS (SELECT r, max((length(a) + length(b)) * n) AS top
+  FROM (SELECT r, w[i] AS a, w[i + 1] AS b, count(*) AS n FROM at_ WHERE i < len(w) GROUP BY ALL HAVING n > 1) GROUP BY r),
+counts AS (SELECT doc_id, len(w) AS n_words, coalesce(list_sum([length(x) for x in w]), 0)::bigint AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(l.dup, 0) AS n_dup_lines,
+    coalesce(p.n, 0) AS n_repeat_words, coalesce(l.n, 0) AS n_lines, coalesce(top, 0) AS top,
+    len([x for x in w if regexp_matches(x, '\\p{{L}}')]) AS lettered,
+    length(regexp_replace(t, '\\P{{Lu}}', '', 'g')) AS upper_, length(regexp_replace(t, '\\P{{Ll}}', '', 'g')) AS lower_
+  FROM texts LEFT JOIN lines l USING (r) LEFT JOIN repeated p USING (r) LEFT JOIN pairs USING (r)),
+failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR NOT (word_chars BETWEEN 2.5 * n_words AND 12 * n_words) OR 10 * n_symbols > n_words
+    OR 10 * n_dup_lines > 4 * n_lines OR 10 * lettered < 7 * n_words OR 10 * top > 3 * word_chars
+    OR (10 * upper_ > 6 * (upper_ + lower_) AND upper_ + lower_ > 0)) AS kept
+FROM failed"""
+
+OP3 = f"""
+WITH docs AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size,
+    ('0x' || md5(concat('{SEED}:', coalesce(doc_id::varchar, ''), ':', coalesce(text, '')))[1:13])::bigint AS draw FROM documents),
+classed AS (SELECT *, floor(log2(greatest(size, 1)))::int AS octave FROM docs),
+sources AS (SELECT source, sum(size)::bigint AS source_size FROM docs GROUP BY source),
+weighted AS (SELECT *, [{', '.join(f'{float(w)}::double' for w in WEIGHTS)}][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)}] AS weight,
+    source_size * {float(MAX_COPIES)}::double AS cap FROM sources),
+shares AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS c
+  FROM weighted WINDOW o AS (ORDER BY cap / weight, source)),
+share AS (SELECT max(c) FILTER (c * weight < cap) AS s FROM shares),
+targets AS (SELECT source, source_size, CASE WHEN source_size > 0 THEN least(cap, coalesce(s, 0) * weight) ELSE 0 END AS target
+  FROM weighted, share),
+classes AS (SELECT source, octave, sum(size)::bigint AS words, pow(2.0::double, octave / 2) AS pull FROM classed GROUP BY source, octave),
+solved AS (SELECT k.*, target, (target - coalesce(sum(words) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * {float(MAX_COPIES)}::double)
+    / nullif(sum(words * pull) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS c
+  FROM classes k JOIN targets t ON k.source IS NOT DISTINCT FROM t.source WINDOW o AS (PARTITION BY k.source ORDER BY octave DESC)),
+copies AS (SELECT source, octave, words, target, least({float(MAX_COPIES)}::double, coalesce(
+    max(c) FILTER (c >= 0 AND c * pull <= {float(MAX_COPIES)}) OVER (PARTITION BY source) * pull, {float(MAX_COPIES)}::double)) AS copies FROM solved),
+needs AS (SELECT source, any_value(target) - sum(words * floor(copies)) AS need FROM copies GROUP BY source),
+placed AS (SELECT d.*, floor(copies) AS whole, copies - floor(copies) AS p, (draw + 0.5) / 4503599627370496.0::double AS u
+  FROM classed d JOIN copies c ON d.source IS NOT DISTINCT FROM c.source AND d.octave = c.octave),
+ranked AS (SELECT *, CASE WHEN p > 0 AND size > 0 THEN u / (1 - u) / (p / (1 - p)) END AS q FROM placed),
+running AS (SELECT *, CASE WHEN q IS NOT NULL THEN sum(CASE WHEN q IS NOT NULL THEN size END) OVER
+    (PARTITION BY source ORDER BY q / (1 + q) NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS upto FROM ranked)
+SELECT doc_id, size, source_size, target,
+  (CASE WHEN size > 0 THEN whole + coalesce((upto - size / 2 <= need)::int, 0) ELSE 0 END)::bigint AS copies,
+  (CASE WHEN size > 0 THEN whole + coalesce((upto - size / 2 <= need)::int, 0) ELSE 0 END)::bigint * size AS taken
+FROM running r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source JOIN needs n ON r.source IS NOT DISTINCT FROM n.source"""
+
+ORACLES: dict[str, str] = {"op3_mixing": OP3, "op4_quality": OP4, "op5_hosts": OP5, "op6_jaccard": OP6}
