@@ -9,7 +9,13 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from ..operators.model import BoostParams
-from ..operators.versions import new_version, register_version
+from ..operators.versions import (
+    new_version,
+    read_versions,
+    register_version,
+    table_versions,
+    version_history,
+)
 from .pipeline import boost_arguments, boost_params, run_pipeline, source_arguments
 
 
@@ -25,7 +31,8 @@ def train_version(
     """Train on a raw CSV and return the version.
 
     Below `models` each version has a folder with its tables and its model, which nothing
-    overwrites; `models/model_versions` gets one row once the model is saved.
+    overwrites; `models/model_versions` gets one row once the model is saved.  The history up to this
+    version goes into its folder.
     """
     version, folder = new_version(spark, models, dt.datetime.now(dt.timezone.utc))
     run = run_pipeline(
@@ -41,6 +48,8 @@ def train_version(
         metrics=run.fitted.metrics,
         model_path=path,
     )
+    history = version_history(table_versions(read_versions(spark, f"{models}/model_versions")))
+    history.write.mode("overwrite").parquet(f"{folder}/version_history")
     return version
 
 
