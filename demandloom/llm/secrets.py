@@ -404,7 +404,8 @@ def fit(df: DataFrame, text_col: str = "text", documents: int = FIT_DOCUMENTS, m
     if share < 1:
         texts = texts.where(F.expr(f"pmod(xxhash64(text), 1000000) < {max(1, round(share * 1e6))}"))
     found = (
-        texts.mapInArrow(_examples, "mark long, secret boolean, example string")
+        texts.distinct()
+        .mapInArrow(_examples, "mark long, secret boolean, example string")
         .orderBy(F.desc("secret"), "mark", "example")
         .limit(most)
         .collect()

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import prepare, quoted, written
 
-#: Labelled texts the grammar is fitted on, at most (about; chosen by a hash of the text).
+#: Different labelled texts the grammar is fitted on, at most (about; chosen by a hash of the text).
 FIT_ROWS = 12_000
 #: An entry must hold in this share of the toxic texts, and the log-odds of finding it there must be
 #: this high even one standard error lower.  A beginning has one of these numbers of characters, and
@@ -241,10 +241,12 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float =
     return beta
 
 
-def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", rows: int = FIT_ROWS) -> Grammar:
+def fit(
+    labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", most: int = FIT_ROWS
+) -> Grammar:
     """Learn a grammar from texts labelled 0 or 1; rows without a label or a text are left out.
 
-    At most about `rows` texts are used.  Near copies share one vote.  With no labelled text of
+    At most about `most` texts are used.  Near copies share one vote.  With no labelled text of
     either class the given entries and weights are returned.
     """
     spark = labelled.sparkSession
@@ -252,9 +254,11 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", r
     known = labelled.select(
         quoted(text_col).cast("string").alias("text"), quoted(label_col).cast("int").alias("toxic")
     ).where("text IS NOT NULL AND toxic IS NOT NULL")
-    share = min(1.0, rows / max(1, labelled.where(quoted(label_col).isNotNull()).count()))
+    share = min(1.0, most / max(1, labelled.where(quoted(label_col).isNotNull()).count()))
     if share < 1:
         known = known.where(F.expr(f"pmod(xxhash64(text), 1000000) < {round(share * 1e6)}"))
+    # A text that many rows share is one text.
+    known = known.distinct()
     sample = written(
         known.mapInArrow(_families, "family long, toxic int, text string, entries array<string>"), "labelled"
     )
@@ -303,9 +307,10 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", r
     seen = weighted.select("text", "toxic", "weight").mapInArrow(
         _features(learned), "features array<double>, toxic int, weight double"
     )
-    seen = seen.sort("toxic", "weight", "features").toPandas()
-    x = np.array(seen["features"].tolist())
-    beta = logistic(x, seen["toxic"].to_numpy(float), seen["weight"].to_numpy())
+    # The rows in one order, so that sums do not depend on how they arrived.
+    rows = np.array([[r["toxic"], r["weight"], *r["features"]] for r in seen.collect()])
+    rows = rows[np.lexsort(rows.T)]
+    beta = logistic(rows[:, 2:], rows[:, 0], rows[:, 1])
     return Grammar(learned, tuple(float(b) for b in beta))
 
 
