@@ -22,6 +22,7 @@ to keep passages that many texts share out of the lists.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,20 +45,29 @@ MIN_HASHES = 6
 LONG, FREQUENT = 24, 1 << 20
 #: Entries of a block of a long list.
 BLOCK = 256
-REMEMBERED = 500_000
+#: Bytes of a text that are hashed at once.
+STRETCH = 1 << 20
+SPACE = re.compile(rb"[ \t-\r]")
 #: Elements counted together before they are sent on.
 FLUSH = 2_000_000
 _FACTORS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 
 
-class WordHashes(dict):
-    """64-bit hash of a word, remembered."""
+_SPACE = np.zeros(256, bool)
+_SPACE[list(b" \t\n\v\f\r")] = True
+_BASE = 0x2545F4914F6CDD1D
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+
+def powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64, n at least."""
+    if len(_powers[0]) < n:
+        size = 1 << (n - 1).bit_length()
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            _powers[k] = np.cumprod(steps, dtype=np.uint64)
+    return _powers
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -65,19 +75,50 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def shingles(text: bytes | None, hashes: WordHashes) -> np.ndarray:
-    """Sorted hashes of the distinct shingles, words in ASCII lower case."""
-    words = (text or b"").lower().split()
-    if len(words) < WORDS:
-        if not words:
-            return np.empty(0, np.uint64)
-        return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
-    w = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    n = len(words) - WORDS + 1
-    total = w[:n] * np.uint64(_FACTORS[0])
-    for k in range(1, WORDS):
+def word_hashes(text: bytes) -> np.ndarray:
+    """Hashes of the words in ASCII lower case, in order.
+
+    The hash of a word is a polynomial in its bytes; running sums of the whole text give all words at
+    once.  Long texts are taken in stretches that end between words.
+    """
+    if len(text) <= STRETCH:
+        return _stretch_hashes(text)
+    out, at = [], 0
+    while at < len(text):
+        space = SPACE.search(text, at + STRETCH)
+        end = space.start() if space else len(text)
+        out.append(_stretch_hashes(text[at:end]))
+        at = end
+    return np.concatenate(out)
+
+
+def _stretch_hashes(text: bytes) -> np.ndarray:
+    data = np.frombuffer(text.lower(), np.uint8)
+    outside = np.ones(len(data) + 2, np.int8)
+    outside[1:-1] = _SPACE[data]
+    edges = np.flatnonzero(np.diff(outside))
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    power, inverse = powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data + np.uint64(1)) * power[: len(data)], out=sums[1:])
+    value = (sums[ends] - sums[starts]) * inverse[starts]
+    return _mixed(value + (ends - starts).astype(np.uint64) * np.uint64(_FACTORS[4]))
+
+
+def shingles(text: bytes | None) -> np.ndarray:
+    """Sorted hashes of the distinct shingles; of fewer words, of the whole sequence."""
+    w = word_hashes(text or b"")
+    if not len(w):
+        return w
+    width = min(WORDS, len(w))
+    n = len(w) - width + 1
+    total = np.full(n, width, np.uint64)
+    for k in range(width):
         total += w[k : k + n] * np.uint64(_FACTORS[k])
-    return np.unique(_mixed(total))
+    total = np.sort(_mixed(total))
+    return total[np.r_[True, total[1:] != total[:-1]]]
 
 
 def class_of(elements: np.ndarray) -> int:
@@ -113,7 +154,6 @@ def _described(buckets: int):
     """One row per set, and rows with counts of elements; what occurs once goes without a count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         held: list[np.ndarray] = []
         edges = (np.arange(1, buckets, dtype=np.uint64) << np.uint64(32)) // np.uint64(buckets)
         kind, size = None, 0
@@ -142,7 +182,7 @@ def _described(buckets: int):
             kind = batch.schema.field(0).type
             sizes, classes, mins = [], [], []
             for text in batch.column(1).to_pylist():
-                elements = shingles(text, hashes)
+                elements = shingles(text)
                 sizes.append(len(elements))
                 classes.append(class_of(elements) if len(elements) else None)
                 mins.append(min_hashes(elements) if len(elements) else [])
@@ -161,20 +201,19 @@ def _described(buckets: int):
 
 def _of_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows whose text is of the class looked for."""
-    hashes = WordHashes()
     for batch in batches:
         wanted, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        yield batch.filter(pa.array([class_of(shingles(t, hashes)) == c for c, t in zip(wanted, texts)], pa.bool_()))
+        yield batch.filter(pa.array([class_of(shingles(t)) == c for c, t in zip(wanted, texts)], pa.bool_()))
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes, known = WordHashes(), {}
+    known: dict[int, np.ndarray] = {}
 
     def elements(key: int, text: bytes) -> np.ndarray:
         if key not in known:
             if len(known) >= 64:
                 known.clear()
-            known[key] = shingles(text, hashes)
+            known[key] = shingles(text)
         return known[key]
 
     for batch in batches:
@@ -447,7 +486,6 @@ def _fronts(frequent):
     """One row per element at the front of a set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         keys, counts = frequent.value
         names = ["token", "hub", "own", "low", "high", "at"]
         for batch in batches:
@@ -460,7 +498,7 @@ def _fronts(frequent):
 
             held = 0
             for hub, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                elements = shingles(text, hashes)
+                elements = shingles(text)
                 if not len(elements):
                     continue
                 first = front(elements, keys, counts)

@@ -105,6 +105,19 @@ def test_front_is_enough():
         assert len(np.intersect1d(J.front(x, keys, counts), J.front(y, keys, counts)))
 
 
+def test_word_hashes(monkeypatch):
+    texts = [b"", b" \n", b"a", b" One two\tTHREE\x0bfour\x0cfive\rsix ", "é É ünï\u00a0cöde".encode(), b"x" * 100, odd.prose(1, 500).encode()]
+    known = {}
+    for text in texts:
+        words = text.lower().split()
+        for word, h in zip(words, J.word_hashes(text).tolist(), strict=True):
+            assert known.setdefault(word, h) == h
+    assert len(set(known.values())) == len(known)
+    whole = [J.shingles(t).tolist() for t in texts]
+    monkeypatch.setattr(J, "STRETCH", 7)
+    assert [J.shingles(t).tolist() for t in texts] == whole
+
+
 def test_deltas_round_trip():
     for keys in ([], [0], [5, 5 + 2**31, 2**32 - 1]):
         keys = np.array(keys, np.uint32)
