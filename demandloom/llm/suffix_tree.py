@@ -2,17 +2,20 @@
 
 Words are lowered in A-Z only; each text ends with an end token, which is also what stands before
 its first word.  The root of the tree is the distribution of single tokens with one added to every
-count and one unseen token.  A context is a run of up to DEPTH tokens, each with at least
-CONTEXT_SHARE of all tokens; it is retained if the log-likelihood that it gains over its parent,
-the context without its oldest token, exceeds half a log of its count for each of its next symbols
-(a divergence test with the price of a minimum description).  Next-symbol distributions are smoothed
-by absolute discounting: what is discounted, and what falls on symbols without a count of their own,
-is spread like the distribution of the longest retained suffix.  A token is scored in the longest
-retained context that it stands in.
-
-The shares bound the tree whatever the corpus: no more than 1 / share contexts, symbols and entries.
-Counts of all other tokens stay a table, which grows with the corpus and is joined to the tokens of
-the texts.  Tokens are told apart by 63-bit hashes.
+count and one unseen token.  A context is a run of up to DEPTH tokens, an entry a context with a next
+symbol that follows it at least LEAST times; any token can stand in either.  A context is retained if
+the log-likelihood that it gains over its parent, the context without its oldest token, exceeds half
+a log of its count for each of its entries (a divergence test with the price of a minimum
+description).  Next-symbol distributions are smoothed by absolute discounting: what is discounted, and
+what falls on symbols without an entry, is spread like the distribution of the longest retained
+suffix.  A token is scored in the longest retained context that it stands in.
+
+Entries, contexts and their probabilities are tables that grow with the corpus, built level by level.
+A token's score is a sum: that of the root, the log of the spread of every retained context before it,
+and for every entry of these what its log probability is above that.  So the tree is one table of
+weights of token runs, joined to the runs of the texts.  Workers hold the weights and token counts of
+the most frequent ones, and a bit filter of bounded size that only spares runs without a weight.
+Tokens and runs are told apart by 63-bit hashes.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +34,16 @@ from pyspark.sql import functions as F
 from .common import prepare, quoted, written
 
 DEPTH = 3
-#: Least shares of all tokens: of a token in a context, of a next symbol, of an entry (a context with
-#: a symbol), and of a token whose count every worker holds.
-CONTEXT_SHARE, SYMBOL_SHARE, ENTRY_SHARE, HELD_SHARE = 5e-4, 1e-4, 1e-6, 1e-6
+#: Least share of all tokens of a token whose count every worker holds.
+HELD_SHARE = 1e-6
+#: Weights that every worker holds at most, and 64-bit words of a filter.
+HELD_WEIGHTS, FILTER_WORDS = 1_500_000, 1 << 21
 #: Least count of an entry, and what is taken off it.
 LEAST, DISCOUNT = 3, 0.75
 REMEMBERED, FLUSH, CHUNK = 400_000, 2_000_000, 200_000
 END = xxhash.xxh64_intdigest(b"\n") >> 1
+#: In place of the context of a single token.
+SINGLE = -1
 
 
 class TokenHashes(dict):
@@ -69,31 +76,114 @@ def _batch(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v) for v in columns.values()], names=list(columns))
 
 
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.concatenate([p[0] for p in parts])
-    counts = np.concatenate([p[1] for p in parts])
-    found, of = np.unique(keys, return_inverse=True)
-    return found, np.bincount(of, counts, len(found)).astype(np.int64)
+def followed(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """Hash of the run of a context and the token behind it."""
+    x = context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + symbol.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return ((x ^ (x >> np.uint64(32))) >> np.uint64(1)).astype(np.int64)
 
 
-def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes, held, size = TokenHashes(), [], 0
+def runs(tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each length from 2, of the runs within a text: context, symbol, run, and place of the symbol.
+
+    The end token before a text belongs to its runs, as their first token only.
+    """
+    padded = np.r_[END, tokens]
+    context, at = padded[:-1], np.arange(len(tokens))
+    for length in range(2, DEPTH + 2):
+        symbol = tokens[at]
+        run = followed(context, symbol)
+        yield context, symbol, run, at
+        # A run goes on where its last token does not end the text.
+        on = symbol != END
+        context, at = run[on], at[on] + 1
+
+
+def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct key stands, and how often."""
+    if not len(key):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    return order[new], np.diff(np.r_[new, len(key)])
+
+
+def is_in(filter_: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """False only for keys that are not in the filter."""
+    word = filter_[(keys >> 6) & (len(filter_) - 1)]
+    return (word >> (keys & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def bit_filter(df: DataFrame, rows: int) -> np.ndarray:
+    """A bit for each hash in the only column; 16 bits a row up to FILTER_WORDS."""
+    words = 1 << min(FILTER_WORDS.bit_length() - 1, max(0, math.ceil(math.log2(max(rows, 1) / 4))))
+    out = np.zeros(words, np.uint64)
+    key = df.columns[0]
+    bits = (
+        df.select(F.expr(f"shiftright({key}, 6) & {words - 1}L AS word"), F.expr(f"shiftleft(1L, cast({key} & 63 AS int)) AS bit"))
+        .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    )
+    out[bits["word"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def _counted(lengths: tuple[int, ...], pairs=None):
+    """Counts of runs by context and symbol; with length 1, of tokens.
+
+    With a filter of the frequent pairs, only of runs all of whose pairs are in it: others are not frequent.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, held, size = TokenHashes(), [[] for _ in lengths], 0
+
+        def rows(parts: list) -> pa.RecordBatch:
+            key, context, symbol = (np.concatenate(c) for c in zip(*parts))
+            first, n = _groups(key)
+            return _batch({"context": context[first], "symbol": symbol[first], "n": n.astype(np.int64)})
+
+        for batch in batches:
+            for tokens, _ in chunks(batch.column(0).to_pylist(), hashes):
+                ok = None
+                if 1 in lengths:
+                    held[lengths.index(1)].append((tokens, np.full(len(tokens), SINGLE), tokens))
+                for length, (context, symbol, key, at) in enumerate(runs(tokens), 2):
+                    if pairs is not None:
+                        if length == 2:
+                            frequent = ok = is_in(pairs.value, key)
+                        else:
+                            # The run without its last token, and its last pair.
+                            before[before_at] = ok
+                            ok = before[at - 1] & frequent[at]
+                        before, before_at = np.zeros(len(tokens), bool), at
+                    if length in lengths:
+                        chosen = slice(None) if ok is None else ok
+                        held[lengths.index(length)].append((key[chosen], context[chosen], symbol[chosen]))
+                    if length >= max(lengths):
+                        break
+                size += len(tokens)
+                if size >= FLUSH:
+                    yield from map(rows, held)
+                    held, size = [[] for _ in lengths], 0
+        if size:
+            yield from map(rows, held)
+
+    return run
+
+
+def _with_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the run of an entry, and that run without its oldest token."""
     for batch in batches:
-        for tokens, _ in chunks(batch.column(0).to_pylist(), hashes):
-            held.append(np.unique(tokens, return_counts=True))
-            size += len(tokens)
-            if size >= FLUSH:
-                keys, counts = _merged(held)
-                yield _batch({"token": keys, "n": counts})
-                held, size = [], 0
-    if held:
-        keys, counts = _merged(held)
-        yield _batch({"token": keys, "n": counts})
+        symbol = batch.column("symbol").to_numpy()
+        context, parent = (batch.column(c).to_numpy() for c in ("context", "parent"))
+        shorter = np.where(parent == SINGLE, symbol, followed(parent, symbol))
+        more = [pa.array(followed(context, symbol)), pa.array(shorter)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "run", "shorter"])
 
 
 @dataclass
 class Vocabulary:
-    """Tokens with at least HELD_SHARE, by hash; ids go by falling count, so symbols come first."""
+    """Tokens with at least HELD_SHARE, by hash; ids go by falling count."""
 
     tokens: np.ndarray  # sorted
     ids: np.ndarray
@@ -103,11 +193,11 @@ class Vocabulary:
 
     @property
     def contexts(self) -> int:
-        return int(np.searchsorted(-self.counts, -max(CONTEXT_SHARE * self.total, 1.0), side="right"))
+        return len(self.counts)
 
     @property
     def symbols(self) -> int:
-        return int(np.searchsorted(-self.counts, -max(SYMBOL_SHARE * self.total, 1.0), side="right"))
+        return len(self.counts)
 
     def of(self, tokens: np.ndarray) -> np.ndarray:
         """Ids of tokens; -1 for those not held."""
@@ -117,68 +207,44 @@ class Vocabulary:
         return np.where(self.tokens[at] == tokens, self.ids[at], -1)
 
 
-def context_keys(ids: np.ndarray, starts: np.ndarray, end: int, k: int, depth: int) -> list[np.ndarray]:
-    """For each length 1 to `depth`, the key of the context before every token; -1 where there is none.
-
-    A key writes the ids as digits to the base k + 1, the newest token first; it is the parent's key
-    with one more digit in front.  Contexts do not reach back over the start of a text.
-    """
-    n = len(ids)
-    first = np.zeros(n, bool)
-    first[starts] = True
-    out = []
-    key = np.zeros(n, np.int64)
-    valid = np.ones(n, bool)
-    passed = np.zeros(n, bool)  # the start of the text has been taken in
-    position = np.arange(n)
-    began = np.zeros(n, bool)
-    for d in range(1, depth + 1):
-        at = position - d
-        digit = np.full(n, -1)
-        inside = at >= 0
-        digit[inside] = ids[at[inside]]
-        # The token d back belongs to another text if a start lies in between.
-        began |= np.where(position - d + 1 >= 0, first[np.maximum(position - d + 1, 0)], True)
-        digit = np.where(began, end, digit)
-        valid &= ~passed & (digit >= 0) & (digit < k)
-        passed |= began
-        key = key + (digit + 1) * (k + 1) ** (d - 1)
-        out.append(np.where(valid, key, -1))
-    return out
-
-
-def _entries(model, depth: int):
-    """Counts of contexts (symbol -1) and of contexts with a next symbol."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary: Vocabulary = model.value
-        k, symbols = vocabulary.contexts, vocabulary.symbols
-        end = int(vocabulary.of(np.array([END]))[0])
-        hashes, held, size = TokenHashes(), [], 0
-        width = symbols + 1
-
-        def rows() -> pa.RecordBatch:
-            keys, counts = _merged(held)
-            return _batch({"context": keys // width, "symbol": (keys % width - 1).astype(np.int32), "n": counts})
-
-        for batch in batches:
-            for tokens, starts in chunks(batch.column(0).to_pylist(), hashes):
-                ids = vocabulary.of(tokens)
-                symbol = np.where(ids < symbols, ids, -1)
-                for key in context_keys(ids, starts, end, k, depth):
-                    there = key >= 0
-                    code = key[there] * width
-                    held.append(np.unique(code, return_counts=True))
-                    named = symbol[there] >= 0
-                    held.append(np.unique(code[named] + symbol[there][named] + 1, return_counts=True))
-                size += len(tokens)
-                if size >= FLUSH:
-                    yield rows()
-                    held, size = [], 0
-        if held:
-            yield rows()
+@dataclass
+class Held:
+    """What every worker holds to score texts."""
 
-    return run
+    vocabulary: Vocabulary
+    root: np.ndarray  # log10 probability of each held token
+    runs: np.ndarray  # the most frequent runs that have a weight, sorted
+    weights: np.ndarray
+    filter: np.ndarray  # of all runs that have a weight
+
+    def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether the runs are held, and their weights."""
+        if not len(self.runs):
+            return np.zeros(len(keys), bool), np.zeros(len(keys))
+        at = np.minimum(np.searchsorted(self.runs, keys), len(self.runs) - 1)
+        there = self.runs[at] == keys
+        return there, np.where(there, self.weights[at], 0.0)
+
+    def scores(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, log10 probabilities by what is held, and the runs to be joined with their places."""
+        ids = self.vocabulary.of(tokens)
+        out = np.zeros(len(ids))
+        held = ids >= 0
+        out[held] = self.root[ids[held]]
+        first = np.r_[END, tokens[:-1]]
+        keys, places = [first], [np.arange(len(tokens))]
+        for _, symbol, run, at in runs(tokens):
+            keys.append(run)
+            # As a context the run counts for the token behind it, which is in the same text.
+            places.append(at)
+        key, place = np.concatenate(keys), np.concatenate(places)
+        maybe = is_in(self.filter, key)
+        key, place = key[maybe], place[maybe]
+        order = np.argsort(key)
+        key, place = key[order], place[order]
+        there, weight = self.look_up(key)
+        out += np.bincount(place[there], weight[there], len(tokens))
+        return ids, out, key[~there], place[~there]
 
 
 @dataclass
@@ -186,7 +252,7 @@ class Tree:
     """Retained contexts as states 1, 2, ..., the root being state 0, and their distributions."""
 
     vocabulary: Vocabulary
-    keys: np.ndarray  # of the states, sorted
+    keys: np.ndarray  # of the states, sorted; ids as digits to the base contexts + 1, the newest last
     states: np.ndarray
     parent: np.ndarray  # by state: longest retained proper suffix
     spread: np.ndarray  # by state: log10 of the share that goes by the parent
@@ -195,49 +261,15 @@ class Tree:
     root: np.ndarray  # log10 probability of each held token
     norm: float
 
-    def state_of(self, keys: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.zeros(len(keys), int)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where((self.keys[at] == keys) & (keys >= 0), self.states[at], 0)
 
-    def scores(self, tokens: np.ndarray, starts: np.ndarray):
-        """Per token: its id, and the log10 probability, without the root's part for tokens not held."""
-        v = self.vocabulary
-        ids = v.of(tokens)
-        end = int(v.of(np.array([END]))[0])
-        state = np.zeros(len(ids), int)
-        for key in context_keys(ids, starts, end, v.contexts, DEPTH):
-            found = self.state_of(key)
-            state = np.where(found > 0, found, state)
-        out = np.zeros(len(ids))
-        symbols = v.symbols
-        todo = np.flatnonzero(state > 0)
-        open_ = np.ones(len(ids), bool)
-        while len(todo):
-            named = (ids[todo] >= 0) & (ids[todo] < symbols)
-            code = state[todo] * symbols + np.where(named, ids[todo], 0)
-            at = np.minimum(np.searchsorted(self.entries, code), max(0, len(self.entries) - 1))
-            hit = named & (self.entries[at] == code) if len(self.entries) else np.zeros(len(todo), bool)
-            out[todo[hit]] += self.log[at[hit]]
-            open_[todo[hit]] = False
-            todo = todo[~hit]
-            out[todo] += self.spread[state[todo]]
-            state[todo] = self.parent[state[todo]]
-            todo = todo[state[todo] > 0]
-        held = open_ & (ids >= 0)
-        out[held] += self.root[ids[held]]
-        return ids, out
-
-
-def grow(vocabulary: Vocabulary, rows) -> Tree:
+def grow(vocabulary: Vocabulary, rows: list[tuple[int, int, int, int, int]]) -> Tree:
     """The tree from retained rows of context, depth, total, symbol, n."""
     norm = vocabulary.total + vocabulary.distinct + 1
     root = np.log10((vocabulary.counts + 1) / norm)
     base = vocabulary.contexts + 1
     of: dict[int, tuple[int, int, list[tuple[int, int]]]] = {}
-    for r in rows.itertuples(index=False):
-        of.setdefault(int(r.context), (int(r.depth), int(r.total), []))[2].append((int(r.symbol), int(r.n)))
+    for context, depth, total, symbol, n in rows:
+        of.setdefault(context, (depth, total, []))[2].append((symbol, n))
     order = sorted(of, key=lambda c: (of[c][0], c))
     number = {c: k + 1 for k, c in enumerate(order)}
     parent, spread = np.zeros(len(order) + 1, int), np.zeros(len(order) + 1)
@@ -273,10 +305,10 @@ def grow(vocabulary: Vocabulary, rows) -> Tree:
 
 
 def _scored(model):
-    """Rows of (document, what, value): sums for the tokens held under negative names, other tokens by count."""
+    """Rows of (document, what, value): sums for the tokens held under negative names, other tokens and runs by count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree: Tree = model.value
+        tree: Held = model.value
         hashes = TokenHashes()
         for batch in batches:
             documents = batch.column(0).to_numpy()
@@ -284,7 +316,7 @@ def _scored(model):
             for tokens, starts in chunks(batch.column(1).to_pylist(), hashes):
                 own = documents[done : done + len(starts)]
                 done += len(starts)
-                ids, logs = tree.scores(tokens, starts)
+                ids, logs, runs_, places = tree.scores(tokens)
                 held = ids >= 0
                 base = np.zeros(len(ids))
                 base[held] = tree.root[ids[held]]
@@ -298,9 +330,10 @@ def _scored(model):
                     (SCORE, np.add.reduceat(logs, starts)),
                 ]
                 rest = np.flatnonzero(~held)
-                # Each other token once per text, with how often it stands there.
-                order = np.lexsort((tokens[rest], of[rest]))
-                doc, token = of[rest][order], tokens[rest][order]
+                # Each other token and run once per text, with how often it stands there.
+                doc, token = np.r_[of[rest], of[places]], np.r_[tokens[rest], FIRST_RUN - runs_]
+                order = np.lexsort((token, doc))
+                doc, token = doc[order], token[order]
                 new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (token[1:] != token[:-1])]) if len(doc) else []
                 often = np.diff(np.r_[new, len(doc)]).astype(float) if len(doc) else np.empty(0)
                 yield _batch(
@@ -317,6 +350,8 @@ def _scored(model):
 
 
 ROWS, TOKENS, KNOWN, BASE, SCORE = -1, -2, -3, -4, -5
+#: Runs stand under the names from here down.
+FIRST_RUN = -6
 
 
 def _text(df: DataFrame, text_col: str) -> Column:
@@ -324,16 +359,18 @@ def _text(df: DataFrame, text_col: str) -> Column:
 
 
 class Model:
-    """Counts of all training tokens, and the tree over the frequent ones."""
+    """Counts of all training tokens, and the tree over all of them as tables."""
 
     def __init__(self, df: DataFrame, text_col: str = "text"):
         spark = df.sparkSession
         prepare(spark)
         texts = df.select(_text(df, text_col).alias("text"))
-        counted = texts.mapInArrow(_token_counts, "token long, n long")
-        self.counts = written(counted.groupBy("token").agg(F.sum("n").alias("n")), "token_counts")
+        found = "context long, symbol long, n long"
+        pairs = self._summed(texts.mapInArrow(_counted((1, 2)), found), "pair_counts")
+        self.counts = pairs.where(F.col("context") == SINGLE).select(F.col("symbol").alias("token"), "n")
         row = self.counts.agg(F.sum("n").alias("total"), F.count("*").alias("distinct")).first()
         self.total, self.distinct = row["total"] or 0, row["distinct"]
+        self.norm = float(self.total + self.distinct + 1)
         self.least = max(1, math.ceil(HELD_SHARE * self.total))
         # At most 1 / HELD_SHARE rows.
         held = self.counts.where(F.col("n") >= self.least).toPandas().sort_values(
@@ -341,50 +378,109 @@ class Model:
         )
         tokens = held["token"].to_numpy(np.int64)
         order = np.argsort(tokens)
-        vocabulary = Vocabulary(
+        self.vocabulary = Vocabulary(
             tokens[order], order.astype(np.int64), held["n"].to_numpy(np.int64), self.total, self.distinct
         )
-        self.tree = grow(vocabulary, self._retained(spark, texts, vocabulary))
         self.spark = spark
+        self._build(texts, pairs.where(F.col("context") != SINGLE))
 
-    def _retained(self, spark, texts: DataFrame, vocabulary: Vocabulary):
-        base = vocabulary.contexts + 1
-        depth = max(1, min(DEPTH, int(62 / math.log2((base + 1))) - 1 if base > 1 else 1))
-        while depth > 1 and base**depth * (vocabulary.symbols + 1) >= 1 << 62:
-            depth -= 1
-        counted = texts.mapInArrow(
-            _entries(spark.sparkContext.broadcast(vocabulary), depth), "context long, symbol int, n long"
-        )
-        least = max(LEAST, math.ceil(ENTRY_SHARE * self.total))
-        entries = written(
-            counted.groupBy("context", "symbol").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "entries"
+    def _summed(self, counted: DataFrame, name: str) -> DataFrame:
+        frequent = (F.col("context") == SINGLE) | (F.col("n") >= LEAST)
+        return written(counted.groupBy("context", "symbol").agg(F.sum("n").alias("n")).where(frequent), name)
+
+    def _build(self, texts: DataFrame, entries: DataFrame) -> None:
+        singles = self.counts.select(F.col("token").alias("symbol"), F.col("n").alias("parent_n"))
+        above = entries.join(singles, "symbol").join(
+            self.counts.select(F.col("token").alias("context"), F.col("n").alias("total")), "context"
         )
-        length = F.lit(0)
-        for d in range(depth):
-            length = length + (F.col("context") >= base**d).cast("int")
-        totals = entries.where("symbol = -1").select("context", F.col("n").alias("total"))
-        named = (
-            entries.where("symbol >= 0").join(totals, "context").withColumn("depth", length)
-            .withColumn("parent", F.expr("context % CASE depth " + " ".join(f"WHEN {d + 1} THEN {base**d}L" for d in range(depth)) + " END"))
+        joined = above.select(
+            "context", "symbol", "n", "total", F.lit(SINGLE).cast("long").alias("parent"), "parent_n",
+            F.lit(self.total).cast("long").alias("parent_total"), ((F.col("parent_n") + 1) / F.lit(self.norm)).alias("below"),
         )
-        above = named.select(
-            F.col("context").alias("parent"), "symbol", F.col("n").alias("parent_n"), F.col("total").alias("parent_total")
-        )
-        # A context without its oldest token is a context as frequent at least; that of one token is the root.
-        roots = spark.createDataFrame(
-            [(0, k, int(n), self.total) for k, n in enumerate(vocabulary.counts[: vocabulary.symbols].tolist())],
-            "parent long, symbol int, parent_n long, parent_total long",
-        )
-        both = named.join(above.unionByName(roots), ["parent", "symbol"])
+        self.levels = [self._level(joined, 1)]
+        pairs = self.levels[0].select("run")
+        model = self.spark.sparkContext.broadcast(bit_filter(pairs, pairs.count()))
+        longer = tuple(range(3, DEPTH + 2))
+        counted = self._summed(texts.mapInArrow(_counted(longer, model), "context long, symbol long, n long"), "run_counts")
+        for depth in range(2, DEPTH + 1):
+            last = self.levels[-1]
+            contexts = last.select(F.col("run").alias("context"), F.col("n").alias("total"), F.col("shorter").alias("parent"))
+            # An entry without its oldest token is an entry of the level below.
+            parents = last.select(
+                F.col("context").alias("parent"), "symbol", F.col("n").alias("parent_n"),
+                F.col("total").alias("parent_total"), F.col("probability").alias("below"),
+            )
+            # Runs of all lengths are counted together; the join with their contexts tells them apart.
+            joined = counted.join(contexts, "context").join(parents, ["parent", "symbol"])
+            self.levels.append(self._level(joined, depth))
+        self._weigh()
+
+    def _level(self, joined: DataFrame, depth: int) -> DataFrame:
+        """Entries of a level; rest is the share of a retained context's parent, missing for other contexts."""
+        columns = ["context", "symbol", "n", "total", "parent", "parent_n", "parent_total", "below"]
+        rows = written(joined.select(columns), f"level_{depth}")
         p, q = F.col("n") / F.col("total"), F.col("parent_n") / F.col("parent_total")
         tests = (
-            both.groupBy("context", "total")
-            .agg(F.sum(p * F.log(p / q)).alias("gain"), F.sum(p).alias("p"), F.sum(q).alias("q"), F.count("*").alias("k"))
-            .withColumn("rest", F.when((F.col("p") < 1) & (F.col("q") < 1), (1 - F.col("p")) * F.log((1 - F.col("p")) / (1 - F.col("q")))).otherwise(0.0))
-            .where("total * (gain + rest) > 0.5 * k * ln(total)")
-            .select("context")
+            rows.groupBy("context", "total")
+            .agg(
+                F.sum(p * F.log(p / q)).alias("gain"), F.sum(p).alias("p"), F.sum(q).alias("q"), F.count("*").alias("k"),
+                (1 - F.sum(F.col("n") - DISCOUNT) / F.col("total")).alias("rest"),
+            )
+            .withColumn("other", F.when((F.col("p") < 1) & (F.col("q") < 1), (1 - F.col("p")) * F.log((1 - F.col("p")) / (1 - F.col("q")))).otherwise(0.0))
+            .where("total * (gain + other) > 0.5 * k * ln(total)")
+            .select("context", "rest")
         )
-        return named.join(tests, "context", "left_semi").select("context", "depth", "total", "symbol", "n").toPandas()
+        own = (F.col("n") - DISCOUNT) / F.col("total") + F.col("rest") * F.col("below")
+        told = rows.join(tests, "context", "left").select(
+            "context", "symbol", "n", "total", "parent", "below", "rest", F.coalesce(own, "below").alias("probability")
+        )
+        schema = "context long, symbol long, n long, total long, parent long, below double, rest double, probability double, run long, shorter long"
+        return written(told.mapInArrow(_with_runs, schema), f"entries_{depth}")
+
+    def _weigh(self) -> None:
+        parts = []
+        for rows in self.levels:
+            kept = rows.where("rest IS NOT NULL")
+            parts.append(kept.selectExpr("run", "log10(probability) - log10(below) - log10(rest) AS weight", "n"))
+            parts.append(kept.groupBy(F.col("context").alias("run")).agg(
+                F.log10(F.first("rest")).alias("weight"), F.first("total").alias("n")
+            ))
+        both = parts[0]
+        for part in parts[1:]:
+            both = both.unionByName(part)
+        summed = both.groupBy("run").agg(F.sum("weight").alias("weight"), F.max("n").alias("n"))
+        weights = written(summed, "weights")
+        rows, above = weights.count(), 0
+        if rows > HELD_WEIGHTS:
+            above = weights.agg(F.percentile_approx("n", 1 - HELD_WEIGHTS / rows, 10_000)).first()[0]
+        held = weights.where(F.col("n") > above).select("run", "weight").toArrow()
+        keys = held["run"].to_numpy()
+        order = np.argsort(keys)
+        root = np.log10((self.vocabulary.counts + 1) / self.norm)
+        self.held = Held(
+            self.vocabulary, root, keys[order], held["weight"].to_numpy()[order], bit_filter(weights.select("run"), rows)
+        )
+        self.weights = weights.where(F.col("n") <= above)
+
+    @cached_property
+    def tree(self) -> Tree:
+        """The retained contexts and entries of held tokens, to look into a small model; scoring uses the tables."""
+        v = self.vocabulary
+        base = v.contexts + 1
+        key = {int(t): int(k) + 1 for t, k in zip(v.tokens, v.ids)}
+        id_of = {t: k - 1 for t, k in key.items()}
+        oldest = {t: t for t in key}
+        out = []
+        for depth, rows in enumerate(self.levels, 1):
+            for r in rows.toPandas().itertuples(index=False):
+                if r.context not in key or r.symbol not in id_of:
+                    continue
+                if r.rest == r.rest:
+                    out.append((key[r.context], depth, r.total, id_of[r.symbol], r.n))
+                if r.shorter in key:
+                    oldest[r.run] = oldest[r.context]
+                    key[r.run] = key[r.shorter] + (id_of[oldest[r.run]] + 1) * base**depth
+        return grow(v, out)
 
     def score(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """One row per row of `df`: id, n_tokens, n_known, base_score, score.
@@ -398,24 +494,25 @@ class Model:
             quoted(id_col).alias("id"), F.xxhash64(quoted(id_col).cast("string"), text).alias("document"), text.cast("binary").alias("text")
         )
         rows = docs.select("document", "text").mapInArrow(
-            _scored(self.spark.sparkContext.broadcast(self.tree)), "document long, token long, value double"
+            _scored(self.spark.sparkContext.broadcast(self.held)), "document long, token long, value double"
         )
-        others = self.counts.where(F.col("n") < self.least)
-        norm = self.tree.norm
+        others = self.counts.where(F.col("n") < self.least).select("token", "n", F.lit(None).cast("double").alias("weight"))
+        other_runs = self.weights.select((F.lit(FIRST_RUN) - F.col("run")).alias("token"), F.lit(None).cast("long").alias("n"), "weight")
+        norm = self.norm
         single = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(norm)) * F.col("value")
 
         def total(what: int) -> Column:
             return F.sum(F.when(F.col("token") == what, F.col("value")).otherwise(0.0))
 
         sums = (
-            rows.join(others, "token", "left")
+            rows.join(others.unionByName(other_runs), "token", "left")
             .groupBy("document")
             .agg(
                 total(ROWS).alias("rows"),
                 total(TOKENS).alias("tokens"),
                 (total(KNOWN) + F.sum(F.when(F.col("n").isNotNull(), F.col("value")).otherwise(0.0))).alias("known"),
                 total(BASE).alias("base"),
-                total(SCORE).alias("tree"),
+                (total(SCORE) + F.sum(F.coalesce(F.col("weight") * F.col("value"), F.lit(0.0)))).alias("tree"),
                 F.sum(F.when(F.col("token") >= 0, single).otherwise(0.0)).alias("single"),
             )
         )

@@ -138,3 +138,32 @@ def test_odd_tables(spark, model):
     nothing = S.Model(df.limit(0))
     row = nothing.score(df.where("doc_id = 7")).first()
     assert (row.n_tokens, row.n_known, row.base_score, row.score) == (2, 0, 0.0, 0.0)
+
+
+def rare_contexts():
+    """'zig' and 'zag' are less than one in 2,000 tokens each; 'zag' always follows 'zig'."""
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(4000)}" for _ in range(100)) for _ in range(300)]
+    return [(k, t + (" zig zag" if k < 8 else "")) for k, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("held_share, held_weights", [(1e-6, 4_000_000), (0.01, 4)])
+def test_rare_tokens_are_contexts_and_symbols(spark, monkeypatch, held_share, held_weights):
+    monkeypatch.setattr(S, "HELD_SHARE", held_share)
+    monkeypatch.setattr(S, "HELD_WEIGHTS", held_weights, raising=False)
+    model = S.Model(spark.createDataFrame(rare_contexts(), SCHEMA).repartition(3))
+    row = model.score(spark.createDataFrame([(1, "zig zag")], SCHEMA)).first()
+    # 'zag' nearly certain after 'zig', the end nearly certain after 'zag'.
+    p = {w: math.log10((n + 1) / model.norm) for w, n in (("zig", 8), ("zag", 8), ("end", 300))}
+    assert row.base_score == pytest.approx(sum(p.values()))
+    assert row.score > row.base_score + 3.5
+
+
+def test_joined_weights_give_the_same_scores(spark, model, monkeypatch):
+    monkeypatch.setattr(S, "HELD_SHARE", 0.01)
+    monkeypatch.setattr(S, "HELD_WEIGHTS", 5, raising=False)
+    joined = S.Model(spark.createDataFrame(corpus(), SCHEMA).repartition(3))
+    assert joined.weights.count() > 0
+    docs = spark.createDataFrame([*corpus()[:30], (900, "a b unknown a c d e c f f"), (901, None)], SCHEMA)
+    want = {r.doc_id: r.score for r in model.score(docs).collect()}
+    assert {r.doc_id: r.score for r in joined.score(docs).collect()} == pytest.approx(want)
