@@ -11,8 +11,8 @@ itself.  With m pages that have the node, its importance is
 * 1 if only one page has it.
 
 A branch is removed from a page if no node in it reaches the threshold.  What names itself as a
-menu, header, footer, sidebar, notice, advert, form, script, style or comment has importance 0,
-and the main text's own headings and paragraphs have importance 1: copies of an article on one host
+menu, header, footer, sidebar, notice, advert, form, script, style or comment has importance 0, but
+a class, id or form does not drop the main text (see `settle`), and the main text's own headings and paragraphs have importance 1: copies of an article on one host
 are no template.  A page that marks its main text has nothing else.
 """
 
@@ -41,14 +41,14 @@ BLOCK = set(
     "tbody td tfoot th thead tr ul".split()
 )
 HIDDEN = set("head script style noscript template title svg math iframe object canvas audio video".split())
-NOISE_TAGS = set("nav header footer aside form button select option textarea menu dialog input label".split()) | HIDDEN
+NOISE_TAGS = set("nav header footer aside button select option textarea menu dialog input label".split()) | HIDDEN
 NOISE_NAMES = set(
     "ad ads advert advertisement advertising adverts aside banner breadcrumb breadcrumbs comment comments consent "
     "cookie cookies copyright disqus foot footer gdpr head header masthead menu modal nav navbar navigation newsletter "
     "notice notices overlay pager pagination popup promo promotion related search share sharing sidebar signup social "
     "sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
-NOISE_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+NOISE_ROLES = set("navigation banner contentinfo complementary search dialog alert menu menubar".split())
 MAIN_TAGS, MAIN_ROLES = {"article", "main"}, {"main", "article"}
 PLAIN = set("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 #: Elements that an opening tag ends: a paragraph by any block, an item by the next one.
@@ -65,6 +65,7 @@ class Node:
     tag: str
     path: str = ""
     noise: bool = False
+    named_noise: bool = False  # a noise name, or a form: noise unless it holds the main text
     main: bool = False
     named: bool = False
     children: list = field(default_factory=list)  # nodes and strings, in page order
@@ -80,6 +81,7 @@ class Page(HTMLParser):
         self.open = [self.root]
         self.feed(UNFINISHED.sub("", html))
         self.close()
+        settle(self.root)
 
     def _end(self, tags: set[str], scope: set[str]) -> None:
         for at in range(len(self.open) - 1, 0, -1):
@@ -101,11 +103,13 @@ class Page(HTMLParser):
         role = given.get("role", "").lower()
         above = self.open[-1]
         label = re.sub(r"\d+", "0", ".".join([tag, *sorted(given.get("class", "").split()), given.get("id", ""), role]))
+        main = tag in MAIN_TAGS or role in MAIN_ROLES
         node = Node(
             tag,
             path=f"{above.path}/{label}",
-            noise=tag in NOISE_TAGS or role in NOISE_ROLES or bool(names & NOISE_NAMES) and tag not in ("body", "html"),
-            main=tag in MAIN_TAGS or role in MAIN_ROLES,
+            noise=tag in NOISE_TAGS or role in NOISE_ROLES,
+            named_noise=not main and (tag == "form" or role == "form" or bool(names & NOISE_NAMES) and tag not in ("body", "html")),
+            main=main,
             named=bool(names or role),
         )
         above.children.append(node)
@@ -146,6 +150,35 @@ def walk(root: Node) -> list[Node]:
     return out
 
 
+def settle(root: Node) -> None:
+    """Make branches with a noise name noise, but not those with the main text.
+
+    Such a branch stays if it has more than half of the text of the main element that it is in, or
+    else of the page; or if it has a main element and all that the page has are in such branches.
+    """
+    order = walk(root)
+    size: dict[int, int] = {}
+    mains: dict[int, bool] = {}
+    for node in reversed(order):
+        nodes = [c for c in node.children if isinstance(c, Node) and not c.noise]
+        own = sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+        size[id(node)] = own + sum(size[id(c)] for c in nodes)
+        mains[id(node)] = node.main or any(mains[id(c)] for c in nodes)
+    of, off, outside = {id(root): size[id(root)]}, {id(root): False}, False
+    for node in order:
+        if node.main and not off[id(node)]:
+            outside = True
+        for c in node.children:
+            if isinstance(c, Node):
+                if c.named_noise and 2 * size[id(c)] > of[id(node)]:
+                    c.named_noise = False
+                off[id(c)] = off[id(node)] or c.noise or c.named_noise
+                inside = of[id(node)] != of[id(root)]
+                of[id(c)] = size[id(c)] if c.main and not inside else of[id(node)]
+    for node in order:
+        node.noise |= node.named_noise and (outside or not mains[id(node)])
+
+
 def observations(root: Node) -> set[tuple[int, int, int]]:
     """(node, kind, feature) of a page: kind 0 that it is there, 1 a style, 2 a content feature."""
     seen = set()

@@ -70,3 +70,18 @@ def test_odd_tables(spark):
     rows = P.extract(df.union(df)).collect()
     assert len(rows) == 8 and sorted(r.text for r in rows) == ["", "", "", "", "a", "a", "a", "a"]
     assert P.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<div class='content has-sidebar'><article><p>a b c</p></article><div class=sidebar>s</div></div>", "a b c"),
+        ("<main class='no-sidebar'><p>a</p></main>", "a"),
+        ("<p>out</p><article class='post share-enabled'>a</article>", "a"),
+        ("<div id='header-main'><main>a</main></div><div>a longer text outside</div>", "a"),
+        ("<form><input><div><p>The whole page is a form.</p></div><div>end</div></form>", "The whole page is a form.\nend"),
+        ("<article>the main text</article><div class=related><article>teaser</article></div>", "the main text"),
+    ],
+)
+def test_names_do_not_drop_the_main_text(spark, html, text):
+    assert P.extract(frame(spark, ("http://x.com/a", html))).first().text == text
