@@ -12,8 +12,10 @@ itself.  With m pages that have the node, its importance is
 
 A branch is removed from a page if no node in it reaches the threshold.  What names itself as a
 menu, header, footer, sidebar, notice, advert, form, script, style or comment has importance 0, but
-a class, id or form does not drop the main text (see `settle`), and the main text's own headings and paragraphs have importance 1: copies of an article on one host
-are no template.  A page that marks its main text has nothing else.
+a class, id or form does not drop the main text (see `settle`).  A page that marks its main text has
+nothing else.  Blocks within it are judged by their place and whole text: 1 minus log_m of the number
+of distinct main texts of the host that have the text there, of m that have the block.  As distinct
+main texts count, copies of an article on one host are no template.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ from .common import prepare, quoted, small_side, written
 from .hosts import host_of
 
 THRESHOLD = 0.2
+#: Distinct main texts from which one text can be told to be a template.
+LEAST_TEXTS = 3
 
 # Elements of HTML by their role, and names that pages give to what is no main text.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
@@ -179,37 +183,82 @@ def settle(root: Node) -> None:
         node.noise |= node.named_noise and (outside or not mains[id(node)])
 
 
-def observations(root: Node) -> set[tuple[int, int, int]]:
-    """(node, kind, feature) of a page: kind 0 that it is there, 1 a style, 2 a content feature."""
+def contents(order: list[Node]) -> dict[int, int]:
+    """Hash of the text of every branch, 0 where it has none; noise does not count."""
+    out: dict[int, int] = {}
+    for node in reversed(order):
+        parts = []
+        for c in node.children:
+            part = " ".join(c.split()) if isinstance(c, str) else "" if c.noise else str(out[id(c)] or "")
+            if part:
+                parts.append(part)
+        out[id(node)] = key_of("|".join(parts)) if parts else 0
+    return out
+
+
+def regions(order: list[Node]) -> tuple[dict[int, bool], dict[int, bool], bool]:
+    """Which nodes are in main text, which are dropped as noise, and whether any main text is left."""
+    inside: dict[int, bool] = {id(order[0]): False}
+    dropped: dict[int, bool] = {id(order[0]): False}
+    marked = False
+    for node in order:
+        for c in node.children:
+            if isinstance(c, Node):
+                inside[id(c)] = inside[id(node)] or c.main
+                dropped[id(c)] = dropped[id(node)] or c.noise
+                marked |= inside[id(c)] and not dropped[id(c)]
+    return inside, dropped, marked
+
+
+def judged(node: Node, inside: dict[int, bool], text: dict[int, int]) -> bool:
+    """Blocks within main text are judged by their whole text, too."""
+    return inside[id(node)] and not node.main and node.tag in BLOCK and text[id(node)] != 0
+
+
+def text_key(node: Node, text: dict[int, int]) -> int:
+    return key_of(f"{node.path}\n{text[id(node)]}")
+
+
+def observations(root: Node) -> set[tuple[int, int, int, int | None]]:
+    """(node, kind, feature, main text) of a page.
+
+    Kind 0 is that the node is there, 1 a style, 2 a content feature; of blocks in the main text 3 is
+    the whole text and 4 that there is one, with the hash of the page's main text.
+    """
     seen = set()
-    for node in walk(root):
+    order = walk(root)
+    inside, dropped, marked = regions(order)
+    text_of = contents(order) if marked else {}
+    whole = None
+    if marked:
+        outer = [n for n in order if n.main and not dropped[id(n)]]
+        whole = key_of("|".join(str(text_of[id(n)]) for n in outer))
+    for node in order:
         key = key_of(node.path)
-        seen.add((key, 0, 0))
+        seen.add((key, 0, 0, None))
         style = "|".join(c.path for c in node.children if isinstance(c, Node))
-        seen.add((key, 1, key_of(style)))
+        seen.add((key, 1, key_of(style), None))
         text = " ".join(" ".join(c for c in node.children if isinstance(c, str)).split())
         for feature in [*filter(None, [text]), *node.links]:
-            seen.add((key, 2, key_of(feature)))
+            seen.add((key, 2, key_of(feature), None))
+        if marked and not dropped[id(node)] and judged(node, inside, text_of):
+            seen.add((key, 3, text_key(node, text_of), whole))
+            seen.add((key, 4, 0, whole))
     return seen
 
 
 def main_text(root: Node, low: frozenset[int] | set[int]) -> str:
     """Blocks of the page without its low branches, joined by line feeds."""
     order = walk(root)
-    inside: dict[int, bool] = {id(root): False}
-    dropped: dict[int, bool] = {id(root): False}
-    marked = False
-    for node in order:
-        for c in node.children:
-            if isinstance(c, Node):
-                inside[id(c)] = inside[id(node)] or c.main
-                dropped[id(c)] = dropped[id(node)] or c.noise
-                marked |= inside[id(c)] and not dropped[id(c)]
+    inside, dropped, marked = regions(order)
+    text_of = contents(order) if marked and low else {}
     worth: dict[int, bool] = {}
     for node in reversed(order):
         within = inside[id(node)]
         own = (within and (node.tag in PLAIN or not node.named)) or key_of(node.path) not in low
         worth[id(node)] = own or any(worth[id(c)] for c in node.children if isinstance(c, Node))
+        if text_of and judged(node, inside, text_of) and text_key(node, text_of) in low:
+            worth[id(node)] = False
 
     blocks: list[str] = []
     run: list[str] = []
@@ -245,17 +294,18 @@ def main_text(root: Node, low: frozenset[int] | set[int]) -> str:
 
 def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        host, node, kind, feature, weight = [], [], [], [], []
+        host, node, kind, feature, weight, page = [], [], [], [], [], []
         for h, html, w in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            for n, k, f in observations(Page(html or "").root):
+            for n, k, f, p in observations(Page(html or "").root):
                 host.append(h)
                 node.append(n)
                 kind.append(k)
                 feature.append(f)
                 weight.append(w)
-        types = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.float64())
-        arrays = [pa.array(v, t) for v, t in zip((host, node, kind, feature, weight), types)]
-        yield pa.RecordBatch.from_arrays(arrays, names=["host", "node", "kind", "feature", "weight"])
+                page.append(p)
+        types = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.int64())
+        arrays = [pa.array(v, t) for v, t in zip((host, node, kind, feature, weight, page), types)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["host", "node", "kind", "feature", "weight", "page"])
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,10 +318,33 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, names=["id", "url", "text"])
 
 
+def counted(pages: DataFrame) -> DataFrame:
+    """Pages, or distinct main texts, with each observation; from host, html, weight."""
+    seen = pages.mapInArrow(_observed, "host string, node long, kind int, feature long, weight double, page long")
+    return seen.groupBy("host", "node", "kind", "feature").agg(
+        F.when(F.col("kind") < 3, F.round(F.sum("weight"), 3)).otherwise(F.count_distinct("page")).alias("n")
+    )
+
+
+def low_texts(counts: DataFrame, threshold: float) -> DataFrame:
+    """Texts of blocks that stand in most main texts of a host that have the block: host, node (their key)."""
+    texts = counts.where(f"kind = 3 AND n >= {LEAST_TEXTS}").select("host", "node", "feature", "n")
+    all_ = counts.where(f"kind = 4 AND n >= {LEAST_TEXTS}").select("host", "node", F.col("n").alias("m"))
+    same_host = F.expr("a.host <=> b.host AND a.node = b.node")
+    return (
+        texts.alias("a").join(all_.alias("b"), same_host)
+        .where(1 - F.log("n") / F.log("m") < threshold)
+        .select("a.host", F.col("feature").alias("node"))
+    )
+
+
 def style_tree(pages: DataFrame) -> DataFrame:
     """Importance of each node of each host: host, node, m, importance; from host, html, weight."""
-    seen = pages.mapInArrow(_observed, "host string, node long, kind int, feature long, weight double")
-    counts = seen.groupBy("host", "node", "kind", "feature").agg(F.round(F.sum("weight"), 3).alias("n"))
+    return importances(counted(pages))
+
+
+def importances(counts: DataFrame) -> DataFrame:
+    counts = counts.where("kind < 3")
     nodes = counts.groupBy("host", "node").agg(
         F.max(F.when(F.col("kind") == 0, F.col("n"))).alias("m"),
         F.sum(F.when(F.col("kind") == 1, F.col("n") * F.log("n"))).alias("styles"),
@@ -310,9 +383,10 @@ def extract(
     single = keyed.join(small_side(copies, copies.count()), ["host", "hash"], "left").select(
         "host", "html", (1 / F.coalesce("of", F.lit(1))).alias("weight")
     )
-    low = written(
-        style_tree(single).where(F.col("importance") < threshold).select("host", "node"), "low"
-    )
+    # Texts of too few pages are left out early: nearly all of them.
+    counts = written(counted(single).where(f"kind < 3 OR n >= {LEAST_TEXTS}"), "observed")
+    low = importances(counts).where(F.col("importance") < threshold).select("host", "node")
+    low = written(low.unionByName(low_texts(counts, threshold)), "low")
     by_host = low.groupBy("host").agg(F.collect_list("node").alias("low"))
     joined = pages.join(small_side(by_host, low.count(), 500_000), "host", "left").select("id", "url", "html", "low")
     kind = {c: pages.schema[c].dataType.simpleString() for c in ("id", "url")}

@@ -72,6 +72,17 @@ def test_odd_tables(spark):
     assert P.extract(df.limit(0)).count() == 0
 
 
+def test_template_within_the_main_text_is_removed(spark):
+    rows = [
+        (f"http://x.com/{k}", f"<article><h1>Title {k}</h1><p>Text number {k}, <b>Note</b> {k * 7}.</p><p>Subscribe to us.</p><div><p>All rights</p></div></article>")
+        for k in range(6)
+    ]
+    copies = [(f"http://y.com/{k}", f"<p>{k}</p><article><h1>T</h1><p>Same text.</p></article>") for k in range(6)]
+    got = {r.url: r.text for r in P.extract(frame(spark, *rows, *copies)).collect()}
+    assert {got[f"http://x.com/{k}"] for k in range(6)} == {f"Title {k}\nText number {k}, Note {k * 7}." for k in range(6)}
+    assert {got[f"http://y.com/{k}"] for k in range(6)} == {"T\nSame text."}
+
+
 @pytest.mark.parametrize(
     "html, text",
     [
