@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .centroids import CLUSTERS, DIMENSIONS, ROUNDS, SCALE
+from .centroids import SEED as CLUSTER_SEED
 from .hosts import BLOCK_ABOVE, REGISTRY, RHO, Z
 from .mixing import MAX_COPIES, SEED, WEIGHTS
 from .queries import URL_RULES
@@ -121,4 +123,81 @@ SELECT doc_id, size, source_size, target,
   (CASE WHEN size > 0 THEN whole + coalesce((upto - size / 2 <= need)::int, 0) ELSE 0 END)::bigint * size AS taken
 FROM running r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source JOIN needs n ON r.source IS NOT DISTINCT FROM n.source"""
 
-ORACLES: dict[str, str] = {"op3_mixing": OP3, "op4_quality": OP4, "op5_hosts": OP5, "op6_jaccard": OP6}
+
+#: crc32 of a number's decimal digits: bytes are taken in, each followed by eight shifts.
+CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(
+  string_split(CAST({} AS VARCHAR), ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END))"""
+
+OP11 = f"""
+WITH turns AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    md5(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS digest,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT DISTINCT conv_id, {CRC32.format("conv_id")} % 9 AS h, conv_id - conv_id % 5 AS base FROM turns),
+rebuilt AS (SELECT c.conv_id, 0 AS own, t.place, t.digest, strlen(t.text) AS size
+    FROM convs c JOIN turns t ON t.conv_id = c.base AND t.place <= c.h
+  UNION ALL SELECT c.conv_id, 1, t.place, t.digest, strlen(t.text)
+    FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.place > c.h),
+steps AS (SELECT conv_id, size, row_number() OVER w AS depth, string_agg(digest, '') OVER w AS path
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY own, place)),
+prefixes AS (SELECT conv_id, depth, path, size FROM steps UNION ALL SELECT conv_id, 0, '', 0 FROM convs),
+nodes AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(size) AS size
+  FROM prefixes GROUP BY path, depth),
+lengths AS (SELECT conv_id, max_by(path, depth) AS path FROM prefixes GROUP BY conv_id),
+ended AS (SELECT path, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends_sha256
+  FROM lengths GROUP BY path),
+children AS (SELECT left(path, 32 * (depth - 1)) AS path, count(*) AS n_children FROM nodes
+  WHERE depth > 0 GROUP BY ALL),
+valued AS (SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c USING (path)),
+above AS (SELECT left(path, 32 * up) AS path, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+    sum((n_convs - 1) * size) AS saved_tokens
+  FROM (SELECT path, n_children, n_convs, size, unnest(range(0, depth + 1)) AS up FROM valued) GROUP BY ALL)
+SELECT v.conv_id, CAST(v.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children,
+  CAST(a.n_leaves AS BIGINT) AS n_leaves, CAST(a.saved_tokens AS BIGINT) AS saved_tokens,
+  coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+FROM valued v JOIN above a USING (path) LEFT JOIN ended e USING (path)
+LEFT JOIN nodes p ON v.depth > 0 AND p.path = left(v.path, 32 * (v.depth - 1))
+"""
+
+#: Floor of a quotient of whole numbers, the divisor positive.
+FLOOR_MEAN = "CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT)"
+
+
+def _round(n: int) -> str:
+    """Vectors to the centroids of the round before, then the means of those that have vectors."""
+    return f"""
+near{n} AS (SELECT row, distance, cluster FROM (
+    SELECT v.row, c.cluster, CAST(sum((v.x - c.x) * (v.x - c.x)) AS BIGINT) AS distance,
+      row_number() OVER (PARTITION BY v.row ORDER BY distance, c.cluster) AS place
+    FROM numbers v JOIN centroids{n} c USING (k) GROUP BY v.row, c.cluster) WHERE place = 1),
+means{n} AS (SELECT cluster, k, {FLOOR_MEAN} AS x FROM near{n} JOIN numbers USING (row) GROUP BY cluster, k),
+centroids{n + 1} AS (SELECT c.cluster, c.k, coalesce(m.x, c.x) AS x
+  FROM centroids{n} c LEFT JOIN means{n} m USING (cluster, k))"""
+
+
+OP13 = f"""
+WITH vectors AS (SELECT row_number() OVER () AS row, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = {DIMENSIONS} AND len(list_filter(embedding, lambda x: isfinite(x))) = {DIMENSIONS}),
+numbers AS (SELECT row, vec_id, unnest(range(0, {DIMENSIONS})) AS k,
+  CAST(floor({SCALE} * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x FROM vectors),
+chosen AS (SELECT row, row_number() OVER (ORDER BY sha256('{CLUSTER_SEED}:' || vec_id)) - 1 AS cluster
+  FROM vectors QUALIFY cluster < {CLUSTERS}),
+centroids0 AS (SELECT cluster, k, x FROM chosen JOIN numbers USING (row)),
+{",".join(_round(n) for n in range(ROUNDS + 1))},
+named AS (SELECT cluster, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY k)) AS centroid_sha256
+  FROM centroids{ROUNDS} GROUP BY cluster)
+SELECT v.vec_id, CAST(n.cluster AS INTEGER) AS cluster, n.distance,
+  CAST(sum(n.distance) OVER (PARTITION BY n.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(n.distance) OVER () AS BIGINT) AS inertia, m.centroid_sha256
+FROM near{ROUNDS} n JOIN vectors v USING (row) JOIN named m USING (cluster)
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_mixing": OP3,
+    "op4_quality": OP4,
+    "op5_hosts": OP5,
+    "op6_jaccard": OP6,
+    "op11_prefix_trie": OP11,
+    "op13_centroids": OP13,
+}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hosts, jaccard, mixing, quality, secrets, toxicity, winnowing
+from . import bpe, centroids, hosts, jaccard, mixing, prefix_trie, quality, secrets, toxicity, winnowing
 from . import pages as site_pages
 from .common import fold
 from .packing import pack
@@ -18,6 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 URL_RULES = (
     hosts.Rule("org/", "allow"),
@@ -121,3 +122,37 @@ def op9_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return pack(documents(spark, sf_dir), TOKENIZER)
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct beginning of the rebuilt conversations."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.sequences(turns))).select(
+        "conv_id",
+        "depth",
+        "parent_conv_id",
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        "saved_tokens",
+        "ends_sha256",
+    )
+
+
+@query
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text and what they decode to, as hashes."""
+    coded = bpe.code(documents(spark, sf_dir), WORD_TOKENIZER)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding's cluster after three rounds from 16 vectors."""
+    return centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
