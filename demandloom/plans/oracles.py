@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..operators.records import UNKNOWN_CATEGORY, UNKNOWN_ID
 from ..schema import CATEGORICAL, IMPUTED, NUMERIC, RAW_TO_ENGINE, RESULT_COLUMNS
 from ..sources.star import SALES_COLUMNS
-from .queries import AS_OF, STORE, TOP_K, TRAINING
+from .queries import AS_OF, STORE, STUMPS, TOP_K, TRAINING
 
 KEY = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
 TIES = f"{KEY}, units_sold"
@@ -177,6 +177,41 @@ def _with(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
+def _stumps() -> str:
+    """Rounds of the best single cut, found by trying all of them."""
+    gain = "sl * sl / (nl + 1) + (s - sl) * (s - sl) / (n - nl + 1) - s * s / (n + 1)"
+    ctes = f"""{SPLIT}, round0 AS (SELECT {KEY}, is_test, units_sold::double AS y, discount AS d,
+  weather_condition AS w, seasonality AS q,
+  (SELECT avg(units_sold) FROM parts WHERE NOT is_test) AS p0 FROM parts)"""
+    for k in range(1, STUMPS.rounds + 1):
+        ctes += f""",
+by_d{k} AS (SELECT d, count(*) AS n, sum(y - p{k - 1}) AS s FROM round{k - 1} WHERE NOT is_test GROUP BY d),
+by_w{k} AS (SELECT w, count(*) AS n, sum(y - p{k - 1}) AS s FROM round{k - 1} WHERE NOT is_test GROUP BY w),
+by_q{k} AS (SELECT *, row_number() OVER (ORDER BY s / n, q) AS place FROM (
+  SELECT q, count(*) AS n, sum(y - p{k - 1}) AS s FROM round{k - 1} WHERE NOT is_test GROUP BY q)),
+cuts{k} AS (
+  SELECT 0 AS col, NULL::double AS cut, w AS cut_w, NULL::bigint AS place,
+    sum(n) OVER () - n AS nl, sum(s) OVER () - s AS sl, sum(n) OVER () AS n, sum(s) OVER () AS s FROM by_w{k}
+  UNION ALL SELECT 1, NULL, NULL, place,
+    sum(n) OVER (ORDER BY place), sum(s) OVER (ORDER BY place), sum(n) OVER (), sum(s) OVER () FROM by_q{k}
+  UNION ALL SELECT 2, d, NULL, NULL,
+    sum(n) OVER (ORDER BY d), sum(s) OVER (ORDER BY d), sum(n) OVER (), sum(s) OVER () FROM by_d{k}),
+best{k} AS (SELECT * FROM cuts{k} WHERE nl > 0 AND nl < n ORDER BY {gain} DESC, col LIMIT 1),
+round{k} AS (SELECT r.*, p{k - 1} + {STUMPS.step} * CASE WHEN CASE col WHEN 0 THEN w <> cut_w
+    WHEN 1 THEN q IN (SELECT q FROM by_q{k} o, best{k} b WHERE o.place <= b.place) ELSE d <= cut END
+  THEN sl / (nl + {STUMPS.l2}) ELSE (s - sl) / (n - nl + {STUMPS.l2}) END AS p{k}
+  FROM round{k - 1} r, best{k})"""
+    errors = " UNION ALL ".join(
+        f"SELECT {k} AS k, avg((y - p{k}) ** 2) AS e FROM round{STUMPS.rounds} WHERE is_test"
+        for k in range(1, STUMPS.rounds + 1)
+    )
+    ctes += f", kept AS (SELECT k FROM ({errors}) ORDER BY e, k LIMIT 1)"
+    chosen = " ".join(f"WHEN {k} THEN p{k}" for k in range(1, STUMPS.rounds + 1))
+    return _with(
+        ctes, f"SELECT {KEY}, is_test, {r6(f'CASE k {chosen} END')} AS prediction FROM round{STUMPS.rounds}, kept"
+    )
+
+
 def _model_queries() -> dict[str, str]:
     """What holds of any right model, next to figures of the rows it was made from."""
     numbers = (*IMPUTED, "month", "weekday", "day_of_month", "day_of_year")
@@ -218,6 +253,7 @@ one AS (SELECT count(*) FILTER (NOT is_test) AS rows_train, count(*) FILTER (is_
         f"SELECT {figures}, true AS counted, true AS best_is_lowest, true AS ended_by_patience, "
         "true AS learns, true AS below_mean FROM one",
     )
+    q["boosted_stumps"] = _stumps()
     q["score_all"] = _with(
         RESULTS,
         f"SELECT {KEY}, date, season, units_sold, inventory_level, baseline_error, stockout_actual, "

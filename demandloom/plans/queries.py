@@ -617,6 +617,22 @@ def learning_curve(spark, sf_dir):
     return six(joined.withColumn("below_mean", F.col("best") < F.col("mean_rmse")).drop("best"))
 
 
+STUMPS = M.BoostParams(
+    rounds=3, step=0.5, depth=1, row_share=1.0, column_share=1.0, patience=3, indexed=("seasonality",)
+)
+
+
+@query
+def boosted_stumps(spark, sf_dir):
+    """Forecasts of the best of three rounds of single cuts: by a number, slots and nominal codes."""
+    inputs = ("discount", "weather_condition", "seasonality")
+    rows = written(
+        split(spark, sf_dir, *inputs).select(*LINE_KEY, "units_sold", *inputs, "is_test"), "stumps"
+    )
+    fitted = M.train_demand_model(rows, params=STUMPS, ignore=LINE_KEY)
+    return six(M.score(fitted.model, rows).select(*LINE_KEY, "is_test", "prediction"))
+
+
 @query
 def score_all(spark, sf_dir):
     t = trained(spark, sf_dir)

@@ -39,7 +39,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def use_checkpoints(spark: SparkSession) -> None:
-    """Make `checkpoint()` and checkpointing estimators write to the shared folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a table that this package has written below the shared folder and no longer reads."""
+    if not path.startswith(shared_folder(spark) + "/"):
+        raise ValueError(f"{path} is not below the shared folder")
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
