@@ -293,6 +293,12 @@ def build() -> dict[str, str]:
     q["csv_scan"] = _with(
         f"{SALES}, {SALES_RAW}", f"SELECT {KEY}, {', '.join(token[c] for c in RAW)} FROM raw"
     )
+    reason = "CASE l_orderkey % 7 WHEN 1 THEN 'short' WHEN 2 THEN 'long' WHEN 3 THEN 'unclosed' ELSE 'none' END"
+    q["csv_rejects"] = _with(
+        f"{SALES}, {SALES_RAW}",
+        f"SELECT {reason} AS reason, count(*) AS n, CASE WHEN {reason} = 'none' "
+        "THEN sum(try_cast(units_sold AS double)) END AS units FROM raw GROUP BY 1",
+    )
     line_types = {"l_linenumber": "int"}
     kinds = {c: line_types.get(c, "bigint") for c in KEY.split(", ")}
     kinds.update({c: "double" if c in NUMERIC else "string" for c in RAW})
@@ -318,6 +324,8 @@ def build() -> dict[str, str]:
         ),
     )
     q["detail_sink_roundtrip"] = _with(RESULTS, f"{DETAIL_OF} FROM results")
+    late = "* REPLACE (CASE WHEN day(date) = 7 THEN price + 1 ELSE price END AS price)"
+    q["detail_days_replaced"] = _with(f"{RESULTS}, late AS (SELECT {late} FROM results)", f"{DETAIL_OF} FROM late")
     q["season_sink_roundtrip"] = _with(RESULTS, SEASON)
     q["report_season"] = q["season_sink_roundtrip"]
     q["report_detail"] = _with(

@@ -3,7 +3,9 @@
 Tables that several steps read are written once and read back, so no step recomputes the steps
 before it and an executor that is lost costs the work of its tasks only:
 
-* `parsed`: the text as numbers (profile and medians need passes of their own over it);
+* `parsed`: the text as numbers (profile, missing and row counts come along with its write;
+  medians need passes of their own over it);
+* `rejects`: rows whose cells do not fit the header, with file and line;
 * `features`: cleaned rows with features, read by the split, the fit and the scoring;
 * `daily_product_totals`: all baseline indicators;
 * `detail`: scored rows, one folder per date, so the latest-day tables read one folder;
@@ -26,7 +28,7 @@ from ..operators import latest as L
 from ..operators.cleaning import clean_typed, coerce_numeric, drop_missing_target
 from ..operators.features import demand_features
 from ..operators.model import BoostParams, Fitted, learning_curve, score, train_demand_model
-from ..operators.profile import null_counts, profile_columns
+from ..operators.profile import Observed
 from ..operators.results import (
     compile_results,
     holdout_metrics,
@@ -62,12 +64,14 @@ def run_pipeline(
     row_key: Sequence[str] = (),
     date_format: str | None = None,
     csv_detail: bool = True,
+    max_rejects: int = 0,
 ) -> PipelineRun:
     """Run all steps on a raw CSV and write every table below `folder`.
 
     Rows of one series and date are taken in the order of `row_key`, then in the order of the file;
     neither is a model input.  `date_format` is the form of the dates, by default year-month-day; if
-    no date of the file has it, that is an error.
+    no date of the file has it, that is an error.  Rows whose cells do not fit the header go to the
+    table `rejects`, and more than `max_rejects` of them are an error.
     """
     tables: list[str] = []
 
@@ -76,12 +80,18 @@ def run_pipeline(
         tables.append(name)
         return spark.read.parquet(f"{folder}/{name}")
 
-    raw = files.read_raw_csv(spark, source, places=True)
+    raw = files.read_raw_csv(spark, source, places=True, rejects=True)
     require(raw.columns, RAW_TO_ENGINE.values())
-    write("preview", raw.drop(*files.PLACE_COLUMNS).limit(5))
-    parsed = write("parsed", coerce_numeric(raw))
-    write("profile", profile_columns(parsed.drop(*files.PLACE_COLUMNS)))
-    write("missing", null_counts(parsed, NUMERIC))
+    cells = [c for c in raw.columns if c not in (*files.PLACE_COLUMNS, files.REJECT)]
+    write("preview", raw.where(F.col(files.REJECT).isNull()).select(cells).limit(5))
+    seen = Observed(coerce_numeric(raw), cells, F.col(files.REJECT).isNull())
+    parsed = write("parsed", seen.df)
+    write("profile", seen.profile(spark))
+    write("missing", seen.null_counts(spark, NUMERIC))
+    write("rejects", files.rejected_rows(parsed, len(cells)))
+    if seen.left_out > max_rejects:
+        raise ValueError(f"{seen.left_out} rows do not fit the header, see {folder}/rejects")
+    parsed = parsed.where(F.col(files.REJECT).isNull()).drop(files.REJECT)
     clean = files.with_row_numbers(clean_typed(parsed, date_format))
 
     ties = [*row_key, files.ROW_NUMBER]
@@ -140,6 +150,7 @@ def run_pipeline(
 def source_arguments(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--row-key", nargs="*", default=[])
     parser.add_argument("--date-format", help="form of the dates, such as d/M/yyyy")
+    parser.add_argument("--max-rejects", type=int, default=0, help="malformed rows that are borne")
 
 
 def boost_arguments(parser: argparse.ArgumentParser) -> None:
@@ -171,6 +182,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         params=boost_params(args),
         row_key=args.row_key,
         date_format=args.date_format,
+        max_rejects=args.max_rejects,
     )
     print(f"mae {run.fitted.metrics['mae']:.4f} rmse {run.fitted.metrics['rmse']:.4f}")
 

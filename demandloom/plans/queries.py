@@ -111,6 +111,38 @@ def csv_scan(spark, sf_dir):
     )
 
 
+@query
+def csv_rejects(spark, sf_dir):
+    """Rows by what is wrong with their line, with the units of those that fit the header.
+
+    Some lines lose their last cell, some get one more, and in some a quote is not closed.
+    """
+    path = new_folder(spark, "malformed-csv")
+    rows = sales_raw(spark, sf_dir)
+    raw = rows.select(
+        *(F.regexp_replace(F.col(c).cast("string"), '[",\n]', "").alias(c) for c in rows.columns)
+    ).toDF(*(ENGINE_TO_RAW.get(c, c) for c in rows.columns))
+    *first, before, last = raw.columns
+    key = F.col("l_orderkey").cast("bigint")
+    tail = (
+        F.when(key % 7 == 1, F.coalesce(before, F.lit("")))
+        .when(key % 7 == 2, F.concat_ws(",", F.coalesce(before, F.lit("")), F.coalesce(last, F.lit("")), F.lit("more")))
+        .when(key % 7 == 3, F.concat(F.lit('"'), F.concat_ws(",", F.lit("x"), F.coalesce(last, F.lit("")))))
+        .otherwise(F.concat_ws(",", F.coalesce(before, F.lit("")), F.coalesce(last, F.lit(""))))
+    )
+    # The last two cells are written as they stand, with their comma.
+    raw.select(*(f"`{c}`" for c in first), tail.alias(f"{before},{last}")).write.options(
+        header=True, quote="", emptyValue=""
+    ).csv(path)
+    parsed = written(C.coerce_numeric(files.read_raw_csv(spark, path, places=True, rejects=True)), "parsed")
+    cells = len(raw.columns)
+    rejects = files.rejected_rows(parsed, cells).groupBy("reason").agg(F.count("*").alias("n"))
+    good = parsed.where(F.col(files.REJECT).isNull()).agg(F.count("*").alias("n"), F.sum("units_sold").alias("units"))
+    return rejects.select("reason", "n", F.lit(None).cast("double").alias("units")).unionByName(
+        good.select(F.lit("none").alias("reason"), "n", "units")
+    )
+
+
 @query
 def profile_columns(spark, sf_dir):
     rows = C.coerce_numeric(sales_raw(spark, sf_dir))
@@ -134,6 +166,16 @@ def detail_sink_roundtrip(spark, sf_dir):
     return six(files.read_detail_report(spark, path))
 
 
+@query
+def detail_days_replaced(spark, sf_dir):
+    """The detail table after the seventh day of every month came in again with other prices."""
+    path = new_folder(spark, "detail")
+    files.write_detail_table(results(spark, sf_dir), path)
+    late = results(spark, sf_dir).where(F.dayofmonth("date") == 7)
+    files.write_detail_table(late.withColumn("price", F.col("price") + 1), path, dates_only=True)
+    return six(files.read_detail_table(spark, path))
+
+
 @query
 def season_sink_roundtrip(spark, sf_dir):
     path = new_folder(spark, "season-csv")

@@ -12,6 +12,7 @@ from ..operators.model import BoostParams
 from ..operators.versions import (
     new_version,
     read_versions,
+    recover_versions,
     register_version,
     table_versions,
     version_history,
@@ -27,19 +28,28 @@ def train_version(
     params: BoostParams = BoostParams(),
     row_key: Sequence[str] = (),
     date_format: str | None = None,
+    max_rejects: int = 0,
 ) -> str:
     """Train on a raw CSV and return the version.
 
     Below `models` each version has a folder with its tables and its model, which nothing
-    overwrites; `models/model_versions` gets one row once the model is saved.  The history up to this
-    version goes into its folder.
+    overwrites.  The version exists from the moment its manifest is written, which is the last step
+    but listing it: `models/model_versions` gets a row.  The history up to this version goes into
+    its folder.
     """
     version, folder = new_version(spark, models, dt.datetime.now(dt.timezone.utc))
     run = run_pipeline(
-        spark, source, f"{folder}/tables", params=params, row_key=row_key, date_format=date_format
+        spark,
+        source,
+        f"{folder}/tables",
+        params=params,
+        row_key=row_key,
+        date_format=date_format,
+        max_rejects=max_rejects,
     )
     path = f"{folder}/model"
     run.fitted.model.write().save(path)
+    recover_versions(spark, models, f"{models}/model_versions")
     register_version(
         spark,
         f"{models}/model_versions",
@@ -69,6 +79,7 @@ def main(argv: Sequence[str] | None = None) -> None:
             params=boost_params(args),
             row_key=args.row_key,
             date_format=args.date_format,
+            max_rejects=args.max_rejects,
         )
     )
 

@@ -11,10 +11,11 @@ from demandloom.operators import baseline as B
 from demandloom.operators import kpi as K
 from demandloom.operators import latest as L
 from demandloom.operators.model import BoostParams
+from demandloom.operators.profile import Observed, null_counts, profile_columns
 from demandloom.operators.versions import read_versions
 from demandloom.plans import score, train
 from demandloom.plans.pipeline import PipelineRun, run_pipeline
-from demandloom.schema import RESULT_COLUMNS
+from demandloom.schema import NUMERIC, RESULT_COLUMNS
 from demandloom.sources import files
 from demandloom.sources.star import LINE_KEY, sales_raw
 
@@ -152,3 +153,114 @@ def test_train_then_score(spark, source, tmp_path):
     assert spark.read.parquet(f"{out}-table").count() == 2
     with pytest.raises(LookupError):
         score.score_files(spark, str(requests), models, out, version="v0")
+
+
+LINES = [
+    '1998-03-01,S001,P1,5,"a, b"',
+    "1998-03-02,S001,P1,6",
+    "",
+    "1998-03-03,S001,P1,7,c,more,cells",
+    '1998-03-04,S001,"P1,8,d',
+    '1998-03-05,S001,P1,9,"say ""yes"""',
+    '"1998-03-06',
+]
+
+
+@pytest.fixture
+def malformed(tmp_path):
+    folder = tmp_path / "malformed"
+    folder.mkdir()
+    header = "Date,Store ID,Product ID,Units Sold,Note"
+    for name, lines in (("a.csv", LINES), ("b.csv", LINES[:2]), ("c.csv", LINES[:1])):
+        (folder / name).write_text("\n".join([header, *lines]) + "\n")
+    return str(folder)
+
+
+def test_malformed_rows_are_told_apart(spark, malformed, tmp_path):
+    files.read_raw_csv(spark, malformed, places=True, rejects=True).write.parquet(str(tmp_path / "parsed"))
+    parsed = spark.read.parquet(str(tmp_path / "parsed"))
+    good = parsed.where("_reject is null")
+    assert sorted(tuple(r) for r in good.select("date", "units_sold", "Note").collect()) == [
+        ("1998-03-01", "5", "a, b"), ("1998-03-01", "5", "a, b"), ("1998-03-01", "5", "a, b"),
+        ("1998-03-05", "9", 'say "yes"'),
+    ]
+    rejects = files.rejected_rows(parsed, 5).collect()
+    got = sorted((r.file.rsplit("/")[-1], r.line, r.reason, r.text) for r in rejects)
+    assert got == [
+        ("a.csv", 3, "short", LINES[1]),
+        ("a.csv", 4, "long", LINES[3]),
+        ("a.csv", 5, "unclosed", LINES[4]),
+        ("a.csv", 7, "unclosed", LINES[6]),
+        ("b.csv", 3, "short", LINES[1]),
+    ]
+
+
+def test_lines_over_many_blocks(spark, tmp_path):
+    lines = [f"1998-03-01,S001,P{n},{n}" + (",x" if n % 50 else "") for n in range(2000)]
+    (tmp_path / "long.csv").write_text("\n".join(["Date,Store ID,Product ID,Units Sold,Note", *lines]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        rows = files.read_raw_csv(spark, str(tmp_path / "long.csv"), places=True, rejects=True)
+        rows.write.parquet(str(tmp_path / "parsed"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    parsed = spark.read.parquet(str(tmp_path / "parsed"))
+    assert parsed.select("_block").distinct().count() > 5
+    got = {r.line: r.text for r in files.rejected_rows(parsed, 5).collect()}
+    assert got == {n + 2: lines[n] for n in range(0, 2000, 50)}
+
+
+def test_rejects_are_bounded(spark, source, tmp_path):
+    raw = files.read_raw_csv(spark, source).where("date like '1998%'").limit(300)
+    path = str(tmp_path / "raw")
+    files.write_raw_csv(raw.coalesce(1), path)
+    [file] = (tmp_path / "raw").glob("part*")
+    (tmp_path / "raw" / f".{file.name}.crc").unlink(missing_ok=True)
+    text = file.read_text()
+    file.write_text(text.rstrip("\n") + "\nshort,row\n" + text.splitlines()[1] + ",one more\n")
+    with pytest.raises(ValueError, match="2 rows do not fit"):
+        run_pipeline(spark, path, str(tmp_path / "none"), params=PARAMS, row_key=LINE_KEY, max_rejects=1)
+    assert spark.read.parquet(str(tmp_path / "none" / "rejects")).count() == 2
+    run = run_pipeline(spark, path, str(tmp_path / "some"), params=PARAMS, row_key=LINE_KEY, max_rejects=2)
+    assert {r.reason for r in run.table(spark, "rejects").collect()} == {"short", "long"}
+    parsed = run.table(spark, "parsed").where("_reject is null").drop("_reject", *files.PLACE_COLUMNS)
+    assert parsed.count() == 300
+    for name, direct in (("profile", profile_columns(parsed)), ("missing", null_counts(parsed, NUMERIC))):
+        assert sorted(map(tuple, run.table(spark, name).collect())) == sorted(map(tuple, direct.collect()))
+
+
+def test_counts_come_with_the_write(spark, tmp_path):
+    """Profile, missing and row counts start no job of their own."""
+    rows = spark.createDataFrame([(1.0, "a"), (None, "b"), (None, None)], "price double, note string")
+    seen = Observed(rows, rows.columns, F.col("note").isNull() | (F.col("note") != "b"))
+    seen.df.write.parquet(str(tmp_path / "t"))
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    assert (seen.counted, seen.left_out) == (2, 1)
+    profile, missing = seen.profile(spark), seen.null_counts(spark, ["price", "note"])
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    assert sorted(map(tuple, profile.collect())) == [("note", "string", 1), ("price", "double", 1)]
+    assert sorted(map(tuple, missing.collect())) == [("note", 1), ("price", 1)]
+
+
+def test_a_late_day_replaces_itself_only(spark, run, tmp_path):
+    detail = run.table(spark, "detail")
+    path = tmp_path / "detail"
+    files.write_detail_table(detail, str(path))
+    names = lambda: {d.name: sorted(f.name for f in d.glob("part*")) for d in path.glob("date=*")}
+    before = names()
+    day, other = sorted(before)[2:4]
+    date = day.removeprefix("date=")
+    late = detail.where(F.col("date") == date).limit(3).withColumn("price", F.lit(1.25))
+    files.write_detail_table(late, str(path), dates_only=True)
+    after = names()
+    assert after[day] != before[day] and {k: v for k, v in after.items() if k != day} == {
+        k: v for k, v in before.items() if k != day
+    }
+    now = files.read_detail_table(spark, str(path))
+    assert now.where(F.col("date") == date).select("price").distinct().collect() == [(1.25,)]
+    assert now.where(F.col("date") != date).count() == detail.where(F.col("date") != date).count()
+    broken = detail.withColumn("price", F.expr("raise_error('lost')").cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        files.write_detail_table(broken, str(path), dates_only=True)
+    assert names() == after
