@@ -324,7 +324,8 @@ def build() -> dict[str, str]:
         ),
     )
     q["detail_sink_roundtrip"] = _with(RESULTS, f"{DETAIL_OF} FROM results")
-    late = "* REPLACE (CASE WHEN day(date) = 7 THEN price + 1 ELSE price END AS price)"
+    late = "* REPLACE (CASE WHEN month(date) = 7 THEN price + 1 ELSE price END AS price, "
+    late += "date_trunc('month', date)::date AS date)"
     q["detail_days_replaced"] = _with(f"{RESULTS}, late AS (SELECT {late} FROM results)", f"{DETAIL_OF} FROM late")
     q["season_sink_roundtrip"] = _with(RESULTS, SEASON)
     q["report_season"] = q["season_sink_roundtrip"]

@@ -122,21 +122,20 @@ def csv_rejects(spark, sf_dir):
     raw = rows.select(
         *(F.regexp_replace(F.col(c).cast("string"), '[",\n]', "").alias(c) for c in rows.columns)
     ).toDF(*(ENGINE_TO_RAW.get(c, c) for c in rows.columns))
-    *first, before, last = raw.columns
-    key = F.col("l_orderkey").cast("bigint")
-    tail = (
-        F.when(key % 7 == 1, F.coalesce(before, F.lit("")))
-        .when(key % 7 == 2, F.concat_ws(",", F.coalesce(before, F.lit("")), F.coalesce(last, F.lit("")), F.lit("more")))
-        .when(key % 7 == 3, F.concat(F.lit('"'), F.concat_ws(",", F.lit("x"), F.coalesce(last, F.lit("")))))
-        .otherwise(F.concat_ws(",", F.coalesce(before, F.lit("")), F.coalesce(last, F.lit(""))))
+    cells = [F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in raw.columns]
+    key = F.col("l_orderkey").cast("bigint") % 7
+    line = (
+        F.when(key == 1, F.concat_ws(",", *cells[:-1]))
+        .when(key == 2, F.concat_ws(",", *cells, F.lit("more")))
+        .when(key == 3, F.concat_ws(",", *cells[:-2], F.concat(F.lit('"'), cells[-2]), cells[-1]))
+        .otherwise(F.concat_ws(",", *cells))
     )
-    # The last two cells are written as they stand, with their comma.
-    raw.select(*(f"`{c}`" for c in first), tail.alias(f"{before},{last}")).write.options(
-        header=True, quote="", emptyValue=""
+    # Lines are written as they stand: neither character occurs in them.
+    raw.select(line.alias(",".join(raw.columns))).write.options(
+        header=True, sep="\x01", quote="\x02", ignoreTrailingWhiteSpace=False
     ).csv(path)
     parsed = written(C.coerce_numeric(files.read_raw_csv(spark, path, places=True, rejects=True)), "parsed")
-    cells = len(raw.columns)
-    rejects = files.rejected_rows(parsed, cells).groupBy("reason").agg(F.count("*").alias("n"))
+    rejects = files.rejected_rows(parsed, len(raw.columns)).groupBy("reason").agg(F.count("*").alias("n"))
     good = parsed.where(F.col(files.REJECT).isNull()).agg(F.count("*").alias("n"), F.sum("units_sold").alias("units"))
     return rejects.select("reason", "n", F.lit(None).cast("double").alias("units")).unionByName(
         good.select(F.lit("none").alias("reason"), "n", "units")
@@ -168,11 +167,12 @@ def detail_sink_roundtrip(spark, sf_dir):
 
 @query
 def detail_days_replaced(spark, sf_dir):
-    """The detail table after the seventh day of every month came in again with other prices."""
+    """The detail table, dated by month, after every July came in again with other prices."""
     path = new_folder(spark, "detail")
-    files.write_detail_table(results(spark, sf_dir), path)
-    late = results(spark, sf_dir).where(F.dayofmonth("date") == 7)
-    files.write_detail_table(late.withColumn("price", F.col("price") + 1), path, dates_only=True)
+    rows = results(spark, sf_dir).withColumn("date", F.trunc("date", "month"))
+    files.write_detail_table(rows, path)
+    late = rows.where(F.month("date") == 7).withColumn("price", F.col("price") + 1)
+    files.write_detail_table(late, path, dates_only=True)
     return six(files.read_detail_table(spark, path))
 
 
