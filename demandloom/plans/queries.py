@@ -781,11 +781,12 @@ def request_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_requests(spark, sf_dir):
     """Each request with its error or its number of records, forecasts, known prices and units."""
     bodies = written(request_bodies(spark, sf_dir), "bodies")
-    typed = R.request_rows(bodies, as_of=AS_OF).groupBy("request_id").agg(
+    rows = written(R.request_rows(bodies, as_of=AS_OF), "request_rows")
+    typed = rows.groupBy("request_id").agg(
         F.count("price").alias("prices"), F.sum("units_sold").alias("units"), F.min("date").alias("first_day")
     )
     t = trained(spark, sf_dir)
-    scored = R.score_requests(bodies, t.fitted.model, as_of=AS_OF)
+    scored = R.score_request_rows(rows, t.fitted.model, ["request_id"])
     forecasts = scored.groupBy("request_id").agg(F.count("prediction").alias("forecasts"))
     return (
         R.request_report(bodies)
