@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -57,6 +58,7 @@ MAIN_TAGS, MAIN_ROLES = {"article", "main"}, {"main", "article"}
 PLAIN = set("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 #: Elements that an opening tag ends: a paragraph by any block, an item by the next one.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+PARAGRAPH = {"p"}
 SCOPE = set("ul ol dl table body html article main section div nav header footer aside form".split())
 
 
@@ -64,201 +66,244 @@ SCOPE = set("ul ol dl table body html article main section div nav header footer
 UNFINISHED = re.compile(r"<[A-Za-z/!][^<>]*$")
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
     tag: str
-    path: str = ""
+    #: Hash of the parent's key and the node's own label, so of the path.
+    key: int = 0
     noise: bool = False
     named_noise: bool = False  # a noise name, or a form: noise unless it holds the main text
     main: bool = False
     named: bool = False
+    at: int = 0  # place in the page's list of nodes
+    up: int = -1  # place of the parent
     children: list = field(default_factory=list)  # nodes and strings, in page order
     links: list = field(default_factory=list)
 
 
+def key_of(text: str) -> int:
+    return xxhash.xxh64_intdigest(text) - (1 << 63)
+
+
+@lru_cache(100_000)
+def kind_of(tag: str, classes: str, name: str, role: str) -> tuple[str, bool, bool, bool, bool]:
+    """Label, noise, noise by name, main text, named: of an element by its tag and attributes."""
+    names = set(re.findall(r"[a-z]+", f"{classes} {name}".lower()))
+    role = role.lower()
+    label = re.sub(r"\d+", "0", ".".join([tag, *sorted(classes.split()), name, role]))
+    main = tag in MAIN_TAGS or role in MAIN_ROLES
+    form = tag == "form" or role == "form"
+    by_name = not main and (form or bool(names & NOISE_NAMES) and tag not in ("body", "html"))
+    return label, tag in NOISE_TAGS or role in NOISE_ROLES, by_name, main, bool(names or role)
+
+
+@lru_cache(200_000)
+def key_below(above: int, label: str) -> int:
+    return key_of(f"{above}/{label}")
+
+
 class Page(HTMLParser):
-    """The tree of a page; unclosed and misnested elements end where their container does."""
+    """The tree of a page; unclosed and misnested elements end where their container does.
+
+    Any text is a page: what the end of the page cuts off, be it a tag, a comment or a declaration,
+    is no text, and marked sections are skipped like comments.
+    """
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.root = Node("")
         self.open = [self.root]
+        #: All nodes, each before what it holds.
+        self.order = [self.root]
+        #: Where in `open` each tag stands, and where those of SCOPE do.
+        self.places: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+        self.ending = False
         self.feed(UNFINISHED.sub("", html))
+        self.ending = True
         self.close()
-        settle(self.root)
-
-    def _end(self, tags: set[str], scope: set[str]) -> None:
-        for at in range(len(self.open) - 1, 0, -1):
-            if self.open[at].tag in tags:
-                del self.open[at:]
-                return
-            if self.open[at].tag in scope:
-                return
+        settle(self.order)
+
+    def _push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.open))
+        if node.tag in SCOPE:
+            self.scopes.append(len(self.open))
+        self.open.append(node)
+
+    def _cut(self, at: int) -> None:
+        for node in reversed(self.open[at:]):
+            self.places[node.tag].pop()
+            if node.tag in SCOPE:
+                self.scopes.pop()
+        del self.open[at:]
+
+    def _end(self, tags: set[str]) -> None:
+        """End the innermost element of these tags, unless a container stands within it."""
+        at = max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
+        if at and (not self.scopes or at >= self.scopes[-1]):
+            self._cut(at)
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
-            self._end({"p"}, SCOPE)
+            self._end(PARAGRAPH)
         if tag in ENDS:
-            self._end(ENDS[tag], SCOPE)
-        if tag == "body":
-            self._end({"head"}, set())
-        given = {k: v or "" for k, v in attrs}
-        names = set(re.findall(r"[a-z]+", f"{given.get('class', '')} {given.get('id', '')}".lower()))
-        role = given.get("role", "").lower()
+            self._end(ENDS[tag])
+        if tag == "body" and self.places.get("head"):
+            self._cut(self.places["head"][-1])
+        given = {k: v or "" for k, v in attrs} if attrs else {}
+        kind = kind_of(tag, given.get("class", ""), given.get("id", ""), given.get("role", ""))
         above = self.open[-1]
-        label = re.sub(r"\d+", "0", ".".join([tag, *sorted(given.get("class", "").split()), given.get("id", ""), role]))
-        main = tag in MAIN_TAGS or role in MAIN_ROLES
-        node = Node(
-            tag,
-            path=f"{above.path}/{label}",
-            noise=tag in NOISE_TAGS or role in NOISE_ROLES,
-            named_noise=not main and (tag == "form" or role == "form" or bool(names & NOISE_NAMES) and tag not in ("body", "html")),
-            main=main,
-            named=bool(names or role),
-        )
+        node = Node(tag, key_below(above.key, kind[0]), *kind[1:], len(self.order), above.at)
         above.children.append(node)
+        self.order.append(node)
         for key in ("href", "src"):
             if given.get(key):
                 (above if tag in VOID else node).links.append(f"{key}:{given[key]}")
         if tag not in VOID:
-            self.open.append(node)
+            self._push(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag not in BLOCK:
-            self._end({tag}, set())
+        if tag not in VOID and tag not in BLOCK and self.places.get(tag):
+            self._cut(self.places[tag][-1])
 
     def handle_endtag(self, tag):
-        for at in range(len(self.open) - 1, 0, -1):
-            if self.open[at].tag == tag:
-                del self.open[at:]
-                return
-            if tag not in SCOPE and self.open[at].tag in SCOPE:
-                return
+        places = self.places.get(tag)
+        if places and (tag in SCOPE or not self.scopes or places[-1] > self.scopes[-1]):
+            self._cut(places[-1])
 
     def handle_data(self, data):
         self.open[-1].children.append(data)
 
+    # What follows has no end in the page where a parse gives -1.
 
-def key_of(path: str) -> int:
-    return xxhash.xxh64_intdigest(path) - (1 << 63)
+    def _to_the_end(self, at: int) -> int:
+        return len(self.rawdata) if at < 0 and self.ending else at
 
+    def parse_html_declaration(self, i):
+        if self.rawdata.startswith("<![", i):
+            at = self.rawdata.find(">", i)
+            return self._to_the_end(at if at < 0 else at + 1)
+        return self._to_the_end(super().parse_html_declaration(i))
 
-def walk(root: Node) -> list[Node]:
-    """All nodes, each before what it holds; no recursion, as pages can nest deeply."""
-    out, todo = [], [root]
-    while todo:
-        node = todo.pop()
-        out.append(node)
-        todo += [c for c in reversed(node.children) if isinstance(c, Node)]
-    return out
+    def parse_comment(self, i, report=True):
+        return self._to_the_end(super().parse_comment(i, report))
+
+    def parse_pi(self, i):
+        return self._to_the_end(super().parse_pi(i))
+
+    def parse_starttag(self, i):
+        return self._to_the_end(super().parse_starttag(i))
+
+    def parse_endtag(self, i):
+        return self._to_the_end(super().parse_endtag(i))
+
+    def updatepos(self, i, j):
+        return j  # nobody asks for line numbers
 
 
-def settle(root: Node) -> None:
+def settle(order: list[Node]) -> None:
     """Make branches with a noise name noise, but not those with the main text.
 
     Such a branch stays if it has more than half of the text of the main element that it is in, or
     else of the page; or if it has a main element and all that the page has are in such branches.
     """
-    order = walk(root)
-    size: dict[int, int] = {}
-    mains: dict[int, bool] = {}
+    if not any(node.named_noise for node in order):
+        return
+    n = len(order)
+    size, mains = [0] * n, [False] * n
     for node in reversed(order):
-        nodes = [c for c in node.children if isinstance(c, Node) and not c.noise]
-        own = sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
-        size[id(node)] = own + sum(size[id(c)] for c in nodes)
-        mains[id(node)] = node.main or any(mains[id(c)] for c in nodes)
-    of, off, outside = {id(root): size[id(root)]}, {id(root): False}, False
+        k = node.at
+        size[k] += sum([len("".join(c.split())) for c in node.children if type(c) is str])
+        mains[k] |= node.main
+        if k and not node.noise:
+            size[node.up] += size[k]
+            mains[node.up] |= mains[k]
+    of, off, outside = [size[0]] * n, [False] * n, False
+    for node in order[1:]:
+        k, up = node.at, node.up
+        if node.named_noise and 2 * size[k] > of[up]:
+            node.named_noise = False
+        off[k] = off[up] or node.noise or node.named_noise
+        of[k] = size[k] if node.main and of[up] == size[0] else of[up]
+        outside |= node.main and not off[k]
     for node in order:
-        if node.main and not off[id(node)]:
-            outside = True
-        for c in node.children:
-            if isinstance(c, Node):
-                if c.named_noise and 2 * size[id(c)] > of[id(node)]:
-                    c.named_noise = False
-                off[id(c)] = off[id(node)] or c.noise or c.named_noise
-                inside = of[id(node)] != of[id(root)]
-                of[id(c)] = size[id(c)] if c.main and not inside else of[id(node)]
-    for node in order:
-        node.noise |= node.named_noise and (outside or not mains[id(node)])
+        node.noise |= node.named_noise and (outside or not mains[node.at])
 
 
-def contents(order: list[Node]) -> dict[int, int]:
+def contents(order: list[Node]) -> list[int]:
     """Hash of the text of every branch, 0 where it has none; noise does not count."""
-    out: dict[int, int] = {}
+    out = [0] * len(order)
     for node in reversed(order):
         parts = []
         for c in node.children:
-            part = " ".join(c.split()) if isinstance(c, str) else "" if c.noise else str(out[id(c)] or "")
+            part = " ".join(c.split()) if type(c) is str else "" if c.noise else str(out[c.at] or "")
             if part:
                 parts.append(part)
-        out[id(node)] = key_of("|".join(parts)) if parts else 0
+        if parts:
+            out[node.at] = key_of("|".join(parts))
     return out
 
 
-def regions(order: list[Node]) -> tuple[dict[int, bool], dict[int, bool], bool]:
+def regions(order: list[Node]) -> tuple[list[bool], list[bool], bool]:
     """Which nodes are in main text, which are dropped as noise, and whether any main text is left."""
-    inside: dict[int, bool] = {id(order[0]): False}
-    dropped: dict[int, bool] = {id(order[0]): False}
-    marked = False
-    for node in order:
-        for c in node.children:
-            if isinstance(c, Node):
-                inside[id(c)] = inside[id(node)] or c.main
-                dropped[id(c)] = dropped[id(node)] or c.noise
-                marked |= inside[id(c)] and not dropped[id(c)]
+    inside, dropped, marked = [False] * len(order), [False] * len(order), False
+    for node in order[1:]:
+        k, up = node.at, node.up
+        inside[k] = inside[up] or node.main
+        dropped[k] = dropped[up] or node.noise
+        marked |= inside[k] and not dropped[k]
     return inside, dropped, marked
 
 
-def judged(node: Node, inside: dict[int, bool], text: dict[int, int]) -> bool:
+def judged(node: Node, inside: list[bool], text: list[int]) -> bool:
     """Blocks within main text are judged by their whole text, too."""
-    return inside[id(node)] and not node.main and node.tag in BLOCK and text[id(node)] != 0
+    return inside[node.at] and not node.main and node.tag in BLOCK and text[node.at] != 0
 
 
-def text_key(node: Node, text: dict[int, int]) -> int:
-    return key_of(f"{node.path}\n{text[id(node)]}")
+def text_key(node: Node, text: list[int]) -> int:
+    return key_of(f"{node.key}\n{text[node.at]}")
 
 
-def observations(root: Node) -> set[tuple[int, int, int, int | None]]:
+def observations(order: list[Node]) -> set[tuple[int, int, int, int | None]]:
     """(node, kind, feature, main text) of a page.
 
     Kind 0 is that the node is there, 1 a style, 2 a content feature; of blocks in the main text 3 is
     the whole text and 4 that there is one, with the hash of the page's main text.
     """
     seen = set()
-    order = walk(root)
     inside, dropped, marked = regions(order)
-    text_of = contents(order) if marked else {}
+    text_of = contents(order) if marked else []
     whole = None
     if marked:
-        outer = [n for n in order if n.main and not dropped[id(n)]]
-        whole = key_of("|".join(str(text_of[id(n)]) for n in outer))
+        outer = [n for n in order if n.main and not dropped[n.at]]
+        whole = key_of("|".join(str(text_of[n.at]) for n in outer))
     for node in order:
-        key = key_of(node.path)
+        key = node.key
         seen.add((key, 0, 0, None))
-        style = "|".join(c.path for c in node.children if isinstance(c, Node))
+        style = "|".join([str(c.key) for c in node.children if type(c) is not str])
         seen.add((key, 1, key_of(style), None))
-        text = " ".join(" ".join(c for c in node.children if isinstance(c, str)).split())
+        text = " ".join(" ".join([c for c in node.children if type(c) is str]).split())
         for feature in [*filter(None, [text]), *node.links]:
             seen.add((key, 2, key_of(feature), None))
-        if marked and not dropped[id(node)] and judged(node, inside, text_of):
+        if marked and not dropped[node.at] and judged(node, inside, text_of):
             seen.add((key, 3, text_key(node, text_of), whole))
             seen.add((key, 4, 0, whole))
     return seen
 
 
-def main_text(root: Node, low: frozenset[int] | set[int]) -> str:
+def main_text(order: list[Node], low: frozenset[int] | set[int]) -> str:
     """Blocks of the page without its low branches, joined by line feeds."""
-    order = walk(root)
     inside, dropped, marked = regions(order)
-    text_of = contents(order) if marked and low else {}
-    worth: dict[int, bool] = {}
+    text_of = contents(order) if marked and low else []
+    worth = [False] * len(order)
     for node in reversed(order):
-        within = inside[id(node)]
-        own = (within and (node.tag in PLAIN or not node.named)) or key_of(node.path) not in low
-        worth[id(node)] = own or any(worth[id(c)] for c in node.children if isinstance(c, Node))
+        k = node.at
+        worth[k] |= (inside[k] and (node.tag in PLAIN or not node.named)) or node.key not in low
         if text_of and judged(node, inside, text_of) and text_key(node, text_of) in low:
-            worth[id(node)] = False
+            worth[k] = False
+        if k:
+            worth[node.up] |= worth[k]
 
     blocks: list[str] = []
     run: list[str] = []
@@ -269,7 +314,7 @@ def main_text(root: Node, low: frozenset[int] | set[int]) -> str:
             blocks.append(text)
         run.clear()
 
-    todo: list = [root]
+    todo: list = [order[0]]
     while todo:
         item = todo.pop()
         if item is None:
@@ -280,14 +325,14 @@ def main_text(root: Node, low: frozenset[int] | set[int]) -> str:
         else:
             if item.tag in BLOCK:
                 cut()
-            if dropped[id(item)] or not worth[id(item)]:
+            if dropped[item.at] or not worth[item.at]:
                 continue
             if item.tag in BLOCK:
                 todo.append(None)
             elif item.tag == "br":
                 run.append(" ")
-            within = inside[id(item)]
-            todo += [c if isinstance(c, Node) else (c, within) for c in reversed(item.children)]
+            within = inside[item.at]
+            todo += [(c, within) if type(c) is str else c for c in reversed(item.children)]
     cut()
     return "\n".join(blocks)
 
@@ -296,7 +341,7 @@ def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         host, node, kind, feature, weight, page = [], [], [], [], [], []
         for h, html, w in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            for n, k, f, p in observations(Page(html or "").root):
+            for n, k, f, p in observations(Page(html or "").order):
                 host.append(h)
                 node.append(n)
                 kind.append(k)
@@ -311,7 +356,7 @@ def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [
-            main_text(Page(html or "").root, set(low or ()))
+            main_text(Page(html or "").order, set(low or ()))
             for html, low in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
         ]
         arrays = [batch.column(0), batch.column(1), pa.array(texts, pa.string())]

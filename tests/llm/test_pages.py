@@ -1,4 +1,9 @@
+import math
+from collections import defaultdict
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from demandloom.llm import pages as P
@@ -50,12 +55,16 @@ def test_copies_of_a_page_count_once(spark):
 
 
 def test_importance(spark):
-    import math
-
     pages = frame(spark, *site(4)).select(F.lit("h").alias("host"), "html", F.lit(1.0).alias("weight"))
     tree = {r.node: r for r in P.style_tree(pages).collect()}
-    box, text = (P.key_of(p) for p in ("/body../div.box..", "/body../div.body../p.."))
-    body = P.key_of("/body..")
+    def key(*labels):
+        above = 0
+        for label in labels:
+            above = P.key_below(above, label)
+        return above
+
+    box, text = key("body..", "div.box.."), key("body..", "div.body..", "p..")
+    body = key("body..")
     assert (tree[box].m, tree[box].importance) == (4, pytest.approx(0.0))
     assert tree[text].importance == pytest.approx(1.0)
     assert tree[body].importance == pytest.approx(0.0)
@@ -96,3 +105,102 @@ def test_template_within_the_main_text_is_removed(spark):
 )
 def test_names_do_not_drop_the_main_text(spark, html, text):
     assert P.extract(frame(spark, ("http://x.com/a", html))).first().text == text
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<![foo[ <p>z", "z"), ("a<![endif]-->b", "ab"), ("<p>x</p><!-- unclosed <p>z", "x"), ("<?php echo 1", ""),
+        ("<p>a<a href=\"foo>bar", "a"), ("<p>a</p", "a"), ("x<!", "x"), ("x<![", "x"), ("x<!doctype", "x"),
+        ("<p>1 < 2 & 3 &amp; x</p>", "1 < 2 & 3 & x"), ("a < b", "a < b"),
+        ("<script>var a='<!--'; x</script><p>after", "after"), ("<![if IE]><p>a<![endif]>", "a"),
+    ],
+)
+def test_markup_that_is_cut_off_or_odd(html, text):
+    assert P.main_text(P.Page(html).order, set()) == text
+
+
+PARTS = (
+    "< > ! -- [ ] / a p div \" ' = & &# x ? <!-- --> <![ ]]> <script </script> <p> </p> </ é <article> </article> <li> "
+    "<b> </i> <td> <form class=ad> <body> <br/> <p/>"
+).split() + [" ", "\x00"]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=40).map("".join))
+def test_any_text_is_a_page(html):
+    order = P.Page(html).order
+    P.observations(order)
+    assert P.main_text(order, {1}) is not None
+    assert [n.at for n in order] == [*range(len(order))] and all(n.up < n.at for n in order)
+
+
+def test_deep_nesting_takes_little():
+    import tracemalloc
+
+    tracemalloc.start()
+    order = P.Page("<b>" * 20_000 + "x" + "</i>" * 20_000).order
+    P.observations(order)
+    assert P.main_text(order, set()) == "x"
+    assert tracemalloc.get_traced_memory()[1] < 60e6
+    tracemalloc.stop()
+    assert P.main_text(P.Page("<div>" * 100_000 + "deep").order, set()) == "deep"
+
+
+def plain_low(pages, threshold=P.THRESHOLD):
+    """Low nodes and texts of one host, from all features of all pages."""
+    pages_of, styles, texts = defaultdict(set), defaultdict(lambda: defaultdict(int)), defaultdict(lambda: defaultdict(int))
+    blocks, holders = defaultdict(lambda: defaultdict(set)), defaultdict(set)
+    for k, html in enumerate(sorted(set(pages))):
+        for node, kind, feature, main in P.observations(P.Page(html).order):
+            if kind == 0:
+                pages_of[node].add(k)
+            elif kind in (1, 2):
+                (styles if kind == 1 else texts)[node][feature] += 1
+            elif kind == 3:
+                blocks[node][feature].add(main)
+            else:
+                holders[node].add(main)
+    low = set()
+    for node, on in pages_of.items():
+        m = len(on)
+        if m == 1:
+            continue
+        if texts[node]:
+            worth = 1 - sum(math.log(n, m) for n in texts[node].values()) / len(texts[node])
+        else:
+            worth = -sum(n / m * math.log(n / m, m) for n in styles[node].values())
+        low |= {node} if worth < threshold else set()
+    for node, found in blocks.items():
+        for feature, mains in found.items():
+            if len(mains) >= P.LEAST_TEXTS and 1 - math.log(len(mains), len(holders[node])) < threshold:
+                low.add(feature)
+    return low
+
+
+def planted(n):
+    """Pages without marks, pages with marks, and pages whose template differs a little."""
+    out = []
+    for k in range(n):
+        body = f"<div><p>Story {k} begins here.</p><p>It has {k * 3} parts and ends {k * 5}.</p></div>"
+        want = f"Story {k} begins here.\nIt has {k * 3} parts and ends {k * 5}."
+        out.append((f"http://plain.com/{k}", f"<body><div class=top><p>Our paper</p></div>{body}<div class=end><p>Since 1900</p></div></body>", want))
+        out.append((f"http://marked.com/{k}", f"<body><p>Top</p><article>{body}<div><p>Read our other stories.</p></div></article></body>", want))
+        box = "<div class=box><p>Join us today.</p></div>" if k % 2 else "<div class=box><p>Join us now.</p></div>"
+        out.append((f"http://mixed.com/{k}", f"<body>{box}{body}</body>", want))
+    return out
+
+
+def test_tree_decides_on_planted_pages(spark):
+    pages = planted(40)
+    got = {r.url: r.text for r in P.extract(frame(spark, *(p[:2] for p in pages))).collect()}
+    alone = {u: P.main_text(P.Page(h).order, set()) for u, h, _ in pages}
+    words = lambda t: set(t.split("\n"))
+    kept = sum(len(words(got[u]) & words(w)) for u, _, w in pages)
+    assert kept == sum(len(words(w)) for _, _, w in pages)  # recall
+    assert kept / sum(len(words(t)) for t in got.values()) == 1.0  # precision
+    assert kept / sum(len(words(t)) for t in alone.values()) < 0.7  # without the tree
+    for host in ("plain", "marked", "mixed"):
+        of_host = [(u, h) for u, h, _ in pages if host in u]
+        low = plain_low([h for _, h in of_host])
+        assert all(got[u] == P.main_text(P.Page(h).order, low) for u, h in of_host)
