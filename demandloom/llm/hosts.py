@@ -79,38 +79,57 @@ def _rho(members: DataFrame, mean: str) -> float:
         F.sum(F.pow(F.expr(f"k - n * {mean}"), 2) - F.col("n") * spread).alias("over"),
         F.sum(F.expr("n * (n - 1)") * spread).alias("most"),
     ).first()
-    rho = row["over"] / row["most"] if row["most"] else RHO[1]
+    # Where no member has two labelled pages, nothing speaks against the prior.
+    rho = row["over"] / row["most"] if row["most"] else RHO[0]
     return min(max(rho, RHO[0]), RHO[1])
 
 
 def reputations(hosts: DataFrame) -> DataFrame:
-    """Posterior of each row of hosts(host, domain, suffix, n, k): host, mean, bound."""
+    """Posterior of each row of hosts(host, domain, suffix, n, k): host, mean, bound.
+
+    At every level the prior weighs as much as the members' agreement allows.  The bound counts it for
+    no more labelled pages than stand behind it: those of the level above outside the member, with
+    what stands behind that level's own prior.  So a rate that few pages make known is uncertain
+    wherever it is handed down.
+    """
     total = hosts.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).first()
     # Half a page of either outcome stands for the prior of all pages.
-    overall = ((total["k"] or 0) + 0.5) / ((total["n"] or 0) + 1.0)
+    pages = (total["n"] or 0) + 1.0
+    overall = ((total["k"] or 0) + 0.5) / pages
 
-    def shrunk(members: DataFrame, prior: str, out: str) -> tuple[DataFrame, float]:
+    def shrunk(members: DataFrame, prior: str, known: str, out: str) -> DataFrame:
+        """Adds the posterior mean `out`, and `out`_pages, the labelled pages behind it."""
         weight = 1 / _rho(members, prior) - 1
-        return members.withColumn(out, F.expr(f"(k + {weight!r}D * {prior}) / (n + {weight!r}D)")), weight
+        behind = F.expr(f"n + least({weight!r}D, {known} - n)")
+        return members.withColumns(
+            {out: F.expr(f"(k + {weight!r}D * {prior}) / (n + {weight!r}D)"), f"{out}_pages": behind}
+        )
 
-    suffixes, _ = shrunk(
-        hosts.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).withColumn("m", F.lit(overall)),
+    suffixes = shrunk(
+        hosts.groupBy("suffix")
+        .agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+        .withColumns({"m": F.lit(overall), "m_pages": F.lit(pages)}),
         "m",
+        "m_pages",
         "suffix_mean",
     )
-    domains, _ = shrunk(
+    domains = shrunk(
         hosts.groupBy("domain", "suffix")
         .agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-        .join(suffixes.select("suffix", "suffix_mean"), "suffix"),
+        .join(suffixes.select("suffix", "suffix_mean", "suffix_mean_pages"), "suffix"),
         "suffix_mean",
+        "suffix_mean_pages",
         "domain_mean",
     )
-    own, weight = shrunk(
-        hosts.join(domains.select("domain", "domain_mean"), "domain"), "domain_mean", "mean"
+    own = shrunk(
+        hosts.join(domains.select("domain", "domain_mean", "domain_mean_pages"), "domain"),
+        "domain_mean",
+        "domain_mean_pages",
+        "mean",
     )
-    size = F.col("n") + F.lit(weight)
-    deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (size + 1))
-    return own.select("host", "mean", (F.col("mean") - Z * deviation).alias("bound"))
+    deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("mean_pages") + 1))
+    bound = F.greatest(F.lit(0.0), F.col("mean") - Z * deviation)
+    return own.select("host", "mean", bound.alias("bound"))
 
 
 def judge(

@@ -19,13 +19,13 @@ def _rule(what: str) -> str:
     return f"CASE {' '.join(cases)} END"
 
 
-def _level(name: str, rows: str, prior: str, out: str) -> str:
-    """One level of shrinkage: the weight from the members' spread, then each one's mean."""
+def _level(name: str, rows: str, prior: str, known: str, out: str) -> str:
+    """One level of shrinkage: the weight from the members' spread, then each one's mean and pages."""
     return f"""
-{name}_w AS (SELECT 1 / least(greatest(CASE WHEN most > 0 THEN over_ / most ELSE {RHO[1]} END, {RHO[0]}), {RHO[1]}) - 1 AS w
+{name}_w AS (SELECT 1 / least(greatest(CASE WHEN most > 0 THEN over_ / most ELSE {RHO[0]} END, {RHO[0]}), {RHO[1]}) - 1 AS w
   FROM (SELECT sum((k - n * {prior}) ** 2 - n * {prior} * (1 - {prior})) AS over_,
     sum(n * (n - 1) * {prior} * (1 - {prior})) AS most FROM {rows})),
-{name} AS (SELECT *, (k + w * {prior}) / (n + w) AS {out} FROM {rows}, {name}_w)"""
+{name} AS (SELECT *, (k + w * {prior}) / (n + w) AS {out}, n + least(w, {known} - n) AS {out}_pages FROM {rows}, {name}_w)"""
 
 
 OP5 = f"""
@@ -43,16 +43,16 @@ levels AS (SELECT *, CASE WHEN third THEN l[-2] || '.' || l[-1] ELSE l[-1] END A
 hosts AS (SELECT host, any_value(domain) AS domain, any_value(suffix) AS suffix,
     count(rule)::double AS n, (count(*) FILTER (rule_verdict = 'block'))::double AS k
   FROM levels GROUP BY host),
-overall AS (SELECT (sum(k) + 0.5) / (sum(n) + 1) AS m FROM hosts),
-suffix_rows AS (SELECT suffix, n, k, m FROM (SELECT suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY suffix), overall),
-{_level('suffixes', 'suffix_rows', 'm', 'suffix_mean')},
-domain_rows AS (SELECT d.*, suffix_mean FROM (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY domain, suffix) d
+overall AS (SELECT (sum(k) + 0.5) / (sum(n) + 1) AS m, sum(n) + 1 AS m_pages FROM hosts),
+suffix_rows AS (SELECT suffix, n, k, m, m_pages FROM (SELECT suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY suffix), overall),
+{_level('suffixes', 'suffix_rows', 'm', 'm_pages', 'suffix_mean')},
+domain_rows AS (SELECT d.*, suffix_mean, suffix_mean_pages FROM (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY domain, suffix) d
   JOIN suffixes USING (suffix)),
-{_level('domains', 'domain_rows', 'suffix_mean', 'domain_mean')},
-host_rows AS (SELECT h.*, domain_mean FROM hosts h JOIN domains USING (domain)),
-{_level('posterior', 'host_rows', 'domain_mean', 'mean_')}
+{_level('domains', 'domain_rows', 'suffix_mean', 'suffix_mean_pages', 'domain_mean')},
+host_rows AS (SELECT h.*, domain_mean, domain_mean_pages FROM hosts h JOIN domains USING (domain)),
+{_level('posterior', 'host_rows', 'domain_mean', 'domain_mean_pages', 'mean_')}
 SELECT page_id, host, path, rule, coalesce(rule_verdict,
-  CASE WHEN mean_ - {Z} * sqrt(mean_ * (1 - mean_) / (n + w + 1)) > {BLOCK_ABOVE} THEN 'block' ELSE 'allow' END) AS verdict
+  CASE WHEN mean_ - {Z} * sqrt(mean_ * (1 - mean_) / (mean__pages + 1)) > {BLOCK_ABOVE} THEN 'block' ELSE 'allow' END) AS verdict
 FROM levels JOIN posterior USING (host)"""
 
 OP6 = f"""

@@ -69,3 +69,65 @@ def test_odd_tables(spark):
     same = frame(spark, "http://x.org/").select("page_id", "url")
     assert hosts.judge(same.union(same), URL_RULES).count() == 2
     assert hosts.judge(frame(spark, None, ""), URL_RULES).where("verdict = 'allow'").count() == 2
+
+
+def level(spark, rows):
+    return spark.createDataFrame(rows, "host string, domain string, suffix string, n long, k long")
+
+
+def test_one_page_does_not_judge_others(spark):
+    """A single label is too little to block any other host, nor its own."""
+    urls = ["http://a.com/de/x", "http://b.com/en/", "http://c.net/en/", "http://a.com/en/"]
+    rows = {r.page_id: r for r in hosts.judge(frame(spark, *urls), URL_RULES).collect()}
+    assert [rows[k].verdict for k in range(4)] == ["block", "allow", "allow", "allow"]
+    assert all(0 <= rows[k].block_bound < 0.5 for k in (1, 2, 3))
+
+
+def test_long_tail_takes_the_prior(spark):
+    """Hosts of one labelled page each are not judged by that page."""
+    rows = [(f"h{i}.com", f"h{i}.com", "com", 1, i % 2) for i in range(40)]
+    got = {r.host: r for r in hosts.reputations(level(spark, rows)).collect()}
+    assert all(0.4 < r.mean < 0.6 and r.bound < 0.5 for r in got.values())
+    rows = [(f"h{i}.com", f"h{i}.com", "com", 1, 1) for i in range(40)]
+    rows += [("new.com", "new.com", "com", 0, 0), ("far.net", "far.net", "net", 0, 0)]
+    got = {r.host: r for r in hosts.reputations(level(spark, rows)).collect()}
+    assert got["h1.com"].bound > 0.5 and got["new.com"].bound > 0.5  # forty pages stand behind it
+
+
+def plain_reputations(rows):
+    """The levels in plain loops: means, and the pages behind them."""
+    total_n, total_k = sum(r[3] for r in rows), sum(r[4] for r in rows)
+
+    def weight(members):
+        over = sum((k - n * m) ** 2 - n * m * (1 - m) for n, k, m, _ in members)
+        most = sum(n * (n - 1) * m * (1 - m) for n, _, m, _ in members)
+        rho = over / most if most else hosts.RHO[0]
+        return 1 / min(max(rho, hosts.RHO[0]), hosts.RHO[1]) - 1
+
+    above = {"": ((total_k + 0.5) / (total_n + 1), total_n + 1)}
+    for at, up in ((2, None), (1, 2), (0, 1)):
+        sums = {}
+        for r in rows:
+            n, k, _ = sums.get(r[at], (0, 0, None))
+            sums[r[at]] = (n + r[3], k + r[4], "" if up is None else r[up])
+        members = {x: (n, k, *above[u]) for x, (n, k, u) in sums.items()}
+        w = weight(members.values())
+        above = {x: ((k + w * m) / (n + w), n + min(w, known - n)) for x, (n, k, m, known) in members.items()}
+    return above
+
+
+def test_equals_plain_loops(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = []
+    for d in range(30):
+        rate = rng.random()
+        for h in range(rng.randrange(1, 6)):
+            n = rng.choice([0, 1, 2, 9, 40])
+            rows.append((f"h{h}.d{d}.x", f"d{d}.x", ["com", "net", "org"][d % 3], n, sum(rng.random() < rate for _ in range(n))))
+    want = plain_reputations(rows)
+    for r in hosts.reputations(level(spark, rows)).collect():
+        mean, pages = want[r.host]
+        assert r.mean == pytest.approx(mean)
+        assert r.bound == pytest.approx(max(0.0, mean - hosts.Z * (mean * (1 - mean) / (pages + 1)) ** 0.5))
