@@ -247,12 +247,30 @@ def tagged_spans(text: str, model: Field, shapes: Shapes) -> list[tuple[int, int
 
 
 def all_spans(text: str, model: Field, shapes: Shapes) -> tuple[list, list[tuple[int, int, int]]]:
-    """The base spans, and (start, kind, end) of all: the field's spans where no base span is."""
+    """The base spans, and (start, kind, end) of all.
+
+    A span of the field is added whole if letters or digits of it stand outside the base spans, so
+    of a secret that a pattern knows only in part nothing stays; base spans are as they were.
+    """
     base = base_spans(text)
-    taken = sorted((s, e) for s, _, e, _ in base)
+    taken: list[list[int]] = []
+    for start, end in sorted((s, e) for s, _, e, _ in base):
+        if taken and start <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], end)
+        else:
+            taken.append([start, end])
+    ends = [e for _, e in taken]
     out = [(s, k, e) for s, k, e, _ in base]
     for start, end in tagged_spans(text, model, shapes):
-        if end - start >= SHORTEST and not any(s < end and start < e for s, e in taken):
+        if end - start < SHORTEST:
+            continue
+        at, rest = start, ""
+        for s, e in taken[bisect.bisect_right(ends, start) :]:
+            if s >= end:
+                break
+            rest += text[at : max(at, s)]
+            at = max(at, e)
+        if any(map(str.isalnum, rest + text[at:end])):
             out.append((start, KINDS.index("tagged"), end))
     return base, sorted(out)
 

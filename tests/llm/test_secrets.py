@@ -120,3 +120,33 @@ def test_odd_tables(spark, model):
     assert S.find(df.limit(0), model).count() == 0
     nothing = S.fit(df.limit(0))
     assert S.find(df, nothing).count() == df.count()
+
+
+@pytest.mark.parametrize(
+    "text, tagged, whole",
+    [
+        ("Zx9Q_0123456789abcdef0_TT.", "Zx9Q_0123456789abcdef0_TT", True),
+        ("so 0123456789abcdef0, ok", "0123456789abcdef0,", False),
+        ("password=9c82e4685ca7e267-more and", "9c82e4685ca7e267-more", False),
+        ("0123456789abcdef/AKIAABCDEFGHIJKLMN/0123456789abcdef", "0123456789abcdef/AKIAABCDEFGHIJKLMN/0123456789abcdef", False),
+        ("0123456789abcdef/Zq/0123456789abcdef", "0123456789abcdef/Zq/0123456789abcdef", True),
+    ],
+)
+def test_no_half_of_a_secret_stays(monkeypatch, model, text, tagged, whole):
+    """A tagged span is added whole where a pattern knows only a part of it."""
+    at = text.index(tagged)
+    monkeypatch.setattr(S, "tagged_spans", lambda *a: [(at, at + len(tagged))])
+    base, every = S.all_spans(text, model, S.Shapes())
+    assert [(s, k, e) for s, k, e, _ in base] == [x for x in every if x[1] != S.KINDS.index("tagged")]
+    assert ((at, S.KINDS.index("tagged"), at + len(tagged)) in every) == whole
+
+
+def test_many_spans_take_no_square(monkeypatch, model):
+    import time
+
+    text = "Zx9Q_0123456789abcdef0_TT " * 20_000
+    spans = [(k * 26, k * 26 + 25) for k in range(20_000)]
+    monkeypatch.setattr(S, "tagged_spans", lambda *a: spans)
+    began = time.perf_counter()
+    assert len(S.all_spans(text, model, S.Shapes())[1]) == 40_000
+    assert time.perf_counter() - began < 5
