@@ -31,8 +31,8 @@ from .common import prepare, quoted, written
 
 CAPACITY = 2048
 END_ID = 1
-#: The finest class; shorter pieces fill its sequences as well.
-FINEST = 64
+#: The finest class: sequences of single tokens.
+FINEST = CAPACITY
 #: A length is left whole if its class wastes at most this share of its part of a sequence.
 WASTE = 0.03
 #: Workers of which one task completes the open sequences, as a power of two.
@@ -241,7 +241,7 @@ def pack(
             .withColumn(
                 "sequence_id",
                 F.expr(
-                    f"shiftleft({level}L, 58) + shiftleft(worker, 36) + shiftleft(class, 28) + bin"
+                    f"shiftleft({level}L, 58) + shiftleft(worker, 40) + shiftleft(class, 28) + bin"
                 ),
             )
             .select(columns)

@@ -90,3 +90,18 @@ def test_little_padding(spark):
 
 def test_empty_table(spark):
     assert packing.pack(odd.documents(spark).limit(0), PATH).count() == 0
+
+
+@pytest.mark.parametrize("words", [0, 3, 9])
+def test_little_padding_of_tiny_documents(spark, words):
+    df = spark.createDataFrame([(i, odd.prose(i, words)) for i in range(9000)], "doc_id long, text string")
+    rows = packing.pack(df.repartition(7), PATH).collect()
+    assert len(rows) >= 9000
+    n = len({r.sequence_id for r in rows})
+    total = sum(r.length for r in rows)
+    assert total >= 0.95 * (n - 1) * packing.CAPACITY
+    used = defaultdict(int)
+    for r in rows:
+        used[r.sequence_id] += r.length
+    assert max(used.values()) <= packing.CAPACITY
+    assert sum(r.offset == 0 for r in rows) == n
