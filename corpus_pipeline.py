@@ -10,30 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.llm import jaccard, mixing, secrets, toxicity
-from demandloom.llm.common import quoted, small_side, written
+from demandloom.llm.common import quoted, written
 from demandloom.llm.packing import pack
 from demandloom.llm.queries import TOKENIZER, documents, toxicity_labels
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity is below one half; documents without a text stay."""
+    """Rows whose toxicity is below one half; rows without a text stay, repeated rows each by itself."""
     grammar = toxicity.fit(toxicity_labels(docs, sf_dir))
     return docs.where(toxicity.score(F.col("text"), grammar) < 0.5)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of similar shingle sets: the one with the smallest id.
-
-    Of rows with the same id one stays; rows without an id all stay.
-    """
-    joined = written(jaccard.join(docs), "components")
-    dropped = joined.where("component_id != doc_id").select("doc_id").distinct()
-    kept = docs.join(small_side(dropped, dropped.count()), "doc_id", "left_anti").select(*docs.columns)
-    repeated = joined.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    if repeated.isEmpty():
-        return kept
-    again = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(again)
+    """One document of each component of similar shingle sets, see `jaccard.one_of_each`."""
+    return jaccard.one_of_each(docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,15 +33,15 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: each document as often as it is taken, 0 to 3 times."""
-    mixed = mixing.mix(docs, keep=docs.columns).where("copies > 0")
-    return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
-        *[quoted(c) for c in docs.columns]
-    )
+    """The mix: each row as often as it is taken, 0 to 3 times; an empty table stays empty."""
+    whole = F.struct(*map(quoted, docs.columns)).alias("_row")
+    mixed = mixing.mix(docs.select("doc_id", "text", "source", whole), keep=["_row"]).where("copies > 0")
+    times = F.sequence(F.lit(1), F.col("copies").cast("int"))
+    return mixed.select("_row", F.explode(times)).select("_row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of at most 2048 tokens."""
+    """Pieces of all rows in sequences of at most 2048 tokens; an empty table gives none."""
     return pack(docs, TOKENIZER)
 
 

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.series import PLACE, numbered
 from .common import prepare, quoted, shuffle_partitions, small_side, written
 from .components import components
 
@@ -623,3 +624,40 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     """
     out = Join(df, id_col, text_col).run()
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component of similar shingle sets, with the columns of `df`.
+
+    Kept is the document with the smallest id, of texts that share an id the one with the smallest
+    hash; documents with an id come before those without.  Rows of one id and text are one document,
+    of which the smallest row by the other columns stays, so reruns agree.  Documents without a word
+    are linked with nothing and stay; such rows without an id all do.  An empty table stays empty.
+    """
+    key, text = quoted(id_col), quoted(text_col)
+    ids = df.select(key.alias("id")).groupBy("id").agg(F.count("*").alias("n"))
+    if ids.where("n > 1 OR id IS NULL").isEmpty():
+        joined = written(join(df, id_col, text_col), "components")
+        dropped = joined.where(F.col("component_id") != key).select(key.alias("_dropped"))
+        return df.join(small_side(dropped, dropped.count()), key == F.col("_dropped"), "left_anti")
+
+    # Documents are numbered in the order in which they are preferred.
+    digest = F.md5(text.cast("string").cast("binary"))
+    known = df.select(F.lit(0).alias("all"), key.alias("id"), digest.alias("digest")).distinct()
+    numbers = written(numbered(known, ["all"], ["id", "digest"]).select("id", "digest", PLACE), "numbers")
+    rows = df.select(F.struct(*map(quoted, df.columns)).alias("row"), key.alias("_own"), text.alias("_text"))
+    own = F.md5(F.col("_text").cast("string").cast("binary"))
+    same = F.col("_own").eqNullSafe(F.col("_id")) & own.eqNullSafe(F.col("_digest"))
+    keyed = written(
+        rows.join(numbers.toDF("_id", "_digest", "_number"), same).select(
+            F.col("_number").alias("number"), F.col("_text").alias("text"), F.col("_own").isNull().alias("nameless"), "row"
+        ),
+        "keyed",
+    )
+    documents = keyed.groupBy("number").agg(F.first("text").alias("text"))
+    joined = written(join(documents, "number", "text"), "components")
+    kept = joined.where("component_id = number").select("number", (F.col("n_shingles") == 0).alias("wordless"))
+    chosen = keyed.join(kept, "number")
+    several = F.col("nameless") & F.col("wordless")
+    one = chosen.where(~several).groupBy("number").agg(F.min("row").alias("row"))
+    return one.select("row.*").unionByName(chosen.where(several).select("row.*"))

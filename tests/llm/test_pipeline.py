@@ -80,3 +80,39 @@ def test_run(spark, folder):
     assert pieces.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     assert pieces.count() > 100
     assert secrets.KINDS[0] == "assign"
+
+
+def test_one_of_each_decides_by_row(spark):
+    """Of an id with several texts only the copies go; rows without an id are reduced, too."""
+    a, b, c = (odd.prose(k, 60, 4000) for k in (1001, 1002, 1003))
+    rows = [
+        (5, a, "x"), (3, b, "x"), (3, a, "x"), (7, b, "x"), (7, c, "x"), (None, c, "x"), (None, c, "x"), (None, a + " t", "x"),
+        (None, odd.prose(1004, 50, 4000), "n"), (None, None, "n"), (None, None, "n"), (None, "", "n"), (9, None, "e"), (10, None, "e"),
+        (11, odd.prose(1005, 40), "later"), (11, odd.prose(1005, 40), "first"),
+    ]
+    schema = "doc_id long, text string, lang string"
+    df = spark.createDataFrame(rows, schema)
+    outs = [sorted(map(str, C.jaccard.one_of_each(df.repartition(n)).collect())) for n in (1, 4)]
+    want = [
+        (3, b, "x"), (3, a, "x"), (7, c, "x"), (None, odd.prose(1004, 50, 4000), "n"), (None, None, "n"), (None, None, "n"),
+        (None, "", "n"), (9, None, "e"), (10, None, "e"), (11, odd.prose(1005, 40), "first"),
+    ]
+    assert outs[0] == outs[1] == sorted(map(str, spark.createDataFrame(want, schema).collect()))
+
+
+def test_both_ways_agree_where_ids_are_unique(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").dropDuplicates(["doc_id"])
+    more = docs.unionByName(docs.where("doc_id = 9").selectExpr("CAST(NULL AS LONG) AS doc_id", "text", "lang", "source", "n_chars"))
+    assert sorted(map(str, C.jaccard.one_of_each(docs).collect())) == sorted(map(str, C.jaccard.one_of_each(more).collect()))
+
+
+def test_stages_of_odd_tables(spark, folder):
+    """Missing cells, equal rows, clashing columns and empty tables pass through every stage."""
+    docs = odd.documents(spark)
+    for name, step in C.STAGES:
+        out = step(spark, docs, folder)
+        if name != "packing":
+            assert out.columns == docs.columns
+            docs = C.written(out, "stage")
+        assert step(spark, odd.documents(spark).limit(0), folder).count() == 0
+    assert out.count() > 0
