@@ -7,10 +7,15 @@ as many of y.  The index lists the sets by these elements.
 *Answers from similar sets.*  Equal sets are one class.  A class that is verified to be similar to
 another one, found through equal min-hashes, joins that hub's group and the group is listed once
 per element.  What is computed for two hubs serves their groups: |x & y| <= |r & s| + |x - r| +
-|y - s| for x in r's group and y in s's.  Only members for which this bound can reach the threshold
-are compared themselves.  So neither copies nor near copies are ever paired with each other, and
+|y - s| for x in r's group and y in s's.  Only members for which this bound can reach the threshold,
+and which share an element of their own fronts, are compared themselves.  So neither copies nor near copies are ever paired with each other, and
 their links follow from the hubs.
 
+*Known components.*  The result is components, so links between sets that are connected already
+add nothing.  The components of the links to the hubs are found first and travel with the groups in
+the lists; two groups of one component are never paired.  What hubs add is merged in the same way
+before members are compared.
+
 *Skipping by position.*  An element at position i of a set of size m leaves at most m - i common
 elements.  Long lists are cut into blocks by size and position, and blocks that cannot reach the
 threshold with each other are skipped whole; in short lists pairs are skipped one by one.
@@ -39,8 +44,8 @@ from .components import components
 
 WORDS = 5
 PERCENT = 75
-#: Min-hashes by which classes find a hub.
-MIN_HASHES = 6
+#: Min-hashes by which classes find a hub, and further leaders of each min-hash that join components.
+MIN_HASHES, LEADERS = 6, 2
 #: An element in more documents is frequent; the most such elements that are sent to all workers,
 #: the most frequent first (4 bytes of key and of count each).
 LONG, FREQUENT = 24, 1 << 20
@@ -51,6 +56,8 @@ STRETCH = 1 << 20
 SPACE = re.compile(rb"[ \t-\r]")
 #: Elements counted together before they are sent on.
 FLUSH = 2_000_000
+#: Bytes of text whose elements are summed in one group, on average.
+BUCKET = 1 << 25
 _FACTORS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 
 
@@ -253,7 +260,9 @@ class Join:
                 *(T.StructField(c, T.BinaryType()) for c in ("once", "keys", "counts")),
             ]
         )
-        buckets = 2 * shuffle_partitions(self.spark)
+        size = self.docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        self.often = None
+        buckets = max(2 * shuffle_partitions(self.spark), size // BUCKET)
         found = written(self.docs.mapInArrow(_described(buckets), schema), "sets")
         #: Every document with its size, class and min-hashes.
         self.described = found.where("bucket IS NULL").select("id", "n", "class", "mins")
@@ -289,14 +298,15 @@ class Join:
             "overlaps",
         )
 
-    def hubs(self) -> tuple[DataFrame, DataFrame]:
-        """Overlaps of classes with the leaders of their min-hash groups; member, hub, extra, n."""
+    def hubs(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Overlaps of classes with the leaders of their min-hash groups; member, hub, extra, n;
+        class, n, label with the component of each class by these links."""
         keyed = self.classes.select("class", "n", F.posexplode("mins").alias("k", "value"))
         leaders = (
             keyed.groupBy("k", "value")
             .agg(F.count("*").alias("of"), F.min(F.struct("class", "n")).alias("leader"))
             .where("of > 1")
-            .select("k", "value", "leader")
+            .select("k", "value", "of", "leader")
         )
         pairs = (
             keyed.join(leaders, ["k", "value"])
@@ -315,27 +325,66 @@ class Join:
         )
         best = written(best, "best")
         chosen = best.select(F.col("hub").alias("member")).distinct()
-        return star, written(best.join(chosen, "member", "left_anti"), "members")
+        members = written(best.join(chosen, "member", "left_anti"), "members")
+        alone = self.classes.select("class", "n", F.col("class").alias("label"))
+        labels = self.merged(alone, star.where(similar("common", "m", "n")).select("a", "b"))
+        for turn in range(LEADERS):
+            # Another leader, by hash; it is compared with those of its min-hash that it is not connected to.
+            several = keyed.join(leaders.where("of > 2").select("k", "value"), ["k", "value"]).join(
+                labels.select("class", "label"), "class"
+            )
+            by = F.struct(F.xxhash64("class", F.lit(turn)).alias("h"), "class", "n", "label")
+            others = several.groupBy("k", "value").agg(F.min(by).alias("leader"), F.count_distinct("label").alias("labels"))
+            pairs = (
+                several.join(others.where("labels > 1"), ["k", "value"])
+                .where(f"label != leader.label AND {close_sizes('n', 'leader.n')}")
+                .select(F.least("class", "leader.class").alias("a"), F.greatest("class", "leader.class").alias("b"))
+                .distinct()
+            )
+            found = self.overlaps(pairs.join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
+            labels = self.merged(labels, found.where(similar("common", "m", "n")).select("a", "b"))
+        return star, members, labels
+
+    def merged(self, labels: DataFrame, links: DataFrame) -> DataFrame:
+        """class, n, label once links(a, b) between classes have joined components."""
+        label = lambda end: labels.select(F.col("class").alias(end), F.col("label").alias(f"{end}_label"))
+        ends = written(
+            links.join(label("a"), "a").join(label("b"), "b").where("a_label != b_label")
+            .select(F.col("a_label").alias("a"), F.col("b_label").alias("b")).distinct(),
+            "label_links",
+        )
+        if ends.isEmpty():
+            return labels
+        reached = components(ends).toDF("label", "further")
+        return written(
+            labels.join(reached, "label", "left").select("class", "n", F.coalesce("further", "label").alias("label")),
+            "labels",
+        )
+
+    def listed_texts(self, members: DataFrame, labels: DataFrame) -> DataFrame:
+        """hub, label, text of one document per class; ids that stand for several classes all stay.
 
-    def listed_texts(self, members: DataFrame) -> DataFrame:
-        """hub, is_member, text of one document per class; ids that stand for several classes all stay."""
+        A class that is connected with no other has no label of its own.
+        """
         ids = self.described.where("class IS NOT NULL").groupBy("id").agg(
             F.min("class").alias("class"), F.max("class").alias("other")
         )
         single = ids.where("class = other").select("id", "class")
         reps = self.classes.select("class", "rep")
+        several = labels.where("label != class").select("label").distinct()
         roles = (
             single.join(reps, "class")
             .join(members.select(F.col("member").alias("class"), "hub"), "class", "left")
+            .join(labels.join(several, "label", "left_semi").select("class", "label"), "class", "left")
             .withColumn("copy", ~F.col("id").eqNullSafe(F.col("rep")))
-            .where("copy OR hub IS NOT NULL")
-            .select("id", "copy", "hub")
+            .where("copy OR label IS NOT NULL")
+            .select("id", "copy", "hub", "label")
         )
         roles = written(roles, "roles")
         return (
             self.docs.join(small_side(roles, roles.count()), "id", "left")
             .where("copy IS NULL OR NOT copy")
-            .select("hub", "text")
+            .select("hub", "label", "text")
         )
 
     def frequent(self) -> tuple[np.ndarray, np.ndarray]:
@@ -347,27 +396,38 @@ class Join:
         order = np.argsort(rows["key"].to_numpy(np.int64), kind="stable")
         return rows["key"].to_numpy(np.uint32)[order], rows["n"].to_numpy(np.uint32)[order]
 
-    def candidates(self, members: DataFrame) -> DataFrame:
-        """Pairs of hubs a < b whose groups may hold similar sets."""
-        texts = self.listed_texts(members)
-        frequent = self.spark.sparkContext.broadcast(self.frequent())
-        lists = texts.mapInArrow(_fronts(frequent), "token long, hub long, own boolean, low int, high int, at int")
-        columns = ["token", "hub", _packed().alias("size")]
+    def candidates(self, members: DataFrame, labels: DataFrame) -> DataFrame:
+        """Pairs of hubs a < b of different components whose groups may hold similar sets."""
+        texts = self.listed_texts(members, labels)
+        lists = self.lists(texts)
+        columns = ["token", "hub", "label", _packed().alias("size")]
         own = lists.where("own").select(*columns)
         grouped = (
             lists.where("NOT own")
             .groupBy("token", "hub")
-            .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min("at").alias("at"))
+            .agg(F.min("label").alias("label"), F.min("low").alias("low"), F.max("high").alias("high"), F.min("at").alias("at"))
             .select(*columns)
         )
+        return self.paired(own.union(grouped))
+
+    def lists(self, texts: DataFrame) -> DataFrame:
+        """The entries of texts(hub, label, text) in the lists of their elements."""
+        if self.often is None:
+            self.often = self.spark.sparkContext.broadcast(self.frequent())
+        return texts.mapInArrow(
+            _fronts(self.often), "token long, hub long, label long, own boolean, low int, high int, at int"
+        )
+
+    def paired(self, entries: DataFrame) -> DataFrame:
+        """Pairs a < b of different labels that may be similar by the lists of their elements."""
         parts = shuffle_partitions(self.spark)
-        dealt = own.union(grouped).repartition(parts, "token").sortWithinPartitions("token", "size")
+        dealt = entries.repartition(parts, "token").sortWithinPartitions("token", "size")
         return dealt.mapInArrow(_paired, "a long, b long").distinct()
 
     def run(self) -> DataFrame:
         """id, n, component of every document."""
-        star, members = self.hubs()
-        pairs = written(self.candidates(members), "candidates")
+        star, members, labels = self.hubs()
+        pairs = written(self.candidates(members, labels), "candidates")
         turned = star.select("a", "b", "common", "m", "n").union(
             star.select(F.col("b").alias("a"), F.col("a").alias("b"), "common", F.col("n").alias("m"), F.col("m").alias("n"))
         )
@@ -376,7 +436,9 @@ class Join:
         fresh = self.overlaps(pairs.join(turned.select("a", "b"), ["a", "b"], "left_anti"))
         hubs = written(known.select("a", "b", "common", "m", "n").union(fresh), "hub_pairs")
 
-        # Pairs of hubs that are not similar but whose groups may be.
+        # Pairs of hubs that are not similar but whose groups may be, unless other hubs connect them.
+        labels = self.merged(labels, hubs.where(similar("common", "m", "n")).select("a", "b"))
+        label = lambda end: labels.select(F.col("class").alias(end), F.col("label").alias(f"{end}_label"))
         group = members.select("hub", "member", "extra", "n").union(
             members.select("hub").distinct().join(self.classes, F.col("hub") == F.col("class")).select(
                 "hub", F.col("class"), F.lit(0).cast("long"), "n"
@@ -385,6 +447,7 @@ class Join:
         reach = group.groupBy("hub").agg(F.max("extra").alias("extra"), F.min("n").alias("low"))
         near = (
             hubs.where(f"NOT ({similar('common', 'm', 'n')})")
+            .join(label("a"), "a").join(label("b"), "b").where("a_label != b_label").drop("a_label", "b_label")
             .join(reach.select(F.col("hub").alias("a"), F.col("extra").alias("extra_a"), F.col("low").alias("low_a")), "a", "left")
             .join(reach.select(F.col("hub").alias("b"), F.col("extra").alias("extra_b"), F.col("low").alias("low_b")), "b", "left")
             .where("extra_a IS NOT NULL OR extra_b IS NOT NULL")
@@ -397,43 +460,34 @@ class Join:
             .where(_can("common + extra_a + extra_b", "low_a", "low_b"))
         )
         near = written(near, "near_groups")
-        links = [
-            star.where(similar("common", "m", "n")).select("a", "b"),
-            hubs.where(similar("common", "m", "n")).select("a", "b"),
-        ]
         if not near.isEmpty():
-            alone = self.classes.select("class", "n")
-
-            def side(frame: DataFrame, hub: str) -> DataFrame:
-                """The hub's members, or the hub itself if it has none."""
-                own = group.select(F.col("hub").alias(hub), F.col("member"), F.col("extra"), F.col("n").alias("size"))
-                with_members = frame.join(own, hub, "left")
-                lone = alone.select(F.col("class").alias(hub), F.col("n").alias("own_size"))
-                return with_members.join(lone, hub).select(
-                    *frame.columns,
-                    F.coalesce("member", hub).alias(f"{hub}_member"),
-                    F.coalesce("extra", F.lit(0)).alias(f"{hub}_extra"),
-                    F.coalesce("size", "own_size").alias(f"{hub}_size"),
+            # Members by their own fronts, of those the pairs whose hubs let them be similar.
+            ends = near.select(F.col("a").alias("hub")).union(near.select("b")).distinct()
+            within = written(
+                ends.join(group, "hub", "left").select("hub", F.coalesce("member", "hub").alias("class"), F.coalesce("extra", F.lit(0)).alias("extra"))
+                .join(labels, "class"),
+                "near_members",
+            )
+            texts = self.texts(within.select("class")).join(within, "class")
+            entries = self.lists(texts.select(F.col("class").alias("hub"), "label", "text"))
+            pairs = written(self.paired(entries.select("token", "hub", "label", _packed().alias("size"))), "member_pairs")
+
+            def end(name: str) -> DataFrame:
+                return within.select(
+                    F.col("class").alias(name), F.col("hub").alias(f"{name}_hub"), F.col("extra").alias(f"{name}_extra"), F.col("n").alias(f"{name}_n")
                 )
 
-            left = side(near.select("a", "b", "common", "extra_b", "low_b"), "a").where(
-                _can("common + a_extra + extra_b", "a_size", "low_b")
-            )
-            both = side(left, "b").where(
-                f"{_can('common + a_extra + b_extra', 'a_size', 'b_size')} AND {close_sizes('a_size', 'b_size')}"
+            bounds = near.select(F.least("a", "b").alias("low_hub"), F.greatest("a", "b").alias("high_hub"), "common")
+            both = (
+                pairs.join(end("a"), "a").join(end("b"), "b")
+                .where("a != a_hub OR b != b_hub")
+                .withColumns({"low_hub": F.least("a_hub", "b_hub"), "high_hub": F.greatest("a_hub", "b_hub")})
+                .join(bounds, ["low_hub", "high_hub"])
+                .where(f"{_can('common + a_extra + b_extra', 'a_n', 'b_n')} AND {close_sizes('a_n', 'b_n')}")
             )
-            again = self.overlaps(
-                both.select(F.least("a_member", "b_member").alias("a"), F.greatest("a_member", "b_member").alias("b"))
-                .where("a != b").distinct()
-            )
-            links.append(again.where(similar("common", "m", "n")).select("a", "b"))
-        every = links[0]
-        for more in links[1:]:
-            every = every.union(more)
-        reached = components(every)
-        labelled = self.classes.select("class", "rep").join(reached, F.col("class") == F.col("node"), "left").select(
-            "class", "rep", F.coalesce("label", "class").alias("label")
-        )
+            again = self.overlaps(both.select("a", "b").distinct())
+            labels = self.merged(labels, again.where(similar("common", "m", "n")).select("a", "b"))
+        labelled = self.classes.select("class", "rep").join(labels.select("class", "label"), "class")
         smallest = labelled.groupBy("label").agg(F.min("rep").alias("component"))
         result = labelled.join(smallest, "label").select("class", "component")
         return self.described.select("id", "n", "class").join(result, "class", "left").select(
@@ -488,24 +542,26 @@ def _fronts(frequent):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = frequent.value
-        names = ["token", "hub", "own", "low", "high", "at"]
+        names = ["token", "hub", "label", "own", "low", "high", "at"]
         for batch in batches:
-            tokens, hubs, owns, sizes, ats = [], [], [], [], []
+            tokens, hubs, labels, owns, sizes, ats = [], [], [], [], [], []
 
             def rows() -> pa.RecordBatch:
                 size = np.concatenate(sizes)
-                arrays = [np.concatenate(tokens), np.concatenate(hubs), np.concatenate(owns), size, size, np.concatenate(ats)]
+                arrays = [*map(np.concatenate, (tokens, hubs, labels, owns)), size, size, np.concatenate(ats)]
                 return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=names)
 
             held = 0
-            for hub, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for hub, label, text in zip(*(column.to_pylist() for column in batch.columns)):
                 elements = shingles(text)
                 if not len(elements):
                     continue
                 first = front(elements, keys, counts)
                 n = len(first)
                 tokens.append(first.view(np.int64))
-                hubs.append(np.full(n, class_of(elements) if hub is None else hub, np.int64))
+                own = class_of(elements)
+                hubs.append(np.full(n, own if hub is None else hub, np.int64))
+                labels.append(np.full(n, own if label is None else label, np.int64))
                 owns.append(np.full(n, hub is None))
                 sizes.append(np.full(n, len(elements), np.int32))
                 ats.append(np.arange(n, dtype=np.int32))
@@ -513,7 +569,7 @@ def _fronts(frequent):
                 if held >= 200_000:
                     yield rows()
                     held = 0
-                    for part in (tokens, hubs, owns, sizes, ats):
+                    for part in (tokens, hubs, labels, owns, sizes, ats):
                         part.clear()
             if held:
                 yield rows()
@@ -528,8 +584,8 @@ def _may(low_a, high_a, at_a, low_b, high_b, at_b):
     return close & ((100 + PERCENT) * left >= PERCENT * (low_a + low_b))
 
 
-def _short(token, hub, low, high, at):
-    """Pairs within the lists of a run of entries, neighbours first, as (a, b) with a < b."""
+def _short(token, hub, label, low, high, at):
+    """Pairs within the lists of a run of entries, neighbours first, as (a, b)."""
     a, b = [], []
     active = np.arange(len(token))
     step = 1
@@ -542,17 +598,17 @@ def _short(token, hub, low, high, at):
             break
         other = active + step
         fits = _may(low[active], high[active], at[active], low[other], high[other], at[other])
-        fits &= hub[active] != hub[other]
+        fits &= label[active] != label[other]
         a.append(hub[active[fits]])
         b.append(hub[other[fits]])
         step += 1
     return a, b
 
 
-def _long(hub, low, high, at):
+def _long(hub, label, low, high, at):
     """Pairs within one long list, by blocks; yields (a, b)."""
     order = np.lexsort((at, low // max(1, BLOCK)))
-    hub, low, high, at = hub[order], low[order], high[order], at[order]
+    hub, label, low, high, at = hub[order], label[order], low[order], high[order], at[order]
     cuts = range(0, len(hub), BLOCK)
     parts = [slice(k, k + BLOCK) for k in cuts]
     least = [(low[p].min(), high[p].max(), at[p].min()) for p in parts]
@@ -564,7 +620,9 @@ def _long(hub, low, high, at):
             fits = _may(
                 low[p][:, None], high[p][:, None], at[p][:, None], low[q][None, :], high[q][None, :], at[q][None, :]
             )
-            fits &= hub[p][:, None] < hub[q][None, :] if i == j else hub[p][:, None] != hub[q][None, :]
+            fits &= label[p][:, None] != label[q][None, :]
+            if i == j:
+                fits &= hub[p][:, None] < hub[q][None, :]
             x, y = np.nonzero(fits)
             if len(x):
                 yield [hub[p][x]], [hub[q][y]]
@@ -581,36 +639,43 @@ def _pair_batch(a: list[np.ndarray], b: list[np.ndarray], seen: set) -> pa.Recor
 
 def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidate pairs of the lists, which arrive one after the other."""
-    held = [np.empty(0, np.int64)] * 3
+    held: list[list[np.ndarray]] = []
     seen: set[tuple[int, int]] = set()
 
-    def pairs(token, hub, size):
+    def pairs(token, hub, label, size):
         low, high, at = size >> 42, (size >> 21) & TOP, size & TOP
         high = np.where(high == TOP, 1 << 40, high)
         edges = np.flatnonzero(np.r_[True, token[1:] != token[:-1], True])
         lengths = np.diff(edges)
         short = np.repeat((lengths > 1) & (lengths <= BLOCK), lengths)
         if short.any():
-            a, b = _short(token[short], hub[short], low[short], high[short], at[short])
+            a, b = _short(token[short], hub[short], label[short], low[short], high[short], at[short])
             if sum(map(len, a)):
                 yield _pair_batch(a, b, seen)
         for k in np.flatnonzero(lengths > BLOCK):
             p = slice(edges[k], edges[k + 1])
-            for a, b in _long(hub[p], low[p], high[p], at[p]):
+            if (label[p] == label[edges[k]]).all():
+                continue
+            for a, b in _long(hub[p], label[p], low[p], high[p], at[p]):
                 yield _pair_batch(a, b, seen)
 
+    def waiting():
+        return [np.concatenate(parts) for parts in zip(*held)]
+
     for batch in batches:
-        rows = [np.concatenate([h, batch.column(k).to_numpy()]) for k, h in enumerate(held)]
+        rows = [column.to_numpy() for column in batch.columns]
         if not len(rows[0]):
             continue
-        # The last list may go on in the next batch.
-        start = np.flatnonzero(rows[0] != rows[0][-1])
-        cut = start[-1] + 1 if len(start) else 0
-        held = [r[cut:] for r in rows]
-        if cut and cut > 1:
-            yield from pairs(*(r[:cut] for r in rows))
-    if len(held[0]) > 1:
-        yield from pairs(*held)
+        # The last list may go on in the next batch, and the waiting one may end in this.
+        ends = np.flatnonzero(rows[0] != rows[0][-1])
+        cut = ends[-1] + 1 if len(ends) else 0
+        if cut or held and held[-1][0][-1] != rows[0][0]:
+            held.append([r[:cut] for r in rows])
+            yield from pairs(*waiting())
+            held.clear()
+        held.append([r[cut:] for r in rows])
+    if held:
+        yield from pairs(*waiting())
 
 
 def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -135,3 +135,22 @@ def test_components(spark):
     rows = components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {r.node: r.label for r in rows} == label
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_large_family_is_not_paired(spark, monkeypatch):
+    """Near copies of one text are compared with few others, and none is lost."""
+    rng = random.Random(9)
+    base = [f"b{k}" for k in range(200)]
+    docs = [(k, " ".join(edited(rng, base, rng.choice([0.005, 0.01, 0.02])))) for k in range(2000)]
+    compared = []
+    overlaps = J.Join.overlaps
+
+    def counted(self, pairs):
+        out = overlaps(self, pairs)
+        compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(J.Join, "overlaps", counted)
+    rows = got(spark, docs)
+    assert sum(compared) < 20 * len(docs)
+    assert [r[0] for r in rows if r[2] != "0"] == []
