@@ -45,7 +45,7 @@ from .components import components
 WORDS = 5
 PERCENT = 75
 #: Min-hashes by which classes find a hub, and further leaders of each min-hash that join components.
-MIN_HASHES, LEADERS = 6, 2
+MIN_HASHES, LEADERS = 6, 1
 #: An element in more documents is frequent; the most such elements that are sent to all workers,
 #: the most frequent first (4 bytes of key and of count each).
 LONG, FREQUENT = 24, 1 << 20
