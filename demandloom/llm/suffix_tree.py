@@ -3,19 +3,21 @@
 Words are lowered in A-Z only; each text ends with an end token, which is also what stands before
 its first word.  The root of the tree is the distribution of single tokens with one added to every
 count and one unseen token.  A context is a run of up to DEPTH tokens, an entry a context with a next
-symbol that follows it at least LEAST times; any token can stand in either.  A context is retained if
-the log-likelihood that it gains over its parent, the context without its oldest token, exceeds half
-a log of its count for each of its entries (a divergence test with the price of a minimum
-description).  Next-symbol distributions are smoothed by absolute discounting: what is discounted, and
-what falls on symbols without an entry, is spread like the distribution of the longest retained
-suffix.  A token is scored in the longest retained context that it stands in.
+symbol that follows it at least LEAST times; any token can stand in either.  An entry is kept if the
+log-likelihood that its occurrences gain over the parent, the context without its oldest token, exceeds
+half a log of the context's count, and a context is retained if what it gains over its parent exceeds
+that for each of its kept entries (divergence tests with the price of a minimum description).
+Next-symbol distributions are smoothed by absolute discounting: what is discounted, and what falls on
+symbols without a kept entry, is spread like the distribution of the longest retained suffix.  A token
+is scored in the longest retained context that it stands in.
 
 Entries, contexts and their probabilities are tables that grow with the corpus, built level by level.
 A token's score is a sum: that of the root, the log of the spread of every retained context before it,
 and for every entry of these what its log probability is above that.  So the tree is one table of
 weights of token runs, joined to the runs of the texts.  Workers hold the weights and token counts of
-the most frequent ones, and a bit filter of bounded size that only spares runs without a weight.
-Tokens and runs are told apart by 63-bit hashes.
+the most frequent ones, and a bit filter of bounded size that only spares runs without a weight.  What
+they cannot score is written beside a text's sums and joined; the sums themselves are not.  Tokens and
+runs are told apart by 63-bit hashes.
 """
 
 from __future__ import annotations
@@ -23,24 +25,27 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import prepare, quoted, written
 
 DEPTH = 3
-#: Least share of all tokens of a token whose count every worker holds.
-HELD_SHARE = 1e-6
+#: Least share of all tokens of a token whose count every worker holds, and how many of them at most.
+HELD_SHARE, HELD_TOKENS = 1e-7, 500_000
 #: Weights that every worker holds at most, and 64-bit words of a filter.
 HELD_WEIGHTS, FILTER_WORDS = 1_500_000, 1 << 21
 #: Least count of an entry, and what is taken off it.
 LEAST, DISCOUNT = 3, 0.75
-REMEMBERED, FLUSH, CHUNK = 400_000, 2_000_000, 200_000
+#: Token hashes remembered, tokens counted together, bytes of text cut into words together.
+REMEMBERED, FLUSH, CHUNK = 400_000, 1_000_000, 2 << 20
 END = xxhash.xxh64_intdigest(b"\n") >> 1
 #: In place of the context of a single token.
 SINGLE = -1
@@ -54,22 +59,44 @@ class TokenHashes(dict):
         return value
 
 
-def chunks(texts: list[bytes | None], hashes: TokenHashes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Tokens of some texts one after the other, and where each text starts; an end token closes each."""
-    held, starts, size = [], [], 0
-    for text in texts:
-        words = (text or b"").lower().split()
-        starts.append(size)
-        own = np.empty(len(words) + 1, np.int64)
-        own[:-1] = np.fromiter(map(hashes.__getitem__, words), np.int64, len(words))
-        own[-1] = END
-        held.append(own)
-        size += len(own)
-        if size >= CHUNK:
-            yield np.concatenate(held), np.array(starts)
-            held, starts, size = [], [], 0
-    if held:
-        yield np.concatenate(held), np.array(starts)
+@dataclass
+class Chunk:
+    """Tokens of some texts one after the other, an end token closing each."""
+
+    words: np.ndarray  # hashes of the distinct tokens
+    codes: np.ndarray  # which of them each token is
+    starts: np.ndarray  # where each text starts
+
+    @property
+    def tokens(self) -> np.ndarray:
+        return self.words[self.codes]
+
+
+def _chunk(texts: pa.Array, hashes: TokenHashes) -> Chunk:
+    # Only A-Z and white space of ASCII matter, so bytes that are no text pass as they are.
+    text = pc.fill_null(texts, b"").cast(pa.string(), safe=False)
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(text))
+    words, of = lists.flatten(), pc.list_parent_indices(lists).to_numpy()
+    some = pc.greater(pc.binary_length(words), 0)
+    coded = words.filter(some).dictionary_encode()
+    distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+    known = np.fromiter(map(hashes.__getitem__, distinct), np.int64, len(distinct))
+    of = of[some.to_numpy(zero_copy_only=False)]
+    codes = np.full(len(of) + len(texts), len(distinct), np.int64)
+    codes[np.arange(len(of)) + of] = coded.indices.to_numpy()
+    lengths = np.bincount(of, minlength=len(texts)) + 1
+    return Chunk(np.r_[known, END], codes, np.cumsum(lengths) - lengths)
+
+
+def chunks(texts: pa.Array, hashes: TokenHashes) -> Iterator[Chunk]:
+    """Texts (binary, missing for empty) in order, about CHUNK bytes at a time."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(texts):
+        before = size[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(size, before + CHUNK, side="right")))
+        yield _chunk(texts.slice(start, end - start), hashes)
+        start = end
 
 
 def _batch(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
@@ -100,10 +127,10 @@ def runs(tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each distinct key stands, and how often."""
+    """Where each distinct key stands once, and how often it does."""
     if not len(key):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     key = key[order]
     new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     return order[new], np.diff(np.r_[new, len(key)])
@@ -111,17 +138,22 @@ def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def is_in(filter_: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """False only for keys that are not in the filter."""
-    word = filter_[(keys >> 6) & (len(filter_) - 1)]
-    return (word >> (keys & 63).astype(np.uint64)) & np.uint64(1) == 1
+    word = filter_[(keys >> 18) & (len(filter_) - 1)]
+    bits = keys.astype(np.uint64)
+    out = np.ones(len(keys), np.uint64)
+    for shift in (0, 6, 12):
+        out &= word >> ((bits >> np.uint64(shift)) & np.uint64(63))
+    return out == 1
 
 
 def bit_filter(df: DataFrame, rows: int) -> np.ndarray:
-    """A bit for each hash in the only column; 16 bits a row up to FILTER_WORDS."""
+    """Three bits of one word for each hash in the only column; 16 bits a row up to FILTER_WORDS."""
     words = 1 << min(FILTER_WORDS.bit_length() - 1, max(0, math.ceil(math.log2(max(rows, 1) / 4))))
     out = np.zeros(words, np.uint64)
     key = df.columns[0]
+    three = " | ".join(f"shiftleft(1L, cast(shiftright({key}, {shift}) & 63 AS int))" for shift in (0, 6, 12))
     bits = (
-        df.select(F.expr(f"shiftright({key}, 6) & {words - 1}L AS word"), F.expr(f"shiftleft(1L, cast({key} & 63 AS int)) AS bit"))
+        df.select(F.expr(f"shiftright({key}, 18) & {words - 1}L AS word"), F.expr(f"{three} AS bit"))
         .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     )
     out[bits["word"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
@@ -143,8 +175,8 @@ def _counted(lengths: tuple[int, ...], pairs=None):
             return _batch({"context": context[first], "symbol": symbol[first], "n": n.astype(np.int64)})
 
         for batch in batches:
-            for tokens, _ in chunks(batch.column(0).to_pylist(), hashes):
-                ok = None
+            for chunk in chunks(batch.column(0), hashes):
+                tokens, ok = chunk.tokens, None
                 if 1 in lengths:
                     held[lengths.index(1)].append((tokens, np.full(len(tokens), SINGLE), tokens))
                 for length, (context, symbol, key, at) in enumerate(runs(tokens), 2):
@@ -181,179 +213,89 @@ def _with_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "run", "shorter"])
 
 
-@dataclass
-class Vocabulary:
-    """Tokens with at least HELD_SHARE, by hash; ids go by falling count."""
-
-    tokens: np.ndarray  # sorted
-    ids: np.ndarray
-    counts: np.ndarray  # by id
-    total: int
-    distinct: int
-
-    @property
-    def contexts(self) -> int:
-        return len(self.counts)
-
-    @property
-    def symbols(self) -> int:
-        return len(self.counts)
-
-    def of(self, tokens: np.ndarray) -> np.ndarray:
-        """Ids of tokens; -1 for those not held."""
-        if not len(self.tokens):
-            return np.full(len(tokens), -1)
-        at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
-        return np.where(self.tokens[at] == tokens, self.ids[at], -1)
-
-
 @dataclass
 class Held:
     """What every worker holds to score texts."""
 
-    vocabulary: Vocabulary
-    root: np.ndarray  # log10 probability of each held token
+    tokens: np.ndarray  # the most frequent tokens, sorted
+    root: np.ndarray  # log10 probability of each of them
+    unseen: float  # that of a token that training has not seen
     runs: np.ndarray  # the most frequent runs that have a weight, sorted
     weights: np.ndarray
     filter: np.ndarray  # of all runs that have a weight
 
-    def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether the runs are held, and their weights."""
-        if not len(self.runs):
-            return np.zeros(len(keys), bool), np.zeros(len(keys))
-        at = np.minimum(np.searchsorted(self.runs, keys), len(self.runs) - 1)
-        there = self.runs[at] == keys
-        return there, np.where(there, self.weights[at], 0.0)
-
-    def scores(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, log10 probabilities by what is held, and the runs to be joined with their places."""
-        ids = self.vocabulary.of(tokens)
-        out = np.zeros(len(ids))
-        held = ids >= 0
-        out[held] = self.root[ids[held]]
-        first = np.r_[END, tokens[:-1]]
-        keys, places = [first], [np.arange(len(tokens))]
+    def single(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each token is held, and its log10 probability; others count as unseen."""
+        there, root = _found(self.tokens, self.root, chunk.words)
+        return there[chunk.codes], np.where(there, root, self.unseen)[chunk.codes]
+
+    def above(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What held runs add to the log10 probability of each token, and the runs to be joined with their places."""
+        keys, places = [np.r_[END, tokens[:-1]]], [np.arange(len(tokens))]
         for _, symbol, run, at in runs(tokens):
             keys.append(run)
             # As a context the run counts for the token behind it, which is in the same text.
             places.append(at)
-        key, place = np.concatenate(keys), np.concatenate(places)
-        maybe = is_in(self.filter, key)
-        key, place = key[maybe], place[maybe]
+        maybe = [is_in(self.filter, k) for k in keys]
+        key = np.concatenate([k[m] for k, m in zip(keys, maybe)])
+        place = np.concatenate([p[m] for p, m in zip(places, maybe)])
         order = np.argsort(key)
         key, place = key[order], place[order]
-        there, weight = self.look_up(key)
-        out += np.bincount(place[there], weight[there], len(tokens))
-        return ids, out, key[~there], place[~there]
+        there, weight = _found(self.runs, self.weights, key)
+        return np.bincount(place[there], weight[there], len(tokens)), key[~there], place[~there]
 
 
-@dataclass
-class Tree:
-    """Retained contexts as states 1, 2, ..., the root being state 0, and their distributions."""
-
-    vocabulary: Vocabulary
-    keys: np.ndarray  # of the states, sorted; ids as digits to the base contexts + 1, the newest last
-    states: np.ndarray
-    parent: np.ndarray  # by state: longest retained proper suffix
-    spread: np.ndarray  # by state: log10 of the share that goes by the parent
-    entries: np.ndarray  # state * symbols + symbol, sorted
-    log: np.ndarray  # log10 probability of each entry
-    root: np.ndarray  # log10 probability of each held token
-    norm: float
-
-
-def grow(vocabulary: Vocabulary, rows: list[tuple[int, int, int, int, int]]) -> Tree:
-    """The tree from retained rows of context, depth, total, symbol, n."""
-    norm = vocabulary.total + vocabulary.distinct + 1
-    root = np.log10((vocabulary.counts + 1) / norm)
-    base = vocabulary.contexts + 1
-    of: dict[int, tuple[int, int, list[tuple[int, int]]]] = {}
-    for context, depth, total, symbol, n in rows:
-        of.setdefault(context, (depth, total, []))[2].append((symbol, n))
-    order = sorted(of, key=lambda c: (of[c][0], c))
-    number = {c: k + 1 for k, c in enumerate(order)}
-    parent, spread = np.zeros(len(order) + 1, int), np.zeros(len(order) + 1)
-    probability: list[dict[int, float]] = [{}]
-    share = [1.0]
-    entries, log = [], []
-    for c in order:
-        depth, total, symbols = of[c]
-        state = number[c]
-        for d in range(depth - 1, 0, -1):
-            if c % base**d in number:
-                parent[state] = number[c % base**d]
-                break
-        rest = 1 - sum(n - DISCOUNT for _, n in symbols) / total
-        spread[state] = math.log10(rest)
-        share.append(rest)
-        own: dict[int, float] = {}
-        for symbol, n in sorted(symbols):
-            below, factor = int(parent[state]), 1.0
-            while below and symbol not in probability[below]:
-                factor *= share[below]
-                below = int(parent[below])
-            at_parent = factor * (probability[below][symbol] if below else 10.0 ** root[symbol])
-            own[symbol] = (n - DISCOUNT) / total + rest * at_parent
-            entries.append(state * vocabulary.symbols + symbol)
-            log.append(math.log10(own[symbol]))
-        probability.append(own)
-    keys = np.array(sorted(number), np.int64)
-    return Tree(
-        vocabulary, keys, np.array([number[c] for c in keys.tolist()], int), parent, spread,
-        np.array(entries, np.int64), np.array(log), root, float(norm),
-    )
+def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether wanted keys are among the sorted ones, and their values, else 0."""
+    if not len(keys):
+        return np.zeros(len(wanted), bool), np.zeros(len(wanted))
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    there = keys[at] == wanted
+    return there, np.where(there, values[at], 0.0)
 
 
 def _scored(model):
-    """Rows of (document, what, value): sums for the tokens held under negative names, other tokens and runs by count."""
+    """Sums for what is held, and the other tokens and runs of a text, each once with how often it stands there.
+
+    Rows get numbers of their own, which hold once they are written.  Runs stand as -1 - run.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree: Held = model.value
-        hashes = TokenHashes()
+        held: Held = model.value
+        hashes, row = TokenHashes(), TaskContext.get().partitionId() << 40
         for batch in batches:
-            documents = batch.column(0).to_numpy()
             done = 0
-            for tokens, starts in chunks(batch.column(1).to_pylist(), hashes):
-                own = documents[done : done + len(starts)]
-                done += len(starts)
-                ids, logs, runs_, places = tree.scores(tokens)
-                held = ids >= 0
-                base = np.zeros(len(ids))
-                base[held] = tree.root[ids[held]]
-                lengths = np.diff(np.r_[starts, len(tokens)])
-                of = np.repeat(np.arange(len(starts)), lengths)
-                sums = [
-                    (ROWS, np.ones(len(starts))),
-                    (TOKENS, lengths.astype(float)),
-                    (KNOWN, np.bincount(of, held, len(starts))),
-                    (BASE, np.add.reduceat(base, starts)),
-                    (SCORE, np.add.reduceat(logs, starts)),
-                ]
-                rest = np.flatnonzero(~held)
-                # Each other token and run once per text, with how often it stands there.
-                doc, token = np.r_[of[rest], of[places]], np.r_[tokens[rest], FIRST_RUN - runs_]
-                order = np.lexsort((token, doc))
-                doc, token = doc[order], token[order]
-                new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (token[1:] != token[:-1])]) if len(doc) else []
-                often = np.diff(np.r_[new, len(doc)]).astype(float) if len(doc) else np.empty(0)
-                yield _batch(
-                    {
-                        "document": np.concatenate([np.tile(own, len(sums)), own[doc[new]] if len(doc) else own[:0]]),
-                        "token": np.concatenate(
-                            [np.repeat([w for w, _ in sums], len(starts)), token[new] if len(doc) else tokens[:0]]
-                        ).astype(np.int64),
-                        "value": np.concatenate([*(v for _, v in sums), often]),
-                    }
+            for chunk in chunks(batch.column(1), hashes):
+                tokens, starts = chunk.tokens, chunk.starts
+                documents = len(starts)
+                there, single = held.single(chunk)
+                above, joined, places = held.above(tokens)
+                of = np.repeat(np.arange(documents), np.diff(np.r_[starts, len(tokens)]))
+                rest = np.flatnonzero(~there)
+                doc, key = np.r_[of[rest], of[places]], np.r_[tokens[rest], -1 - joined]
+                order = np.lexsort((key, doc))
+                doc, key = doc[order], key[order]
+                new = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])][: len(doc)])
+                offsets = pa.array(np.searchsorted(doc[new], np.arange(documents + 1)).astype(np.int32))
+                often = np.diff(np.r_[new, len(doc)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.arange(row, row + documents)),
+                        batch.column(0).slice(done, documents),
+                        pa.array(np.bincount(of, minlength=documents)),
+                        pa.array(np.bincount(of, there, documents).astype(np.int64)),
+                        pa.array(np.add.reduceat(single, starts)),
+                        pa.array(np.add.reduceat(single + above, starts)),
+                        pa.ListArray.from_arrays(offsets, pa.array(key[new])),
+                        pa.ListArray.from_arrays(offsets, pa.array(often)),
+                    ],
+                    names=["row", "id", "tokens", "known", "base", "score", "keys", "often"],
                 )
+                done, row = done + documents, row + documents
 
     return run
 
 
-ROWS, TOKENS, KNOWN, BASE, SCORE = -1, -2, -3, -4, -5
-#: Runs stand under the names from here down.
-FIRST_RUN = -6
-
-
 def _text(df: DataFrame, text_col: str) -> Column:
     return quoted(text_col).cast("string").cast("binary")
 
@@ -371,22 +313,16 @@ class Model:
         row = self.counts.agg(F.sum("n").alias("total"), F.count("*").alias("distinct")).first()
         self.total, self.distinct = row["total"] or 0, row["distinct"]
         self.norm = float(self.total + self.distinct + 1)
-        self.least = max(1, math.ceil(HELD_SHARE * self.total))
-        # At most 1 / HELD_SHARE rows.
-        held = self.counts.where(F.col("n") >= self.least).toPandas().sort_values(
-            ["n", "token"], ascending=[False, True]
-        )
-        tokens = held["token"].to_numpy(np.int64)
-        order = np.argsort(tokens)
-        self.vocabulary = Vocabulary(
-            tokens[order], order.astype(np.int64), held["n"].to_numpy(np.int64), self.total, self.distinct
-        )
+        self.least = max(1, math.ceil(HELD_SHARE * self.total), _above(self.counts, self.distinct, HELD_TOKENS) + 1)
+        self.held_counts = self.counts.where(F.col("n") >= self.least).toPandas().sort_values("token")
         self.spark = spark
         self._build(texts, pairs.where(F.col("context") != SINGLE))
 
     def _summed(self, counted: DataFrame, name: str) -> DataFrame:
+        # Tasks send a run once per FLUSH; to sum again before the shuffle gains little and costs much.
         frequent = (F.col("context") == SINGLE) | (F.col("n") >= LEAST)
-        return written(counted.groupBy("context", "symbol").agg(F.sum("n").alias("n")).where(frequent), name)
+        dealt = counted.repartition("context", "symbol")
+        return written(dealt.groupBy("context", "symbol").agg(F.sum("n").alias("n")).where(frequent), name)
 
     def _build(self, texts: DataFrame, entries: DataFrame) -> None:
         singles = self.counts.select(F.col("token").alias("symbol"), F.col("n").alias("parent_n"))
@@ -417,32 +353,39 @@ class Model:
 
     def _level(self, joined: DataFrame, depth: int) -> DataFrame:
         """Entries of a level; rest is the share of a retained context's parent, missing for other contexts."""
-        columns = ["context", "symbol", "n", "total", "parent", "parent_n", "parent_total", "below"]
-        rows = written(joined.select(columns), f"level_{depth}")
+        columns = ["context", "symbol", "n", "total", "parent", "below"]
         p, q = F.col("n") / F.col("total"), F.col("parent_n") / F.col("parent_total")
+        price = 0.5 * F.log("total")
+        told = F.col("n") * F.log(p / q) > price
+        rows = written(joined.select(*columns, p.alias("p"), q.alias("q"), told.alias("kept")), f"level_{depth}")
+        other = (1 - F.col("p")) * F.log((1 - F.col("p")) / (1 - F.col("q")))
         tests = (
-            rows.groupBy("context", "total")
+            rows.where("kept")
+            .groupBy("context", "total")
             .agg(
-                F.sum(p * F.log(p / q)).alias("gain"), F.sum(p).alias("p"), F.sum(q).alias("q"), F.count("*").alias("k"),
+                F.sum(F.col("p") * F.log(F.col("p") / F.col("q"))).alias("gain"),
+                F.sum("p").alias("p"), F.sum("q").alias("q"), F.count("*").alias("k"),
                 (1 - F.sum(F.col("n") - DISCOUNT) / F.col("total")).alias("rest"),
             )
-            .withColumn("other", F.when((F.col("p") < 1) & (F.col("q") < 1), (1 - F.col("p")) * F.log((1 - F.col("p")) / (1 - F.col("q")))).otherwise(0.0))
-            .where("total * (gain + other) > 0.5 * k * ln(total)")
+            .withColumn("other", F.when((F.col("p") < 1) & (F.col("q") < 1), other).otherwise(0.0))
+            .where(F.col("total") * (F.col("gain") + F.col("other")) > F.col("k") * price)
             .select("context", "rest")
         )
-        own = (F.col("n") - DISCOUNT) / F.col("total") + F.col("rest") * F.col("below")
-        told = rows.join(tests, "context", "left").select(
-            "context", "symbol", "n", "total", "parent", "below", "rest", F.coalesce(own, "below").alias("probability")
+        spread = F.coalesce(F.col("rest") * F.col("below"), "below")
+        own = F.when(F.col("kept") & F.col("rest").isNotNull(), (F.col("n") - DISCOUNT) / F.col("total")).otherwise(0.0)
+        scored = rows.join(tests, "context", "left").select(*columns, "kept", "rest", (own + spread).alias("probability"))
+        schema = (
+            "context long, symbol long, n long, total long, parent long, below double, kept boolean,"
+            " rest double, probability double, run long, shorter long"
         )
-        schema = "context long, symbol long, n long, total long, parent long, below double, rest double, probability double, run long, shorter long"
-        return written(told.mapInArrow(_with_runs, schema), f"entries_{depth}")
+        return written(scored.mapInArrow(_with_runs, schema), f"entries_{depth}")
 
     def _weigh(self) -> None:
         parts = []
         for rows in self.levels:
-            kept = rows.where("rest IS NOT NULL")
-            parts.append(kept.selectExpr("run", "log10(probability) - log10(below) - log10(rest) AS weight", "n"))
-            parts.append(kept.groupBy(F.col("context").alias("run")).agg(
+            retained = rows.where("kept AND rest IS NOT NULL")
+            parts.append(retained.selectExpr("run", "log10(probability) - log10(below) - log10(rest) AS weight", "n"))
+            parts.append(retained.groupBy(F.col("context").alias("run")).agg(
                 F.log10(F.first("rest")).alias("weight"), F.first("total").alias("n")
             ))
         both = parts[0]
@@ -450,38 +393,21 @@ class Model:
             both = both.unionByName(part)
         summed = both.groupBy("run").agg(F.sum("weight").alias("weight"), F.max("n").alias("n"))
         weights = written(summed, "weights")
-        rows, above = weights.count(), 0
-        if rows > HELD_WEIGHTS:
-            above = weights.agg(F.percentile_approx("n", 1 - HELD_WEIGHTS / rows, 10_000)).first()[0]
+        rows = weights.count()
+        above = _above(weights, rows, HELD_WEIGHTS)
         held = weights.where(F.col("n") > above).select("run", "weight").toArrow()
         keys = held["run"].to_numpy()
         order = np.argsort(keys)
-        root = np.log10((self.vocabulary.counts + 1) / self.norm)
         self.held = Held(
-            self.vocabulary, root, keys[order], held["weight"].to_numpy()[order], bit_filter(weights.select("run"), rows)
+            self.held_counts["token"].to_numpy(np.int64),
+            np.log10((self.held_counts["n"].to_numpy(np.int64) + 1) / self.norm),
+            -math.log10(self.norm),
+            keys[order],
+            held["weight"].to_numpy()[order],
+            bit_filter(weights.select("run"), rows),
         )
         self.weights = weights.where(F.col("n") <= above)
 
-    @cached_property
-    def tree(self) -> Tree:
-        """The retained contexts and entries of held tokens, to look into a small model; scoring uses the tables."""
-        v = self.vocabulary
-        base = v.contexts + 1
-        key = {int(t): int(k) + 1 for t, k in zip(v.tokens, v.ids)}
-        id_of = {t: k - 1 for t, k in key.items()}
-        oldest = {t: t for t in key}
-        out = []
-        for depth, rows in enumerate(self.levels, 1):
-            for r in rows.toPandas().itertuples(index=False):
-                if r.context not in key or r.symbol not in id_of:
-                    continue
-                if r.rest == r.rest:
-                    out.append((key[r.context], depth, r.total, id_of[r.symbol], r.n))
-                if r.shorter in key:
-                    oldest[r.run] = oldest[r.context]
-                    key[r.run] = key[r.shorter] + (id_of[oldest[r.run]] + 1) * base**depth
-        return grow(v, out)
-
     def score(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """One row per row of `df`: id, n_tokens, n_known, base_score, score.
 
@@ -489,37 +415,44 @@ class Model:
         as empty: the end token alone.  Ids are only carried along; repeated rows stay; an empty
         table gives no rows; other columns are not read.
         """
-        text = quoted(text_col).cast("string")
-        docs = df.select(
-            quoted(id_col).alias("id"), F.xxhash64(quoted(id_col).cast("string"), text).alias("document"), text.cast("binary").alias("text")
+        docs = df.select(quoted(id_col).alias("id"), _text(df, text_col).alias("text"))
+        schema = T.StructType([T.StructField("row", T.LongType()), docs.schema["id"]])
+        for name, kind in (("tokens", "long"), ("known", "long"), ("base", "double"), ("score", "double")):
+            schema = schema.add(name, kind)
+        schema = schema.add("keys", T.ArrayType(T.LongType())).add("often", T.ArrayType(T.IntegerType()))
+        sums = written(docs.mapInArrow(_scored(self.spark.sparkContext.broadcast(self.held)), schema), "scored")
+        # A token that is not held counts as unseen so far.
+        tokens = self.counts.where(F.col("n") < self.least).select(
+            F.col("token").alias("key"), F.log10(F.col("n") + 1.0).alias("weight")
         )
-        rows = docs.select("document", "text").mapInArrow(
-            _scored(self.spark.sparkContext.broadcast(self.held)), "document long, token long, value double"
-        )
-        others = self.counts.where(F.col("n") < self.least).select("token", "n", F.lit(None).cast("double").alias("weight"))
-        other_runs = self.weights.select((F.lit(FIRST_RUN) - F.col("run")).alias("token"), F.lit(None).cast("long").alias("n"), "weight")
-        norm = self.norm
-        single = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(norm)) * F.col("value")
-
-        def total(what: int) -> Column:
-            return F.sum(F.when(F.col("token") == what, F.col("value")).otherwise(0.0))
-
-        sums = (
-            rows.join(others.unionByName(other_runs), "token", "left")
-            .groupBy("document")
+        weights = tokens.unionByName(self.weights.select((-1 - F.col("run")).alias("key"), "weight"))
+        token = F.when(F.col("key") >= 0, F.col("often")).otherwise(0)
+        more = (
+            sums.select("row", F.inline(F.arrays_zip("keys", "often")))
+            .withColumnRenamed("keys", "key")
+            .join(weights, "key")
+            .groupBy("row")
             .agg(
-                total(ROWS).alias("rows"),
-                total(TOKENS).alias("tokens"),
-                (total(KNOWN) + F.sum(F.when(F.col("n").isNotNull(), F.col("value")).otherwise(0.0))).alias("known"),
-                total(BASE).alias("base"),
-                (total(SCORE) + F.sum(F.coalesce(F.col("weight") * F.col("value"), F.lit(0.0)))).alias("tree"),
-                F.sum(F.when(F.col("token") >= 0, single).otherwise(0.0)).alias("single"),
+                F.sum(token).alias("more_known"),
+                F.sum(token * F.col("weight")).alias("more_base"),
+                F.sum(F.col("often") * F.col("weight")).alias("more_score"),
             )
         )
-        return docs.select("id", "document").join(sums, "document").select(
+
+        def both(name: str) -> Column:
+            return F.col(name) + F.coalesce(f"more_{name}", F.lit(0))
+
+        return sums.drop("keys", "often").join(more, "row", "left").select(
             F.col("id").alias(id_col),
-            (F.col("tokens") / F.col("rows")).cast("long").alias("n_tokens"),
-            (F.col("known") / F.col("rows")).cast("long").alias("n_known"),
-            ((F.col("base") + F.col("single")) / F.col("rows")).alias("base_score"),
-            ((F.col("tree") + F.col("single")) / F.col("rows")).alias("score"),
+            F.col("tokens").alias("n_tokens"),
+            both("known").alias("n_known"),
+            both("base").alias("base_score"),
+            both("score").alias("score"),
         )
+
+
+def _above(counts: DataFrame, rows: int, most: int) -> int:
+    """A count n that at most about `most` of the rows exceed; 0 if there are no more rows."""
+    if rows <= most:
+        return 0
+    return counts.agg(F.percentile_approx("n", 1 - most / rows, 10_000)).first()[0]

@@ -7,6 +7,7 @@ import pytest
 
 import odd
 from demandloom.llm import suffix_tree as S
+from plain_tree import tree_of, vocabulary_of
 
 SCHEMA = "doc_id long, text string"
 
@@ -57,9 +58,9 @@ def test_counts_and_base_score(spark, model, small_held):
             assert r.n_tokens == len(own) and r.n_known == sum(counts[w] > 0 for w in own)
             assert r.base_score == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in own))
         both.append({i: round(r.score, 9) for i, r in rows.items()})
-    assert len(small_held.tree.vocabulary.tokens) < len(model.tree.vocabulary.tokens)
-    known = set(small_held.tree.vocabulary.tokens.tolist())
-    assert known < set(model.tree.vocabulary.tokens.tolist())
+    assert len(vocabulary_of(small_held).tokens) < len(vocabulary_of(model).tokens)
+    known = set(vocabulary_of(small_held).tokens.tolist())
+    assert known < set(vocabulary_of(model).tokens.tolist())
     assert all(s < 0 for scores in both for s in scores.values())
 
 
@@ -95,23 +96,24 @@ def brute_score(tree, text):
 
 def test_longest_suffix_states(spark, model):
     docs = [*corpus()[:30], (900, "a b unknown a c d e c f f"), (901, None)]
+    tree = tree_of(model)
     rows = {r.doc_id: r.score for r in model.score(spark.createDataFrame(docs, SCHEMA)).collect()}
     for i, text in docs:
-        assert rows[i] == pytest.approx(brute_score(model.tree, text)), text
+        assert rows[i] == pytest.approx(brute_score(tree, text)), text
 
 
 def test_contexts_are_retained_where_they_tell_something(model):
-    v = model.tree.vocabulary
+    v = vocabulary_of(model)
     base = v.contexts + 1
     a, b, c, e, d = (int(v.of(np.array([S.TokenHashes()[w]]))[0]) for w in (b"a", b"b", b"c", b"e", b"d"))
-    keys = set(model.tree.keys.tolist())
+    keys = set(tree_of(model).keys.tolist())
     assert {a + 1, c + 1, (c + 1) + (a + 1) * base, (c + 1) + (e + 1) * base} <= keys
     assert not any(k % base == d + 1 and k >= base for k in keys)  # after 'd' nothing earlier matters
     assert b < v.symbols
 
 
 def test_distributions_add_up_to_one(model):
-    tree = model.tree
+    tree = tree_of(model)
     v = tree.vocabulary
     p = np.concatenate([10**tree.root, [1 / tree.norm]])
     assert p.sum() == pytest.approx(1)
