@@ -3,10 +3,10 @@
 Words are lowered in A-Z only; each text ends with an end token, which is also what stands before
 its first word.  The root of the tree is the distribution of single tokens with one added to every
 count and one unseen token.  A context is a run of up to DEPTH tokens, an entry a context with a next
-symbol that follows it at least LEAST times; any token can stand in either.  An entry is kept if the
-log-likelihood that its occurrences gain over the parent, the context without its oldest token, exceeds
-half a log of the context's count, and a context is retained if what it gains over its parent exceeds
-that for each of its kept entries (divergence tests with the price of a minimum description).
+symbol that follows it at least LEAST times; any token can stand in either.  An entry is kept if it is
+likelier than after the parent, the context without its oldest token, and a context is retained if the
+log-likelihood that it gains over its parent by its kept entries exceeds half a log of its count for
+each of them (a divergence test with the price of a minimum description).
 Next-symbol distributions are smoothed by absolute discounting: what is discounted, and what falls on
 symbols without a kept entry, is spread like the distribution of the longest retained suffix.  A token
 is scored in the longest retained context that it stands in.
@@ -356,8 +356,7 @@ class Model:
         columns = ["context", "symbol", "n", "total", "parent", "below"]
         p, q = F.col("n") / F.col("total"), F.col("parent_n") / F.col("parent_total")
         price = 0.5 * F.log("total")
-        told = F.col("n") * F.log(p / q) > price
-        rows = written(joined.select(*columns, p.alias("p"), q.alias("q"), told.alias("kept")), f"level_{depth}")
+        rows = written(joined.select(*columns, p.alias("p"), q.alias("q"), (p > q).alias("kept")), f"level_{depth}")
         other = (1 - F.col("p")) * F.log((1 - F.col("p")) / (1 - F.col("q")))
         tests = (
             rows.where("kept")
