@@ -35,28 +35,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.scratch import new_folder, removed
 from .common import prepare, quoted, written
 
 DEPTH = 3
 #: Least share of all tokens of a token whose count every worker holds, and how many of them at most.
 HELD_SHARE, HELD_TOKENS = 1e-7, 500_000
 #: Weights that every worker holds at most, and 64-bit words of a filter.
-HELD_WEIGHTS, FILTER_WORDS = 1_500_000, 1 << 21
+HELD_WEIGHTS, FILTER_WORDS = 3_000_000, 1 << 21
 #: Least count of an entry, and what is taken off it.
 LEAST, DISCOUNT = 3, 0.75
-#: Token hashes remembered, tokens counted together, bytes of text cut into words together.
-REMEMBERED, FLUSH, CHUNK = 400_000, 1_000_000, 2 << 20
+#: Tokens counted together, bytes of text cut into words together.
+FLUSH, CHUNK = 4_000_000, 2 << 20
+#: Words of more bytes are hashed one by one.
+LONG = 64
 END = xxhash.xxh64_intdigest(b"\n") >> 1
 #: In place of the context of a single token.
 SINGLE = -1
 
 
-class TokenHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word) >> 1
-        return value
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def hashed(words: pa.Array) -> np.ndarray:
+    """63-bit hashes of words (string or binary, none missing), eight bytes of all of them at a time."""
+    if not len(words):
+        return np.empty(0, np.int64)
+    _, ends, data = words.buffers()
+    bounds = np.frombuffer(ends, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    at, lengths = bounds[:-1], np.diff(bounds)
+    data = np.frombuffer(data or b"", np.uint8)[: bounds[-1]]
+    padded = np.r_[data, np.zeros(16, np.uint8)]
+    eight = np.ndarray(len(padded) - 7, "<u8", padded, 0, (1,))
+    out = _mixed(lengths.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    for start in range(0, min(LONG, int(lengths.max())), 8):
+        on = np.flatnonzero(lengths > start)
+        spare = np.maximum(8 - (lengths[on] - start), 0).astype(np.uint64) << np.uint64(3)
+        lane = eight[at[on] + start] << spare
+        out[on] = _mixed((out[on] + lane) * np.uint64(0x9E3779B97F4A7C15))
+    for k in np.flatnonzero(lengths > LONG).tolist():
+        out[k] = xxhash.xxh64_intdigest(data[at[k] : at[k] + lengths[k]].tobytes())
+    return (out >> np.uint64(1)).astype(np.int64)
 
 
 @dataclass
@@ -72,30 +93,29 @@ class Chunk:
         return self.words[self.codes]
 
 
-def _chunk(texts: pa.Array, hashes: TokenHashes) -> Chunk:
+def _chunk(texts: pa.Array) -> Chunk:
     # Only A-Z and white space of ASCII matter, so bytes that are no text pass as they are.
     text = pc.fill_null(texts, b"").cast(pa.string(), safe=False)
     lists = pc.ascii_split_whitespace(pc.ascii_lower(text))
     words, of = lists.flatten(), pc.list_parent_indices(lists).to_numpy()
     some = pc.greater(pc.binary_length(words), 0)
     coded = words.filter(some).dictionary_encode()
-    distinct = coded.dictionary.cast(pa.binary()).to_pylist()
-    known = np.fromiter(map(hashes.__getitem__, distinct), np.int64, len(distinct))
+    known = hashed(coded.dictionary)
     of = of[some.to_numpy(zero_copy_only=False)]
-    codes = np.full(len(of) + len(texts), len(distinct), np.int64)
+    codes = np.full(len(of) + len(texts), len(known), np.int64)
     codes[np.arange(len(of)) + of] = coded.indices.to_numpy()
     lengths = np.bincount(of, minlength=len(texts)) + 1
     return Chunk(np.r_[known, END], codes, np.cumsum(lengths) - lengths)
 
 
-def chunks(texts: pa.Array, hashes: TokenHashes) -> Iterator[Chunk]:
+def chunks(texts: pa.Array) -> Iterator[Chunk]:
     """Texts (binary, missing for empty) in order, about CHUNK bytes at a time."""
     size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     start = 0
     while start < len(texts):
         before = size[start - 1] if start else 0
         end = max(start + 1, int(np.searchsorted(size, before + CHUNK, side="right")))
-        yield _chunk(texts.slice(start, end - start), hashes)
+        yield _chunk(texts.slice(start, end - start))
         start = end
 
 
@@ -105,24 +125,31 @@ def _batch(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
 
 def followed(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     """Hash of the run of a context and the token behind it."""
-    x = context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + symbol.astype(np.uint64)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return ((x ^ (x >> np.uint64(32))) >> np.uint64(1)).astype(np.int64)
+    mixed = _mixed(context.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + symbol.view(np.uint64))
+    return (mixed >> np.uint64(1)).astype(np.int64)
 
 
-def runs(tokens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def runs(
+    tokens: np.ndarray, pairs: np.ndarray | None = None, longest: int = DEPTH + 1
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For each length from 2, of the runs within a text: context, symbol, run, and place of the symbol.
 
-    The end token before a text belongs to its runs, as their first token only.
+    The end token before a text belongs to its runs, as their first token only.  With a filter of the
+    frequent pairs, of length 3 and more only those all of whose pairs are in it: others are not frequent.
     """
-    padded = np.r_[END, tokens]
-    context, at = padded[:-1], np.arange(len(tokens))
-    for length in range(2, DEPTH + 2):
+    context, at = np.r_[END, tokens[:-1]], np.arange(len(tokens))
+    frequent = None
+    for length in range(2, longest + 1):
         symbol = tokens[at]
         run = followed(context, symbol)
         yield context, symbol, run, at
         # A run goes on where its last token does not end the text.
         on = symbol != END
+        if pairs is not None and length < longest:
+            if frequent is None:
+                frequent = np.r_[is_in(pairs, run), False]
+                on &= frequent[:-1]
+            on &= frequent[at + 1]
         context, at = run[on], at[on] + 1
 
 
@@ -139,11 +166,11 @@ def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def is_in(filter_: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """False only for keys that are not in the filter."""
     word = filter_[(keys >> 18) & (len(filter_) - 1)]
-    bits = keys.astype(np.uint64)
-    out = np.ones(len(keys), np.uint64)
-    for shift in (0, 6, 12):
-        out &= word >> ((bits >> np.uint64(shift)) & np.uint64(63))
-    return out == 1
+    bits, one, last = keys.view(np.uint64), np.uint64(1), np.uint64(63)
+    three = one << (bits & last)
+    three |= one << ((bits >> np.uint64(6)) & last)
+    three |= one << ((bits >> np.uint64(12)) & last)
+    return word & three == three
 
 
 def bit_filter(df: DataFrame, rows: int) -> np.ndarray:
@@ -161,44 +188,39 @@ def bit_filter(df: DataFrame, rows: int) -> np.ndarray:
 
 
 def _counted(lengths: tuple[int, ...], pairs=None):
-    """Counts of runs by context and symbol; with length 1, of tokens.
-
-    With a filter of the frequent pairs, only of runs all of whose pairs are in it: others are not frequent.
-    """
+    """Counts of runs by context and symbol, with length 1 of tokens; with a filter, of runs of frequent pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, size = TokenHashes(), [[] for _ in lengths], 0
-
-        def rows(parts: list) -> pa.RecordBatch:
-            key, context, symbol = (np.concatenate(c) for c in zip(*parts))
-            first, n = _groups(key)
-            return _batch({"context": context[first], "symbol": symbol[first], "n": n.astype(np.int64)})
+        held, words, size = [[] for _ in lengths if _ > 1], [], 0
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            if words:
+                token, n = (np.concatenate(c) for c in zip(*words))
+                order = np.argsort(token)
+                token, n = token[order], n[order]
+                new = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+                yield _batch({"context": np.full(len(new), SINGLE), "symbol": token[new], "n": np.add.reduceat(n, new)})
+                words.clear()
+            for parts in held:
+                key, context, symbol = zip(*parts)
+                first, n = _groups(np.concatenate(key))
+                yield _batch({"context": np.concatenate(context)[first], "symbol": np.concatenate(symbol)[first], "n": n})
+                parts.clear()
 
         for batch in batches:
-            for chunk in chunks(batch.column(0), hashes):
-                tokens, ok = chunk.tokens, None
+            for chunk in chunks(batch.column(0)):
+                tokens = chunk.tokens
                 if 1 in lengths:
-                    held[lengths.index(1)].append((tokens, np.full(len(tokens), SINGLE), tokens))
-                for length, (context, symbol, key, at) in enumerate(runs(tokens), 2):
-                    if pairs is not None:
-                        if length == 2:
-                            frequent = ok = is_in(pairs.value, key)
-                        else:
-                            # The run without its last token, and its last pair.
-                            before[before_at] = ok
-                            ok = before[at - 1] & frequent[at]
-                        before, before_at = np.zeros(len(tokens), bool), at
-                    if length in lengths:
-                        chosen = slice(None) if ok is None else ok
-                        held[lengths.index(length)].append((key[chosen], context[chosen], symbol[chosen]))
-                    if length >= max(lengths):
-                        break
+                    words.append((chunk.words, np.bincount(chunk.codes, minlength=len(chunk.words))))
+                found = enumerate(runs(tokens, pairs and pairs.value, max(lengths)), 2)
+                for place, (_, (context, symbol, key, _)) in enumerate(f for f in found if f[0] in lengths):
+                    held[place].append((key, context, symbol))
                 size += len(tokens)
                 if size >= FLUSH:
-                    yield from map(rows, held)
-                    held, size = [[] for _ in lengths], 0
+                    yield from flushed()
+                    size = 0
         if size:
-            yield from map(rows, held)
+            yield from flushed()
 
     return run
 
@@ -223,6 +245,7 @@ class Held:
     runs: np.ndarray  # the most frequent runs that have a weight, sorted
     weights: np.ndarray
     filter: np.ndarray  # of all runs that have a weight
+    pairs: np.ndarray  # filter of the frequent pairs
 
     def single(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
         """Whether each token is held, and its log10 probability; others count as unseen."""
@@ -232,7 +255,7 @@ class Held:
     def above(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """What held runs add to the log10 probability of each token, and the runs to be joined with their places."""
         keys, places = [np.r_[END, tokens[:-1]]], [np.arange(len(tokens))]
-        for _, symbol, run, at in runs(tokens):
+        for _, _, run, at in runs(tokens, self.pairs):
             keys.append(run)
             # As a context the run counts for the token behind it, which is in the same text.
             places.append(at)
@@ -262,10 +285,10 @@ def _scored(model):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Held = model.value
-        hashes, row = TokenHashes(), TaskContext.get().partitionId() << 40
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
             done = 0
-            for chunk in chunks(batch.column(1), hashes):
+            for chunk in chunks(batch.column(1)):
                 tokens, starts = chunk.tokens, chunk.starts
                 documents = len(starts)
                 there, single = held.single(chunk)
@@ -335,7 +358,8 @@ class Model:
         )
         self.levels = [self._level(joined, 1)]
         pairs = self.levels[0].select("run")
-        model = self.spark.sparkContext.broadcast(bit_filter(pairs, pairs.count()))
+        self.pairs = bit_filter(pairs, pairs.count())
+        model = self.spark.sparkContext.broadcast(self.pairs)
         longer = tuple(range(3, DEPTH + 2))
         counted = self._summed(texts.mapInArrow(_counted(longer, model), "context long, symbol long, n long"), "run_counts")
         for depth in range(2, DEPTH + 1):
@@ -354,9 +378,12 @@ class Model:
     def _level(self, joined: DataFrame, depth: int) -> DataFrame:
         """Entries of a level; rest is the share of a retained context's parent, missing for other contexts."""
         columns = ["context", "symbol", "n", "total", "parent", "below"]
+        path = new_folder(self.spark, f"level_{depth}")
+        joined = joined.select(*columns, "parent_n", "parent_total")
+        joined.write.parquet(path)
         p, q = F.col("n") / F.col("total"), F.col("parent_n") / F.col("parent_total")
         price = 0.5 * F.log("total")
-        rows = written(joined.select(*columns, p.alias("p"), q.alias("q"), (p > q).alias("kept")), f"level_{depth}")
+        rows = self.spark.read.schema(joined.schema).parquet(path).withColumns({"p": p, "q": q, "kept": p > q})
         other = (1 - F.col("p")) * F.log((1 - F.col("p")) / (1 - F.col("q")))
         tests = (
             rows.where("kept")
@@ -377,7 +404,9 @@ class Model:
             "context long, symbol long, n long, total long, parent long, below double, kept boolean,"
             " rest double, probability double, run long, shorter long"
         )
-        return written(scored.mapInArrow(_with_runs, schema), f"entries_{depth}")
+        entries = written(scored.mapInArrow(_with_runs, schema), f"entries_{depth}")
+        removed(self.spark, path)
+        return entries
 
     def _weigh(self) -> None:
         parts = []
@@ -404,6 +433,7 @@ class Model:
             keys[order],
             held["weight"].to_numpy()[order],
             bit_filter(weights.select("run"), rows),
+            self.pairs,
         )
         self.weights = weights.where(F.col("n") <= above)
 

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import odd
@@ -12,6 +13,10 @@ from plain_tree import tree_of, vocabulary_of
 SCHEMA = "doc_id long, text string"
 
 
+def token_hash(word):
+    return S.hashed(pa.array([word]))[0]
+
+
 def words(text):
     return [*(text or "").encode().lower().split(), b"\n"]
 
@@ -67,7 +72,7 @@ def test_counts_and_base_score(spark, model, small_held):
 def brute_score(tree, text):
     """Longest retained context of every token, by looking for it in turn."""
     v = tree.vocabulary
-    ids = v.of(np.array([S.TokenHashes()[w] if w != b"\n" else S.END for w in words(text)])).tolist()
+    ids = v.of(np.array([token_hash(w) if w != b"\n" else S.END for w in words(text)])).tolist()
     end = int(v.of(np.array([S.END]))[0])
     base = v.contexts + 1
     state_of = dict(zip(tree.keys.tolist(), tree.states.tolist()))
@@ -105,7 +110,7 @@ def test_longest_suffix_states(spark, model):
 def test_contexts_are_retained_where_they_tell_something(model):
     v = vocabulary_of(model)
     base = v.contexts + 1
-    a, b, c, e, d = (int(v.of(np.array([S.TokenHashes()[w]]))[0]) for w in (b"a", b"b", b"c", b"e", b"d"))
+    a, b, c, e, d = (int(v.of(np.array([token_hash(w)]))[0]) for w in (b"a", b"b", b"c", b"e", b"d"))
     keys = set(tree_of(model).keys.tolist())
     assert {a + 1, c + 1, (c + 1) + (a + 1) * base, (c + 1) + (e + 1) * base} <= keys
     assert not any(k % base == d + 1 and k >= base for k in keys)  # after 'd' nothing earlier matters
@@ -169,3 +174,21 @@ def test_joined_weights_give_the_same_scores(spark, model, monkeypatch):
     docs = spark.createDataFrame([*corpus()[:30], (900, "a b unknown a c d e c f f"), (901, None)], SCHEMA)
     want = {r.doc_id: r.score for r in model.score(docs).collect()}
     assert {r.doc_id: r.score for r in joined.score(docs).collect()} == pytest.approx(want)
+
+
+def test_words_are_hashed_wherever_they_stand():
+    made = [b"", b"a", b"a\0", b"\0a", b"abcdefgh", b"abcdefghi", b"x" * 64, b"x" * 65, b"x" * 3000, b"\xff\xfe", "é".encode()]
+    whole = S.hashed(pa.array(made))
+    assert len(set(whole.tolist())) == len(made) and (whole >= 0).all()
+    assert [token_hash(w) for w in made] == whole.tolist()
+    assert S.hashed(pa.array(made).slice(3, 5)).tolist() == whole[3:8].tolist()
+    assert len(S.hashed(pa.array([], pa.binary()))) == 0
+
+
+def test_chunks_cut_like_bytes(monkeypatch):
+    monkeypatch.setattr(S, "CHUNK", 16)
+    texts = [b"A b\tB\x0b\x0cc\r\n", None, b"", b"  ", "É a\u00a0b \x1c".encode(), b"\xff \xfe", b"long " * 50, b"z"]
+    got = [c for c in S.chunks(pa.array(texts, pa.binary()))]
+    assert len(got) > 2 and sum(len(c.starts) for c in got) == len(texts)
+    want = [h for t in texts for h in [*(token_hash(w) for w in (t or b"").lower().split()), S.END]]
+    assert np.concatenate([c.tokens for c in got]).tolist() == want
