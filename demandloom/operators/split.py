@@ -2,10 +2,10 @@
 
 The last part of the rows in (store, product, date, tie-break) order is the test set.  Sorting all
 rows to number them would be the largest shuffle of the pipeline, and only one position matters:
-the first test row.  It is found from counts by (store, product, date), taken once: the store that
-holds it, the product of that store, the date of that series, and only there by ordering rows.
-Each step hands one row to the driver.  Marking the rows is then a comparison with that row: no
-join, no shuffle.
+the first test row.  It is found step by step: the store that holds it, the product of that store,
+the date of that series, and only there by ordering rows.  Each step counts the rows of what the
+step before has found by one column, so it shuffles a count per value and task, and hands one row to
+the driver.  Marking the rows is then a comparison with that row: no join, no shuffle.
 """
 
 from __future__ import annotations
@@ -58,16 +58,17 @@ def first_test_row(
     A date with more than `max_rows` rows is put in order by ranges, others in one task.
     """
     rows = df.select(*dict.fromkeys([*keys, *ties]))
-    counts = written(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "row_counts")
-    share = F.sum("_n") - F.ceil(F.lit(test_size) * F.sum("_n"))
-    skip = counts.agg(share.alias("skip")).first()["skip"]
-    if skip is None:
-        return None
-    found: Row | None = None
+    skip, found = None, None
     for key in keys:
-        found = _holding(counts.groupBy(key).agg(F.sum("_n").alias("_n")), key, skip)
-        skip = found["_skip"]
-        counts, rows = counts.where(_is(key, found[key])), rows.where(_is(key, found[key]))
+        counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        if found is None:
+            counts = written(counts, "row_counts")
+            share = F.sum("_n") - F.ceil(F.lit(test_size) * F.sum("_n"))
+            skip = counts.agg(share.alias("skip")).first()["skip"]
+            if skip is None:
+                return None
+        found = _holding(counts, key, skip)
+        skip, rows = found["_skip"], rows.where(_is(key, found[key]))
     if found["_n"] > max_rows:
         placed = numbered(rows, [], ties)
     else:

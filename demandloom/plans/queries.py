@@ -513,7 +513,9 @@ def positional_split(spark, sf_dir):
 
 @query
 def onehot_counts(spark, sf_dir):
-    train = split(spark, sf_dir, *CATEGORICAL).where(~F.col("is_test"))
+    rows = split(spark, sf_dir, *CATEGORICAL).where(~F.col("is_test"))
+    # Read by the fit and by the counting.
+    train = written(rows.select(*CATEGORICAL), "train")
     prep = M.preprocessor(train, {"categorical": list(CATEGORICAL), "numeric": []})
     return M.category_counts(prep, train, CATEGORICAL)
 

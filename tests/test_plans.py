@@ -6,8 +6,9 @@ import pytest
 
 from demandloom.operators.features import demand_features
 from demandloom.operators.split import positional_split
+from demandloom.plans import queries
 from demandloom.plans.queries import QUERIES
-from demandloom.schema import SERIES
+from demandloom.schema import CATEGORICAL, SERIES
 from demandloom.sources.star import TIE_BREAK, sales
 
 SF = "/root/testdata/sf0.001"
@@ -73,3 +74,23 @@ def test_no_python_in_any_plan(spark):
 def test_dimensions_are_broadcast_one_by_one(spark):
     text = plan(sales(spark, SF))
     assert "SortMergeJoin" not in text and "CartesianProduct" not in text
+
+
+def test_training_rows_are_chosen_before_they_meet_the_orders(spark):
+    rows = queries.split(spark, SF, *CATEGORICAL).where("not is_test").select(*CATEGORICAL)
+    text = rows._jdf.queryExecution().optimizedPlan().toString()
+    orders = re.search(r"Join Inner, \(l_orderkey#\d+L? = o_orderkey", text)
+    assert orders.start() < text.index("(struct(c0")
+
+
+def test_onehot_counts_joins_its_rows_once(spark, monkeypatch):
+    kept, usual = [], queries.written
+
+    def written(df, name):
+        kept.append((name, df.columns))
+        return usual(df, name)
+
+    monkeypatch.setattr(queries, "written", written)
+    counts = QUERIES["onehot_counts"](spark, SF)
+    assert kept == [("train", list(CATEGORICAL))]
+    assert "lineitem.parquet" not in plan(counts)

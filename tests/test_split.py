@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from demandloom.operators import split as split_module
 from demandloom.operators.split import positional_split
 
 
@@ -71,3 +72,20 @@ def test_share_is_exact_with_missing_and_infinite_ties(spark, max_rows):
 def test_empty_table(spark):
     df = table(spark, 3, 1).limit(0)
     assert positional_split(df, ties=["line"]).count() == 0
+
+
+def test_counts_are_as_few_as_stores(spark, monkeypatch):
+    df = spark.range(900).select(
+        (F.col("id") % 2).cast("string").alias("store_id"), (F.col("id") % 3).cast("string").alias("product_id"),
+        (F.col("id") % 300).alias("date"), F.col("id").alias("line"),
+    )
+    sizes, usual = [], split_module.written
+
+    def written(counts, name):
+        found = usual(counts, name)
+        sizes.append(found.count())
+        return found
+
+    monkeypatch.setattr(split_module, "written", written)
+    assert positional_split(df, ties=["line"]).where("is_test").count() == 180
+    assert sizes == [2]
