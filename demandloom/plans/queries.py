@@ -40,6 +40,9 @@ from ..sources import files
 from ..sources.scratch import new_folder, written
 from ..sources.star import LINE_KEY, SALES_COLUMNS, TIE_BREAK, sales, sales_raw
 
+#: Text that a query writes and reads: a file is read by one task, so its rows are bounded.
+TEXT_FILES = {"compression": "gzip", "maxRecordsPerFile": 1_000_000}
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -200,7 +203,7 @@ def records_from_json(spark, sf_dir):
     path = new_folder(spark, "records-json")
     rows = sales(spark, sf_dir, *RAW_TO_ENGINE.values())
     raw = rows.select(*LINE_KEY, *(F.col(c).alias(ENGINE_TO_RAW[c]) for c in RAW_TO_ENGINE.values()))
-    raw.write.json(path)
+    raw.write.options(**TEXT_FILES).json(path)
     return six(R.normalize_aliases(files.read_json_records(spark, path, raw.schema)))
 
 

@@ -94,3 +94,13 @@ def test_onehot_counts_joins_its_rows_once(spark, monkeypatch):
     counts = QUERIES["onehot_counts"](spark, SF)
     assert kept == [("train", list(CATEGORICAL))]
     assert "lineitem.parquet" not in plan(counts)
+
+
+@pytest.mark.parametrize("name, ending", [("records_from_json", "json.gz")])
+def test_text_of_a_query_is_packed_in_files_of_bounded_length(spark, monkeypatch, tmp_path, name, ending):
+    monkeypatch.setattr(queries, "new_folder", lambda spark, folder: str(tmp_path / folder))
+    monkeypatch.setattr(queries, "TEXT_FILES", queries.TEXT_FILES | {"maxRecordsPerFile": 1000})
+    rows = sales(spark, SF).count()
+    QUERIES[name](spark, SF).collect()
+    files = [p for p in tmp_path.rglob("part-*") if p.name.endswith(ending)]
+    assert len(files) >= rows / 1000 and len(files) == len([*tmp_path.rglob("part-*")])
