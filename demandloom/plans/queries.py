@@ -135,7 +135,7 @@ def csv_rejects(spark, sf_dir):
     )
     # Lines are written as they stand: neither character occurs in them.
     raw.select(line.alias(",".join(raw.columns))).write.options(
-        header=True, sep="\x01", quote="\x02", ignoreTrailingWhiteSpace=False
+        header=True, sep="\x01", quote="\x02", ignoreTrailingWhiteSpace=False, **TEXT_FILES
     ).csv(path)
     parsed = written(C.coerce_numeric(files.read_raw_csv(spark, path, places=True, rejects=True)), "parsed")
     rejects = files.rejected_rows(parsed, len(raw.columns)).groupBy("reason").agg(F.count("*").alias("n"))

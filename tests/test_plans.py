@@ -96,7 +96,7 @@ def test_onehot_counts_joins_its_rows_once(spark, monkeypatch):
     assert "lineitem.parquet" not in plan(counts)
 
 
-@pytest.mark.parametrize("name, ending", [("records_from_json", "json.gz")])
+@pytest.mark.parametrize("name, ending", [("records_from_json", "json.gz"), ("csv_rejects", "csv.gz")])
 def test_text_of_a_query_is_packed_in_files_of_bounded_length(spark, monkeypatch, tmp_path, name, ending):
     monkeypatch.setattr(queries, "new_folder", lambda spark, folder: str(tmp_path / folder))
     monkeypatch.setattr(queries, "TEXT_FILES", queries.TEXT_FILES | {"maxRecordsPerFile": 1000})
