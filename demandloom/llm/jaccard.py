@@ -12,9 +12,11 @@ and which share an element of their own fronts, are compared themselves.  So nei
 their links follow from the hubs.
 
 *Known components.*  The result is components, so links between sets that are connected already
-add nothing.  The components of the links to the hubs are found first and travel with the groups in
-the lists; two groups of one component are never paired.  What hubs add is merged in the same way
-before members are compared.
+add nothing.  The components of the links to the hubs are found first.  Then every entry of a list is
+compared with the list's leader of about its size, the set with the fewest rare elements of its own,
+which is the likeliest to be similar; that is one pair an entry at most.  The components so far travel
+with the groups in the lists; two groups of one component are never paired.  What hubs add is merged
+in the same way before members are compared.
 
 *Skipping by position.*  An element at position i of a set of size m leaves at most m - i common
 elements.  Long lists are cut into blocks by size and position, and blocks that cannot reach the
@@ -22,7 +24,9 @@ threshold with each other are skipped whole; in short lists pairs are skipped on
 
 *Order.*  Elements are ordered by how many documents hold them, counted over all, then by hash.  Any
 order gives the same result; the counts of the most frequent elements, a bounded number, are enough
-to keep passages that many texts share out of the lists.
+to keep passages that many texts share out of the lists.  What one document alone holds comes first
+and is not listed, as no other set has it; it still counts as a position.  A bit filter of bounded
+size tells these elements; one that it cannot tell is listed like any other.
 """
 
 from __future__ import annotations
@@ -44,11 +48,13 @@ from .components import components
 
 WORDS = 5
 PERCENT = 75
-#: Min-hashes by which classes find a hub, and further leaders of each min-hash that join components.
-MIN_HASHES, LEADERS = 6, 1
+#: Min-hashes by which classes find a hub.
+MIN_HASHES = 6
 #: An element in more documents is frequent; the most such elements that are sent to all workers,
 #: the most frequent first (4 bytes of key and of count each).
 LONG, FREQUENT = 24, 1 << 20
+#: The filter of elements that more than one document holds has two to this power of bits at most.
+FILTER_BITS = 27
 #: Entries of a block of a long list.
 BLOCK = 256
 #: Bytes of a text that are hashed at once.
@@ -225,12 +231,13 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return known[key]
 
     for batch in batches:
-        a, b, x, y = (batch.column(k).to_pylist() for k in range(4))
-        common = [
-            len(np.intersect1d(elements(i, s), elements(j, t), assume_unique=True)) for i, j, s, t in zip(a, b, x, y)
-        ]
+        found = []
+        for i, j, s, t in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            one, other = elements(i, s), elements(j, t)
+            found.append((len(np.intersect1d(one, other, assume_unique=True)), len(one), len(other)))
+        counts = [pa.array([f[k] for f in found], pa.int64()) for k in range(3)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(common, pa.int64())], names=["a", "b", "common"]
+            [batch.column(0), batch.column(1), *counts], names=["a", "b", "common", "m", "n"]
         )
 
 
@@ -260,9 +267,8 @@ class Join:
                 *(T.StructField(c, T.BinaryType()) for c in ("once", "keys", "counts")),
             ]
         )
-        size = self.docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        self.often = None
-        buckets = max(2 * shuffle_partitions(self.spark), size // BUCKET)
+        self.size = self.docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        buckets = max(2 * shuffle_partitions(self.spark), self.size // BUCKET)
         found = written(self.docs.mapInArrow(_described(buckets), schema), "sets")
         #: Every document with its size, class and min-hashes.
         self.described = found.where("bucket IS NULL").select("id", "n", "class", "mins")
@@ -283,20 +289,13 @@ class Join:
         return written(found.groupBy("class").agg(F.first("text").alias("text")), "texts")
 
     def overlaps(self, pairs: DataFrame) -> DataFrame:
-        """a, b, common of pairs(a, b), compared element by element."""
+        """a, b, common and the sizes m, n of pairs(a, b), compared element by element."""
         pairs = written(pairs, "pairs")
         texts = self.texts(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct())
         one = texts.select(F.col("class").alias("a"), F.col("text").alias("x"))
         other = texts.select(F.col("class").alias("b"), F.col("text").alias("y"))
         rows = pairs.join(one, "a").join(other, "b").select("a", "b", "x", "y")
-        sizes = self.classes.select("class", "n")
-        return written(
-            rows.mapInArrow(_overlaps, "a long, b long, common long")
-            .join(sizes.select(F.col("class").alias("a"), F.col("n").alias("m")), "a")
-            .join(sizes.select(F.col("class").alias("b"), "n"), "b")
-            .select("a", "b", "common", "m", "n"),
-            "overlaps",
-        )
+        return written(rows.mapInArrow(_overlaps, "a long, b long, common long, m long, n long"), "overlaps")
 
     def hubs(self) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Overlaps of classes with the leaders of their min-hash groups; member, hub, extra, n;
@@ -328,21 +327,6 @@ class Join:
         members = written(best.join(chosen, "member", "left_anti"), "members")
         alone = self.classes.select("class", "n", F.col("class").alias("label"))
         labels = self.merged(alone, star.where(similar("common", "m", "n")).select("a", "b"))
-        for turn in range(LEADERS):
-            # Another leader, by hash; it is compared with those of its min-hash that it is not connected to.
-            several = keyed.join(leaders.where("of > 2").select("k", "value"), ["k", "value"]).join(
-                labels.select("class", "label"), "class"
-            )
-            by = F.struct(F.xxhash64("class", F.lit(turn)).alias("h"), "class", "n", "label")
-            others = several.groupBy("k", "value").agg(F.min(by).alias("leader"), F.count_distinct("label").alias("labels"))
-            pairs = (
-                several.join(others.where("labels > 1"), ["k", "value"])
-                .where(f"label != leader.label AND {close_sizes('n', 'leader.n')}")
-                .select(F.least("class", "leader.class").alias("a"), F.greatest("class", "leader.class").alias("b"))
-                .distinct()
-            )
-            found = self.overlaps(pairs.join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-            labels = self.merged(labels, found.where(similar("common", "m", "n")).select("a", "b"))
         return star, members, labels
 
     def merged(self, labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -361,62 +345,66 @@ class Join:
             "labels",
         )
 
-    def listed_texts(self, members: DataFrame, labels: DataFrame) -> DataFrame:
-        """hub, label, text of one document per class; ids that stand for several classes all stay.
+    def entries(self) -> DataFrame:
+        """token, class, size, at: the front of every class, as far as other documents hold its elements.
 
-        A class that is connected with no other has no label of its own.
+        Read is one document per class; those without an id, and ids that stand for several classes, all are.
         """
         ids = self.described.where("class IS NOT NULL").groupBy("id").agg(
             F.min("class").alias("class"), F.max("class").alias("other")
         )
         single = ids.where("class = other").select("id", "class")
-        reps = self.classes.select("class", "rep")
-        several = labels.where("label != class").select("label").distinct()
-        roles = (
-            single.join(reps, "class")
-            .join(members.select(F.col("member").alias("class"), "hub"), "class", "left")
-            .join(labels.join(several, "label", "left_semi").select("class", "label"), "class", "left")
-            .withColumn("copy", ~F.col("id").eqNullSafe(F.col("rep")))
-            .where("copy OR label IS NOT NULL")
-            .select("id", "copy", "hub", "label")
-        )
-        roles = written(roles, "roles")
-        return (
-            self.docs.join(small_side(roles, roles.count()), "id", "left")
-            .where("copy IS NULL OR NOT copy")
-            .select("hub", "label", "text")
+        copies = single.join(self.classes.select("class", "rep"), "class").where(~F.col("id").eqNullSafe(F.col("rep")))
+        copies = written(copies.select("id"), "copies")
+        texts = self.docs.join(small_side(copies, copies.count()), "id", "left_anti").select("text")
+        often = self.spark.sparkContext.broadcast(self.frequent())
+        return written(texts.mapInArrow(_fronts(often), "token long, class long, size int, at int"), "entries")
+
+    def labelled(self, entries: DataFrame, labels: DataFrame) -> DataFrame:
+        """Entries with the component of their class; one that is connected with no other is its own."""
+        others = written(labels.where("label != class").select("class", "label"), "other_labels")
+        return entries.join(small_side(others, others.count()), "class", "left").withColumn(
+            "label", F.coalesce("label", "class")
         )
 
-    def frequent(self) -> tuple[np.ndarray, np.ndarray]:
-        """Keys and counts of the elements that more than LONG documents hold."""
-        found = written(self.counted.groupBy("bucket").applyInPandas(_summed, "key long, n long"), "frequent")
+    def led(self, entries: DataFrame, labels: DataFrame) -> DataFrame:
+        """Labels once the entries of each list are compared with its leaders."""
+        band = F.log2(F.col("size")).cast("int").alias("band")
+        columns = ["token", band, "class", "label", "size", "at"]
+        dealt = self.labelled(entries, labels).select(*columns).repartition(shuffle_partitions(self.spark), "token")
+        pairs = dealt.sortWithinPartitions("token", "band", "at", "class").mapInArrow(_led, "a long, b long").distinct()
+        found = self.overlaps(pairs)
+        return self.merged(labels, found.where(similar("common", "m", "n")).select("a", "b"))
+
+    def frequent(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys and counts of the elements that more than LONG documents hold, and a filter of those in more than one."""
+        bits = min(FILTER_BITS, max(16, self.size.bit_length()))
+        found = written(self.counted.groupBy("bucket").applyInPandas(_summed(bits), "key long, n long, bits binary"), "frequent")
+        repeated = np.zeros(1 << bits >> 3, np.uint8)
+        # Buckets are ranges of keys, so each has its own part of the filter but for a byte at its ends.
+        for part in found.where("n = 0").select("key", "bits").toLocalIterator():
+            repeated[part["key"] : part["key"] + len(part["bits"])] |= np.frombuffer(part["bits"], np.uint8)
+        found = found.where("n > 0").select("key", "n")
         if found.count() > FREQUENT:
             found = found.orderBy(F.desc("n"), "key").limit(FREQUENT)
         rows = found.toPandas()
         order = np.argsort(rows["key"].to_numpy(np.int64), kind="stable")
-        return rows["key"].to_numpy(np.uint32)[order], rows["n"].to_numpy(np.uint32)[order]
+        return rows["key"].to_numpy(np.uint32)[order], rows["n"].to_numpy(np.uint32)[order], repeated
 
-    def candidates(self, members: DataFrame, labels: DataFrame) -> DataFrame:
+    def candidates(self, entries: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
         """Pairs of hubs a < b of different components whose groups may hold similar sets."""
-        texts = self.listed_texts(members, labels)
-        lists = self.lists(texts)
-        columns = ["token", "hub", "label", _packed().alias("size")]
-        own = lists.where("own").select(*columns)
+        hubs = members.select(F.col("member").alias("class"), "hub")
+        lists = self.labelled(entries, labels).join(small_side(hubs, hubs.count()), "class", "left")
+        columns = ["token", "hub", "label", _packed("low", "high", "at").alias("size")]
+        own = lists.where("hub IS NULL").select(
+            "token", F.col("class").alias("hub"), "label", F.col("size").alias("low"), F.col("size").alias("high"), "at"
+        )
         grouped = (
-            lists.where("NOT own")
+            lists.where("hub IS NOT NULL")
             .groupBy("token", "hub")
-            .agg(F.min("label").alias("label"), F.min("low").alias("low"), F.max("high").alias("high"), F.min("at").alias("at"))
-            .select(*columns)
-        )
-        return self.paired(own.union(grouped))
-
-    def lists(self, texts: DataFrame) -> DataFrame:
-        """The entries of texts(hub, label, text) in the lists of their elements."""
-        if self.often is None:
-            self.often = self.spark.sparkContext.broadcast(self.frequent())
-        return texts.mapInArrow(
-            _fronts(self.often), "token long, hub long, label long, own boolean, low int, high int, at int"
+            .agg(F.min("label").alias("label"), F.min("size").alias("low"), F.max("size").alias("high"), F.min("at").alias("at"))
         )
+        return self.paired(own.unionByName(grouped).select(*columns))
 
     def paired(self, entries: DataFrame) -> DataFrame:
         """Pairs a < b of different labels that may be similar by the lists of their elements."""
@@ -427,7 +415,9 @@ class Join:
     def run(self) -> DataFrame:
         """id, n, component of every document."""
         star, members, labels = self.hubs()
-        pairs = written(self.candidates(members, labels), "candidates")
+        entries = self.entries()
+        labels = self.led(entries, labels)
+        pairs = written(self.candidates(entries, members, labels), "candidates")
         turned = star.select("a", "b", "common", "m", "n").union(
             star.select(F.col("b").alias("a"), F.col("a").alias("b"), "common", F.col("n").alias("m"), F.col("m").alias("n"))
         )
@@ -468,9 +458,9 @@ class Join:
                 .join(labels, "class"),
                 "near_members",
             )
-            texts = self.texts(within.select("class")).join(within, "class")
-            entries = self.lists(texts.select(F.col("class").alias("hub"), "label", "text"))
-            pairs = written(self.paired(entries.select("token", "hub", "label", _packed().alias("size"))), "member_pairs")
+            fronts = entries.join(small_side(within.select("class", "label"), within.count()), "class")
+            fronts = fronts.select("token", F.col("class").alias("hub"), "label", _packed("size", "size", "at").alias("size"))
+            pairs = written(self.paired(fronts), "member_pairs")
 
             def end(name: str) -> DataFrame:
                 return within.select(
@@ -504,79 +494,120 @@ def _can(common: str, m: str, n: str) -> str:
 TOP = (1 << 21) - 1
 
 
-def _packed():
+def _packed(*columns: str):
     """Smallest size, largest size and position in one number that sorts by them."""
-    low, high, at = (F.least(F.col(c), F.lit(TOP)).cast("long") for c in ("low", "high", "at"))
+    low, high, at = (F.least(F.col(c), F.lit(TOP)).cast("long") for c in columns)
     return F.shiftleft(low, 42) + F.shiftleft(high, 21) + at
 
 
-def _summed(rows: pd.DataFrame) -> pd.DataFrame:
-    """Elements of a bucket that more than LONG sets hold."""
-    once = [_keys(k) for k in rows["once"]]
-    keys = np.concatenate([*once, *(_keys(k) for k in rows["keys"])])
-    counts = np.ones(len(keys), np.int64)
-    counts[sum(map(len, once)) :] = np.frombuffer(b"".join(rows["counts"]), "<u4")
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, int)
-    sums = np.add.reduceat(counts, starts) if len(starts) else np.empty(0, np.int64)
-    often = sums > LONG
-    return pd.DataFrame({"key": keys[starts][often].astype(np.int64), "n": sums[often]})
+def _summed(bits: int):
+    """Elements of a bucket that more than LONG sets hold, and as a row with n = 0 its part of the filter."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        once = [_keys(k) for k in rows["once"]]
+        keys = np.concatenate([*once, *(_keys(k) for k in rows["keys"])])
+        counts = np.ones(len(keys), np.int64)
+        counts[sum(map(len, once)) :] = np.frombuffer(b"".join(rows["counts"]), "<u4")
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, int)
+        sums = np.add.reduceat(counts, starts) if len(starts) else np.empty(0, np.int64)
+        keys = keys[starts].astype(np.int64)
+        often, at = sums > LONG, keys[sums > 1] >> (32 - bits)
+        first = int(at[0]) >> 3 if len(at) else 0
+        there = np.zeros((int(at[-1]) >> 3) + 1 - first << 3 if len(at) else 0, bool)
+        there[at - (first << 3)] = True
+        return pd.DataFrame(
+            {
+                "key": np.r_[keys[often], first],
+                "n": np.r_[sums[often], 0],
+                "bits": [None] * int(often.sum()) + [np.packbits(there).tobytes()],
+            }
+        )
 
+    return run
 
-def front(elements: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+
+def is_repeated(repeated: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """False only for elements that a single document holds."""
+    at = own.astype(np.int64) >> (32 - (len(repeated).bit_length() + 2))
+    return (repeated[at >> 3] >> (7 - (at & 7))) & 1 > 0
+
+
+def front(
+    elements: np.ndarray, keys: np.ndarray, counts: np.ndarray, repeated: np.ndarray | None = None
+) -> np.ndarray:
     """The first elements of a set in the common order."""
     size = prefix_length(len(elements))
-    if not len(keys):
+    if not len(keys) and repeated is None:
         return elements[:size]
     own = elements.astype(np.uint32)
-    at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-    often = np.where(keys[at] == own, counts[at], 0)
-    if not often[:size].any():
-        return elements[:size]
+    often = np.zeros(len(own), np.int64)
+    if len(keys):
+        at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+        often = np.where(keys[at] == own, counts[at], 0).astype(np.int64)
+    if repeated is not None:
+        often = np.where(is_repeated(repeated, own), often + 1, 0)
     return elements[np.argsort(often, kind="stable")[:size]]
 
 
 def _fronts(frequent):
-    """One row per element at the front of a set."""
+    """One row per element at the front of a set that another document may hold, too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = frequent.value
-        names = ["token", "hub", "label", "own", "low", "high", "at"]
+        keys, counts, repeated = frequent.value
+        names = ["token", "class", "size", "at"]
         for batch in batches:
-            tokens, hubs, labels, owns, sizes, ats = [], [], [], [], [], []
+            parts: list[list[np.ndarray]] = [[] for _ in names]
 
             def rows() -> pa.RecordBatch:
-                size = np.concatenate(sizes)
-                arrays = [*map(np.concatenate, (tokens, hubs, labels, owns)), size, size, np.concatenate(ats)]
-                return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=names)
+                out = pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in parts], names=names)
+                for part in parts:
+                    part.clear()
+                return out
 
             held = 0
-            for hub, label, text in zip(*(column.to_pylist() for column in batch.columns)):
+            for text in batch.column(0).to_pylist():
                 elements = shingles(text)
-                if not len(elements):
+                size, alone = prefix_length(len(elements)), ~is_repeated(repeated, elements.astype(np.uint32))
+                alone = int(alone.sum())
+                if not len(elements) or alone >= size:
                     continue
-                first = front(elements, keys, counts)
-                n = len(first)
-                tokens.append(first.view(np.int64))
-                own = class_of(elements)
-                hubs.append(np.full(n, own if hub is None else hub, np.int64))
-                labels.append(np.full(n, own if label is None else label, np.int64))
-                owns.append(np.full(n, hub is None))
-                sizes.append(np.full(n, len(elements), np.int32))
-                ats.append(np.arange(n, dtype=np.int32))
+                listed = front(elements, keys, counts, repeated)[alone:]
+                n = len(listed)
+                parts[0].append(listed.view(np.int64))
+                parts[1].append(np.full(n, class_of(elements), np.int64))
+                parts[2].append(np.full(n, len(elements), np.int32))
+                parts[3].append(np.arange(alone, size, dtype=np.int32))
                 held += n
                 if held >= 200_000:
                     yield rows()
                     held = 0
-                    for part in (tokens, hubs, labels, owns, sizes, ats):
-                        part.clear()
             if held:
                 yield rows()
 
     return run
 
 
+def _led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each entry with the first one of its list and band, if they are of different components and may be similar."""
+    last = None
+    for batch in batches:
+        columns = [column.to_numpy().astype(np.int64) for column in batch.columns]
+        if not len(columns[0]):
+            continue
+        # The leader of a list that goes on stands before the entries of this batch.
+        if last is not None:
+            columns = [np.r_[before, c] for before, c in zip(last, columns)]
+        token, band, class_, label, size, at = columns
+        new = np.r_[True, (token[1:] != token[:-1]) | (band[1:] != band[:-1])]
+        of = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+        fits = _may(size[of], size[of], at[of], size, size, at) & (label[of] != label)
+        a, b = class_[of[fits]], class_[fits]
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        last = [c[of[-1]] for c in columns]
+
+
 def _may(low_a, high_a, at_a, low_b, high_b, at_b):
     """Whether sets with this element at these positions can be similar, given that it is their first in common."""
     left = np.minimum(high_a - at_a, high_b - at_b)
@@ -607,12 +638,15 @@ def _short(token, hub, label, low, high, at):
 
 def _long(hub, label, low, high, at):
     """Pairs within one long list, by blocks; yields (a, b)."""
-    order = np.lexsort((at, low // max(1, BLOCK)))
+    # Entries of the component with most of them stand last and are not paired with each other.
+    labels, of, counts = np.unique(label, return_inverse=True, return_counts=True)
+    most = of == counts.argmax()
+    order = np.lexsort((at, low // max(1, BLOCK), most))
     hub, label, low, high, at = hub[order], label[order], low[order], high[order], at[order]
     cuts = range(0, len(hub), BLOCK)
     parts = [slice(k, k + BLOCK) for k in cuts]
     least = [(low[p].min(), high[p].max(), at[p].min()) for p in parts]
-    for i, p in enumerate(parts):
+    for i, p in enumerate(parts[: -(-int((~most).sum()) // BLOCK)]):
         for j in range(i, len(parts)):
             q = parts[j]
             if not _may(*least[i], *least[j]):
