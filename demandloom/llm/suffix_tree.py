@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.scratch import new_folder, removed
-from .common import prepare, quoted, written
+from .common import prepare, quoted, shuffle_partitions, written
 
 DEPTH = 3
 #: Least share of all tokens of a token whose count every worker holds, and how many of them at most.
@@ -47,6 +47,8 @@ HELD_WEIGHTS, FILTER_WORDS = 3_000_000, 1 << 21
 LEAST, DISCOUNT = 3, 0.75
 #: Tokens counted together, bytes of text cut into words together.
 FLUSH, CHUNK = 4_000_000, 2 << 20
+#: Bytes of text whose runs are summed in one group, on average, and counts that are sent together.
+BUCKET, SENT = 4 << 20, 250_000
 #: Words of more bytes are hashed one by one.
 LONG = 64
 END = xxhash.xxh64_intdigest(b"\n") >> 1
@@ -187,8 +189,24 @@ def bit_filter(df: DataFrame, rows: int) -> np.ndarray:
     return out
 
 
-def _counted(lengths: tuple[int, ...], pairs=None):
-    """Counts of runs by context and symbol, with length 1 of tokens; with a filter, of runs of frequent pairs."""
+def _counted(lengths: tuple[int, ...], buckets: int, pairs=None):
+    """Counts of runs, with length 1 of tokens, as arrays by bucket; with a filter, of runs of frequent pairs.
+
+    A bucket is a range of run hashes.
+    """
+    edges = np.array([(k << 63) // buckets for k in range(buckets + 1)], np.uint64)
+
+    def sent(key: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Rows of distinct sorted keys."""
+        cuts = np.searchsorted(key.view(np.uint64), edges)
+        columns = context, symbol, n.astype("<u4")
+        start = 0
+        while start < buckets:
+            end = max(start + 1, int(np.searchsorted(cuts, cuts[start] + SENT, side="right")) - 1)
+            full = [b for b in range(start, end) if cuts[b] < cuts[b + 1]]
+            parts = [pa.array([c[cuts[b] : cuts[b + 1]].tobytes() for b in full], pa.binary()) for c in columns]
+            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *parts], names=["bucket", "context", "symbol", "n"])
+            start = end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, words, size = [[] for _ in lengths if _ > 1], [], 0
@@ -196,16 +214,14 @@ def _counted(lengths: tuple[int, ...], pairs=None):
         def flushed() -> Iterator[pa.RecordBatch]:
             if words:
                 token, n = (np.concatenate(c) for c in zip(*words))
-                order = np.argsort(token)
-                token, n = token[order], n[order]
-                new = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-                yield _batch({"context": np.full(len(new), SINGLE), "symbol": token[new], "n": np.add.reduceat(n, new)})
+                context = np.full(len(token), SINGLE)
+                yield from sent(*_added(followed(context, token), context, token, n))
                 words.clear()
             for parts in held:
-                key, context, symbol = zip(*parts)
-                first, n = _groups(np.concatenate(key))
-                yield _batch({"context": np.concatenate(context)[first], "symbol": np.concatenate(symbol)[first], "n": n})
+                key, context, symbol = (np.concatenate(c) for c in zip(*parts))
                 parts.clear()
+                first, n = _groups(key)
+                yield from sent(key[first], context[first], symbol[first], n)
 
         for batch in batches:
             for chunk in chunks(batch.column(0)):
@@ -225,6 +241,27 @@ def _counted(lengths: tuple[int, ...], pairs=None):
     return run
 
 
+def _added(key: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys in order, with the sum of their counts."""
+    order = np.argsort(key)
+    key, n = key[order], n[order].astype(np.int64)
+    new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+    first = order[new]
+    return key[new], context[first], symbol[first], np.add.reduceat(n, new) if len(new) else n
+
+
+def _frequent(rows: pa.Table) -> pa.Table:
+    """Sums of the counts of a bucket: tokens, and runs that are frequent enough for an entry."""
+
+    def whole(name: str, kind: str) -> np.ndarray:
+        return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in rows.column(name)])
+
+    context, symbol, n = whole("context", "<i8"), whole("symbol", "<i8"), whole("n", "<u4")
+    _, context, symbol, n = _added(followed(context, symbol), context, symbol, n)
+    kept = (context == SINGLE) | (n >= LEAST)
+    return pa.table({"context": context[kept], "symbol": symbol[kept], "n": n[kept]})
+
+
 def _with_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds the run of an entry, and that run without its oldest token."""
     for batch in batches:
@@ -330,22 +367,38 @@ class Model:
         spark = df.sparkSession
         prepare(spark)
         texts = df.select(_text(df, text_col).alias("text"))
-        found = "context long, symbol long, n long"
-        pairs = self._summed(texts.mapInArrow(_counted((1, 2)), found), "pair_counts")
-        self.counts = pairs.where(F.col("context") == SINGLE).select(F.col("symbol").alias("token"), "n")
+        size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        self.buckets = max(2 * shuffle_partitions(spark), size // BUCKET)
+        self.spark, self.sums, self.entries = spark, [], []
+        pairs = self._summed(texts, "pair_counts", (1, 2))
+        singles = pairs.where(F.col("context") == SINGLE).select(F.col("symbol").alias("token"), "n")
+        self.counts = written(singles, "token_counts")
         row = self.counts.agg(F.sum("n").alias("total"), F.count("*").alias("distinct")).first()
         self.total, self.distinct = row["total"] or 0, row["distinct"]
         self.norm = float(self.total + self.distinct + 1)
         self.least = max(1, math.ceil(HELD_SHARE * self.total), _above(self.counts, self.distinct, HELD_TOKENS) + 1)
         self.held_counts = self.counts.where(F.col("n") >= self.least).toPandas().sort_values("token")
-        self.spark = spark
         self._build(texts, pairs.where(F.col("context") != SINGLE))
-
-    def _summed(self, counted: DataFrame, name: str) -> DataFrame:
-        # Tasks send a run once per FLUSH; to sum again before the shuffle gains little and costs much.
-        frequent = (F.col("context") == SINGLE) | (F.col("n") >= LEAST)
-        dealt = counted.repartition("context", "symbol")
-        return written(dealt.groupBy("context", "symbol").agg(F.sum("n").alias("n")).where(frequent), name)
+        for path in self.sums:
+            removed(spark, path)
+
+    def _summed(self, texts: DataFrame, name: str, lengths: tuple[int, ...], pairs=None) -> DataFrame:
+        # A row holds the counts of a bucket in one FLUSH; single counts as rows would cost much more.
+        found = texts.mapInArrow(_counted(lengths, self.buckets, pairs), "bucket int, context binary, symbol binary, n binary")
+        sums = found.groupBy("bucket").applyInArrow(_frequent, "context long, symbol long, n long")
+        return self._kept(sums, name, self.sums)
+
+    def _kept(self, df: DataFrame, name: str, paths: list[str]) -> DataFrame:
+        """A written table whose path is noted, to remove it."""
+        paths.append(new_folder(self.spark, name))
+        return written(df, name, paths[-1])
+
+    def without_levels(self) -> Model:
+        """The model for scores alone: the entries, of which the weights are made, are deleted."""
+        self.levels = []
+        while self.entries:
+            removed(self.spark, self.entries.pop())
+        return self
 
     def _build(self, texts: DataFrame, entries: DataFrame) -> None:
         singles = self.counts.select(F.col("token").alias("symbol"), F.col("n").alias("parent_n"))
@@ -361,7 +414,7 @@ class Model:
         self.pairs = bit_filter(pairs, pairs.count())
         model = self.spark.sparkContext.broadcast(self.pairs)
         longer = tuple(range(3, DEPTH + 2))
-        counted = self._summed(texts.mapInArrow(_counted(longer, model), "context long, symbol long, n long"), "run_counts")
+        counted = self._summed(texts, "run_counts", longer, model)
         for depth in range(2, DEPTH + 1):
             last = self.levels[-1]
             contexts = last.select(F.col("run").alias("context"), F.col("n").alias("total"), F.col("shorter").alias("parent"))
@@ -404,7 +457,7 @@ class Model:
             "context long, symbol long, n long, total long, parent long, below double, kept boolean,"
             " rest double, probability double, run long, shorter long"
         )
-        entries = written(scored.mapInArrow(_with_runs, schema), f"entries_{depth}")
+        entries = self._kept(scored.mapInArrow(_with_runs, schema), f"entries_{depth}", self.entries)
         removed(self.spark, path)
         return entries
 

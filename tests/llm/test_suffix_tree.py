@@ -1,9 +1,11 @@
 import math
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 import odd
@@ -192,3 +194,32 @@ def test_chunks_cut_like_bytes(monkeypatch):
     assert len(got) > 2 and sum(len(c.starts) for c in got) == len(texts)
     want = [h for t in texts for h in [*(token_hash(w) for w in (t or b"").lower().split()), S.END]]
     assert np.concatenate([c.tokens for c in got]).tolist() == want
+
+
+def test_counts_travel_as_arrays_by_bucket():
+    """A bucket has one row for each time that counts are sent, and sums do not depend on how they were cut."""
+    texts = [t.encode() for _, t in corpus(60)]
+    want = Counter()
+    for t in texts:
+        w = words(t.decode())
+        want.update((a, b) for a, b in zip([b"\n", *w], w))
+        want.update((None, b) for b in w)
+    tokens = {w: int(token_hash(w.decode())) if w != b"\n" else S.END for p in want for w in p if w is not None}
+    want = {(S.SINGLE if a is None else tokens[a], tokens[b]): n for (a, b), n in want.items() if a is None or n >= S.LEAST}
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"])
+    for buckets, step in ((1, 60), (7, 4)):
+        rows = [r for k in range(0, 60, step) for r in S._counted((1, 2), buckets)([batch.slice(k, step)])]
+        assert all(r.num_rows <= buckets for r in rows)
+        sums = [S._frequent(t) for b in range(buckets) if (t := pa.Table.from_batches(rows).filter(pa.compute.field("bucket") == b)).num_rows]
+        got = {(r["context"], r["symbol"]): r["n"] for t in sums for r in t.to_pylist()}
+        assert got == want
+
+
+def test_only_what_scores_need_stays_on_disk(spark, monkeypatch):
+    """Counts of runs go once the model is built, entries where only scores are asked for."""
+    made = []
+    monkeypatch.setattr(S, "new_folder", lambda spark, name, real=S.new_folder: made.append(real(spark, name)) or made[-1])
+    df = spark.createDataFrame(corpus(), SCHEMA)
+    model = S.Model(df).without_levels()
+    assert model.score(df).count() == 200
+    assert len(made) > 2 * S.DEPTH and not [path for path in made if Path(path.removeprefix("file:")).exists()]
