@@ -382,7 +382,7 @@ class Join:
         found = written(self.counted.groupBy("bucket").applyInPandas(_summed(bits), "key long, n long, bits binary"), "frequent")
         repeated = np.zeros(1 << bits >> 3, np.uint8)
         # Buckets are ranges of keys, so each has its own part of the filter but for a byte at its ends.
-        for part in found.where("n = 0").select("key", "bits").toLocalIterator():
+        for part in found.where("n = 0").select("key", "bits").collect():
             repeated[part["key"] : part["key"] + len(part["bits"])] |= np.frombuffer(part["bits"], np.uint8)
         found = found.where("n > 0").select("key", "n")
         if found.count() > FREQUENT:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.scratch import new_folder, removed
-from .common import prepare, quoted, shuffle_partitions, written
+from .common import prepare, quoted, shuffle_partitions, shuffles_deleted, written
 
 DEPTH = 3
 #: Least share of all tokens of a token whose count every worker holds, and how many of them at most.
@@ -391,7 +391,8 @@ class Model:
     def _kept(self, df: DataFrame, name: str, paths: list[str]) -> DataFrame:
         """A written table whose path is noted, to remove it."""
         paths.append(new_folder(self.spark, name))
-        return written(df, name, paths[-1])
+        with shuffles_deleted(self.spark):
+            return written(df, name, paths[-1])
 
     def without_levels(self) -> Model:
         """The model for scores alone: the entries, of which the weights are made, are deleted."""
@@ -433,7 +434,8 @@ class Model:
         columns = ["context", "symbol", "n", "total", "parent", "below"]
         path = new_folder(self.spark, f"level_{depth}")
         joined = joined.select(*columns, "parent_n", "parent_total")
-        joined.write.parquet(path)
+        with shuffles_deleted(self.spark):
+            joined.write.parquet(path)
         p, q = F.col("n") / F.col("total"), F.col("parent_n") / F.col("parent_total")
         price = 0.5 * F.log("total")
         rows = self.spark.read.schema(joined.schema).parquet(path).withColumns({"p": p, "q": q, "kept": p > q})
@@ -473,7 +475,8 @@ class Model:
         for part in parts[1:]:
             both = both.unionByName(part)
         summed = both.groupBy("run").agg(F.sum("weight").alias("weight"), F.max("n").alias("n"))
-        weights = written(summed, "weights")
+        with shuffles_deleted(self.spark):
+            weights = written(summed, "weights")
         rows = weights.count()
         above = _above(weights, rows, HELD_WEIGHTS)
         held = weights.where(F.col("n") > above).select("run", "weight").toArrow()
