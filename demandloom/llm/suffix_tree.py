@@ -45,8 +45,8 @@ HELD_SHARE, HELD_TOKENS = 1e-7, 500_000
 HELD_WEIGHTS, FILTER_WORDS = 3_000_000, 1 << 21
 #: Least count of an entry, and what is taken off it.
 LEAST, DISCOUNT = 3, 0.75
-#: Tokens counted together, bytes of text cut into words together.
-FLUSH, CHUNK = 4_000_000, 2 << 20
+#: Tokens whose runs are counted together, bytes of text cut into words together.
+FLUSH, CHUNK = 1_500_000, 2 << 20
 #: Bytes of text whose runs are summed in one group, on average, and counts that are sent together.
 BUCKET, SENT = 4 << 20, 250_000
 #: Words of more bytes are hashed one by one.
@@ -209,29 +209,28 @@ def _counted(lengths: tuple[int, ...], buckets: int, pairs=None):
             start = end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, words, size = [[] for _ in lengths if _ > 1], [], 0
+        held, words, size = [], [], 0
 
         def flushed() -> Iterator[pa.RecordBatch]:
             if words:
                 token, n = (np.concatenate(c) for c in zip(*words))
+                words.clear()
                 context = np.full(len(token), SINGLE)
                 yield from sent(*_added(followed(context, token), context, token, n))
-                words.clear()
-            for parts in held:
-                key, context, symbol = (np.concatenate(c) for c in zip(*parts))
-                parts.clear()
-                first, n = _groups(key)
-                yield from sent(key[first], context[first], symbol[first], n)
+            # Only tokens are held; their runs are made here, a length at a time.
+            tokens = np.concatenate(held)
+            held.clear()
+            for length, (context, symbol, key, _) in enumerate(runs(tokens, pairs and pairs.value, max(lengths)), 2):
+                if length in lengths:
+                    first, n = _groups(key)
+                    yield from sent(key[first], context[first], symbol[first], n)
 
         for batch in batches:
             for chunk in chunks(batch.column(0)):
-                tokens = chunk.tokens
+                held.append(chunk.tokens)
                 if 1 in lengths:
                     words.append((chunk.words, np.bincount(chunk.codes, minlength=len(chunk.words))))
-                found = enumerate(runs(tokens, pairs and pairs.value, max(lengths)), 2)
-                for place, (_, (context, symbol, key, _)) in enumerate(f for f in found if f[0] in lengths):
-                    held[place].append((key, context, symbol))
-                size += len(tokens)
+                size += len(held[-1])
                 if size >= FLUSH:
                     yield from flushed()
                     size = 0

@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 from collections import Counter
 from pathlib import Path
 
@@ -223,3 +224,17 @@ def test_only_what_scores_need_stays_on_disk(spark, monkeypatch):
     model = S.Model(df).without_levels()
     assert model.score(df).count() == 200
     assert len(made) > 2 * S.DEPTH and not [path for path in made if Path(path.removeprefix("file:")).exists()]
+
+
+def test_memory_of_counting_is_bounded():
+    rng = np.random.default_rng(3)
+    texts = pa.array([b" ".join(b"%d" % w for w in rng.integers(0, 5000, 500)) for _ in range(600)])
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    tracemalloc.start()
+    found = S._counted((3, 4), 8)(batch for _ in range(10))
+    runs = sum(len(x.as_buffer()) // 8 for b in found for x in b.column("context"))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Three million tokens, some of which are flushed before the others are read.
+    assert runs > 500_000
+    assert most < 160 << 20
