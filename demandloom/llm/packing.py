@@ -38,7 +38,7 @@ WASTE = 0.03
 #: Workers of which one task completes the open sequences, as a power of two.
 BLOCK_BITS = 7
 #: Words of at most this many characters are remembered, and how many of them a worker holds.
-REMEMBERED_CHARS, REMEMBERED = 48, 400_000
+REMEMBERED_CHARS, REMEMBERED = 48, 100_000
 #: The pre-tokenizer's pattern of the vocabulary (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 

@@ -3,13 +3,14 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 import odd
-from demandloom.llm import packing
+from demandloom.llm import common, packing
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER = Tokenizer.from_file(PATH)
@@ -105,3 +106,23 @@ def test_little_padding_of_tiny_documents(spark, words):
         used[r.sequence_id] += r.length
     assert max(used.values()) <= packing.CAPACITY
     assert sum(r.offset == 0 for r in rows) == n
+
+
+def test_batches_that_go_to_python_are_bounded_by_bytes(spark):
+    common.prepare(spark)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["size"])
+
+    texts = spark.range(300, numPartitions=1).selectExpr("repeat('word ', 20000 + id) AS text")
+    found = [r["size"] for r in texts.mapInArrow(sizes, "size long").collect()]
+    assert sum(found) >= 300 * 100_000
+    assert max(found) <= 2 * common.SENT_BYTES
+
+
+def test_remembered_words_are_bounded():
+    encode = packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    for start in range(0, 150_000, 1000):
+        encode(" " + " ".join(f"w{n}" for n in range(start, start + 1000)))
+    assert len(encode.known) <= 100_000
