@@ -16,8 +16,8 @@ A token's score is a sum: that of the root, the log of the spread of every retai
 and for every entry of these what its log probability is above that.  So the tree is one table of
 weights of token runs, joined to the runs of the texts.  Workers hold the weights and token counts of
 the most frequent ones, and a bit filter of bounded size that only spares runs without a weight.  What
-they cannot score is written beside a text's sums and joined; the sums themselves are not.  Tokens and
-runs are told apart by 63-bit hashes.
+they cannot score is written beside a text's sums; it meets the other weights as arrays, by ranges of
+hashes, and only its sums by text come back.  Tokens and runs are told apart by 63-bit hashes.
 """
 
 from __future__ import annotations
@@ -49,6 +49,8 @@ LEAST, DISCOUNT = 3, 0.75
 FLUSH, CHUNK = 1_500_000, 2 << 20
 #: Bytes of text whose runs are summed in one group, on average, and counts that are sent together.
 BUCKET, SENT = 4 << 20, 250_000
+#: Sums by text that are held before they are sent, and bits of a text's number within a group of texts.
+SUMS, GROUP = 1_000_000, 14
 #: Words of more bytes are hashed one by one.
 LONG = 64
 END = xxhash.xxh64_intdigest(b"\n") >> 1
@@ -189,24 +191,29 @@ def bit_filter(df: DataFrame, rows: int) -> np.ndarray:
     return out
 
 
+def _dealt(key: np.ndarray, buckets: int, columns: dict[str, np.ndarray | None]) -> Iterator[pa.RecordBatch]:
+    """Rows of sorted 63-bit hashes as arrays by bucket, a range of hashes; columns may be missing."""
+    cuts = np.searchsorted(key.view(np.uint64), np.array([(k << 63) // buckets for k in range(buckets + 1)], np.uint64))
+    start = 0
+    while start < buckets:
+        end = max(start + 1, int(np.searchsorted(cuts, cuts[start] + SENT, side="right")) - 1)
+        full = [b for b in range(start, end) if cuts[b] < cuts[b + 1]]
+        parts = [
+            pa.array([None if c is None else c[cuts[b] : cuts[b + 1]].tobytes() for b in full], pa.binary())
+            for c in columns.values()
+        ]
+        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *parts], names=["bucket", *columns])
+        start = end
+
+
 def _counted(lengths: tuple[int, ...], buckets: int, pairs=None):
     """Counts of runs, with length 1 of tokens, as arrays by bucket; with a filter, of runs of frequent pairs.
 
     A bucket is a range of run hashes.
     """
-    edges = np.array([(k << 63) // buckets for k in range(buckets + 1)], np.uint64)
 
     def sent(key: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Rows of distinct sorted keys."""
-        cuts = np.searchsorted(key.view(np.uint64), edges)
-        columns = context, symbol, n.astype("<u4")
-        start = 0
-        while start < buckets:
-            end = max(start + 1, int(np.searchsorted(cuts, cuts[start] + SENT, side="right")) - 1)
-            full = [b for b in range(start, end) if cuts[b] < cuts[b + 1]]
-            parts = [pa.array([c[cuts[b] : cuts[b + 1]].tobytes() for b in full], pa.binary()) for c in columns]
-            yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *parts], names=["bucket", "context", "symbol", "n"])
-            start = end
+        return _dealt(key, buckets, {"context": context, "symbol": symbol, "n": n.astype("<u4")})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, words, size = [], [], 0
@@ -355,6 +362,95 @@ def _scored(model):
     return run
 
 
+#: Keys of a bucket with their weights, or with the numbers of their texts and how often they stand there.
+KEYS = "bucket int, row binary, key binary, value binary"
+
+
+def _keys_dealt(buckets: int, in_texts: bool):
+    """Keys with weights, or lists of keys in texts, to KEYS."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            key, value, *row = (np.concatenate(c) for c in zip(*held))
+            held.clear()
+            hashes = key ^ (key >> 63)
+            order = np.argsort(hashes)
+            row = row[0][order] if in_texts else None
+            yield from _dealt(hashes[order], buckets, {"row": row, "key": key[order], "value": value[order]})
+
+        for batch in batches:
+            if in_texts:
+                row, keys, often = batch.columns
+                rows = np.repeat(row.to_numpy(), pc.list_value_length(keys).to_numpy())
+                held.append((keys.flatten().to_numpy(), often.flatten().to_numpy(), rows))
+            else:
+                held.append(tuple(c.to_numpy() for c in batch.columns))
+            size += len(held[-1][0])
+            if size >= 2 * SENT:
+                yield from flushed()
+                size = 0
+        if size:
+            yield from flushed()
+
+    return run
+
+
+def _by_row(row: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """Distinct rows in order, and the sums of their values."""
+    order = np.argsort(row)
+    row = row[order]
+    new = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+    return [row[new], *(np.add.reduceat(v[order], new) for v in values)]
+
+
+def _weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """KEYS, in each bucket those with weights first, to sums by text as arrays by group of texts."""
+    held, size = [], 0
+
+    def flushed() -> Iterator[pa.RecordBatch]:
+        columns = _by_row(*(np.concatenate(c) for c in zip(*held)))
+        held.clear()
+        group = columns[0] >> GROUP
+        start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        cuts = [*zip(start, [*start[1:], len(group)])]
+        parts = [pa.array([c[a:b].tobytes() for a, b in cuts], pa.binary()) for c in columns]
+        yield pa.RecordBatch.from_arrays([pa.array(group[start]), *parts], names=["group", "row", "known", "base", "score"])
+
+    at, weights, table = None, [], None
+    for batch in batches:
+        for bucket, row, key, value in zip(batch.column(0).to_pylist(), *batch.columns[1:]):
+            if bucket != at:
+                at, weights, table = bucket, [], None
+            key = np.frombuffer(key.as_buffer(), "<i8")
+            if not row.is_valid:
+                weights.append((key, np.frombuffer(value.as_buffer(), "<f8")))
+                continue
+            if table is None:
+                table = [np.concatenate(c) for c in zip(*weights)] or [np.empty(0, np.int64), np.empty(0)]
+                order = np.argsort(table[0])
+                table, weights = [c[order] for c in table], []
+            there, weight = _found(*table, key)
+            often = np.frombuffer(value.as_buffer(), "<i4")[there].astype(np.int64)
+            weight, token = weight[there] * often, key[there] >= 0
+            row = np.frombuffer(row.as_buffer(), "<i8")[there]
+            held.append((row, np.where(token, often, 0), np.where(token, weight, 0.0), weight))
+            size += len(row)
+            if size >= SUMS:
+                yield from flushed()
+                size = 0
+    if size:
+        yield from flushed()
+
+
+def _totals(rows: pa.Table) -> pa.Table:
+    """Sums by text of one group of texts."""
+    kinds = {"row": "<i8", "known": "<i8", "base": "<f8", "score": "<f8"}
+    row, *sums = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in rows.column(c)]) for c, kind in kinds.items())
+    return pa.table(dict(zip(("row", "more_known", "more_base", "more_score"), _by_row(row, *sums))))
+
+
 def _text(df: DataFrame, text_col: str) -> Column:
     return quoted(text_col).cast("string").cast("binary")
 
@@ -505,23 +601,18 @@ class Model:
             schema = schema.add(name, kind)
         schema = schema.add("keys", T.ArrayType(T.LongType())).add("often", T.ArrayType(T.IntegerType()))
         sums = written(docs.mapInArrow(_scored(self.spark.sparkContext.broadcast(self.held)), schema), "scored")
-        # A token that is not held counts as unseen so far.
+        # A token that is not held counts as unseen so far.  Keys stay arrays: as rows they would cost much more.
         tokens = self.counts.where(F.col("n") < self.least).select(
             F.col("token").alias("key"), F.log10(F.col("n") + 1.0).alias("weight")
         )
         weights = tokens.unionByName(self.weights.select((-1 - F.col("run")).alias("key"), "weight"))
-        token = F.when(F.col("key") >= 0, F.col("often")).otherwise(0)
+        keys = sums.select("row", "keys", "often").mapInArrow(_keys_dealt(self.buckets, True), KEYS)
         more = (
-            sums.select("row", F.inline(F.arrays_zip("keys", "often")))
-            .withColumnRenamed("keys", "key")
-            .join(weights, "key")
-            .groupBy("row")
-            .agg(
-                F.sum(token).alias("more_known"),
-                F.sum(token * F.col("weight")).alias("more_base"),
-                F.sum(F.col("often") * F.col("weight")).alias("more_score"),
-            )
-        )
+            keys.unionByName(weights.mapInArrow(_keys_dealt(self.buckets, False), KEYS))
+            .repartition("bucket").sortWithinPartitions("bucket", F.col("row").isNotNull())
+            .mapInArrow(_weighed, "group long, row binary, known binary, base binary, score binary")
+            .groupBy("group").applyInArrow(_totals, "row long, more_known long, more_base double, more_score double")
+        )
 
         def both(name: str) -> Column:
             return F.col(name) + F.coalesce(f"more_{name}", F.lit(0))

@@ -238,3 +238,38 @@ def test_memory_of_counting_is_bounded():
     # Three million tokens, some of which are flushed before the others are read.
     assert runs > 500_000
     assert most < 160 << 20
+
+
+def test_keys_meet_their_weights_as_arrays(spark, monkeypatch):
+    """Occurrences of what workers do not hold are no rows: one for each bucket that they are sent to, and each group of texts."""
+    rng = np.random.default_rng(5)
+    weight = dict(zip(range(-500, 500, 3), rng.random(334).tolist()))
+    keys = [np.unique(rng.integers(-500, 500, 200)) for _ in range(300)]
+    often = [rng.integers(1, 4, len(k)).astype(np.int32) for k in keys]
+    rows = (np.arange(300) // 100 << 40) + np.arange(300) % 100
+    texts = pa.RecordBatch.from_arrays([pa.array(rows), pa.array(keys), pa.array(often)], names=["row", "keys", "often"])
+    weights = pa.RecordBatch.from_arrays([pa.array([*weight]), pa.array([*weight.values()])], names=["key", "weight"])
+    want = {}
+    for row, k, n in zip(rows.tolist(), keys, often):
+        found = [(x, m, weight[x]) for x, m in zip(k.tolist(), n.tolist()) if x in weight]
+        want[row] = (sum(m for x, m, _ in found if x >= 0), sum(m * w for x, m, w in found if x >= 0), sum(m * w for _, m, w in found))
+    for sums in (50, 1_000_000):
+        monkeypatch.setattr(S, "SUMS", sums)
+        sent = [*S._keys_dealt(7, False)([weights]), *S._keys_dealt(7, True)([texts.slice(k, 150) for k in (0, 150)])]
+        assert sum(b.num_rows for b in sent) <= 2 * 7
+        table = pa.Table.from_batches(sent)
+        table = table.append_column("late", pa.compute.is_valid(table["row"])).sort_by([("bucket", "ascending"), ("late", "ascending")])
+        found = pa.Table.from_batches(S._weighed(table.drop_columns("late").to_batches(max_chunksize=3)))
+        assert sums == 50 or found.num_rows <= 3
+        got = {}
+        for g in set(found["group"].to_pylist()):
+            for r in S._totals(found.filter(pa.compute.field("group") == g)).to_pylist():
+                assert r["row"] >> S.GROUP == g and r["row"] not in got
+                got[r["row"]] = (r["more_known"], r["more_base"], r["more_score"])
+        assert got.keys() == want.keys()
+        assert all(got[r] == pytest.approx(want[r]) for r in want)
+
+
+def test_scores_do_not_list_occurrences(spark, model):
+    plan = model.score(spark.createDataFrame([(1, "a b")], SCHEMA))._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Join [key" not in plan
